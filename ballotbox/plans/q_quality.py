@@ -1 +1,137 @@
-"""Queries (filled in below)."""
+"""Queries for the data quality checks (Q1-Q8)."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ballotbox import schemas
+from ballotbox.operators import quality as Q
+from ballotbox.plans import standins
+from ballotbox.plans.q_core import staged
+from ballotbox.plans.registry import register
+from ballotbox.plans.sqlrules import stg_sql
+from ballotbox.sources.delimited import to_lines
+
+
+def _model_ft(model: str) -> str:
+    return model.removeprefix("stg_")
+
+
+def _fail_sql(check: Q.Check) -> str:
+    c = f'"{check.column}"'
+    if check.kind == "not_null":
+        return f"{c} is null"
+    if check.kind == "accepted_values":
+        return f"not ({c} in ({', '.join(str(v) for v in check.values)}))"
+    if check.kind == "expression_is_true":
+        return f"not (length({c}) <= 5 or {c} is null)"
+    raise ValueError(check.kind)
+
+
+def _check_sql(model: str, check: Q.Check) -> str:
+    src = f"({stg_sql(_model_ft(model))}) s"
+    head = f"select '{model}' as model, '{check.kind}' as check_name, '{check.column}' as column_name"
+    if check.kind == "unique":
+        return (f"{head}, cast(count(*) as bigint) as failures from (select \"{check.column}\" from {src}"
+                f" where \"{check.column}\" is not null group by 1 having count(*) > 1) d")
+    return f"{head}, cast(count(*) filter (where {_fail_sql(check)}) as bigint) as failures from {src}"
+
+
+def _suite_sql(kinds: tuple[str, ...] | None = None) -> str:
+    parts = [_check_sql(m, c) for m in Q.MODELS for c in Q.declared_checks(m)
+             if kinds is None or c.kind in kinds]
+    return " union all ".join(parts)
+
+
+def _suite(spark, sf_dir, kinds: tuple[str, ...] | None = None) -> DataFrame:
+    reports = []
+    for model in Q.MODELS:
+        checks = [c for c in Q.declared_checks(model) if kinds is None or c.kind in kinds]
+        if checks:
+            reports.append(Q.run_checks(staged(spark, sf_dir, _model_ft(model)), model, checks))
+    return reduce(DataFrame.unionByName, reports)
+
+
+@register("qa_not_null", "Q1", lambda: _suite_sql(("not_null",)))
+def qa_not_null(spark, sf_dir):
+    return _suite(spark, sf_dir, ("not_null",))
+
+
+@register("qa_unique", "Q2", lambda: " union all ".join(
+    f"select '{m}' as model, '{c}' as column_name, \"{c}\" as value, count(*) as n_rows"
+    f" from ({stg_sql(_model_ft(m))}) s where \"{c}\" is not null group by \"{c}\" having count(*) > 1"
+    for m, cols in Q.UNIQUE.items() for c in cols))
+def qa_unique(spark, sf_dir):
+    parts = [Q.duplicate_values(staged(spark, sf_dir, _model_ft(m)), c)
+             .select(F.lit(m).alias("model"), F.lit(c).alias("column_name"), F.col(c).alias("value"), "n_rows")
+             for m, cols in Q.UNIQUE.items() for c in cols]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("qa_accepted_values", "Q3", lambda: " union all ".join(
+    f"select '{m}' as model, '{c}' as column_name, cast(\"{c}\" as varchar) as value, count(*) as n_rows"
+    f" from ({stg_sql(_model_ft(m))}) s where not (\"{c}\" in ({', '.join(map(str, vals))}))"
+    f" group by \"{c}\""
+    for m, spec in Q.ACCEPTED_VALUES.items() for c, vals in spec.items()))
+def qa_accepted_values(spark, sf_dir):
+    parts = [Q.unexpected_values(staged(spark, sf_dir, _model_ft(m)), c, vals)
+             .select(F.lit(m).alias("model"), F.lit(c).alias("column_name"), "value", "n_rows")
+             for m, spec in Q.ACCEPTED_VALUES.items() for c, vals in spec.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("qa_expression", "Q4", lambda: _suite_sql(("expression_is_true",)))
+def qa_expression(spark, sf_dir):
+    return _suite(spark, sf_dir, ("expression_is_true",))
+
+
+@register("qa_orphans", "Q5", lambda: (
+    f"with l as ({stg_sql('ccl')}) "
+    f"select linkage_id, cand_id, cmte_id, cycle, 'cn' as missing_in from l"
+    f" where not exists (select 1 from ({stg_sql('cn')}) c where c.cand_id = l.cand_id)"
+    f" union all select linkage_id, cand_id, cmte_id, cycle, 'cm' as missing_in from l"
+    f" where not exists (select 1 from ({stg_sql('cm')}) m where m.cmte_id = l.cmte_id)"))
+def qa_orphans(spark, sf_dir):
+    links = staged(spark, sf_dir, "ccl").select("linkage_id", "cand_id", "cmte_id", "cycle")
+    no_cand = Q.orphans(links, staged(spark, sf_dir, "cn"), "cand_id").withColumn("missing_in", F.lit("cn"))
+    no_cmte = Q.orphans(links, staged(spark, sf_dir, "cm"), "cmte_id").withColumn("missing_in", F.lit("cm"))
+    return no_cand.unionByName(no_cmte)
+
+
+@register("qa_amendment_dups", "Q6", lambda: (
+    f"select tran_id, count(*) as n_rows,"
+    f" array_to_string(list_sort(list(distinct amndt_ind)), ',') as amendment_codes"
+    f" from ({stg_sql('indiv')}) s where tran_id is not null group by tran_id having count(*) > 1"))
+def qa_amendment_dups(spark, sf_dir):
+    return Q.amendment_duplicates(staged(spark, sf_dir, "indiv"))
+
+
+def _lines_sql(ft: str) -> str:
+    cols = ", ".join(f'"{c}"' for c in schemas.column_names(ft))
+    return f"select concat_ws('|', {cols}) as value from ({standins.raw_sql(ft)}) r"
+
+
+@register("qa_row_width", "Q7", lambda: " union all ".join(
+    f"select '{ft}' as file_type, {schemas.width(ft)} as expected_width, count(*) as n_lines,"
+    f" count(*) filter (where len(string_split(value, '|')) <> {schemas.width(ft)}) as n_bad_width,"
+    f" cast(min(len(string_split(value, '|'))) as int) as min_width,"
+    f" cast(max(len(string_split(value, '|'))) as int) as max_width from ({_lines_sql(ft)}) x"
+    for ft in schemas.FILE_TYPES))
+def qa_row_width(spark, sf_dir):
+    # Lines as written by an exporter that drops NULL fields (concat_ws skips
+    # them), so rows with a NULL come out short and must be caught.
+    parts = []
+    for ft in schemas.FILE_TYPES:
+        lines = to_lines(standins.raw(spark, sf_dir, ft), schemas.column_names(ft), keep_nulls=False)
+        parts.append(Q.row_width(lines, schemas.width(ft))
+                     .select(F.lit(ft).alias("file_type"), F.lit(schemas.width(ft)).alias("expected_width"),
+                             "n_lines", "n_bad_width", "min_width", "max_width"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("qa_suite", "Q8", lambda: _suite_sql())
+def qa_suite(spark, sf_dir):
+    return _suite(spark, sf_dir)
