@@ -1 +1,180 @@
-"""Queries (filled in below)."""
+"""Queries for the probe log (M1-M12), over ``events`` read as a probe log."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ballotbox.operators import probes as M
+from ballotbox.plans import standins
+from ballotbox.plans.registry import register
+from ballotbox.session import scratch_path
+from ballotbox.streaming import probe_stream
+
+LOG = lambda: f"({standins.probe_log_sql()})"
+_KEY = "partition by file_type, cycle order by checked_at, probe_id"
+
+
+def _changes_sql() -> str:
+    return (f"select probe_id, checked_at, file_type, cycle, status_code, etag, last_modified, content_length,"
+            f" coalesce(row_number() over ({_KEY}) > 1 and status_code = 200"
+            f" and (etag is distinct from lag(etag) over ({_KEY})"
+            f" or last_modified is distinct from lag(last_modified) over ({_KEY})), false) as changed"
+            f" from {LOG()} l")
+
+
+def changes(spark, sf_dir):
+    return M.detect_changes(standins.probe_log(spark, sf_dir))
+
+
+@register("probe_append", "M1", lambda: (
+    f"select checked_at, cycle, file_type, etag, last_modified, changed, false as downloaded"
+    f" from ({_changes_sql()}) c"))
+def probe_append(spark, sf_dir):
+    path = scratch_path(spark, "download-state")
+    rows = M.state_rows(changes(spark, sf_dir))
+    M.append_state(rows, path)
+    return spark.read.parquet(path)
+
+
+@register("latest_state", "M2", lambda: (
+    f"select file_type, cycle, checked_at, etag, last_modified, changed, false as downloaded"
+    f" from ({_changes_sql()}) c"
+    f" qualify row_number() over (partition by file_type, cycle order by checked_at desc, probe_id desc) = 1"))
+def latest_state(spark, sf_dir):
+    state = changes(spark, sf_dir).withColumn("downloaded", F.lit(False))
+    return M.latest_state(state)
+
+
+@register("detect_change", "M3", lambda: (
+    f"select probe_id, checked_at, file_type, cycle, status_code, etag, last_modified, changed"
+    f" from ({_changes_sql()}) c"))
+def detect_change(spark, sf_dir):
+    return changes(spark, sf_dir).drop("content_length")
+
+
+@register("detect_change_stream", "M4", lambda: (
+    f"select probe_id, checked_at, file_type, cycle, status_code, etag, last_modified, changed, false as late"
+    f" from ({_changes_sql()}) c"))
+def detect_change_stream(spark, sf_dir):
+    events = standins.table(spark, sf_dir, "events")
+    # The file source watches a folder; the glob filter picks the events file.
+    source = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    log = source.selectExpr(*[f"{e} as {n}" for n, e in standins._PROBE_COLS.items()])
+    base = scratch_path(spark, "probe-stream")
+    out = probe_stream.run_available_now(spark, probe_stream.detect_stream(log), f"{base}/out", f"{base}/ckpt")
+    return probe_stream.with_wall_clock(out).select(
+        "probe_id", "checked_at", "file_type", "cycle", "status_code", "etag", "last_modified", "changed", "late")
+
+
+@register("daily_observation", "M5", lambda: (
+    f"with d as (select *, cast(checked_at as date) as observation_date,"
+    f" bool_or(changed) over (partition by file_type, cycle, cast(checked_at as date)) as any_changed"
+    f" from ({_changes_sql()}) c"
+    f" qualify row_number() over (partition by file_type, cycle, cast(checked_at as date)"
+    f" order by checked_at desc, probe_id desc) = 1)"
+    f" select cast(row_number() over (order by observation_date, file_type, cycle) as bigint) as observation_id,"
+    f" file_type, cycle, observation_date, checked_at as probe_time, status_code as http_status,"
+    f" etag, last_modified, cast(content_length as bigint) as content_length,"
+    f" any_changed as changed, checked_at as recorded_at from d"))
+def daily_observation(spark, sf_dir):
+    return M.daily_observations(changes(spark, sf_dir))
+
+
+def _counts(spark, sf_dir):
+    return M.row_counts({ft: standins.raw(spark, sf_dir, ft).select("cycle") for ft in standins.FILE_TYPES})
+
+
+def _counts_sql() -> str:
+    return " union all ".join(
+        f"select '{ft}' as file_type, cycle, count(*) as row_count from ({standins.raw_sql(ft)}) r{i} group by cycle"
+        for i, ft in enumerate(standins.FILE_TYPES))
+
+
+LOADED_AT = "2024-01-01 00:00:00"
+
+
+@register("load_history", "M6", lambda: (
+    f"select cast(row_number() over (order by file_type, cycle) as bigint) as load_id, file_type, cycle,"
+    f" 'https://www.fec.gov/files/bulk-downloads/' || cast(cycle as varchar) || '/' || file_type"
+    f" || right(cast(cycle as varchar), 2) || '.zip' as source_url,"
+    f" 'data/raw/' || file_type || '_' || cast(cycle as varchar) || '.zip' as source_zip_path,"
+    f" 'raw/' || file_type || '/cycle=' || cast(cycle as varchar) as target_parquet_path,"
+    f" row_count, timestamp '{LOADED_AT}' as loaded_at, cast(null as varchar) as etag,"
+    f" cast(null as varchar) as last_modified from ({_counts_sql()}) c"))
+def load_history(spark, sf_dir):
+    return M.load_history(_counts(spark, sf_dir), loaded_at=F.lit(LOADED_AT).cast("timestamp_ntz"))
+
+
+@register("files_to_refresh", "M7", lambda: (
+    f"with latest as (select file_type, cycle, checked_at, status_code, changed from ({_changes_sql()}) c"
+    f" qualify row_number() over (partition by file_type, cycle order by checked_at desc, probe_id desc) = 1),"
+    f" have as (select distinct file_type, cycle from ({_counts_sql()}) s)"
+    f" select l.file_type, l.cycle, l.checked_at, l.status_code, l.changed,"
+    f" h.file_type is null as missing_locally, case when l.changed then 'changed' else 'missing' end as reason"
+    f" from latest l left join have h on l.file_type = h.file_type and l.cycle = h.cycle"
+    f" where l.status_code = 200 and (l.changed or h.file_type is null)"))
+def files_to_refresh(spark, sf_dir):
+    return M.files_to_refresh(changes(spark, sf_dir), _counts(spark, sf_dir))
+
+
+@register("target_grid", "M8", lambda: (
+    "with c as (select min(cy) as lo, max(cy) as hi from (select cast(year(o_orderdate) + year(o_orderdate) % 2"
+    " as int) as cy from orders) o),"
+    " spans as (select 'current' as style, hi as s, hi as e from c union all"
+    " select 'historical' as style, lo as s, hi - 2 as e from c),"
+    " ft as (select unnest([" + ", ".join(f"'{t}'" for t in standins.PROBE_FILE_TYPES) + "]) as file_type)"
+    " select style, file_type, cast(unnest(generate_series(s, e, 2)) as int) as cycle"
+    " from spans cross join ft where s <= e"))
+def target_grid(spark, sf_dir):
+    from ballotbox.functions.normalize import cycle_of
+
+    orders = standins.table(spark, sf_dir, "orders")
+    c = orders.agg(F.min(cycle_of("o_orderdate")).alias("lo"), F.max(cycle_of("o_orderdate")).alias("hi"))
+    spans = c.select(F.explode(F.array(
+        F.struct(F.lit("current").alias("style"), F.col("hi").alias("start"), F.col("hi").alias("end")),
+        F.struct(F.lit("historical").alias("style"), F.col("lo").alias("start"), (F.col("hi") - 2).alias("end")),
+    )).alias("s")).select("s.*")
+    return M.target_grid(spans, standins.PROBE_FILE_TYPES)
+
+
+@register("missed_observations", "M9", lambda: (
+    f"with days as (select distinct file_type, cycle, cast(checked_at as date) as d from {LOG()} l),"
+    f" span as (select file_type, cycle, min(d) as lo, max(d) as hi from days group by 1, 2),"
+    f" expected as (select file_type, cycle, cast(unnest(generate_series(lo, hi, interval 1 day)) as date) as d"
+    f" from span)"
+    f" select e.file_type, e.cycle, e.d as missed_date, 'backfill' as source from expected e"
+    f" where not exists (select 1 from days x where x.file_type = e.file_type and x.cycle = e.cycle"
+    f" and x.d = e.d)"))
+def missed_observations(spark, sf_dir):
+    return M.missed_observations(standins.probe_log(spark, sf_dir))
+
+
+@register("update_frequency", "M10", lambda: (
+    f"select file_type, cycle, count(*) as n_probes, count(*) filter (where status_code = 200) as n_ok,"
+    f" count(*) filter (where changed) as n_changes,"
+    f" min(checked_at) filter (where changed) as first_change_at,"
+    f" max(checked_at) filter (where changed) as last_change_at,"
+    f" case when count(*) filter (where changed) > 1 then"
+    f" (epoch_us(max(checked_at) filter (where changed)) - epoch_us(min(checked_at) filter (where changed)))"
+    f" / (count(*) filter (where changed) - 1) / 3600000000.0 end as mean_hours_between_changes"
+    f" from ({_changes_sql()}) c group by file_type, cycle"))
+def update_frequency(spark, sf_dir):
+    return M.update_frequency(changes(spark, sf_dir))
+
+
+@register("outage_spans", "M11", lambda: (
+    f"with c as (select *, sum(case when status_code = 200 then 1 else 0 end) over ({_KEY}"
+    f" rows between unbounded preceding and current row) as island from {LOG()} l)"
+    f" select file_type, cycle, min(checked_at) as outage_start, max(checked_at) as outage_end,"
+    f" count(*) as n_failed_probes from c where status_code <> 200 or status_code is null"
+    f" group by file_type, cycle, island"))
+def outage_spans(spark, sf_dir):
+    return M.outage_spans(standins.probe_log(spark, sf_dir))
+
+
+@register("status_summary", "M12", lambda: (
+    f"select case when status_code = 200 then 'OK' when status_code = 404 then 'not found' else 'other' end"
+    f" as status, count(*) as n_probes from {LOG()} l group by 1"))
+def status_summary(spark, sf_dir):
+    return M.status_summary(standins.probe_log(spark, sf_dir))
