@@ -61,7 +61,8 @@ def _is_heading(x: Column) -> Column:
     return x.startswith(HEADING)
 
 
-_NO_LINES = F.array().cast("array<string>")
+def _no_lines() -> Column:
+    return F.array().cast("array<string>")
 
 
 def _first_paragraph(rest: Column) -> Column:
@@ -89,7 +90,7 @@ def title_summary(content: ColumnOrName, fallback: ColumnOrName, width: int = WI
             title = F.when(h > 0, strip(F.substring(F.element_at(s, h.cast("int")), 3, 1 << 30))) \
                 .otherwise(_col(fallback))
             rest = F.when(h > 0, F.slice(s, (h + 1).cast("int"), F.greatest(F.size(s) - h, F.lit(0)).cast("int"))) \
-                .otherwise(_NO_LINES)
+                .otherwise(_no_lines())
             return F.struct(title.alias("title"), cut(let(rest, _first_paragraph), width).alias("summary"))
         return let(F.array_position(F.transform(s, _is_heading), True), with_heading)
     return let(F.transform(lines_of(content), strip), with_lines)

@@ -40,13 +40,16 @@ def previous_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], co
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     inner = b.select("*", F.row_number().over(w).alias("_rn"),
                      *[F.lag(c).over(w).alias(f"_lag_{c}") for c in cols])
-    last = b.groupBy(*keys, _B).agg(F.max(F.struct(*order, *cols)).alias("_last"))
+    # Struct fields get positional names: a carried column may also be an order column.
+    last_row = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
+                        *[F.col(c).alias(f"_v{j}") for j, c in enumerate(cols)])
+    last = b.groupBy(*keys, _B).agg(F.max(last_row).alias("_last"))
     edges = last.select(*keys, _B, F.lag("_last").over(Window.partitionBy(*keys).orderBy(_B)).alias("_edge"))
     j = inner.join(edges, [*keys, _B], "left")
     first = F.col("_rn") == 1
     out = j.select(*df.columns,
-                   *[F.when(first, F.col("_edge").getField(c)).otherwise(F.col(f"_lag_{c}")).alias(prefix + c)
-                     for c in cols],
+                   *[F.when(first, F.col("_edge").getField(f"_v{i}")).otherwise(F.col(f"_lag_{c}")).alias(prefix + c)
+                     for i, c in enumerate(cols)],
                    ((F.col("_rn") > 1) | F.col("_edge").isNotNull()).alias(flag))
     return out
 

@@ -103,7 +103,7 @@ def _snippet_sql(terms: list[str]) -> str:
     f" as score, {_snippet_sql(X.search_terms(SEARCH_QUERY))} as snippet from ({_index_sql()}) i) s"
     f" where score > 0"))
 def doc_search(spark, sf_dir):
-    return docsearch.search(_index(spark, sf_dir), SEARCH_QUERY).select(
+    return docsearch.search(standins.doc_table(spark, sf_dir), SEARCH_QUERY).select(
         "doc_id", "section", "title", "score", "snippet")
 
 

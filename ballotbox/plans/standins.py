@@ -29,7 +29,21 @@ PROBE_FILE_TYPES = ("indiv", "cn", "cm", "oth", "oppexp", "ccl", "weball", "pas2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that planned fewer splits than the cluster has cores.
+
+    A parquet file is split by row group; a table written as one row group is
+    read by one task and every narrow step after it (staging, text functions)
+    would run on one core. Counting the planned splits needs no job. At scale
+    (many files and row groups) this is a no-op and adds no shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 # ---------------------------------------------------------------- snippets

@@ -1,0 +1,135 @@
+"""Document functions against a brute-force Python version of their rules."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from ballotbox.functions import text as X
+from ballotbox.operators import docsearch
+
+WS = " \t\n\r\f\x0b"
+
+
+def py_cut(s, width=220):
+    if len(s) <= width:
+        return s
+    head = s[:width - 3]
+    if " " in head:
+        head = head[:head.rindex(" ")]
+    return head + "..."
+
+
+def py_title(text, fallback):
+    for line in text.split("\n"):
+        s = line.strip(WS)
+        if s.startswith("# "):
+            return s[2:].strip(WS)
+    return fallback
+
+
+def py_summary(text):
+    lines = [x.strip(WS) for x in text.split("\n")]
+    heads = [i for i, s in enumerate(lines) if s.startswith("# ")]
+    if not heads:
+        return ""
+    rest = lines[heads[0] + 1:]
+    body = [i for i, s in enumerate(rest) if s]
+    if not body:
+        return ""
+    para = [rest[body[0]]]
+    for s in rest[body[0] + 1:]:
+        if not s or s.startswith("# "):
+            break
+        para.append(s)
+    return py_cut(" ".join(para))
+
+
+def py_snippet(text, terms):
+    lines = text.split("\n")
+    hit = [i for i, x in enumerate(lines) if any(t in x.lower() for t in terms)]
+    window = lines[max(0, hit[0] - 1): hit[0] + 2] if hit else lines
+    return py_cut(" ".join(x.strip(WS) for x in window if x.strip(WS)))
+
+
+def py_score(title, summary, content, terms):
+    hay = f"{title}\n{summary}\n{content}".lower()
+    return sum(hay.count(t) for t in terms)
+
+
+LONG = " ".join(f"word{i}" for i in range(80))
+DOCS = [
+    "# Title\n\nFirst para line one\nline two\n\nSecond para",
+    "no heading here\njust text",
+    "  # Spaced Title  \n\n\n  para  \n# Next\nmore",
+    "# A\n# B\ntext\n\nx",
+    "#NoSpace\n# Real\nbody",
+    "# T\n\n" + LONG,
+    "# T\n\n" + "x" * 300,
+    "# \nfoo",
+    "",
+    "# T\n   \n\t\nbody line\n",
+    "intro\n# Later heading\n\nThe para mentions THE word and de\nnext\n\nlast",
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, f"docs/sec{i % 3}/file{i}.md" if i % 4 else f"file{i}.md", t) for i, t in enumerate(DOCS)]
+    return spark.createDataFrame(rows, "doc_id long, rel_path string, content string")
+
+
+def test_title_and_summary(docs):
+    got = docs.select("doc_id", "content", X.title_summary("content", X.path_stem("rel_path")).alias("ts"),
+                      X.path_stem("rel_path").alias("stem")).collect()
+    for r in got:
+        assert r.ts.title == py_title(r.content, r.stem), r.doc_id
+        assert r.ts.summary == py_summary(r.content), r.doc_id
+
+
+def test_section_and_stem(spark):
+    df = spark.createDataFrame([("docs/a/b/x.md",), ("docs/x.md",), ("README.md",), ("a/.hidden",)], "p string")
+    got = [(r.s, r.t) for r in df.select(X.section("p").alias("s"), X.path_stem("p").alias("t")).collect()]
+    assert got == [("docs/a/b", "x"), ("docs", "x"), ("Repository", "README"), ("a", ".hidden")]
+
+
+def test_url_path(spark):
+    df = spark.createDataFrame([("https://m.x.example.net/en/25#top",), ("http://h.com/fr/825?page=2",),
+                                ("https://h.com",), ("https://h.com/a/b/",)], "u string")
+    got = [r.p for r in df.select(X.url_path("u").alias("p")).collect()]
+    assert got == ["m.x.example.net/en/25", "h.com/fr/825", "h.com", "h.com/a/b"]
+
+
+@pytest.mark.parametrize("query", ["the de", "  THE  ", "para", "zzz-not-there"])
+def test_search_matches_brute_force(docs, query):
+    terms = X.search_terms(query)
+    idx = docsearch.index(docs).collect()
+    expected = {}
+    for r in idx:
+        s = py_score(r.title, r.summary, r.content, terms)
+        if s > 0:
+            expected[r.doc_id] = (s, py_snippet(r.content, terms))
+    got = {r.doc_id: (r.score, r.snippet) for r in docsearch.search(docs, query).collect()}
+    assert got == expected
+
+
+def test_search_order_and_limit(docs):
+    res = docsearch.search(docs, "the", limit=2).collect()
+    assert len(res) <= 2
+    scores = [r.score for r in docsearch.search(docs, "t").collect()]
+    assert scores == sorted(scores, reverse=True)
+
+
+def test_empty_query_returns_all(docs):
+    res = docsearch.search(docs, "   ").collect()
+    assert len(res) == len(DOCS) and {r.score for r in res} == {0}
+
+
+def test_on_driver_documents(spark):
+    from ballotbox.plans import standins
+
+    d = standins.doc_table(spark, "/root/testdata/sf0.001")
+    got = d.select("rel_path", "content", X.title_summary("content", X.path_stem("rel_path")).alias("ts"),
+                   X.snippet("content", ["the", "de"]).alias("sn"), X.path_stem("rel_path").alias("stem")).collect()
+    for r in got:
+        assert r.ts.title == py_title(r.content, r.stem)
+        assert r.ts.summary == py_summary(r.content)
+        assert r.sn == py_snippet(r.content, ["the", "de"])
