@@ -3,20 +3,24 @@
 ``lag`` or a running count over ``Window.partitionBy(key)`` sends every row of
 a key to one task. A probe log has few keys (file type x cycle), and one key
 may hold a third of all rows, so that plan serialises the job. Here each key
-is split by a bucket of the ordering (for example the day of the timestamp):
+is split into buckets of its ordering time:
 
-1. the window runs per (key, bucket), spreading a hot key over many tasks;
-2. one small row per (key, bucket) carries what crosses a bucket edge (the
-   last row, or the bucket's count), produced by a partial aggregate;
-3. a window over that small table, partitioned by key alone, finds the
+1. ``time_buckets`` gives every key a bucket width from one small aggregate
+   (its time span and row count): a key with ``n`` rows gets about
+   ``n / rows_per_bucket`` equal slices of its span, a small key one bucket.
+   The per-key stats (one row per key) are joined back; Spark broadcasts them
+   when small, and AQE's skew join splits a hot key's partition otherwise;
+2. the window runs per (key, bucket), so a hot key is spread over many tasks;
+3. one row per (key, bucket) carries what crosses a bucket edge (the last
+   row, or the bucket's count); it is aggregated from the windowed rows,
+   which are already partitioned by (key, bucket), so no new shuffle;
+4. a window over that small table, partitioned by key alone, finds the
    previous bucket; it holds ``#buckets`` rows per key, not ``#rows``;
-4. a join on (key, bucket) brings the edge values back to the rows. Spark
-   broadcasts the edge table only when its measured size is under the
-   broadcast threshold; otherwise it is a shuffle join on the same keys the
-   window already partitioned by.
+5. a join on (key, bucket) brings the edge values back to the rows.
 
-The result equals the plain per-key window exactly: buckets must be
-monotone in the ordering (the bucket of a later row is never smaller).
+The result equals the plain per-key window exactly, because buckets are
+monotone in the ordering (a later row never has a smaller bucket). Keys
+may be NULL: all joins here are null-safe.
 """
 
 from __future__ import annotations
@@ -26,47 +30,74 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ballotbox.functions.normalize import epoch_micros
+
 _B = "_bucket"
+ROWS_PER_BUCKET = 1_000_000
+
+
+def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Null-safe equi-join on ``keys``; the result keeps the left key columns only."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def time_buckets(df: DataFrame, keys: Sequence[str], ts: str, rows_per_bucket: int = ROWS_PER_BUCKET,
+                 name: str = _B) -> DataFrame:
+    """Add ``name``: a bucket of ``ts`` within the key, sized to ~``rows_per_bucket`` rows."""
+    keys = list(keys)
+    us = epoch_micros(ts)
+    stats = (df.groupBy(*keys)
+             .agg(F.min(us).alias("_lo"), F.max(us).alias("_hi"), F.count(F.lit(1)).alias("_n"))
+             .select(*keys, "_lo", F.greatest(
+                 F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / F.lit(rows_per_bucket))),
+                 F.lit(1)).alias("_w")))
+    j = _join(df, stats, keys)
+    return j.withColumn(name, F.floor((us - F.col("_lo")) / F.col("_w"))).drop("_lo", "_w")
 
 
 def previous_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                    bucket: Column, prefix: str = "prev_", flag: str = "has_prev") -> DataFrame:
+                    bucket: Column | None = None, prefix: str = "prev_", flag: str = "has_prev",
+                    rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``prev_<c>`` (value on the previous row of the key) and ``has_prev``.
 
-    ``order`` columns must be non-null and make the order total.
+    ``order`` columns must be non-null and make the order total; the first
+    one is the time used for buckets unless ``bucket`` is given.
     """
     keys, order, cols = list(keys), list(order), list(cols)
-    b = df.withColumn(_B, bucket)
+    b = (time_buckets(df, keys, order[0], rows_per_bucket) if bucket is None else df.withColumn(_B, bucket))
     w = Window.partitionBy(*keys, _B).orderBy(*order)
     inner = b.select("*", F.row_number().over(w).alias("_rn"),
                      *[F.lag(c).over(w).alias(f"_lag_{c}") for c in cols])
     # Struct fields get positional names: a carried column may also be an order column.
     last_row = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
                         *[F.col(c).alias(f"_v{j}") for j, c in enumerate(cols)])
-    last = b.groupBy(*keys, _B).agg(F.max(last_row).alias("_last"))
+    last = inner.groupBy(*keys, _B).agg(F.max(last_row).alias("_last"))
     edges = last.select(*keys, _B, F.lag("_last").over(Window.partitionBy(*keys).orderBy(_B)).alias("_edge"))
-    j = inner.join(edges, [*keys, _B], "left")
+    j = _join(inner, edges, [*keys, _B])
     first = F.col("_rn") == 1
-    out = j.select(*df.columns,
-                   *[F.when(first, F.col("_edge").getField(f"_v{i}")).otherwise(F.col(f"_lag_{c}")).alias(prefix + c)
-                     for i, c in enumerate(cols)],
-                   ((F.col("_rn") > 1) | F.col("_edge").isNotNull()).alias(flag))
-    return out
+    return j.select(*df.columns,
+                    *[F.when(first, F.col("_edge").getField(f"_v{i}")).otherwise(F.col(f"_lag_{c}"))
+                      .alias(prefix + c) for i, c in enumerate(cols)],
+                    ((F.col("_rn") > 1) | F.col("_edge").isNotNull()).alias(flag))
 
 
 def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], condition: Column,
-                  bucket: Column, name: str = "running_count") -> DataFrame:
+                  bucket: Column | None = None, name: str = "running_count",
+                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``name``: rows of the key up to and including this one where ``condition`` holds."""
     keys, order = list(keys), list(order)
-    b = df.withColumn(_B, bucket).withColumn("_hit", F.when(condition, 1).otherwise(0))
+    b = (time_buckets(df, keys, order[0], rows_per_bucket) if bucket is None else df.withColumn(_B, bucket))
+    b = b.withColumn("_hit", F.when(condition, 1).otherwise(0))
     w = (Window.partitionBy(*keys, _B).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = b.withColumn("_cum", F.sum("_hit").over(w))
-    per = b.groupBy(*keys, _B).agg(F.sum("_hit").alias("_n"))
+    per = inner.groupBy(*keys, _B).agg(F.sum("_hit").alias("_n"))
     before = (Window.partitionBy(*keys).orderBy(_B)
               .rowsBetween(Window.unboundedPreceding, -1))
     offs = per.select(*keys, _B, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (inner.join(offs, [*keys, _B], "left")
+    return (_join(inner, offs, [*keys, _B])
             .select(*df.columns, (F.col("_cum") + F.col("_off")).cast("bigint").alias(name)))
 
 

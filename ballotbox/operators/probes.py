@@ -5,8 +5,9 @@ last_modified, content_length``; the key of a remote file is (file_type,
 cycle). The state table kept per probe adds ``changed`` and ``downloaded``.
 
 Ordered logic (previous probe, runs of failures) goes through
-``keyed_windows`` so a key with a huge share of the log is split by day
-instead of landing in one task. "Latest row per key" is a ``max(struct)``
+``keyed_windows``: each key is cut into time buckets sized to its row count,
+so a key with a huge share of the log is spread over many tasks instead of
+landing in one. "Latest row per key" is a ``max(struct)``
 aggregate, which has a map-side partial step and needs no sort at all.
 """
 
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ballotbox.functions.normalize import epoch_micros, source_url
-from ballotbox.operators.keyed_windows import dense_ids, previous_in_key, running_count
+from ballotbox.operators.keyed_windows import ROWS_PER_BUCKET, dense_ids, previous_in_key, running_count
 
 KEYS = ("file_type", "cycle")
 ORDER = ("checked_at", "probe_id")
@@ -26,11 +27,8 @@ OK_STATUS = 200
 STATE_COLUMNS = ("checked_at", "cycle", "file_type", "etag", "last_modified", "changed", "downloaded")
 
 
-def day_bucket(ts: str = "checked_at") -> Column:
-    return F.to_date(F.col(ts))
-
-
-def detect_changes(log: DataFrame, successes_only: bool = False, bucket: Column | None = None) -> DataFrame:
+def detect_changes(log: DataFrame, successes_only: bool = False, bucket: Column | None = None,
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """M3: ``changed`` per probe.
 
     The first probe of a key is not a change. Otherwise a probe with status
@@ -39,13 +37,12 @@ def detect_changes(log: DataFrame, successes_only: bool = False, bucket: Column
     good probe reads as changed; ``successes_only=True`` compares with the
     previous *successful* probe instead.
     """
-    bucket = day_bucket() if bucket is None else bucket
     ok = F.col("status_code") == OK_STATUS
     if successes_only:
-        good = detect_changes(log.where(ok), bucket=bucket)
+        good = detect_changes(log.where(ok), bucket=bucket, rows_per_bucket=rows_per_bucket)
         bad = log.where(~ok | F.col("status_code").isNull()).withColumn("changed", F.lit(False))
         return good.unionByName(bad)
-    p = previous_in_key(log, KEYS, ORDER, ["etag", "last_modified"], bucket)
+    p = previous_in_key(log, KEYS, ORDER, ["etag", "last_modified"], bucket, rows_per_bucket=rows_per_bucket)
     differs = ~F.col("prev_etag").eqNullSafe(F.col("etag")) | ~F.col("prev_last_modified").eqNullSafe(
         F.col("last_modified"))
     changed = F.coalesce(F.col("has_prev") & ok & differs, F.lit(False))
@@ -204,15 +201,15 @@ def update_frequency(changes: DataFrame) -> DataFrame:
     return agg.withColumn("mean_hours_between_changes", mean_h)
 
 
-def outage_spans(log: DataFrame, bucket: Column | None = None) -> DataFrame:
+def outage_spans(log: DataFrame, bucket: Column | None = None,
+                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Runs of consecutive failed probes per key (gaps and islands).
 
     A failed probe's island is the number of successes before it in key
     order; consecutive failures share it.
     """
-    bucket = day_bucket() if bucket is None else bucket
     ok = F.col("status_code") == OK_STATUS
-    counted = running_count(log, KEYS, ORDER, ok, bucket, "successes_before")
+    counted = running_count(log, KEYS, ORDER, ok, bucket, "successes_before", rows_per_bucket)
     failed = counted.where(~ok | F.col("status_code").isNull())
     return (failed.groupBy(*KEYS, "successes_before")
             .agg(F.min("checked_at").alias("outage_start"), F.max("checked_at").alias("outage_end"),

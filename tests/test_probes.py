@@ -31,11 +31,27 @@ CASES = [
 EXPECTED = [False, False, False, True, False, False, True, False, False]
 
 
-def test_change_detection_cases(spark):
-    got = M.detect_changes(log_of(spark, CASES)).orderBy("probe_id").collect()
+@pytest.mark.parametrize("rows_per_bucket", [1, 2, 1_000_000])
+def test_change_detection_cases(spark, rows_per_bucket):
+    got = M.detect_changes(log_of(spark, CASES), rows_per_bucket=rows_per_bucket).orderBy("probe_id").collect()
     assert [r.changed for r in got] == EXPECTED
 
 
+def test_time_buckets_split_hot_key(spark):
+    log = _random_log(spark, n=2000, seed=5)
+    b = K.time_buckets(log, M.KEYS, "checked_at", rows_per_bucket=100)
+    per_key = {r.file_type: r.n for r in b.groupBy("file_type").agg(F.countDistinct("_bucket").alias("n")).collect()}
+    assert per_key["hot"] >= 10 and b.count() == 2000
+    worst = b.groupBy("file_type", "_bucket").count().agg(F.max("count")).first()[0]
+    assert worst < 400
+
+
+def test_null_keys_are_kept(spark):
+    rows = [(0, T0, None, 1, 200, "a", "m", 1), (1, T0 + dt.timedelta(hours=1), None, 1, 200, "b", "m", 1)]
+    got = M.detect_changes(spark.createDataFrame(rows, LOG_SCHEMA)).orderBy("probe_id").collect()
+    assert [r.changed for r in got] == [False, True]
+
+
 def test_successes_only_ignores_failed_probe(spark):
     got = M.detect_changes(log_of(spark, CASES), successes_only=True).orderBy("probe_id").collect()
     assert [r.changed for r in got] == [False, False, False, True, False, False, False, False, False]
@@ -73,9 +89,12 @@ def _random_log(spark, n=3000, seed=7):
     return spark.createDataFrame(rows, LOG_SCHEMA)
 
 
-def test_previous_in_key_equals_plain_window(spark):
+@pytest.mark.parametrize("rows_per_bucket,bucket", [(40, None), (1_000_000, None), (None, "day")])
+def test_previous_in_key_equals_plain_window(spark, rows_per_bucket, bucket):
     log = _random_log(spark)
-    split = K.previous_in_key(log, M.KEYS, M.ORDER, ["etag", "checked_at"], F.to_date("checked_at"))
+    kw = {"rows_per_bucket": rows_per_bucket} if rows_per_bucket else {}
+    b = F.to_date("checked_at") if bucket == "day" else None
+    split = K.previous_in_key(log, M.KEYS, M.ORDER, ["etag", "checked_at"], b, **kw)
     w = Window.partitionBy(*M.KEYS).orderBy(*M.ORDER)
     plain = log.select("probe_id", F.lag("etag").over(w).alias("prev_etag"),
                        F.lag("checked_at").over(w).alias("prev_checked_at"),
@@ -85,10 +104,11 @@ def test_previous_in_key_equals_plain_window(spark):
     assert a == b
 
 
-def test_running_count_equals_plain_window(spark):
+@pytest.mark.parametrize("rows_per_bucket", [25, 1_000_000])
+def test_running_count_equals_plain_window(spark, rows_per_bucket):
     log = _random_log(spark, seed=11)
     ok = F.col("status_code") == 200
-    split = K.running_count(log, M.KEYS, M.ORDER, ok, F.to_date("checked_at"), "n_ok")
+    split = K.running_count(log, M.KEYS, M.ORDER, ok, None, "n_ok", rows_per_bucket)
     w = Window.partitionBy(*M.KEYS).orderBy(*M.ORDER).rowsBetween(Window.unboundedPreceding, 0)
     plain = log.select("probe_id", F.sum(F.when(ok, 1).otherwise(0)).over(w).cast("bigint").alias("n_ok"))
     assert sorted(map(tuple, split.select("probe_id", "n_ok").collect())) == sorted(map(tuple, plain.collect()))
