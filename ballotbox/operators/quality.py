@@ -139,8 +139,12 @@ def amendment_duplicates(df: DataFrame, key: str = "tran_id", amend: str = "amnd
 
 
 def row_width(lines: DataFrame, expected: int, value: str = "value") -> DataFrame:
-    """Q7: line count and lines whose field count differs from the layout."""
-    width = F.size(F.split(F.col(value), "[|]", -1))
+    """Q7: line count and lines whose field count differs from the layout.
+
+    Fields = separators + 1, counted without splitting the line into an array.
+    """
+    v = F.col(value)
+    width = (F.length(v) - F.length(F.replace(v, F.lit("|"), F.lit(""))) + 1).cast("int")
     return lines.agg(F.count(F.lit(1)).alias("n_lines"),
                      F.count_if(width != expected).alias("n_bad_width"),
                      F.min(width).alias("min_width"), F.max(width).alias("max_width"))

@@ -8,7 +8,9 @@ from ballotbox.operators import probes as M
 from ballotbox.plans import standins
 from ballotbox.plans.registry import register
 from ballotbox.session import scratch_path
-from ballotbox.streaming import probe_stream
+from ballotbox.sources import jsonsource
+from ballotbox.sources.sinks import Sink
+from ballotbox.streaming import fanout, probe_stream
 
 LOG = lambda: f"({standins.probe_log_sql()})"
 _KEY = "partition by file_type, cycle order by checked_at, probe_id"
@@ -67,6 +69,22 @@ def detect_change_stream(spark, sf_dir):
         "probe_id", "checked_at", "file_type", "cycle", "status_code", "etag", "last_modified", "changed", "late")
 
 
+@register("probe_append_stream", "M1", lambda: (
+    f"select 'parquet' as sink, * from {LOG()} a union all select 'json' as sink, * from {LOG()} b"))
+def probe_append_stream(spark, sf_dir):
+    # Probes arriving as a stream, appended to two stores in each micro-batch.
+    events = standins.table(spark, sf_dir, "events")
+    source = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    log = source.selectExpr(*[f"{e} as {n}" for n, e in standins._PROBE_COLS.items()])
+    base = scratch_path(spark, "probe-fanout")
+    fanout.append_stream(spark, log, [Sink("parquet", f"{base}/pq"), Sink("json", f"{base}/js")], f"{base}/ckpt")
+    cols = list(standins._PROBE_COLS)
+    from_pq = spark.read.parquet(f"{base}/pq").select(F.lit("parquet").alias("sink"), *cols)
+    js = jsonsource.read_json(spark, f"{base}/js", log.schema.add("batch", "long"))
+    return from_pq.unionByName(js.select(F.lit("json").alias("sink"), *cols))
+
+
 @register("daily_observation", "M5", lambda: (
     f"with d as (select *, cast(checked_at as date) as observation_date,"
     f" bool_or(changed) over (partition by file_type, cycle, cast(checked_at as date)) as any_changed"

@@ -71,6 +71,19 @@ def qa_unique(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+@register("qa_unique_by_cycle", "Q2", lambda: " union all ".join(
+    f"select '{m}' as model, '{c}' as column_name, cycle, \"{c}\" as value, count(*) as n_rows"
+    f" from ({stg_sql(_model_ft(m))}) s where \"{c}\" is not null group by cycle, \"{c}\" having count(*) > 1"
+    for m, cols in Q.UNIQUE.items() for c in cols))
+def qa_unique_by_cycle(spark, sf_dir):
+    # The other reading of uniqueness: within each cycle instead of across all.
+    parts = [Q.duplicate_values(staged(spark, sf_dir, _model_ft(m)), c, by=("cycle",))
+             .select(F.lit(m).alias("model"), F.lit(c).alias("column_name"), "cycle", F.col(c).alias("value"),
+                     "n_rows")
+             for m, cols in Q.UNIQUE.items() for c in cols]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("qa_accepted_values", "Q3", lambda: " union all ".join(
     f"select '{m}' as model, '{c}' as column_name, cast(\"{c}\" as varchar) as value, count(*) as n_rows"
     f" from ({stg_sql(_model_ft(m))}) s where not (\"{c}\" in ({', '.join(map(str, vals))}))"

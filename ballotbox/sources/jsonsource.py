@@ -17,7 +17,9 @@ HTTP_SCHEMA = T.StructType([
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType = HTTP_SCHEMA) -> DataFrame:
     """JSON lines with a declared schema (no inference pass over the data)."""
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    from ballotbox.sources.sinks import JSON_EXACT
+
+    return spark.read.schema(schema).options(**JSON_EXACT).option("mode", "PERMISSIVE").json(path)
 
 
 def parse_json(c: str | Column, schema: T.StructType | str) -> Column:

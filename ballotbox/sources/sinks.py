@@ -17,22 +17,34 @@ class Sink:
     options: dict = field(default_factory=dict)
 
 
-def write_all(df: DataFrame, sinks: list[Sink]) -> list[str]:
+def write_all(df: DataFrame, sinks: list[Sink], partition_by: tuple[str, ...] = ()) -> list[str]:
     """Compute ``df`` once and write it to every sink.
 
     The frame is persisted (memory, spilling to disk) so the second writer
     does not recompute it; if an executor is lost its blocks are recomputed
-    from lineage. In a stream the same fan-out goes inside ``foreachBatch``.
+    from lineage. In a stream the same fan-out goes inside ``foreachBatch``
+    (``streaming.fanout``).
     """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for s in sinks:
-            cached.write.mode(s.mode).options(**s.options).format(s.fmt).save(s.path)
+            opts = {**(JSON_EXACT if s.fmt == "json" else {}), **s.options}
+            writer = cached.write.mode(s.mode).options(**opts).format(s.fmt)
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.save(s.path)
     finally:
         cached.unpersist()
     return [s.path for s in sinks]
 
 
+# JSON options that keep timestamps to the microsecond (the default text
+# format stops at milliseconds).
+JSON_EXACT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 # CSV options that keep text exactly: no whitespace trimming, multi-line
 # values quoted, and NULL written as the marker \N so that an empty string
 # reads back as '' and NULL as NULL.
@@ -52,6 +64,8 @@ def export(df: DataFrame, path: str, fmt: str = "csv") -> str:
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer = writer.options(**CSV_EXACT)
+    elif fmt == "json":
+        writer = writer.options(**JSON_EXACT)
     writer.format(fmt).save(path)
     return path
 
@@ -60,4 +74,6 @@ def read_export(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.options(**CSV_EXACT)
+    elif fmt == "json":
+        reader = reader.options(**JSON_EXACT)
     return reader.format(fmt).load(path)

@@ -2,8 +2,9 @@
 
 A bulk ZIP is read in place, without extracting it. ``partitions()`` lists the
 archives' central directories (names only) and plans one input partition per
-chosen member; ``read()`` streams that member's lines and hands them to Spark
-in Arrow batches. Splitting the lines into columns then runs in the JVM
+chosen member; ``read()`` streams that member's lines and hands them to
+Spark in Arrow batches. Files are reached through ``pyarrow.fs``, so the same
+code reads local, ``file:``, ``s3://``, ``hdfs://`` or ``gs://`` paths. Splitting the lines into columns then runs in the JVM
 (``split_line``). A compressed member cannot be split, so one member is one
 task: repartition after the read when members are large.
 
@@ -14,19 +15,18 @@ types every root-level ``.txt`` member is read.
 
 from __future__ import annotations
 
-import glob
 import io
 import os
 import uuid
 import zipfile
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ballotbox import schemas
-from ballotbox.session import local_path
 from ballotbox.sources.delimited import line_of, split_line
 
 FORMAT = "filingzip"
@@ -39,11 +39,24 @@ class _Member(InputPartition):
         self.member = member
 
 
+def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """The filesystem of a path or URI and the path inside it."""
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file://" + path[len("file:"):]
+    if "://" not in path:
+        return pafs.LocalFileSystem(), os.path.abspath(path)
+    return pafs.FileSystem.from_uri(path)
+
+
 def _archives(path: str) -> list[str]:
-    p = local_path(path)
-    if os.path.isdir(p):
-        return sorted(glob.glob(os.path.join(p, "**", "*.zip"), recursive=True))
-    return sorted(glob.glob(p))
+    fs, root = filesystem(path)
+    info = fs.get_file_info(root)
+    if info.type == pafs.FileType.File:
+        return [path]
+    found = fs.get_file_info(pafs.FileSelector(root, recursive=True))
+    base = path.rstrip("/")
+    return sorted(base + f.path[len(root.rstrip("/")):] for f in found
+                  if f.type == pafs.FileType.File and f.path.lower().endswith(".zip"))
 
 
 def choose_members(names: list[str], file_type: str | None, inner: str | None) -> list[str]:
@@ -65,14 +78,16 @@ class _Reader(DataSourceReader):
     def partitions(self):
         parts = []
         for archive in _archives(self.path):
-            with zipfile.ZipFile(archive) as z:
+            fs, p = filesystem(archive)
+            with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as z:
                 for member in choose_members(z.namelist(), self.file_type, self.inner):
                     parts.append(_Member(archive, member))
         return parts
 
     def read(self, partition: _Member):
         archive, member = partition.archive, partition.member
-        with zipfile.ZipFile(archive) as z, z.open(member) as raw:
+        fs, p = filesystem(archive)
+        with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as z, z.open(member) as raw:
             text = io.TextIOWrapper(raw, encoding=self.encoding, newline="")
             batch: list[str] = []
             for line in text:
@@ -140,14 +155,15 @@ def write_zip_archives(df: DataFrame, path: str, file_type: str, partial_every:
     """
     cols = schemas.column_names(file_type)
     inner = schemas.INDIV_INNER_FILE if file_type == "indiv" else f"{file_type}.txt"
-    out = local_path(path)
+    out = path.rstrip("/")
     lines = df.select(line_of(cols).alias("value"), "cycle").sortWithinPartitions("cycle")
 
     def write(batches):
         import pandas as pd
 
-        os.makedirs(out, exist_ok=True)
-        state = {"cycle": None, "zip": None, "fh": None, "partial": [], "n": 0, "name": None}
+        fs, root = filesystem(out)
+        fs.create_dir(root, recursive=True)
+        state = {"cycle": None, "zip": None, "fh": None, "stream": None, "partial": [], "n": 0, "name": None}
         done = []
 
         def close():
@@ -158,15 +174,18 @@ def write_zip_archives(df: DataFrame, path: str, file_type: str, partial_every:
                 state["zip"].writestr(f"by_date/itcont_{state['cycle']}_partial.txt",
                                       "".join(state["partial"]).encode("latin-1", "replace"))
             state["zip"].close()
+            state["stream"].close()
             done.append((state["name"], int(state["cycle"]), state["n"]))
 
         for pdf in batches:
             for value, cyc in zip(pdf["value"], pdf["cycle"]):
                 if cyc != state["cycle"]:
                     close()
-                    name = os.path.join(out, f"{file_type}_{int(cyc)}-{uuid.uuid4().hex}.zip")
-                    z = zipfile.ZipFile(name, "w", compression=zipfile.ZIP_DEFLATED)
-                    state.update(cycle=cyc, zip=z, fh=z.open(inner, "w"), partial=[], n=0, name=name)
+                    fname = f"{file_type}_{int(cyc)}-{uuid.uuid4().hex}.zip"
+                    stream = fs.open_output_stream(f"{root}/{fname}")
+                    z = zipfile.ZipFile(stream, "w", compression=zipfile.ZIP_DEFLATED)
+                    state.update(cycle=cyc, zip=z, fh=z.open(inner, "w"), stream=stream, partial=[], n=0,
+                                 name=f"{out}/{fname}")
                 text = value + "\n"
                 state["fh"].write(text.encode("latin-1", "replace"))
                 if state["n"] % partial_every == 0:
