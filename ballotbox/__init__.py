@@ -1,4 +1,4 @@
-"""Campaign-finance filings pipeline on Spark: raw scans, staging, marts,
+"""Campaign-finance filings on Spark: raw scans, staging, marts,
 quality checks, probe-log analytics and document search."""
 
 __version__ = "0.1.0"

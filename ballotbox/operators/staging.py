@@ -89,6 +89,22 @@ def stage(raw: DataFrame, file_type: str, strict: bool = False) -> DataFrame:
     return raw.select(*cols)
 
 
+def materialize(raw: DataFrame, file_type: str, path: str, strict: bool = False) -> str:
+    """Write a staged model as typed parquet partitioned by ``cycle``.
+
+    Filters on cleaned columns (dates, amounts, ids) cannot reach a raw
+    all-string scan: they sit above ``try_to_date`` / ``try_cast``. Reading
+    this typed copy instead, Spark pushes them into the parquet reader (row
+    group statistics) and prunes cycles by folder. Only the cycles present
+    in ``raw`` are replaced.
+    """
+    staged = stage(raw, file_type, strict)
+    (staged.sortWithinPartitions("cycle")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("cycle").parquet(path))
+    return path
+
+
 def stage_http_source(records: DataFrame) -> DataFrame:
     """Fetched records without their text, keeping only its length."""
     return records.select("fetched_at", "url", "status_code",

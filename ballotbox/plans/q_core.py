@@ -166,6 +166,18 @@ def stg_indiv_strict(spark, sf_dir):
     return staged(spark, sf_dir, "indiv", strict=True)
 
 
+@register("stg_indiv_typed", "T1", lambda: stg_sql("indiv"))
+def stg_indiv_typed(spark, sf_dir):
+    # The staged model written once as typed, cycle-partitioned parquet and
+    # read back: later filters on dates and amounts push into the scan.
+    from ballotbox.session import scratch_path
+
+    path = scratch_path(spark, "staged-indiv")
+    staging.materialize(standins.raw(spark, sf_dir, "indiv"), "indiv", path)
+    cols = schemas.column_names("indiv") + ["cycle"]
+    return spark.read.parquet(path).select(*cols)
+
+
 @register("stg_http_source", "T9", lambda: (
     "select fetched_at, url, status_code, cast(length(content_preview) as bigint) as preview_length"
     f" from ({standins.http_records_sql()}) h"))

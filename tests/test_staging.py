@@ -72,3 +72,13 @@ def test_http_source_drops_text(spark):
                                "fetched_at string, url string, status_code int, content_preview string")
     r = staging.stage_http_source(df).first()
     assert r.preview_length == 5 and "content_preview" not in r.asDict()
+
+
+def test_materialized_staging_pushes_filters(spark, scratch):
+    path = scratch("typed")
+    staging.materialize(sample_raw(spark), "indiv", path)
+    df = spark.read.parquet(path).where("transaction_amt > 600 and cycle = 2024")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(transaction_amt), GreaterThan(transaction_amt,600" in plan
+    assert "PartitionFilters: [isnotnull(cycle" in plan
+    assert sorted(r.tran_id for r in df.collect()) == ["SA11AI.1001", "SA11AI.1002"]
