@@ -10,7 +10,7 @@ from ballotbox.plans.registry import register
 from ballotbox.session import scratch_path
 from ballotbox.sources import jsonsource
 from ballotbox.sources.sinks import Sink
-from ballotbox.streaming import fanout, probe_stream
+from ballotbox.streaming import fanout, microbatch, probe_stream
 
 LOG = lambda: f"({standins.probe_log_sql()})"
 _KEY = "partition by file_type, cycle order by checked_at, probe_id"
@@ -69,6 +69,19 @@ def detect_change_stream(spark, sf_dir):
         "probe_id", "checked_at", "file_type", "cycle", "status_code", "etag", "last_modified", "changed", "late")
 
 
+@register("detect_change_microbatch", "M4", lambda: (
+    f"select probe_id, checked_at, file_type, cycle, status_code, etag, last_modified, changed, false as late"
+    f" from ({_changes_sql()}) c"))
+def detect_change_microbatch(spark, sf_dir):
+    # The same stream answered by one distributed batch job per micro-batch.
+    events = standins.table(spark, sf_dir, "events")
+    source = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    log = source.selectExpr(*[f"{e} as {n}" for n, e in standins._PROBE_COLS.items()])
+    base = scratch_path(spark, "probe-microbatch")
+    return microbatch.run_available_now(spark, log, f"{base}/out", f"{base}/state", f"{base}/ckpt")
+
+
 @register("probe_append_stream", "M1", lambda: (
     f"select 'parquet' as sink, * from {LOG()} a union all select 'json' as sink, * from {LOG()} b"))
 def probe_append_stream(spark, sf_dir):

@@ -58,3 +58,42 @@ def test_fanout_batch_replay_is_idempotent(spark, scratch):
     js = spark.read.schema("k int, t timestamp_ntz, batch long").options(
         timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(f"{base}/j")
     assert sorted((r.k, r.t.microsecond) for r in js.collect()) == [(1, 123456), (2, 0)]
+
+
+def _write_days(log, folder):
+    days = sorted(r.d for r in log.select(F.to_date("checked_at").alias("d")).distinct().collect())
+    for d in days:
+        log.where(F.to_date("checked_at") == F.lit(d)).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_microbatch_detector_equals_batch(spark, scratch):
+    from ballotbox.streaming import microbatch
+
+    log = _random_log(spark, n=1200, seed=9)
+    folder = scratch("mb-in")
+    _write_days(log, folder)
+    src = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 2).parquet(folder)
+    base = scratch("mb")
+    got = microbatch.run_available_now(spark, src, f"{base}/out", f"{base}/state", f"{base}/ckpt",
+                                       rows_per_bucket=30)
+    batch = M.detect_changes(log).select("probe_id", "changed")
+    assert got.where("late").count() == 0
+    assert sorted(map(tuple, got.select("probe_id", "changed").collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_microbatch_late_probe(spark, scratch):
+    from ballotbox.streaming import microbatch
+
+    t = dt.datetime(2024, 1, 1)
+    first = spark.createDataFrame([(1, t + dt.timedelta(hours=5), "a", 1, 200, "e1", "m", 1),
+                                   (2, t + dt.timedelta(hours=6), "a", 1, 200, "e1", "m", 1)], LOG_SCHEMA)
+    second = spark.createDataFrame([(3, t + dt.timedelta(hours=1), "a", 1, 200, "zz", "m", 1),
+                                    (4, t + dt.timedelta(hours=7), "a", 1, 200, "e2", "m", 1),
+                                    (5, t + dt.timedelta(hours=8), "b", 1, 200, "e1", "m", 1)], LOG_SCHEMA)
+    r0, s0 = microbatch.detect_batch(first, None)
+    state = s0.collect()
+    r1, s1 = microbatch.detect_batch(second, spark.createDataFrame(state, s0.schema))
+    got = {r.probe_id: (r.changed, r.late) for r in r0.unionByName(r1).collect()}
+    assert got == {1: (False, False), 2: (False, False), 3: (False, True), 4: (True, False), 5: (False, False)}
+    latest = {r.file_type: r.last_id for r in s1.collect()}
+    assert latest == {"a": 4, "b": 5}
