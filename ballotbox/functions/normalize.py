@@ -102,13 +102,26 @@ def source_url(file_type: ColumnOrName, cycle: ColumnOrName, base: str = BULK_BA
 
 
 def local_date(ts: ColumnOrName, tz: str = REPORTING_TZ) -> Column:
-    """The reporting-zone calendar date of a UTC wall-clock timestamp."""
-    return F.to_date(F.from_utc_timestamp(_col(ts).cast("timestamp"), tz))
+    """The reporting-zone calendar date of a UTC wall-clock ``timestamp_ntz``.
+
+    ``convert_timezone`` works on wall clocks, so the answer does not depend
+    on the session time zone.
+    """
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(tz), _col(ts)))
+
+
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def epoch_micros(ts: ColumnOrName) -> Column:
-    """Microseconds since the epoch of a UTC wall-clock timestamp (ntz or ltz)."""
-    return F.unix_micros(_col(ts).cast("timestamp"))
+    """Microseconds since the epoch of a UTC wall-clock ``timestamp_ntz`` (session zone ignored)."""
+    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), _col(ts))
+
+
+def from_epoch_micros(us: ColumnOrName) -> Column:
+    """The UTC wall-clock ``timestamp_ntz`` of epoch microseconds (session zone ignored)."""
+    return F.timestamp_add("MICROSECOND", _col(us), _epoch_ntz())
 
 
 # Rule names used by the staging rule maps.

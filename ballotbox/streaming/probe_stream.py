@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ballotbox.functions.normalize import epoch_micros
+from ballotbox.functions.normalize import epoch_micros, from_epoch_micros
 from ballotbox.operators.probes import KEYS, OK_STATUS
 
 OUTPUT_SCHEMA = ("probe_id long, file_type string, cycle int, checked_at_us long, status_code int, "
@@ -76,8 +76,7 @@ def detect_stream(probes: DataFrame) -> DataFrame:
 
 def with_wall_clock(df: DataFrame) -> DataFrame:
     """``checked_at_us`` back to a UTC wall-clock ``checked_at`` (timestamp_ntz)."""
-    return (df.withColumn("checked_at", F.timestamp_micros("checked_at_us").cast("timestamp_ntz"))
-            .drop("checked_at_us"))
+    return df.withColumn("checked_at", from_epoch_micros("checked_at_us")).drop("checked_at_us")
 
 
 def run_available_now(spark: SparkSession, stream: DataFrame, out_path: str, checkpoint: str) -> DataFrame:

@@ -77,3 +77,19 @@ def test_local_date(spark):
 @pytest.mark.parametrize("rule", ["trim", "zip5", "amount", "bigint", "year", "date", "date2", "percent"])
 def test_rules_keep_null(spark, rule):
     assert one_col(spark, [None], lambda c: N.apply_rule(rule, c)) == [None]
+
+
+def test_time_functions_ignore_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Kolkata", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([("2024-01-02 03:00:00.000007",)], "s string").select(
+                F.to_timestamp_ntz("s").alias("t"))
+            r = df.select(N.local_date("t").alias("d"), N.epoch_micros("t").alias("us"),
+                          N.from_epoch_micros(N.epoch_micros("t")).alias("back"), "t").first()
+            assert r.d == dt.date(2024, 1, 1), zone
+            assert r.us == 1704164400000007, zone
+            assert r.back == r.t, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
