@@ -162,6 +162,56 @@ def expand_cycle_span(span: str) -> list[int]:
     return list(range(start, end + 1, 2))
 
 
+def spans_from_config(config: dict) -> tuple[list[tuple[str, int, int]], dict[str, list[str]]]:
+    """Validate a grid configuration and return (spans, file types per style).
+
+    ``config = {"styles": {name: {"file_types": [...]}}, "cycles": [{"cycle": 2024,
+    "style": ...} | {"cycles": "2010-2022", "style": ...}]}``. Raises
+    ``ValueError`` on unknown styles or file types, odd years, reversed spans
+    and entries with both or neither of ``cycle`` / ``cycles``. This is
+    driver-side configuration (a handful of entries), not data.
+    """
+    from ballotbox.schemas import FILE_TYPES
+
+    styles = config.get("styles") or {}
+    if not styles:
+        raise ValueError("configuration needs at least one style")
+    types: dict[str, list[str]] = {}
+    for name, spec in styles.items():
+        fts = list((spec or {}).get("file_types") or [])
+        unknown = sorted(set(fts) - set(FILE_TYPES))
+        if not fts or unknown:
+            raise ValueError(f"style {name!r}: file_types missing or unknown {unknown}")
+        types[name] = fts
+    spans = []
+    for entry in config.get("cycles") or []:
+        style = entry.get("style")
+        if style not in types:
+            raise ValueError(f"unknown style {style!r}")
+        if ("cycle" in entry) == ("cycles" in entry):
+            raise ValueError(f"entry needs exactly one of 'cycle' or 'cycles': {entry!r}")
+        if "cycle" in entry:
+            c = int(entry["cycle"])
+            if c % 2:
+                raise ValueError(f"cycle {c} is not an even year")
+            spans.append((style, c, c))
+        else:
+            years = expand_cycle_span(str(entry["cycles"]))
+            spans.append((style, years[0], years[-1]))
+    if not spans:
+        raise ValueError("configuration needs at least one cycle entry")
+    return spans, types
+
+
+def grid_from_config(spark, config: dict) -> DataFrame:
+    """M8 from a configuration: one row per (style, file_type, cycle)."""
+    spans, types = spans_from_config(config)
+    rows = spark.createDataFrame(
+        [(s, a, b, types[s]) for s, a, b in spans], "style string, start int, end int, file_types array<string>")
+    return (rows.select("style", "file_types", F.explode(F.sequence("start", "end", F.lit(2))).alias("cycle"))
+            .select("style", F.explode("file_types").alias("file_type"), F.col("cycle").cast("int").alias("cycle")))
+
+
 def target_grid(spans: DataFrame, file_types: Iterable[str]) -> DataFrame:
     """M8: every (style, file_type, cycle) of spans ``(style, start, end)``; steps of 2.
 
