@@ -11,6 +11,8 @@ from ballotbox.plans.registry import register
 
 SEARCH_QUERY = "  The DE  "
 _WS = "[ \\t\\n\\r\\f\\x0B]"
+# Text after '# ' on the first stripped heading line (NULL when there is none).
+HEADING_TEXT_SQL = "substr(list_filter(s, lambda x: starts_with(x, '# '))[1], 3)"
 
 
 # ---- DuckDB forms of the text functions, for the oracle only.
@@ -48,7 +50,7 @@ def _index_sql() -> str:
         f" para as (select *, case when h > 0 and p > 0 then array_to_string(case when stop > 0"
         f" then list_slice(tail, 1, stop - 1) else tail end, ' ') else '' end as para from st)"
         f" select doc_id, rel_path, content, {_section('rel_path')} as section,"
-        f" coalesce({_strip('substr(list_filter(s, lambda x: starts_with(x, chr(35) || chr(32)))[1], 3)')},"
+        f" coalesce({_strip(HEADING_TEXT_SQL)},"
         f" {_stem('rel_path')}) as title, {_cut('para')} as summary from para")
 
 
