@@ -15,7 +15,7 @@ from ballotbox.plans.q_core import staged
 from ballotbox.plans.registry import register
 from ballotbox.plans.sqlrules import stg_sql
 from ballotbox.session import scratch_path
-from ballotbox.sources import delimited, jsonsource, parquet, sinks, zipsource
+from ballotbox.sources import delimited, jsonsource, load, parquet, sinks, zipsource
 
 RELOAD_CYCLE = 1998
 NULLIF_BLANK = "nullif({c}, '')"      # empty CSV fields read as NULL
@@ -42,6 +42,17 @@ def scan_zip_root_member(spark, sf_dir):
     return zipsource.read_zip(spark, path, "indiv")
 
 
+@register("zip_to_raw_parquet", "S2", lambda: (
+    f"select {_raw_cols(COALESCE_BLANK)}, cycle from ({standins.raw_sql('indiv')}) r"))
+def zip_to_raw_parquet(spark, sf_dir):
+    # Download-and-load: archives -> raw parquet per cycle -> the raw table.
+    base = scratch_path(spark, "zip-load")
+    zipsource.write_zip_archives(standins.raw(spark, sf_dir, "indiv"), f"{base}/zips", "indiv").collect()
+    load.load_zip_to_raw(spark, f"{base}/zips", "indiv", f"{base}/raw")
+    cols = schemas.column_names("indiv") + ["cycle"]
+    return parquet.read_raw(spark, f"{base}/raw", "indiv").select(*cols)
+
+
 @register("partition_overwrite", "S3", lambda: (
     "select " + ", ".join(
         f"case when cycle = {RELOAD_CYCLE} then 'RELOADED' else memo_text end as memo_text" if c == "memo_text"
