@@ -146,12 +146,17 @@ def read_zip(spark: SparkSession, path: str, file_type: str, inner: str | None =
 
 
 def write_zip_archives(df: DataFrame, path: str, file_type: str, partial_every: int = 10) -> DataFrame:
-    """Write raw rows into ``<ft>_<cycle>-<task>.zip`` archives, one per (task, cycle).
+    """Write raw rows into ``<ft>_<cycle>-part<partition>.zip`` archives, one per (partition, cycle).
 
     Each archive holds the root member with all its rows and a ``by_date/``
     partial repeating every ``partial_every``-th row, as bulk archives do.
     Every task writes its own archives into the shared folder; the returned
     frame has one summary row per archive (call an action on it to write).
+
+    Retries are safe: an archive is written under an attempt-unique temporary
+    name (not ``.zip``, so readers skip it) and moved to its final name, fixed
+    by partition and cycle, only when complete. A retried or speculative task
+    replaces the same file instead of adding a second copy.
     """
     cols = schemas.column_names(file_type)
     inner = schemas.INDIV_INNER_FILE if file_type == "indiv" else f"{file_type}.txt"
@@ -160,10 +165,13 @@ def write_zip_archives(df: DataFrame, path: str, file_type: str, partial_every:
 
     def write(batches):
         import pandas as pd
+        from pyspark import TaskContext
 
+        part = TaskContext.get().partitionId()
         fs, root = filesystem(out)
         fs.create_dir(root, recursive=True)
-        state = {"cycle": None, "zip": None, "fh": None, "stream": None, "partial": [], "n": 0, "name": None}
+        state = {"cycle": None, "zip": None, "fh": None, "stream": None, "partial": [], "n": 0,
+                 "tmp": None, "final": None}
         done = []
 
         def close():
@@ -175,17 +183,19 @@ def write_zip_archives(df: DataFrame, path: str, file_type: str, partial_every:
                                       "".join(state["partial"]).encode("latin-1", "replace"))
             state["zip"].close()
             state["stream"].close()
-            done.append((state["name"], int(state["cycle"]), state["n"]))
+            fs.move(f"{root}/{state['tmp']}", f"{root}/{state['final']}")
+            done.append((f"{out}/{state['final']}", int(state["cycle"]), state["n"]))
 
         for pdf in batches:
             for value, cyc in zip(pdf["value"], pdf["cycle"]):
                 if cyc != state["cycle"]:
                     close()
-                    fname = f"{file_type}_{int(cyc)}-{uuid.uuid4().hex}.zip"
-                    stream = fs.open_output_stream(f"{root}/{fname}")
+                    final = f"{file_type}_{int(cyc)}-part{part:05d}.zip"
+                    tmp = f"_{final}.{uuid.uuid4().hex}.inprogress"
+                    stream = fs.open_output_stream(f"{root}/{tmp}")
                     z = zipfile.ZipFile(stream, "w", compression=zipfile.ZIP_DEFLATED)
                     state.update(cycle=cyc, zip=z, fh=z.open(inner, "w"), stream=stream, partial=[], n=0,
-                                 name=f"{out}/{fname}")
+                                 tmp=tmp, final=final)
                 text = value + "\n"
                 state["fh"].write(text.encode("latin-1", "replace"))
                 if state["n"] % partial_every == 0:
