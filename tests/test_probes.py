@@ -194,3 +194,28 @@ def test_grid_config_errors(bad):
         M.spans_from_config({"styles": CONFIG["styles"], **bad})
     with pytest.raises(ValueError):
         M.spans_from_config({"styles": {"x": {"file_types": ["bogus"]}}, "cycles": [{"cycle": 2024, "style": "x"}]})
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    # 70% of the rows belong to one key; after the keyed window no shuffle
+    # partition may hold more than a small share of them.
+    log = _random_log(spark, n=6000, seed=21)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions",
+                                          "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = K.previous_in_key(log, M.KEYS, M.ORDER, ["etag"], rows_per_bucket=100)
+        # Aggregate the window outputs too, or the optimizer drops the unused windows.
+        sizes = [r.n for r in out.groupBy(F.spark_partition_id().alias("p"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.count("prev_etag").alias("m")).collect()]
+        plain = log.select(F.lag("etag").over(Window.partitionBy(*M.KEYS).orderBy(*M.ORDER)).alias("x"))
+        plain_sizes = [r.n for r in plain.groupBy(F.spark_partition_id().alias("p"))
+                       .agg(F.count(F.lit(1)).alias("n"), F.count("x").alias("m")).collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 6000
+    assert max(plain_sizes) / 6000 > 0.65          # the plain window keeps the hot key in one task
+    assert max(sizes) / 6000 < 0.2                 # the bucketed one spreads it
