@@ -10,7 +10,7 @@ from ballotbox.plans.registry import register
 from ballotbox.session import scratch_path
 from ballotbox.sources import jsonsource
 from ballotbox.sources.sinks import Sink
-from ballotbox.streaming import fanout, microbatch, probe_stream
+from ballotbox.streaming import fanout, microbatch, probe_stream, windowed
 
 LOG = lambda: f"({standins.probe_log_sql()})"
 _KEY = "partition by file_type, cycle order by checked_at, probe_id"
@@ -204,6 +204,21 @@ def outage_spans(spark, sf_dir):
     return M.outage_spans(standins.probe_log(spark, sf_dir))
 
 
+@register("status_daily_stream", "M12", lambda: (
+    f"select cast(checked_at as date) as day, case when status_code = 200 then 'OK'"
+    f" when status_code = 404 then 'not found' else 'other' end as status, count(*) as n_probes"
+    f" from {LOG()} l group by 1, 2"))
+def status_daily_stream(spark, sf_dir):
+    # Probe counts per day and status from the stream: event-time windows,
+    # a watermark bounding the state, update mode into an upserting sink.
+    events = standins.table(spark, sf_dir, "events")
+    source = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    log = source.selectExpr(*[f"{e} as {n}" for n, e in standins._PROBE_COLS.items()])
+    base = scratch_path(spark, "status-daily")
+    return windowed.run_available_now(spark, log, f"{base}/out", f"{base}/ckpt")
+
+
 @register("status_summary", "M12", lambda: (
     f"select case when status_code = 200 then 'OK' when status_code = 404 then 'not found' else 'other' end"
     f" as status, count(*) as n_probes from {LOG()} l group by 1"))

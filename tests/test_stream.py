@@ -11,6 +11,25 @@ from ballotbox.streaming import probe_stream
 from test_probes import LOG_SCHEMA, _random_log
 
 
+def _append_in_order(frames, folder):
+    """Append each frame as its own files with increasing mtimes (the file
+    source feeds files to micro-batches in modification-time order)."""
+    import glob
+    import os
+    import time
+
+    path = local_path(folder)
+    seen = set()
+    stamp = time.time() - 10_000
+    for df in frames:
+        df.coalesce(1).write.mode("append").parquet(folder)
+        new = [f for f in glob.glob(os.path.join(path, "*.parquet")) if f not in seen]
+        stamp += 10
+        for f in new:
+            os.utime(f, (stamp, stamp))
+        seen.update(new)
+
+
 def _stream(spark, folder, ckpt, out):
     src = (spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder))
     res = probe_stream.run_available_now(spark, probe_stream.detect_stream(src), out, ckpt)
@@ -21,8 +40,8 @@ def test_stream_in_time_order_equals_batch(spark, scratch):
     log = _random_log(spark, n=1500, seed=3)
     folder = scratch("stream-in")
     days = sorted(r.d for r in log.select(F.to_date("checked_at").alias("d")).distinct().collect())
-    for d in days:      # one file per day, written in time order -> one micro-batch each
-        log.where(F.to_date("checked_at") == F.lit(d)).coalesce(1).write.mode("append").parquet(folder)
+    # one file per day, in time order -> one micro-batch each
+    _append_in_order([log.where(F.to_date("checked_at") == F.lit(d)) for d in days], folder)
     base = scratch("stream")
     got = _stream(spark, folder, f"{base}/ckpt", f"{base}/out")
     batch = M.detect_changes(log).select("probe_id", "changed")
@@ -35,8 +54,7 @@ def test_late_probe_is_flagged_and_not_latest(spark, scratch):
     t = dt.datetime(2024, 1, 1)
     first = [(1, t + dt.timedelta(hours=5), "a", 1, 200, "e1", "m", 1), (2, t + dt.timedelta(hours=6), "a", 1, 200, "e1", "m", 1)]
     late = [(3, t + dt.timedelta(hours=1), "a", 1, 200, "zz", "m", 1), (4, t + dt.timedelta(hours=7), "a", 1, 200, "e1", "m", 1)]
-    spark.createDataFrame(first, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
-    spark.createDataFrame(late, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    _append_in_order([spark.createDataFrame(first, LOG_SCHEMA), spark.createDataFrame(late, LOG_SCHEMA)], folder)
     base = scratch("late")
     got = {r.probe_id: (r.changed, r.late) for r in _stream(spark, folder, f"{base}/c", f"{base}/o").collect()}
     assert got == {1: (False, False), 2: (False, False), 3: (False, True), 4: (False, False)}
@@ -62,8 +80,7 @@ def test_fanout_batch_replay_is_idempotent(spark, scratch):
 
 def _write_days(log, folder):
     days = sorted(r.d for r in log.select(F.to_date("checked_at").alias("d")).distinct().collect())
-    for d in days:
-        log.where(F.to_date("checked_at") == F.lit(d)).coalesce(1).write.mode("append").parquet(folder)
+    _append_in_order([log.where(F.to_date("checked_at") == F.lit(d)) for d in days], folder)
 
 
 def test_microbatch_detector_equals_batch(spark, scratch):
@@ -97,3 +114,36 @@ def test_microbatch_late_probe(spark, scratch):
     assert got == {1: (False, False), 2: (False, False), 3: (False, True), 4: (True, False), 5: (False, False)}
     latest = {r.file_type: r.last_id for r in s1.collect()}
     assert latest == {"a": 4, "b": 5}
+
+
+def test_windowed_counts_equal_batch(spark, scratch):
+    from ballotbox.streaming import windowed
+
+    log = _random_log(spark, n=800, seed=13)
+    folder = scratch("win-in")
+    _write_days(log, folder)
+    src = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 3).parquet(folder)
+    base = scratch("win")
+    got = windowed.run_available_now(spark, src, f"{base}/out", f"{base}/ckpt", watermark="30 days")
+    want = log.groupBy(F.to_date("checked_at").alias("day"), M.status_label().alias("status")).count()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_windowed_counts_late_probe_within_watermark(spark, scratch):
+    # Spark guarantees that data later than the current max event time but
+    # within the watermark delay is still aggregated.
+    from ballotbox.streaming import windowed
+
+    folder = scratch("wm-in")
+    t = dt.datetime(2024, 1, 10)
+    batches = [[(1, t, "a", 1, 200, "e", "m", 1)],
+               [(2, t + dt.timedelta(days=5), "a", 1, 200, "e", "m", 1)],
+               [(3, t + dt.timedelta(hours=1), "a", 1, 200, "e", "m", 1),        # 5 days late
+                (4, t + dt.timedelta(days=5, hours=1), "a", 1, 404, None, None, 1)]]
+    _append_in_order([spark.createDataFrame(rows, LOG_SCHEMA) for rows in batches], folder)
+    src = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+    base = scratch("wm")
+    got = {(r.day, r.status): r.n_probes for r in
+           windowed.run_available_now(spark, src, f"{base}/out", f"{base}/ckpt", watermark="7 days").collect()}
+    assert got == {(dt.date(2024, 1, 10), "OK"): 2, (dt.date(2024, 1, 15), "OK"): 1,
+                   (dt.date(2024, 1, 15), "not found"): 1}
