@@ -109,6 +109,16 @@ def doc_search(spark, sf_dir):
         "doc_id", "section", "title", "score", "snippet")
 
 
+@register("doc_search_top10", "D4", lambda: (
+    f"select doc_id, section, title, score, snippet from (select *, {_score_sql(X.search_terms(SEARCH_QUERY))}"
+    f" as score, {_snippet_sql(X.search_terms(SEARCH_QUERY))} as snippet from ({_index_sql()}) i) s"
+    f" where score > 0 order by score desc, section, lower(title), rel_path limit 10"))
+def doc_search_top10(spark, sf_dir):
+    # Top-k is the feature here: a distributed TakeOrderedAndProject, no global sort.
+    return docsearch.search(standins.doc_table(spark, sf_dir), SEARCH_QUERY, limit=10).select(
+        "doc_id", "section", "title", "score", "snippet")
+
+
 @register("doc_snippet", "D5", lambda: (
     f"select doc_id, {_snippet_sql(X.search_terms(SEARCH_QUERY))} as snippet"
     f" from ({standins.doc_table_sql()}) d"))
