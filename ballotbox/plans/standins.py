@@ -40,8 +40,12 @@ def spread(df: DataFrame) -> DataFrame:
     would run on one core. Counting the planned splits needs no job. At scale
     (many files and row groups) this is a no-op and adds no shuffle.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        planned = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (Spark Connect): leave the scan as it is
+        return df
+    if planned < target:
         return df.repartition(target)
     return df
 

@@ -43,15 +43,27 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for scratch output; set one only when none is configured."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
         root = tempfile.mkdtemp(prefix="ballotbox-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def parallelism(spark: SparkSession, default: int = 8) -> int:
+    """Cores the cluster offers (``spark.default.parallelism`` without a SparkContext)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.default.parallelism", str(default)))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the checkpoint root."""
     return f"{checkpoint_root(spark)}/ballotbox/{name}-{uuid.uuid4().hex}"

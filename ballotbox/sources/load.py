@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ballotbox.session import parallelism
 from ballotbox.sources import parquet, zipsource
 from ballotbox.sources.delimited import split_line
 
@@ -21,7 +22,7 @@ from ballotbox.sources.delimited import split_line
 def load_zip_to_raw(spark: SparkSession, archives: str, file_type: str, raw_root: str,
                     partitions: int | None = None, encoding: str = "latin-1") -> DataFrame:
     lines = zipsource.read_zip_lines(spark, archives, file_type, encoding=encoding)
-    n = partitions or spark.sparkContext.defaultParallelism
+    n = partitions or parallelism(spark)
     cycle = F.regexp_extract(F.col("archive"), r"_(\d{4})[-.][^/]*$", 1)
     rows = (lines.repartition(n)
             .select(*split_line("value", file_type), F.nullif(cycle, F.lit("")).cast("int").alias("cycle")))
