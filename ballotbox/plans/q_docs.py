@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ballotbox.functions import text as X
 from ballotbox.operators import docsearch

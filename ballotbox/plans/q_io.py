@@ -6,7 +6,6 @@ the data read back, so the check covers the writer and the reader together.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ballotbox import schemas

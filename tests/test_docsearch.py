@@ -1,7 +1,6 @@
 """Document functions against a brute-force Python version of their rules."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from ballotbox.functions import text as X
 from ballotbox.operators import docsearch

@@ -2,7 +2,6 @@
 
 import collections
 import math
-import os
 
 import duckdb
 import pytest
