@@ -193,13 +193,17 @@ def _cycles_sql() -> str:
 
 @register("union_cycles", "U1", lambda: stg_sql("indiv"))
 def union_cycles(spark, sf_dir):
-    # One branch per cycle, each a filtered projection of the raw table (a
-    # partition filter when the raw table is cycle-partitioned parquet). The
-    # cycle list is derived from the data, so every row lands in one branch.
-    raw = standins.raw(spark, sf_dir, "indiv")
-    orders = standins.table(spark, sf_dir, "orders")
-    cycles = sorted(r.cycle for r in orders.select(N.cycle_of("o_orderdate").alias("cycle")).distinct().collect())
-    frames = [staging.stage(raw.where(F.col("cycle") == c), "indiv") for c in cycles]
+    # Raw filings stored per cycle (cycle=YYYY folders); one staged branch per
+    # cycle, each a pruned scan of its own folder, as the per-cycle models
+    # union them. The cycle list comes from the folder listing, not a scan.
+    from ballotbox.session import scratch_path
+    from ballotbox.sources import parquet
+
+    root = scratch_path(spark, "raw")
+    parquet.write_raw(standins.raw(spark, sf_dir, "indiv"), root, "indiv")
+    cols = schemas.column_names("indiv") + ["cycle"]
+    frames = [staging.stage(parquet.read_raw(spark, root, "indiv", [c]).select(*cols), "indiv")
+              for c in parquet.list_cycles(root, "indiv")]
     return marts.union_cycles(frames)
 
 

@@ -72,8 +72,7 @@ def scan_parquet_cycle(spark, sf_dir):
     root = scratch_path(spark, "raw")
     raw = standins.raw(spark, sf_dir, "indiv")
     parquet.write_raw(raw, root, "indiv")
-    cycles = [r.cycle for r in parquet.read_raw(spark, root, "indiv").select("cycle").distinct().collect()]
-    views = parquet.register_cycle_views(spark, root, "indiv", sorted(cycles))
+    views = parquet.register_cycle_views(spark, root, "indiv", parquet.list_cycles(root, "indiv"))
     frames = [spark.table(v).select(*raw.columns) for v in views]
     out = frames[0]
     for f in frames[1:]:

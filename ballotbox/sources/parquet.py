@@ -43,6 +43,24 @@ def read_raw(spark: SparkSession, root: str, file_type: str, cycles: Iterable[in
     return df
 
 
+def list_cycles(root: str, file_type: str) -> list[int]:
+    """Cycles present in a partitioned raw table, from its ``cycle=YYYY`` folders.
+
+    A metadata listing (as Spark's partition discovery does), not a scan.
+    """
+    import pyarrow.fs as pafs
+
+    from ballotbox.sources.zipsource import filesystem
+
+    fs, path = filesystem(f"{root.rstrip('/')}/{file_type}")
+    cycles = []
+    for info in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)):
+        name = info.base_name
+        if info.type == pafs.FileType.Directory and name.startswith("cycle=") and name[6:].isdigit():
+            cycles.append(int(name[6:]))
+    return sorted(cycles)
+
+
 def register_cycle_views(spark: SparkSession, root: str, file_type: str, cycles: Iterable[int]) -> list[str]:
     """Expose each cycle as temp view ``raw_<ft>_<cycle>`` (a pruned scan)."""
     names = []

@@ -75,6 +75,8 @@ def test_dynamic_partition_overwrite_keeps_other_cycles(spark, scratch):
     parquet.write_raw(df, root, "t")
     parquet.write_raw(df.where("cycle = 1998").withColumn("v", F.lit("b")), root, "t")
     back = parquet.read_raw(spark, root, "t")
+    assert parquet.list_cycles(root, "t") == [1996, 1998, 2000, 2002]
+    assert parquet.list_cycles(root, "missing") == []
     got = {(r.cycle, r.v) for r in back.collect()}
     assert got == {(1996, "a"), (1998, "b"), (2000, "a"), (2002, "a")}
     assert back.count() == 40
