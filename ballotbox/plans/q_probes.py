@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ballotbox.functions.normalize import BULK_BASE_URL
 from ballotbox.operators import probes as M
 from ballotbox.plans import standins
 from ballotbox.plans.registry import register
@@ -127,7 +128,7 @@ LOADED_AT = "2024-01-01 00:00:00"
 
 @register("load_history", "M6", lambda: (
     f"select cast(row_number() over (order by file_type, cycle) as bigint) as load_id, file_type, cycle,"
-    f" 'https://www.fec.gov/files/bulk-downloads/' || cast(cycle as varchar) || '/' || file_type"
+    f" '{BULK_BASE_URL}/' || cast(cycle as varchar) || '/' || file_type"
     f" || right(cast(cycle as varchar), 2) || '.zip' as source_url,"
     f" 'data/raw/' || file_type || '_' || cast(cycle as varchar) || '.zip' as source_zip_path,"
     f" 'raw/' || file_type || '/cycle=' || cast(cycle as varchar) as target_parquet_path,"
