@@ -65,3 +65,20 @@ def candidate_receipts(stg_indiv: DataFrame, stg_ccl: DataFrame, stg_cn: DataFra
                      F.sum("total_amt").cast(TOTAL_TYPE).alias("total_receipts")))
     names = stg_cn.groupBy("cand_id").agg(F.max("cand_name").alias("cand_name"))
     return per_cand.join(names, "cand_id", "left")
+
+
+def committee_profile(stg_indiv: DataFrame, stg_cm: DataFrame) -> DataFrame:
+    """Committee totals with the committee's master record.
+
+    The master table holds a row per committee and cycle; each committee's
+    latest record (``max(struct(cycle, ...))``, a partial aggregate) names it,
+    so the join is on the committee alone and one-to-one.
+    """
+    master = (stg_cm.groupBy("cmte_id")
+              .agg(F.max(F.struct("cycle", "cmte_nm", "cmte_tp", "cmte_pty_affiliation")).alias("m"))
+              .select("cmte_id", F.col("m.cmte_nm").alias("cmte_nm"), F.col("m.cmte_tp").alias("cmte_tp"),
+                      F.col("m.cmte_pty_affiliation").alias("cmte_pty_affiliation")))
+    totals = (stg_indiv.groupBy("cmte_id", "cycle")
+              .agg(F.count(F.lit(1)).alias("n_contributions"),
+                   F.sum("transaction_amt").cast(TOTAL_TYPE).alias("total_amt")))
+    return totals.join(master, "cmte_id", "left")

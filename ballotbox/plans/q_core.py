@@ -233,3 +233,15 @@ def marts_committee_totals(spark, sf_dir):
 def marts_candidate_receipts(spark, sf_dir):
     return marts.candidate_receipts(staged(spark, sf_dir, "indiv"), staged(spark, sf_dir, "ccl"),
                                     staged(spark, sf_dir, "cn"))
+
+
+@register("marts_committee_profile", "U3", lambda: (
+    f"with m as (select cmte_id, cmte_nm, cmte_tp, cmte_pty_affiliation from ({stg_sql('cm')}) c"
+    f" qualify row_number() over (partition by cmte_id order by cycle desc, cmte_nm desc, cmte_tp desc,"
+    f" cmte_pty_affiliation desc) = 1),"
+    f" t as (select cmte_id, cycle, count(*) as n_contributions,"
+    f" cast(sum(transaction_amt) as decimal(38,2)) as total_amt from ({stg_sql('indiv')}) s group by 1, 2)"
+    f" select t.cmte_id, t.cycle, t.n_contributions, t.total_amt, m.cmte_nm, m.cmte_tp, m.cmte_pty_affiliation"
+    f" from t left join m on t.cmte_id = m.cmte_id"))
+def marts_committee_profile(spark, sf_dir):
+    return marts.committee_profile(staged(spark, sf_dir, "indiv"), staged(spark, sf_dir, "cm"))
