@@ -219,3 +219,15 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert sum(sizes) == 6000
     assert max(plain_sizes) / 6000 > 0.65          # the plain window keeps the hot key in one task
     assert max(sizes) / 6000 < 0.2                 # the bucketed one spreads it
+
+
+def test_state_table_columns_types_and_append(spark, scratch):
+    rows = M.state_rows(M.detect_changes(log_of(spark, CASES)))
+    types = [(f.name, f.dataType.simpleString()) for f in rows.schema.fields]
+    assert types == [("checked_at", "timestamp_ntz"), ("cycle", "int"), ("file_type", "string"),
+                     ("etag", "string"), ("last_modified", "string"), ("changed", "boolean"),
+                     ("downloaded", "boolean")]
+    path = scratch("state")
+    M.append_state(rows, path)
+    M.append_state(rows, path)          # every probe run appends; nothing is replaced
+    assert spark.read.parquet(path).count() == 2 * len(CASES)
