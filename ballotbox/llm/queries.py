@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ballotbox.llm import mixing, packing, records
+from ballotbox.llm import mixing, packing, quality, records
 from ballotbox.llm.common import read
 from ballotbox.llm.tokens import vocabulary
 from ballotbox.session import scratch_path
@@ -17,6 +17,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(read(spark, sf_dir, "documents"))
 
 
+def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(read(spark, sf_dir, "documents"))
+
+
 def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -27,7 +31,7 @@ def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op7_pack_sequences, op8_binary_records)
+    f.__name__: f for f in (op2_mix_sources, op3_quality_divergence, op7_pack_sequences, op8_binary_records)
 }
 
 ORACLES: dict[str, str] = {}
