@@ -38,7 +38,7 @@ from ballotbox.llm.common import WORD, pieces
 COMMON = 64
 CLASS_LIMIT = 0.30
 SUM_LIMIT = 0.54
-NOISE = 5.0
+NOISE = 7.0
 LEAST_CHARS = 300
 LEAST_WORDS = 50
 # Fixed values of the base rules.
