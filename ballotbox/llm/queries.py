@@ -7,12 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ballotbox.llm import mixing, packing, quality, records
+from ballotbox.llm import htmltext, mixing, packing, quality, records
 from ballotbox.llm.common import read
 from ballotbox.llm.tokens import vocabulary
 from ballotbox.session import scratch_path
 
 
+def op1_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(read(spark, sf_dir, "pages"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(read(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op3_quality_divergence, op7_pack_sequences, op8_binary_records)
+    f.__name__: f for f in (op1_html_main_text, op2_mix_sources, op3_quality_divergence, op7_pack_sequences, op8_binary_records)
 }
 
 ORACLES: dict[str, str] = {}
