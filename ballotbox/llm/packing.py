@@ -52,7 +52,7 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2,
 
     def rows(batches):
         enc, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
-        for batch in batch_pieces(batches):
+        for batch in batch_pieces(batches, 2 << 20):
             out = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text").to_pylist())):
                 ids += end

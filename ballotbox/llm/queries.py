@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ballotbox.llm import htmltext, mixing, packing, quality, records, sentences
+from ballotbox.llm import htmltext, mixing, packing, quality, records, sentences, surrogates
 from ballotbox.llm.common import read
 from ballotbox.llm.tokens import vocabulary
 from ballotbox.session import scratch_path
@@ -25,6 +25,10 @@ def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(read(spark, sf_dir, "documents"))
 
 
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.report(read(spark, sf_dir, "documents"))
+
+
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.dedup(read(spark, sf_dir, "documents"))
 
@@ -39,7 +43,9 @@ def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_main_text, op2_mix_sources, op3_quality_divergence, op6_sentence_spans, op7_pack_sequences, op8_binary_records)
+    f.__name__: f for f in (
+        op1_html_main_text, op2_mix_sources, op3_quality_divergence, op4_pii_surrogates, op6_sentence_spans,
+        op7_pack_sequences, op8_binary_records)
 }
 
 ORACLES: dict[str, str] = {}

@@ -88,7 +88,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2) -> Dat
         store.create_dir(root, recursive=True)
         name, enc, records, tokens = f"{root}/shard-{shard:05d}", encoder(vocabulary), 0, 0
         end, out, offsets, at = np.array([end_id], "<u4").tobytes(), None, [], 0
-        for batch in pieces(batches):
+        for batch in pieces(batches, 2 << 20):
             ids = batch.column("doc_id").to_pylist()
             for doc_id, codes in zip(ids, enc.encode(batch.column("text").to_pylist())):
                 if out is None:
