@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ballotbox.llm import htmltext, mixing, packing, quality, rabitq, records, sentences, surrogates
+from ballotbox.llm import htmltext, jaccard, mixing, packing, quality, rabitq, records, sentences, surrogates
 from ballotbox.llm.common import read
 from ballotbox.llm.tokens import vocabulary
 from ballotbox.session import scratch_path
@@ -42,6 +42,10 @@ def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                           vocabulary("word_bpe_49k.json"))
 
 
+def op9_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.report(read(spark, sf_dir, "documents"))
+
+
 def op10_rabitq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.dedup(read(spark, sf_dir, "embeddings"))
 
@@ -49,7 +53,7 @@ def op10_rabitq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_main_text, op2_mix_sources, op3_quality_divergence, op4_pii_surrogates, op6_sentence_spans,
-        op7_pack_sequences, op8_binary_records, op10_rabitq_neardup)
+        op7_pack_sequences, op8_binary_records, op9_jaccard_groups, op10_rabitq_neardup)
 }
 
 ORACLES: dict[str, str] = {}
