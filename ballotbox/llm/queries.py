@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ballotbox.llm import htmltext, jaccard, mixing, packing, quality, rabitq, records, sentences, surrogates
+from ballotbox.llm import (
+    htmltext, jaccard, mixing, packing, quality, rabitq, records, sentences, suffixes, surrogates,
+)
 from ballotbox.llm.common import read
 from ballotbox.llm.tokens import vocabulary
 from ballotbox.session import scratch_path
@@ -29,6 +31,10 @@ def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.report(read(spark, sf_dir, "documents"))
 
 
+def op5_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup(read(spark, sf_dir, "documents"))
+
+
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.dedup(read(spark, sf_dir, "documents"))
 
@@ -52,8 +58,8 @@ def op10_rabitq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_html_main_text, op2_mix_sources, op3_quality_divergence, op4_pii_surrogates, op6_sentence_spans,
-        op7_pack_sequences, op8_binary_records, op9_jaccard_groups, op10_rabitq_neardup)
+        op1_html_main_text, op2_mix_sources, op3_quality_divergence, op4_pii_surrogates, op5_suffix_levels,
+        op6_sentence_spans, op7_pack_sequences, op8_binary_records, op9_jaccard_groups, op10_rabitq_neardup)
 }
 
 ORACLES: dict[str, str] = {}
