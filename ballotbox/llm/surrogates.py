@@ -146,9 +146,8 @@ def formatted(kind: Column, value: Column, core: Column) -> Column:
 def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     """``entities``: distinct (kind, core). Adds ``core_surrogate``, distinct
     within the corpus and never an entity of it."""
-    spark = entities.sparkSession
-    taken = materialize(entities.select(F.col("core").alias("s")).distinct(), "pii-taken")
-    open_, done = materialize(entities.withColumn("attempt", F.lit(0)), "pii-open"), None
+    taken = entities.select(F.col("core").alias("s")).distinct()
+    open_, done = entities.withColumn("attempt", F.lit(0)), None
     for _ in range(ROUNDS):
         wishes = open_.withColumn("s", surrogate(F.col("kind"), F.col("core"), F.col("attempt"), key))
         marked = (wishes.withColumn("wish", F.lit(1))
@@ -173,7 +172,7 @@ def _replaced(docs: DataFrame, key: str) -> DataFrame:
         .dropDuplicates(["doc_id", "txt_key", "at"])
         .withColumn("kind", kind_of(F.col("value")))
         .withColumn("core", canonical(F.col("kind"), F.col("value"))), "pii-hits")
-    known = materialize(assign(hits.select("kind", "core").distinct(), key), "pii-surrogates")
+    known = assign(hits.select("kind", "core").distinct(), key)
     lists = (hits.join(known, ["kind", "core"])
              .withColumn("s", formatted(F.col("kind"), F.col("value"), F.col("core_surrogate")))
              .groupBy("doc_id", "txt_key").agg(F.array_sort(F.collect_list(F.struct("at", "s"))).alias("_hits"))
