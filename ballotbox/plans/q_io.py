@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ballotbox import schemas
-from ballotbox.plans import standins
+from ballotbox.plans import standins, zipwriter
 from ballotbox.plans.q_core import staged
 from ballotbox.plans.registry import register
 from ballotbox.plans.sqlrules import stg_sql
@@ -17,8 +17,8 @@ from ballotbox.session import scratch_path
 from ballotbox.sources import delimited, jsonsource, load, parquet, sinks, zipsource
 
 RELOAD_CYCLE = 1998
-NULLIF_BLANK = "nullif({c}, '')"      # empty CSV fields read as NULL
-COALESCE_BLANK = "coalesce({c}, '')"  # NULL written as an empty field
+NULLIF_BLANK = "nullif({c}, '')"      # empty fields read as NULL
+FAULTY = "right(sub_id, 1) = '7'"     # lines that get a field too many
 
 
 def _raw_cols(wrap: str) -> str:
@@ -33,20 +33,32 @@ def scan_delimited(spark, sf_dir):
     return delimited.read_raw(spark, path, "indiv")
 
 
+@register("raw_rejects", "S1", lambda: (
+    "select concat_ws('|', " + ", ".join(f"coalesce(\"{c}\", '')" for c in schemas.column_names("indiv")) + ", 'EXTRA') as value,"
+    f" cycle, {schemas.width('indiv') + 1} as n_fields from ({standins.raw_sql('indiv')}) r where {FAULTY}"))
+def raw_rejects(spark, sf_dir):
+    # Every line that the scan leaves out, whole, with its number of fields.
+    path = scratch_path(spark, "faulty-indiv")
+    raw = standins.raw(spark, sf_dir, "indiv")
+    line = delimited.line_of(schemas.column_names("indiv"))
+    delimited.write_lines(raw.select(F.when(F.expr(FAULTY), F.concat(line, F.lit("|EXTRA"))).otherwise(line).alias("value"), "cycle"), path)
+    return delimited.rejects(delimited.read_lines(spark, path), "indiv")
+
+
 @register("scan_zip_root_member", "S2", lambda: (
-    f"select {_raw_cols(COALESCE_BLANK)}, cycle from ({standins.raw_sql('indiv')}) r"))
+    f"select {_raw_cols(NULLIF_BLANK)}, cycle from ({standins.raw_sql('indiv')}) r"))
 def scan_zip_root_member(spark, sf_dir):
     path = scratch_path(spark, "zip-indiv")
-    zipsource.write_zip_archives(standins.raw(spark, sf_dir, "indiv"), path, "indiv").collect()
+    zipwriter.write_zip_archives(standins.raw(spark, sf_dir, "indiv"), path, "indiv").write.format("noop").mode("overwrite").save()
     return zipsource.read_zip(spark, path, "indiv")
 
 
 @register("zip_to_raw_parquet", "S2", lambda: (
-    f"select {_raw_cols(COALESCE_BLANK)}, cycle from ({standins.raw_sql('indiv')}) r"))
+    f"select {_raw_cols(NULLIF_BLANK)}, cycle from ({standins.raw_sql('indiv')}) r"))
 def zip_to_raw_parquet(spark, sf_dir):
     # Download-and-load: archives -> raw parquet per cycle -> the raw table.
     base = scratch_path(spark, "zip-load")
-    zipsource.write_zip_archives(standins.raw(spark, sf_dir, "indiv"), f"{base}/zips", "indiv").collect()
+    zipwriter.write_zip_archives(standins.raw(spark, sf_dir, "indiv"), f"{base}/zips", "indiv").write.format("noop").mode("overwrite").save()
     load.load_zip_to_raw(spark, f"{base}/zips", "indiv", f"{base}/raw")
     cols = schemas.column_names("indiv") + ["cycle"]
     return parquet.read_raw(spark, f"{base}/raw", "indiv").select(*cols)
@@ -72,7 +84,7 @@ def scan_parquet_cycle(spark, sf_dir):
     root = scratch_path(spark, "raw")
     raw = standins.raw(spark, sf_dir, "indiv")
     parquet.write_raw(raw, root, "indiv")
-    views = parquet.register_cycle_views(spark, root, "indiv", parquet.list_cycles(root, "indiv"))
+    views = parquet.register_cycle_views(spark, root, "indiv", parquet.list_cycles(spark, root, "indiv"))
     frames = [spark.table(v).select(*raw.columns) for v in views]
     out = frames[0]
     for f in frames[1:]:

@@ -1,14 +1,13 @@
 """Session construction and the shared scratch folder.
 
 Scratch output (written tables, stream checkpoints, lineage cuts) always goes
-below the folder the cluster names in ``spark.checkpoint.dir``. Only when that
-setting is absent (unit tests, a bare local session) do we pick one ourselves.
+below the folder the cluster names in ``spark.checkpoint.dir``. Where that is
+unset it goes below the warehouse folder, which executors share as well; never
+into a machine's own temporary folder.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,41 +41,33 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for scratch output; set one only when none is configured."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
-        sc = None
-    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
+    """The shared folder for scratch output."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="ballotbox-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if sc is not None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = f"{warehouse.rstrip('/')}/_scratch"
     return root.rstrip("/")
 
 
-def parallelism(spark: SparkSession, default: int = 8) -> int:
-    """Cores the cluster offers (``spark.default.parallelism`` without a SparkContext)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        return int(spark.conf.get("spark.default.parallelism", str(default)))
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` and the path in it, as Spark's readers resolve it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    p = hadoop.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def list_folder(spark: SparkSession, path: str, sizes: bool = False) -> list[tuple]:
+    """(name, full path, is a folder[, bytes]) of what lies directly below ``path``
+    (of ``path`` itself if it is a file); empty if there is nothing."""
+    fs, p = file_system(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted((s.getPath().getName(), s.getPath().toString(), s.isDirectory(), *([s.getLen()] if sizes else []))
+                  for s in fs.listStatus(p))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the checkpoint root."""
     return f"{checkpoint_root(spark)}/ballotbox/{name}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python workers can open the path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def ensure_local_dir(path: str) -> None:
-    os.makedirs(local_path(path), exist_ok=True)

@@ -1,8 +1,12 @@
 """Pipe-delimited raw files (S1): positional schema, every column a string.
 
-Quoting is switched off: bulk filing text is not quoted, and with the default
-quote a stray ``"`` merges two fields into one (``C1|N|"ACME|x`` would lose a
-field). The read is splittable, so a large text file is scanned by many tasks.
+A file is read as lines (ended by ``\\n``; a ``\\r`` before it is dropped, any
+other is text) and each line is split at every ``|``: bulk filing text is not
+quoted, so a ``"`` is a character like any other. Lines with another number of
+fields than the layout are not parsed but kept as they are in ``rejects``. The
+read is splittable, so a large text file is scanned by many tasks.
+
+An empty field is NULL, whether it comes from a text file or out of an archive.
 """
 
 from __future__ import annotations
@@ -13,20 +17,32 @@ from pyspark.sql import functions as F
 from ballotbox import schemas
 
 
-def read_raw(spark: SparkSession, path: str, file_type: str, encoding: str = "UTF-8") -> DataFrame:
-    """Read ``path`` (a file, folder or ``<ft>/cycle=YYYY/`` tree) as raw strings.
+def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """Lines of a file, folder or ``<ft>/cycle=YYYY/`` tree: value (and cycle)."""
+    lines = spark.read.option("lineSep", "\n").option("encoding", encoding).text(path)
+    return lines.withColumn("value", F.regexp_replace("value", "\r$", ""))
+
+
+def n_fields(value: str | Column = "value") -> Column:
+    v = F.col(value) if isinstance(value, str) else value
+    return F.length(v) - F.length(F.replace(v, F.lit("|"), F.lit(""))) + 1
 
-    Empty fields read as NULL, as the CSV readers of both Spark and DuckDB do.
-    A partitioned tree contributes its ``cycle`` column by partition discovery.
-    """
-    return (spark.read
-            .option("sep", "|")
-            .option("quote", "")            # no quoting at all
-            .option("header", "false")
-            .option("encoding", encoding)
-            .option("mode", "PERMISSIVE")
-            .schema(schemas.raw_schema(file_type))
-            .csv(path))
+
+def parse(lines: DataFrame, file_type: str) -> DataFrame:
+    """Raw columns of the lines that have the layout's number of fields."""
+    others = [c for c in lines.columns if c != "value"]
+    good = lines.where(n_fields() == schemas.width(file_type))
+    return good.select(*split_line("value", file_type), *others)
+
+
+def rejects(lines: DataFrame, file_type: str) -> DataFrame:
+    """The other lines, whole, with their number of fields."""
+    return lines.withColumn("n_fields", n_fields().cast("int")).where(F.col("n_fields") != schemas.width(file_type))
+
+
+def read_raw(spark: SparkSession, path: str, file_type: str, encoding: str = "UTF-8") -> DataFrame:
+    """``path`` as raw strings; see ``rejects`` for the lines it leaves out."""
+    return parse(read_lines(spark, path, encoding), file_type)
 
 
 def line_of(cols: list[str], keep_nulls: bool = True) -> Column:
@@ -39,10 +55,7 @@ def to_lines(df: DataFrame, cols: list[str], keep_nulls: bool = True, extra: tup
     return df.select(line_of(cols, keep_nulls).alias("value"), *extra)
 
 
-def write_raw_text(df: DataFrame, path: str, file_type: str, partition_by: str | None = "cycle") -> str:
-    """Write raw rows as pipe-delimited text, one folder per cycle."""
-    extra = (partition_by,) if partition_by else ()
-    lines = to_lines(df, schemas.column_names(file_type), extra=extra)
+def write_lines(lines: DataFrame, path: str, partition_by: str | None = "cycle") -> str:
     writer = lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -50,9 +63,15 @@ def write_raw_text(df: DataFrame, path: str, file_type: str, partition_by: str |
     return path
 
 
+def write_raw_text(df: DataFrame, path: str, file_type: str, partition_by: str | None = "cycle") -> str:
+    """Write raw rows as pipe-delimited text, one folder per cycle."""
+    extra = (partition_by,) if partition_by else ()
+    return write_lines(to_lines(df, schemas.column_names(file_type), extra=extra), path, partition_by)
+
+
 def split_line(value: str | Column, file_type: str) -> list[Column]:
-    """Split a line into the positional columns; missing fields become NULL."""
+    """Split a line into the positional columns; empty and missing fields are NULL."""
     v = F.col(value) if isinstance(value, str) else value
     parts = F.split(v, "[|]", -1)
-    return [F.try_element_at(parts, F.lit(i + 1)).alias(name)
+    return [F.nullif(F.try_element_at(parts, F.lit(i + 1)), F.lit("")).alias(name)
             for i, name in enumerate(schemas.column_names(file_type))]

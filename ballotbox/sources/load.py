@@ -1,12 +1,10 @@
 """ZIP archives to raw parquet: the load step between download and staging.
 
-``load_zip_to_raw`` reads the chosen members of every archive (one task per
-member, since a compressed member cannot be split), spreads the lines over
-the cluster with a round-robin repartition so parsing and writing are
-parallel even for one huge member, splits them into the positional columns
-in the JVM and writes ``<root>/<file type>/cycle=YYYY`` with dynamic
-partition overwrite: only the cycles present in the archives are replaced.
-It returns the rows written per cycle (for the load history).
+The lines of all archives are dealt out by size, so that parsing and writing are
+parallel even for one huge member, split into the positional columns and written
+as ``<root>/<file type>/cycle=YYYY`` with dynamic partition overwrite: only the
+cycles present in the archives are replaced. Lines of another width go to
+``<root>/_rejects/<file type>`` the same way.
 """
 
 from __future__ import annotations
@@ -14,19 +12,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ballotbox.session import parallelism
+from ballotbox import schemas
 from ballotbox.sources import parquet, zipsource
-from ballotbox.sources.delimited import split_line
+from ballotbox.sources.delimited import n_fields, parse, rejects
 
+BYTES_PER_TASK = 24 << 20       # of archives; text is several times as large
 
-def load_zip_to_raw(spark: SparkSession, archives: str, file_type: str, raw_root: str,
-                    partitions: int | None = None, encoding: str = "latin-1") -> DataFrame:
-    lines = zipsource.read_zip_lines(spark, archives, file_type, encoding=encoding)
-    n = partitions or parallelism(spark)
-    cycle = F.regexp_extract(F.col("archive"), r"_(\d{4})[-.][^/]*$", 1)
-    rows = (lines.repartition(n)
-            .select(*split_line("value", file_type), F.nullif(cycle, F.lit("")).cast("int").alias("cycle")))
-    parquet.write_raw(rows, raw_root, file_type)
-    written = parquet.read_raw(spark, raw_root, file_type)
-    return written.groupBy("cycle").agg(F.count(F.lit(1)).alias("row_count")).withColumn(
-        "file_type", F.lit(file_type))
+
+def load_zip_to_raw(spark: SparkSession, path: str, file_type: str, raw_root: str, encoding: str = "UTF-8") -> DataFrame:
+    """Loads the archives; returns file_type, cycle, row_count and n_rejected of this load."""
+    found = zipsource.archives(spark, path)
+    n = max(1, -(-sum(a.size for a in found) // BYTES_PER_TASK))
+    lines = zipsource.read_zip_lines(spark, path, file_type, encoding=encoding).select("value", "cycle").repartition(n)
+    parquet.write_raw(parse(lines, file_type), raw_root, file_type)
+    bad = f"{raw_root.rstrip('/')}/_rejects"
+    parquet.write_raw(rejects(lines, file_type), bad, file_type)
+    cycles = sorted({a.cycle for a in found})
+    loaded = parquet.read_raw(spark, raw_root, file_type, cycles).groupBy("cycle").agg(F.count(F.lit(1)).alias("row_count"))
+    left = (zipsource.read_zip_lines(spark, path, file_type, encoding=encoding)
+            .where(n_fields() != schemas.width(file_type)).groupBy("cycle").agg(F.count(F.lit(1)).alias("n_rejected")))
+    return (loaded.join(left, "cycle", "full_outer")
+            .select(F.lit(file_type).alias("file_type"), "cycle", F.coalesce("row_count", F.lit(0)).alias("row_count"),
+                    F.coalesce("n_rejected", F.lit(0)).alias("n_rejected")))

@@ -13,6 +13,10 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ballotbox.session import list_folder
+
+# Fixed value: the folder that Spark gives to NULL.
+NO_CYCLE = "__HIVE_DEFAULT_PARTITION__"
 # Files stay near the 128 MiB split size at ~1 KB rows.
 MAX_RECORDS_PER_FILE = 1_000_000
 
@@ -34,38 +38,38 @@ def write_raw(df: DataFrame, root: str, file_type: str, partition_by: str = "cyc
     return path
 
 
-def read_raw(spark: SparkSession, root: str, file_type: str, cycles: Iterable[int] | None = None) -> DataFrame:
-    """All cycles found (U2), or only the listed ones with partition pruning."""
+def read_raw(spark: SparkSession, root: str, file_type: str, cycles: Iterable[int | None] | None = None) -> DataFrame:
+    """All cycles found (U2), or only the listed ones with partition pruning (S4);
+    ``None`` in the list is the folder of rows without a cycle."""
     path = f"{root.rstrip('/')}/{file_type}"
     df = spark.read.option("basePath", path).parquet(path)
     if cycles is not None:
-        df = df.where(F.col("cycle").isin(list(cycles)))
+        listed = list(cycles)
+        wanted = F.col("cycle").isin([c for c in listed if c is not None])
+        df = df.where(wanted | F.col("cycle").isNull() if None in listed else wanted)
     return df
 
 
-def list_cycles(root: str, file_type: str) -> list[int]:
-    """Cycles present in a partitioned raw table, from its ``cycle=YYYY`` folders.
-
-    A metadata listing (as Spark's partition discovery does), not a scan.
-    """
-    import pyarrow.fs as pafs
-
-    from ballotbox.sources.zipsource import filesystem
-
-    fs, path = filesystem(f"{root.rstrip('/')}/{file_type}")
-    cycles = []
-    for info in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)):
-        name = info.base_name
-        if info.type == pafs.FileType.Directory and name.startswith("cycle=") and name[6:].isdigit():
-            cycles.append(int(name[6:]))
-    return sorted(cycles)
+def list_cycles(spark: SparkSession, root: str, file_type: str) -> list[int | None]:
+    """Cycles of a partitioned raw table, from its ``cycle=...`` folders (``None``:
+    rows without one). A metadata listing (as Spark's partition discovery does),
+    not a scan; a folder whose name is no cycle is an error."""
+    cycles: list[int | None] = []
+    for name, path, folder in list_folder(spark, f"{root.rstrip('/')}/{file_type}"):
+        if not folder or not name.startswith("cycle="):
+            continue
+        value = name[len("cycle="):]
+        if value != NO_CYCLE and not value.isdigit():
+            raise ValueError(f"no election cycle: {path}")
+        cycles.append(None if value == NO_CYCLE else int(value))
+    return sorted(cycles, key=lambda c: (c is None, c))
 
 
-def register_cycle_views(spark: SparkSession, root: str, file_type: str, cycles: Iterable[int]) -> list[str]:
+def register_cycle_views(spark: SparkSession, root: str, file_type: str, cycles: Iterable[int | None]) -> list[str]:
     """Expose each cycle as temp view ``raw_<ft>_<cycle>`` (a pruned scan)."""
     names = []
     for c in cycles:
-        name = f"raw_{file_type}_{c}"
+        name = f"raw_{file_type}_{'none' if c is None else c}"
         read_raw(spark, root, file_type, [c]).createOrReplaceTempView(name)
         names.append(name)
     return names

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ballotbox.session import scratch_path
+
 
 @dataclass(frozen=True)
 class Sink:
@@ -20,21 +21,20 @@ class Sink:
 def write_all(df: DataFrame, sinks: list[Sink], partition_by: tuple[str, ...] = ()) -> list[str]:
     """Compute ``df`` once and write it to every sink.
 
-    The frame is persisted (memory, spilling to disk) so the second writer
-    does not recompute it; if an executor is lost its blocks are recomputed
-    from lineage. In a stream the same fan-out goes inside ``foreachBatch``
-    (``streaming.fanout``).
+    The first write is the computation: it goes to a parquet folder below the
+    shared scratch folder, and every sink is written from there, so the frame is
+    neither computed twice nor held in executors' memory, whatever its size. In a
+    stream the same fan-out goes inside ``foreachBatch`` (``streaming.fanout``).
     """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for s in sinks:
-            opts = {**(JSON_EXACT if s.fmt == "json" else {}), **s.options}
-            writer = cached.write.mode(s.mode).options(**opts).format(s.fmt)
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            writer.save(s.path)
-    finally:
-        cached.unpersist()
+    spark = df.sparkSession
+    staged = scratch_path(spark, "fan-out")
+    df.write.parquet(staged)
+    for s in sinks:
+        opts = {**(JSON_EXACT if s.fmt == "json" else {}), **s.options}
+        writer = spark.read.schema(df.schema).parquet(staged).write.mode(s.mode).options(**opts).format(s.fmt)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.save(s.path)
     return [s.path for s in sinks]
 
 

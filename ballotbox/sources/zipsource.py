@@ -1,62 +1,71 @@
-"""ZIP member scan (S2) as a Python Data Source.
+"""ZIP member scan (S2): the lines of bulk archives, read in place.
 
-A bulk ZIP is read in place, without extracting it. ``partitions()`` lists the
-archives' central directories (names only) and plans one input partition per
-chosen member; ``read()`` streams that member's lines and hands them to
-Spark in Arrow batches. Files are reached through ``pyarrow.fs``, so the same
-code reads local, ``file:``, ``s3://``, ``hdfs://`` or ``gs://`` paths. Splitting the lines into columns then runs in the JVM
-(``split_line``). A compressed member cannot be split, so one member is one
-task: repartition after the read when members are large.
+The driver lists the archives through Hadoop's file system (as Spark's own
+readers resolve a path) and hands each to a task by its full address; the task
+reads the central directory, chooses the member and streams it in blocks that
+are cut at line ends. A compressed member cannot be split, so one archive is one
+task's reading; ``load`` deals the lines out before they are parsed.
 
 Member choice: for ``indiv`` only the root ``itcont.txt`` is read; the
 ``by_date/`` partials repeat its rows and would duplicate them. For other file
-types every root-level ``.txt`` member is read.
+types every root-level ``.txt`` member is read. An archive without such a member
+is an error that names it, and so is a name that tells no cycle.
 """
 
 from __future__ import annotations
 
-import io
-import os
-import uuid
+import re
 import zipfile
+from typing import NamedTuple
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ballotbox import schemas
-from ballotbox.sources.delimited import line_of, split_line
+from ballotbox.session import list_folder
+from ballotbox.sources.delimited import parse
 
-FORMAT = "filingzip"
-_BATCH = 8192
+BLOCK = 1 << 20
 
 
-class _Member(InputPartition):
-    def __init__(self, archive: str, member: str):
-        self.archive = archive
-        self.member = member
+class Archive(NamedTuple):
+    path: str
+    size: int
+    cycle: int
 
 
-def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    """The filesystem of a path or URI and the path inside it."""
-    if path.startswith("file:") and not path.startswith("file://"):
-        path = "file://" + path[len("file:"):]
-    if "://" not in path:
-        return pafs.LocalFileSystem(), os.path.abspath(path)
-    return pafs.FileSystem.from_uri(path)
+def cycle_of_name(path: str) -> int:
+    """``indiv_2024.zip``, ``indiv_2024-part3.zip`` or ``indiv24.zip`` -> 2024."""
+    name = path.rpartition("/")[2]
+    m = re.search(r"_(\d{4})[-.][^/]*$", name) or re.search(r"[a-z](\d{2})\.zip$", name, re.IGNORECASE)
+    if not m:
+        raise ValueError(f"no election cycle in the name of {path}")
+    year = int(m[1])
+    return year if year > 99 else year + (1900 if year >= 70 else 2000)
 
 
-def _archives(path: str) -> list[str]:
-    fs, root = filesystem(path)
-    info = fs.get_file_info(root)
-    if info.type == pafs.FileType.File:
-        return [path]
-    found = fs.get_file_info(pafs.FileSelector(root, recursive=True))
-    base = path.rstrip("/")
-    return sorted(base + f.path[len(root.rstrip("/")):] for f in found
-                  if f.type == pafs.FileType.File and f.path.lower().endswith(".zip"))
+def archives(spark: SparkSession, path: str) -> list[Archive]:
+    """The archives at or below ``path``: metadata only."""
+    found, folders = [], [path]
+    while folders:
+        for name, full, folder, size in list_folder(spark, folders.pop(), sizes=True):
+            if folder:
+                folders.append(full)
+            elif name.lower().endswith(".zip"):
+                found.append(Archive(full, size, cycle_of_name(full)))
+    if not found:
+        raise FileNotFoundError(f"no ZIP archive at or below {path}")
+    return sorted(found)
+
+
+def open_file(address: str):
+    """A task's handle on a file known by its full address."""
+    if address.startswith("file:"):
+        return pafs.LocalFileSystem().open_input_file("/" + address[len("file:"):].lstrip("/"))
+    store, inner = pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", address))
+    return store.open_input_file(inner)
 
 
 def choose_members(names: list[str], file_type: str | None, inner: str | None) -> list[str]:
@@ -64,144 +73,51 @@ def choose_members(names: list[str], file_type: str | None, inner: str | None) -
         return [n for n in names if n == inner]
     root_txt = [n for n in names if "/" not in n and n.lower().endswith(".txt")]
     if file_type == "indiv":
-        return [n for n in root_txt if n == schemas.INDIV_INNER_FILE]
+        return [n for n in root_txt if n.lower() == schemas.INDIV_INNER_FILE]
     return root_txt
 
 
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.path = options["path"]
-        self.file_type = options.get("fileType")
-        self.inner = options.get("inner")
-        self.encoding = options.get("encoding", "latin-1")
-
-    def partitions(self):
-        parts = []
-        for archive in _archives(self.path):
-            fs, p = filesystem(archive)
-            with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as z:
-                for member in choose_members(z.namelist(), self.file_type, self.inner):
-                    parts.append(_Member(archive, member))
-        return parts
-
-    def read(self, partition: _Member):
-        archive, member = partition.archive, partition.member
-        fs, p = filesystem(archive)
-        with fs.open_input_file(p) as fh, zipfile.ZipFile(fh) as z, z.open(member) as raw:
-            text = io.TextIOWrapper(raw, encoding=self.encoding, newline="")
-            batch: list[str] = []
-            for line in text:
-                if line.endswith("\n"):
-                    line = line[:-1]
-                if line.endswith("\r"):
-                    line = line[:-1]
-                batch.append(line)
-                if len(batch) >= _BATCH:
-                    yield _record_batch(archive, member, batch)
-                    batch = []
-            if batch:
-                yield _record_batch(archive, member, batch)
-
-
-def _record_batch(archive: str, member: str, lines: list[str]) -> pa.RecordBatch:
-    n = len(lines)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([archive] * n, pa.string()), pa.array([member] * n, pa.string()), pa.array(lines, pa.string())],
-        names=["archive", "member", "value"])
-
-
-class FilingZipSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT
-
-    def schema(self) -> str:
-        return "archive string, member string, value string"
-
-    def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options)
-
-
-def register(spark: SparkSession) -> None:
-    spark.dataSource.register(FilingZipSource)
-
-
-def read_zip_lines(spark: SparkSession, path: str, file_type: str | None = None,
-                   inner: str | None = None, encoding: str = "latin-1") -> DataFrame:
-    register(spark)
-    reader = spark.read.format(FORMAT).option("path", path).option("encoding", encoding)
-    if file_type:
-        reader = reader.option("fileType", file_type)
-    if inner:
-        reader = reader.option("inner", inner)
-    return reader.load()
+def _blocks(raw):
+    """Whole lines of a stream, about ``BLOCK`` bytes at a time."""
+    rest = b""
+    while chunk := raw.read(BLOCK):
+        head, end, tail = chunk.rpartition(b"\n")
+        if not end:
+            rest += tail
+            continue
+        yield rest + head
+        rest = tail
+    if rest:
+        yield rest
+
+
+def read_zip_lines(spark: SparkSession, path: str, file_type: str | None = None, inner: str | None = None,
+                   encoding: str = "UTF-8") -> DataFrame:
+    """archive, cycle, member, value of every line of the chosen members."""
+    found = archives(spark, path)
+    listed = spark.createDataFrame([(a.path, a.cycle) for a in found], "archive string, cycle int")
+
+    def lines(batches):
+        for batch in batches:
+            for archive, cycle in zip(batch.column("archive").to_pylist(), batch.column("cycle").to_pylist()):
+                with open_file(archive) as fh, zipfile.ZipFile(fh) as z:
+                    members = choose_members(z.namelist(), file_type, inner)
+                    if not members:
+                        raise ValueError(f"{archive} has no member to read for {inner or file_type}")
+                    for member in members:
+                        with z.open(member) as raw:
+                            for block in _blocks(raw):
+                                values = [v[:-1] if v.endswith("\r") else v for v in block.decode(encoding).split("\n")]
+                                n = len(values)
+                                yield pa.RecordBatch.from_arrays(
+                                    [pa.array([archive] * n), pa.array([cycle] * n, pa.int32()), pa.array([member] * n),
+                                     pa.array(values, pa.string())], names=["archive", "cycle", "member", "value"])
+
+    return (listed.repartition(len(found))
+            .mapInArrow(lines, "archive string, cycle int, member string, value string"))
 
 
 def read_zip(spark: SparkSession, path: str, file_type: str, inner: str | None = None,
-             encoding: str = "latin-1") -> DataFrame:
-    """Raw string columns of the chosen members; ``cycle`` from ``<ft>_<cycle>`` archive names."""
-    lines = read_zip_lines(spark, path, file_type, inner, encoding)
-    cycle = F.regexp_extract(F.col("archive"), r"_(\d{4})[-.][^/]*$", 1)
-    return lines.select(*split_line("value", file_type), F.nullif(cycle, F.lit("")).cast("int").alias("cycle"))
-
-
-def write_zip_archives(df: DataFrame, path: str, file_type: str, partial_every: int = 10) -> DataFrame:
-    """Write raw rows into ``<ft>_<cycle>-part<partition>.zip`` archives, one per (partition, cycle).
-
-    Each archive holds the root member with all its rows and a ``by_date/``
-    partial repeating every ``partial_every``-th row, as bulk archives do.
-    Every task writes its own archives into the shared folder; the returned
-    frame has one summary row per archive (call an action on it to write).
-
-    Retries are safe: an archive is written under an attempt-unique temporary
-    name (not ``.zip``, so readers skip it) and moved to its final name, fixed
-    by partition and cycle, only when complete. A retried or speculative task
-    replaces the same file instead of adding a second copy.
-    """
-    cols = schemas.column_names(file_type)
-    inner = schemas.INDIV_INNER_FILE if file_type == "indiv" else f"{file_type}.txt"
-    out = path.rstrip("/")
-    lines = df.select(line_of(cols).alias("value"), "cycle").sortWithinPartitions("cycle")
-
-    def write(batches):
-        import pandas as pd
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        fs, root = filesystem(out)
-        fs.create_dir(root, recursive=True)
-        state = {"cycle": None, "zip": None, "fh": None, "stream": None, "partial": [], "n": 0,
-                 "tmp": None, "final": None}
-        done = []
-
-        def close():
-            if state["zip"] is None:
-                return
-            state["fh"].close()
-            if state["partial"]:
-                state["zip"].writestr(f"by_date/itcont_{state['cycle']}_partial.txt",
-                                      "".join(state["partial"]).encode("latin-1", "replace"))
-            state["zip"].close()
-            state["stream"].close()
-            fs.move(f"{root}/{state['tmp']}", f"{root}/{state['final']}")
-            done.append((f"{out}/{state['final']}", int(state["cycle"]), state["n"]))
-
-        for pdf in batches:
-            for value, cyc in zip(pdf["value"], pdf["cycle"]):
-                if cyc != state["cycle"]:
-                    close()
-                    final = f"{file_type}_{int(cyc)}-part{part:05d}.zip"
-                    tmp = f"_{final}.{uuid.uuid4().hex}.inprogress"
-                    stream = fs.open_output_stream(f"{root}/{tmp}")
-                    z = zipfile.ZipFile(stream, "w", compression=zipfile.ZIP_DEFLATED)
-                    state.update(cycle=cyc, zip=z, fh=z.open(inner, "w"), stream=stream, partial=[], n=0,
-                                 tmp=tmp, final=final)
-                text = value + "\n"
-                state["fh"].write(text.encode("latin-1", "replace"))
-                if state["n"] % partial_every == 0:
-                    state["partial"].append(text)
-                state["n"] += 1
-        close()
-        yield pd.DataFrame(done, columns=["archive", "cycle", "n_lines"])
-
-    return lines.mapInPandas(write, "archive string, cycle int, n_lines long")
+             encoding: str = "UTF-8") -> DataFrame:
+    """Raw string columns of the chosen members, with the ``cycle`` of the archive."""
+    return parse(read_zip_lines(spark, path, file_type, inner, encoding).select("value", "cycle"), file_type)

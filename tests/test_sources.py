@@ -3,25 +3,91 @@
 import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from ballotbox import schemas
-from ballotbox.session import local_path
-from ballotbox.sources import delimited, parquet, sinks, zipsource
+from ballotbox.plans import zipwriter
+from ballotbox.sources import delimited, jsonsource, load, parquet, sinks, zipsource
+from helpers import local_path
 
 
 def test_quote_is_not_special(spark, scratch):
     path = local_path(scratch("quote"))
     os.makedirs(path)
     with open(os.path.join(path, "ccl.txt"), "w") as fh:
-        fh.write('C1|N|"ACME|x\n')
+        fh.write('C1|N|"ACME|x||"|\n')
     df = delimited.read_raw(spark, path, "ccl")
     r = df.first()
     assert (r.cand_id, r.cand_election_yr, r.fec_election_yr, r.cmte_id) == ("C1", "N", '"ACME', "x")
     assert r.cmte_tp is None
 
 
+def test_lines_of_another_width_are_rejected_whole(spark, scratch):
+    path = local_path(scratch("width"))
+    os.makedirs(path)
+    lines = ["a|b|c|d|e|f|g", "too|short", "a|b|c|d|e|f|g|long", "", "Łódź|x\ry|c|d|e|f|é\r"]
+    with open(os.path.join(path, "ccl.txt"), "wb") as fh:
+        fh.write("\n".join(lines).encode())
+    good = delimited.read_raw(spark, path, "ccl").collect()
+    assert sorted(r[0] for r in good) == ["a", "Łódź"]
+    city = next(r for r in good if r[0] != "a")
+    assert (city[1], city[6]) == ("x\ry", "é")          # a lone carriage return is text
+    bad = delimited.rejects(delimited.read_lines(spark, path), "ccl").collect()
+    assert sorted((r.value, r.n_fields) for r in bad) == [("", 1), ("a|b|c|d|e|f|g|long", 8), ("too|short", 2)]
+
+
+def test_zip_lines_and_load(spark, scratch):
+    root, raw = local_path(scratch("load")), scratch("load-raw")
+    os.makedirs(root)
+    _zip(os.path.join(root, "ccl24.zip"), {"ccl.txt": "Łódź|x\ry|c|d|e|f|g\nshort|line\n"})
+    rows = load.load_zip_to_raw(spark, root, "ccl", raw).collect()
+    assert [tuple(r) for r in rows] == [("ccl", 2024, 1, 1)]
+    r = parquet.read_raw(spark, raw, "ccl").first()
+    assert (r[0], r[1], r.cycle) == ("Łódź", "x\ry", 2024)
+    assert spark.read.parquet(f"{raw}/_rejects/ccl").first().value == "short|line"
+    # a second load reports its own cycle only
+    other = local_path(scratch("load"))
+    os.makedirs(other)
+    _zip(os.path.join(other, "ccl_2022.zip"), {"ccl.txt": "a|b|c|d|e|f|g\n"})
+    assert [tuple(r) for r in load.load_zip_to_raw(spark, other, "ccl", raw).collect()] == [("ccl", 2022, 1, 0)]
+    assert parquet.list_cycles(spark, raw, "ccl") == [2022, 2024]
+
+
+def test_archives_that_cannot_be_read_are_named(spark, scratch):
+    root = local_path(scratch("bad"))
+    os.makedirs(root)
+    _zip(os.path.join(root, "indiv_2020.zip"), {"indiv20/itcont.txt": "x\n"})
+    with pytest.raises(Exception, match="indiv_2020.zip"):
+        zipsource.read_zip(spark, root, "indiv").collect()
+    _zip(os.path.join(root, "indiv_2018.zip"), {"ITCONT.TXT": "|".join("x" * schemas.width("indiv")) + "\n"})
+    assert zipsource.read_zip(spark, os.path.join(root, "indiv_2018.zip"), "indiv").count() == 1
+    _zip(os.path.join(root, "indiv.zip"), {"itcont.txt": "x\n"})
+    with pytest.raises(ValueError, match="indiv.zip"):
+        zipsource.read_zip(spark, root, "indiv")
+    with pytest.raises(FileNotFoundError):
+        zipsource.read_zip(spark, scratch("empty"), "indiv")
+
+
+def test_rows_without_a_cycle_are_kept(spark, scratch):
+    root = scratch("no-cycle")
+    df = spark.createDataFrame([("a", 2020), ("b", None)], "k string, cycle int")
+    parquet.write_raw(df, root, "t")
+    assert parquet.list_cycles(spark, root, "t") == [2020, None]
+    assert sorted(r.k for r in parquet.read_raw(spark, root, "t", [2020, None]).collect()) == ["a", "b"]
+    assert [r.k for r in parquet.read_raw(spark, root, "t", [None]).collect()] == ["b"]
+
+
+def test_malformed_json_is_kept_apart(spark, scratch):
+    path = local_path(scratch("json"))
+    os.makedirs(path)
+    with open(os.path.join(path, "x.json"), "w") as fh:
+        fh.write('{"url": "u", "status_code": 200, "content": "c"}\n{"url": \n\n{"url": "v"}\n')
+    assert sorted(r.url for r in jsonsource.read_json(spark, path).collect()) == ["u", "v"]
+    assert [r.value for r in jsonsource.json_rejects(spark, path).collect()] == ['{"url": ']
+
+
 def test_row_width_check(spark):
     from ballotbox.operators.quality import row_width
 
@@ -56,14 +122,14 @@ def test_zip_other_types_read_root_txt(spark, scratch):
                                              "sub/extra.txt": "ignored\n"})
     df = zipsource.read_zip(spark, root, "cm")
     r = df.collect()
-    assert len(r) == 1 and r[0].cmte_id == "C9" and r[0].cand_id == "" and r[0].cycle == 2022
+    assert len(r) == 1 and r[0].cmte_id == "C9" and r[0].cand_id is None and r[0].cycle == 2022
 
 
 def test_zip_writer_roundtrip(spark, scratch):
     path = scratch("zipw")
     raw = spark.createDataFrame([tuple(f"v{i}_{j}" for j in range(21)) + (2000 + 2 * (i % 2),) for i in range(50)],
                                 schemas.raw_schema("indiv").add("cycle", IntegerType())).repartition(3)
-    summary = zipsource.write_zip_archives(raw, path, "indiv").collect()
+    summary = zipwriter.write_zip_archives(raw, path, "indiv").collect()
     assert sum(r.n_lines for r in summary) == 50
     back = zipsource.read_zip(spark, path, "indiv")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, raw.collect()))
@@ -75,8 +141,8 @@ def test_dynamic_partition_overwrite_keeps_other_cycles(spark, scratch):
     parquet.write_raw(df, root, "t")
     parquet.write_raw(df.where("cycle = 1998").withColumn("v", F.lit("b")), root, "t")
     back = parquet.read_raw(spark, root, "t")
-    assert parquet.list_cycles(root, "t") == [1996, 1998, 2000, 2002]
-    assert parquet.list_cycles(root, "missing") == []
+    assert parquet.list_cycles(spark, root, "t") == [1996, 1998, 2000, 2002]
+    assert parquet.list_cycles(spark, root, "missing") == []
     got = {(r.cycle, r.v) for r in back.collect()}
     assert got == {(1996, "a"), (1998, "b"), (2000, "a"), (2002, "a")}
     assert back.count() == 40
@@ -106,7 +172,7 @@ def test_zip_writer_rerun_replaces_archives(spark, scratch):
     path = scratch("zip-rerun")
     raw = spark.createDataFrame([tuple(f"v{i}_{j}" for j in range(21)) + (2000 + 2 * (i % 2),) for i in range(30)],
                                 schemas.raw_schema("indiv").add("cycle", IntegerType())).repartition(2)
-    first = zipsource.write_zip_archives(raw, path, "indiv").collect()
-    again = zipsource.write_zip_archives(raw, path, "indiv").collect()   # a rerun of the same job
+    first = zipwriter.write_zip_archives(raw, path, "indiv").collect()
+    again = zipwriter.write_zip_archives(raw, path, "indiv").collect()   # a rerun of the same job
     assert sorted(r.archive for r in first) == sorted(r.archive for r in again)
     assert zipsource.read_zip(spark, path, "indiv").count() == 30
