@@ -1,121 +1,140 @@
-"""Ordered per-key windows that do not put a whole key into one task.
+"""Ordered per-key logic that does not put a whole key into one task.
 
 ``lag`` or a running count over ``Window.partitionBy(key)`` sends every row of
 a key to one task. A probe log has few keys (file type x cycle), and one key
-may hold a third of all rows, so that plan serialises the job. Here each key
-is split into buckets of its ordering time:
-
-1. ``time_buckets`` gives every key a bucket width from one small aggregate
-   (its time span and row count): a key with ``n`` rows gets about
-   ``n / rows_per_bucket`` equal slices of its span, a small key one bucket.
-   The per-key stats (one row per key) are joined back; Spark broadcasts them
-   when small, and AQE's skew join splits a hot key's partition otherwise;
-2. the window runs per (key, bucket), so a hot key is spread over many tasks;
-3. one row per (key, bucket) carries what crosses a bucket edge (the last
-   row, or the bucket's count); it is aggregated from the windowed rows,
-   which are already partitioned by (key, bucket), so no new shuffle;
-4. a window over that small table, partitioned by key alone, finds the
-   previous bucket; it holds ``#buckets`` rows per key, not ``#rows``;
-5. a join on (key, bucket) brings the edge values back to the rows.
-
-The result equals the plain per-key window exactly, because buckets are
-monotone in the ordering (a later row never has a smaller bucket). Keys
-may be NULL: all joins here are null-safe.
+may hold a third of all rows, so that plan serialises the job. Here the rows are
+dealt into pieces by range of (key, order), which splits by number of rows: a
+burst within a second, or equal times with different ids, is split like
+anything else. Then
+
+1. each task walks its sorted piece once, in Arrow batches, and adds the
+   previous row's values, the running count or the row's number in the piece;
+2. the rows are written below the shared scratch folder with their piece, so
+   the one exchange of the log is not run again for what follows;
+3. one row per piece (its last key, its last values, its counts) says what
+   crosses to the pieces after it; a window over that table, which is as long
+   as there are pieces, carries it on, and a broadcast of it (at most
+   ``pieces`` rows) brings it to the rows concerned.
+
+The result equals the plain per-key window. Keys may be NULL.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ballotbox.functions.normalize import epoch_micros
-
-_B = "_bucket"
-ROWS_PER_BUCKET = 1_000_000
-
-
-def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Null-safe equi-join on ``keys``; the result keeps the left key columns only."""
-    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
-    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
-
-
-def time_buckets(df: DataFrame, keys: Sequence[str], ts: str, rows_per_bucket: int = ROWS_PER_BUCKET,
-                 name: str = _B) -> DataFrame:
-    """Add ``name``: a bucket of ``ts`` within the key, sized to ~``rows_per_bucket`` rows."""
-    keys = list(keys)
-    us = epoch_micros(ts)
-    stats = (df.groupBy(*keys)
-             .agg(F.min(us).alias("_lo"), F.max(us).alias("_hi"), F.count(F.lit(1)).alias("_n"))
-             .select(*keys, "_lo", F.greatest(
-                 F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / F.lit(rows_per_bucket))),
-                 F.lit(1)).alias("_w")))
-    j = _join(df, stats, keys)
-    return j.withColumn(name, F.floor((us - F.col("_lo")) / F.col("_w"))).drop("_lo", "_w")
+from ballotbox.session import scratch_path
+
+_KEY, _PIECE, _HEAD, _AT = "_key", "_piece", "_head", "_at"
+
+
+def _pieces(df: DataFrame, pieces: int | None) -> int:
+    return pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _walked(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int, carried: Sequence[str] = (),
+            hit: Column | None = None) -> DataFrame:
+    """``df`` with _key, _piece, _head (same key as the piece's first row), _at (row
+    number in the piece, from 0), _lag_<i> of ``carried``, _same (previous row has
+    this key) and _cum (hits of the key in the piece so far), written once."""
+    spark = df.sparkSession
+    keyed = (df.withColumn(_KEY, F.to_json(F.struct(*keys)) if keys else F.lit(""))
+             .withColumn("_hit", (F.lit(0) if hit is None else F.when(hit, 1).otherwise(0)).cast("long")))
+    ordered = (keyed.repartitionByRange(pieces, _KEY, *order).sortWithinPartitions(_KEY, *order))
+    names = [*keyed.columns, _PIECE, _HEAD, _AT, "_same", "_cum", *(f"_lag_{i}" for i in range(len(carried)))]
+    schema = keyed.schema
+    for name, kind in ((_PIECE, "integer"), (_HEAD, "boolean"), (_AT, "long"), ("_same", "boolean"), ("_cum", "long")):
+        schema = schema.add(name, kind)
+    for i, c in enumerate(carried):
+        schema = schema.add(f"_lag_{i}", keyed.schema[c].dataType)
+    carried = list(carried)
+
+    def walk(batches):
+        piece, at, first_key, last, count = TaskContext.get().partitionId(), 0, None, None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            key = batch.column(_KEY)
+            before = key.slice(0, 1) if last is None else last[0]
+            prev_key = pa.concat_arrays([before, key.slice(0, n - 1)])
+            same = pc.equal(key, prev_key).to_numpy(zero_copy_only=False)
+            if last is None:
+                first_key = key[0].as_py()
+                same[0] = False
+            hits = batch.column("_hit").to_numpy()
+            total, starts = np.cumsum(hits), np.flatnonzero(~same)
+            base = np.zeros(n, np.int64)            # hits before the run of one key that a row is in
+            base[starts] = (total - hits)[starts]
+            cum = total - np.maximum.accumulate(base)
+            upto = starts[0] if len(starts) else n
+            cum[:upto] = total[:upto] + count       # a run that comes from the batch before
+            lags = []
+            for i, c in enumerate(carried):
+                values = batch.column(c)
+                head = pa.nulls(1, values.type) if last is None else last[1][i]
+                lags.append(pa.concat_arrays([head, values.slice(0, n - 1)]))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(n, piece, np.int32)), pc.equal(key, pa.scalar(first_key)),
+                 pa.array(np.arange(at, at + n)), pa.array(same), pa.array(cum), *lags], names=names)
+            at, count = at + n, int(cum[-1])
+            last = (key.slice(n - 1, 1), [batch.column(c).slice(n - 1, 1) for c in carried])
+
+    path = scratch_path(spark, "ordered")
+    ordered.mapInArrow(walk, schema).write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def previous_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                    bucket: Column | None = None, prefix: str = "prev_", flag: str = "has_prev",
-                    rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                    prefix: str = "prev_", flag: str = "has_prev", pieces: int | None = None) -> DataFrame:
     """Add ``prev_<c>`` (value on the previous row of the key) and ``has_prev``.
 
-    ``order`` columns must be non-null and make the order total; the first
-    one is the time used for buckets unless ``bucket`` is given.
+    ``order`` must make the order total.
     """
-    keys, order, cols = list(keys), list(order), list(cols)
-    b = (time_buckets(df, keys, order[0], rows_per_bucket) if bucket is None else df.withColumn(_B, bucket))
-    w = Window.partitionBy(*keys, _B).orderBy(*order)
-    inner = b.select("*", F.row_number().over(w).alias("_rn"),
-                     *[F.lag(c).over(w).alias(f"_lag_{c}") for c in cols])
-    # Struct fields get positional names: a carried column may also be an order column.
-    last_row = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
-                        *[F.col(c).alias(f"_v{j}") for j, c in enumerate(cols)])
-    last = inner.groupBy(*keys, _B).agg(F.max(last_row).alias("_last"))
-    edges = last.select(*keys, _B, F.lag("_last").over(Window.partitionBy(*keys).orderBy(_B)).alias("_edge"))
-    j = _join(inner, edges, [*keys, _B])
-    first = F.col("_rn") == 1
-    return j.select(*df.columns,
-                    *[F.when(first, F.col("_edge").getField(f"_v{i}")).otherwise(F.col(f"_lag_{c}"))
-                      .alias(prefix + c) for i, c in enumerate(cols)],
-                    ((F.col("_rn") > 1) | F.col("_edge").isNotNull()).alias(flag))
+    rows = _walked(df, keys, order, _pieces(df, pieces), cols)
+    # Positional names: a carried column may also be an order column.
+    tail = F.max(F.struct(_AT, F.col(_KEY).alias("k"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)]))
+    tails = rows.groupBy(_PIECE).agg(tail.alias("tail"))
+    edges = tails.select(F.col(_PIECE).alias("_p"), F.lag("tail").over(Window.orderBy(_PIECE)).alias("_edge"))
+    first = F.col(_AT) == 0
+    met = first & F.coalesce(F.col("_edge.k") == F.col(_KEY), F.lit(False))
+    return (rows.join(F.broadcast(edges), rows[_PIECE] == edges["_p"], "left")
+            .select(*[rows[c] for c in df.columns],
+                    *[F.when(met, F.col(f"_edge.v{i}")).when(F.col("_same"), F.col(f"_lag_{i}")).alias(prefix + c)
+                      for i, c in enumerate(cols)], (met | F.col("_same")).alias(flag)))
 
 
 def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], condition: Column,
-                  bucket: Column | None = None, name: str = "running_count",
-                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                  name: str = "running_count", pieces: int | None = None) -> DataFrame:
     """Add ``name``: rows of the key up to and including this one where ``condition`` holds."""
-    keys, order = list(keys), list(order)
-    b = (time_buckets(df, keys, order[0], rows_per_bucket) if bucket is None else df.withColumn(_B, bucket))
-    b = b.withColumn("_hit", F.when(condition, 1).otherwise(0))
-    w = (Window.partitionBy(*keys, _B).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = b.withColumn("_cum", F.sum("_hit").over(w))
-    per = inner.groupBy(*keys, _B).agg(F.sum("_hit").alias("_n"))
-    before = (Window.partitionBy(*keys).orderBy(_B)
+    rows = _walked(df, keys, order, _pieces(df, pieces), hit=condition)
+    tails = rows.groupBy(_PIECE).agg(F.min(_KEY).alias("head"), F.max(F.struct(_AT, F.col(_KEY).alias("k"), "_cum")).alias("tail"))
+    # a piece's head key goes on from all pieces before that end on it
+    before = (Window.partitionBy("k").orderBy("_p", F.col("asks").asc_nulls_last())
               .rowsBetween(Window.unboundedPreceding, -1))
-    offs = per.select(*keys, _B, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (_join(inner, offs, [*keys, _B])
-            .select(*df.columns, (F.col("_cum") + F.col("_off")).cast("bigint").alias(name)))
-
-
-def dense_ids(df: DataFrame, group: str, order: Sequence[str], base: int | Column = 0,
-              name: str = "id") -> DataFrame:
-    """Consecutive ids ``base+1..base+n`` in the order (group, *order), without one task.
-
-    Rows are numbered inside each ``group`` value (a day, say) and shifted by
-    the count of all rows in earlier groups. The offsets table has one row per
-    group value; ``group`` must have a bounded number of values (days of a log)
-    and each group a bounded number of rows.
-    """
-    per = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    offs = per.select(group, F.coalesce(
-        F.sum("_n").over(Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_off"))
-    w = Window.partitionBy(group).orderBy(*order)
+    ends = tails.select(F.col(_PIECE).alias("_p"), F.col("tail.k").alias("k"), F.col("tail._cum").alias("n"), F.lit(None).cast("int").alias("asks"))
+    asks = tails.select(F.col(_PIECE).alias("_p"), F.col("head").alias("k"), F.lit(0).cast("long").alias("n"), F.col(_PIECE).alias("asks"))
+    offsets = (ends.unionByName(asks).withColumn("_off", F.coalesce(F.sum("n").over(before), F.lit(0)))
+               .where("asks IS NOT NULL").select("asks", "_off"))
+    add = F.when(F.col(_HEAD), F.col("_off")).otherwise(0)
+    return (rows.join(F.broadcast(offsets), rows[_PIECE] == offsets["asks"], "left")
+            .select(*[rows[c] for c in df.columns], (F.col("_cum") + add).cast("bigint").alias(name)))
+
+
+def dense_ids(df: DataFrame, order: Sequence[str], base: int | Column = 0, name: str = "id",
+              pieces: int | None = None) -> DataFrame:
+    """Consecutive ids ``base+1..base+n`` in the given order (NULL first), without one task."""
+    rows = _walked(df, (), order, _pieces(df, pieces))
+    counts = rows.groupBy(_PIECE).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col(_PIECE).alias("_p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_off"))
     base_col = base if isinstance(base, Column) else F.lit(base)
-    return (df.join(F.broadcast(offs), group)
-            .withColumn(name, (base_col + F.col("_off") + F.row_number().over(w)).cast("bigint"))
-            .drop("_off"))
+    return (rows.join(F.broadcast(offsets), rows[_PIECE] == offsets["_p"])
+            .select(*[rows[c] for c in df.columns], (base_col + F.col("_off") + F.col(_AT) + 1).cast("bigint").alias(name)))

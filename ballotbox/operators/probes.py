@@ -5,9 +5,8 @@ last_modified, content_length``; the key of a remote file is (file_type,
 cycle). The state table kept per probe adds ``changed`` and ``downloaded``.
 
 Ordered logic (previous probe, runs of failures) goes through
-``keyed_windows``: each key is cut into time buckets sized to its row count,
-so a key with a huge share of the log is spread over many tasks instead of
-landing in one. "Latest row per key" is a ``max(struct)``
+``keyed_windows``: the log is dealt out by range of (key, time, id), so a key
+with a huge share of it is spread over many tasks instead of landing in one. "Latest row per key" is a ``max(struct)``
 aggregate, which has a map-side partial step and needs no sort at all.
 """
 
@@ -15,11 +14,12 @@ from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ballotbox.functions.normalize import epoch_micros, source_url
-from ballotbox.operators.keyed_windows import ROWS_PER_BUCKET, dense_ids, previous_in_key, running_count
+from ballotbox.operators.keyed_windows import dense_ids, previous_in_key, running_count
+from ballotbox.session import list_folder
 
 KEYS = ("file_type", "cycle")
 ORDER = ("checked_at", "probe_id")
@@ -27,8 +27,7 @@ OK_STATUS = 200
 STATE_COLUMNS = ("checked_at", "cycle", "file_type", "etag", "last_modified", "changed", "downloaded")
 
 
-def detect_changes(log: DataFrame, successes_only: bool = False, bucket: Column | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def detect_changes(log: DataFrame, successes_only: bool = False, pieces: int | None = None) -> DataFrame:
     """M3: ``changed`` per probe.
 
     The first probe of a key is not a change. Otherwise a probe with status
@@ -39,10 +38,10 @@ def detect_changes(log: DataFrame, successes_only: bool = False, bucket: Column
     """
     ok = F.col("status_code") == OK_STATUS
     if successes_only:
-        good = detect_changes(log.where(ok), bucket=bucket, rows_per_bucket=rows_per_bucket)
+        good = detect_changes(log.where(ok), pieces=pieces)
         bad = log.where(~ok | F.col("status_code").isNull()).withColumn("changed", F.lit(False))
         return good.unionByName(bad)
-    p = previous_in_key(log, KEYS, ORDER, ["etag", "last_modified"], bucket, rows_per_bucket=rows_per_bucket)
+    p = previous_in_key(log, KEYS, ORDER, ["etag", "last_modified"], pieces=pieces)
     differs = ~F.col("prev_etag").eqNullSafe(F.col("etag")) | ~F.col("prev_last_modified").eqNullSafe(
         F.col("last_modified"))
     changed = F.coalesce(F.col("has_prev") & ok & differs, F.lit(False))
@@ -82,7 +81,7 @@ def daily_observations(changes: DataFrame, base_id: int | Column = 0,
              .agg(F.max(F.struct("checked_at", "probe_id", "status_code", "etag", "last_modified",
                                  "content_length")).alias("r"),
                   F.max(F.col("changed").cast("int")).alias("any_changed")))
-    numbered = dense_ids(daily, "observation_date", list(KEYS), base_id, "observation_id")
+    numbered = dense_ids(daily, ["observation_date", *KEYS], base_id, "observation_id")
     rec = F.col("r.checked_at") if recorded_at is None else recorded_at
     return numbered.select(
         "observation_id", "file_type", "cycle", "observation_date",
@@ -92,12 +91,20 @@ def daily_observations(changes: DataFrame, base_id: int | Column = 0,
         (F.col("any_changed") == 1).alias("changed"), rec.alias("recorded_at"))
 
 
-def next_base_id(existing: DataFrame | None, id_col: str) -> int:
-    """Current maximum id of an existing table (one scalar), 0 when absent."""
-    if existing is None:
-        return 0
-    value = existing.agg(F.max(id_col)).first()[0]
-    return int(value or 0)
+def append_observations(spark: SparkSession, changes: DataFrame, path: str) -> DataFrame:
+    """M5: appends the key-days that the table at ``path`` does not have yet, with
+    ids that go on from its greatest; returns the table."""
+    daily = daily_observations(changes)
+    if list_folder(spark, path):
+        have = spark.read.schema(daily.schema).parquet(path)
+        base = have.agg(F.max("observation_id")).first()[0] or 0
+        known = have.select(*KEYS, "observation_date")
+        on = [daily[c].eqNullSafe(known[c]) for c in (*KEYS, "observation_date")]
+        new = daily.join(known, on, "left_anti")
+        daily = (dense_ids(new.drop("observation_id"), ["observation_date", *KEYS], base, "observation_id")
+                 .select(*daily.columns))
+    daily.write.mode("append").parquet(path)
+    return spark.read.schema(daily.schema).parquet(path)
 
 
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
@@ -111,17 +118,20 @@ def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def load_history(counts: DataFrame, base_id: int = 0, loaded_at: Column | None = None,
-                 raw_root: str = "raw") -> DataFrame:
-    """M6: one row per load of (file_type, cycle) with its row count.
+                 raw_root: str = "raw", state: DataFrame | None = None) -> DataFrame:
+    """M6: one row per load of (file_type, cycle) with its row count and, from the
+    latest ``state`` of the remote file, the tags of what was loaded.
 
     The numbering window has no partition key; it runs over one row per
     (file type, cycle) pair: nine file types times the loaded cycles.
     """
-    from pyspark.sql import Window
-
     w = Window.orderBy("file_type", "cycle")
     at = F.current_timestamp() if loaded_at is None else loaded_at
     cyc = F.col("cycle").cast("string")
+    tags = [F.lit(None).cast("string").alias(c) for c in ("etag", "last_modified")]
+    if state is not None:
+        counts = counts.join(state.select(*KEYS, "etag", "last_modified"), list(KEYS), "left")
+        tags = [F.col("etag"), F.col("last_modified")]
     return counts.select(
         (F.lit(base_id) + F.row_number().over(w)).cast("bigint").alias("load_id"),
         "file_type", "cycle",
@@ -129,8 +139,25 @@ def load_history(counts: DataFrame, base_id: int = 0, loaded_at: Column | None =
         F.concat(F.lit("data/raw/"), F.col("file_type"), F.lit("_"), cyc, F.lit(".zip")).alias("source_zip_path"),
         F.concat(F.lit(raw_root + "/"), F.col("file_type"), F.lit("/cycle="), cyc).alias("target_parquet_path"),
         F.col("row_count").cast("bigint").alias("row_count"),
-        at.alias("loaded_at"),
-        F.lit(None).cast("string").alias("etag"), F.lit(None).cast("string").alias("last_modified"))
+        at.alias("loaded_at"), *tags)
+
+
+def record_load(spark: SparkSession, counts: DataFrame, path: str, loaded_at: Column | None = None,
+                raw_root: str = "raw", state: DataFrame | None = None) -> DataFrame:
+    """M6: appends a load's rows to the history at ``path``, with the next ids; returns the history."""
+    base = 0
+    if list_folder(spark, path):
+        base = spark.read.parquet(path).agg(F.max("load_id")).first()[0] or 0
+    rows = load_history(counts, base, loaded_at, raw_root, state)
+    rows.write.mode("append").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def stored_files(spark: SparkSession, raw_root: str) -> DataFrame:
+    """M7: (file_type, cycle) of what is stored, from the folders alone."""
+    found = [(ft, int(name[6:])) for ft, path, folder in list_folder(spark, raw_root) if folder
+             for name, _, inner in list_folder(spark, path) if inner and name.startswith("cycle=") and name[6:].isdigit()]
+    return spark.createDataFrame(found, "file_type string, cycle int")
 
 
 def files_to_refresh(changes: DataFrame, stored: DataFrame) -> DataFrame:
@@ -147,71 +174,6 @@ def files_to_refresh(changes: DataFrame, stored: DataFrame) -> DataFrame:
         F.when(F.col("changed"), F.lit("changed")).otherwise(F.lit("missing")).alias("reason"))
 
 
-def expand_cycle_span(span: str) -> list[int]:
-    """``"2010-2022"`` -> even cycles, ends included; rejects odd ends and reversed spans."""
-    import re
-
-    m = re.fullmatch(r"(\d{4})-(\d{4})", span.strip())
-    if not m:
-        raise ValueError(f"bad cycle span {span!r}; expected 'YYYY-YYYY'")
-    start, end = int(m.group(1)), int(m.group(2))
-    if start > end:
-        raise ValueError(f"cycle span {span!r} starts after it ends")
-    if start % 2 or end % 2:
-        raise ValueError(f"cycle span {span!r} must start and end on even years")
-    return list(range(start, end + 1, 2))
-
-
-def spans_from_config(config: dict) -> tuple[list[tuple[str, int, int]], dict[str, list[str]]]:
-    """Validate a grid configuration and return (spans, file types per style).
-
-    ``config = {"styles": {name: {"file_types": [...]}}, "cycles": [{"cycle": 2024,
-    "style": ...} | {"cycles": "2010-2022", "style": ...}]}``. Raises
-    ``ValueError`` on unknown styles or file types, odd years, reversed spans
-    and entries with both or neither of ``cycle`` / ``cycles``. This is
-    driver-side configuration (a handful of entries), not data.
-    """
-    from ballotbox.schemas import FILE_TYPES
-
-    styles = config.get("styles") or {}
-    if not styles:
-        raise ValueError("configuration needs at least one style")
-    types: dict[str, list[str]] = {}
-    for name, spec in styles.items():
-        fts = list((spec or {}).get("file_types") or [])
-        unknown = sorted(set(fts) - set(FILE_TYPES))
-        if not fts or unknown:
-            raise ValueError(f"style {name!r}: file_types missing or unknown {unknown}")
-        types[name] = fts
-    spans = []
-    for entry in config.get("cycles") or []:
-        style = entry.get("style")
-        if style not in types:
-            raise ValueError(f"unknown style {style!r}")
-        if ("cycle" in entry) == ("cycles" in entry):
-            raise ValueError(f"entry needs exactly one of 'cycle' or 'cycles': {entry!r}")
-        if "cycle" in entry:
-            c = int(entry["cycle"])
-            if c % 2:
-                raise ValueError(f"cycle {c} is not an even year")
-            spans.append((style, c, c))
-        else:
-            years = expand_cycle_span(str(entry["cycles"]))
-            spans.append((style, years[0], years[-1]))
-    if not spans:
-        raise ValueError("configuration needs at least one cycle entry")
-    return spans, types
-
-
-def grid_from_config(spark, config: dict) -> DataFrame:
-    """M8 from a configuration: one row per (style, file_type, cycle)."""
-    spans, types = spans_from_config(config)
-    rows = spark.createDataFrame(
-        [(s, a, b, types[s]) for s, a, b in spans], "style string, start int, end int, file_types array<string>")
-    return (rows.select("style", "file_types", F.explode(F.sequence("start", "end", F.lit(2))).alias("cycle"))
-            .select("style", F.explode("file_types").alias("file_type"), F.col("cycle").cast("int").alias("cycle")))
-
-
 def target_grid(spans: DataFrame, file_types: Iterable[str]) -> DataFrame:
     """M8: every (style, file_type, cycle) of spans ``(style, start, end)``; steps of 2.
 
@@ -223,11 +185,13 @@ def target_grid(spans: DataFrame, file_types: Iterable[str]) -> DataFrame:
             .select("style", F.explode(types).alias("file_type"), F.col("cycle").cast("int").alias("cycle")))
 
 
-def missed_observations(log: DataFrame) -> DataFrame:
-    """M9: days between a key's first and last probe with no probe at all."""
+def missed_observations(log: DataFrame, grid: DataFrame, start: Column, until: Column) -> DataFrame:
+    """M9: days from ``start`` to ``until`` (the run's date) on which a key of the
+    ``grid`` has no probe; a collector that has stopped and a key that was never
+    probed show up too."""
     days = log.select(*KEYS, F.to_date("checked_at").alias("day")).distinct()
-    span = days.groupBy(*KEYS).agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
-    expected = span.select(*KEYS, F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("day"))
+    expected = (grid.select(*KEYS).distinct()
+                .select(*KEYS, F.explode(F.sequence(start, until, F.expr("interval 1 day"))).alias("day")))
     missed = expected.join(days, [*KEYS, "day"], "left_anti")
     return missed.select(*KEYS, F.col("day").alias("missed_date"), F.lit("backfill").alias("source"))
 
@@ -251,15 +215,14 @@ def update_frequency(changes: DataFrame) -> DataFrame:
     return agg.withColumn("mean_hours_between_changes", mean_h)
 
 
-def outage_spans(log: DataFrame, bucket: Column | None = None,
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def outage_spans(log: DataFrame, pieces: int | None = None) -> DataFrame:
     """Runs of consecutive failed probes per key (gaps and islands).
 
     A failed probe's island is the number of successes before it in key
     order; consecutive failures share it.
     """
     ok = F.col("status_code") == OK_STATUS
-    counted = running_count(log, KEYS, ORDER, ok, bucket, "successes_before", rows_per_bucket)
+    counted = running_count(log, KEYS, ORDER, ok, "successes_before", pieces)
     failed = counted.where(~ok | F.col("status_code").isNull())
     return (failed.groupBy(*KEYS, "successes_before")
             .agg(F.min("checked_at").alias("outage_start"), F.max("checked_at").alias("outage_end"),

@@ -59,11 +59,7 @@ def detect_change(spark, sf_dir):
     f"select probe_id, checked_at, file_type, cycle, status_code, etag, last_modified, changed, false as late"
     f" from ({_changes_sql()}) c"))
 def detect_change_stream(spark, sf_dir):
-    events = standins.table(spark, sf_dir, "events")
-    # The file source watches a folder; the glob filter picks the events file.
-    source = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
-    log = source.selectExpr(*[f"{e} as {n}" for n, e in standins._PROBE_COLS.items()])
+    log = standins.event_stream(spark, sf_dir)
     base = scratch_path(spark, "probe-stream")
     out = probe_stream.run_available_now(spark, probe_stream.detect_stream(log), f"{base}/out", f"{base}/ckpt")
     return probe_stream.with_wall_clock(out).select(
@@ -75,10 +71,7 @@ def detect_change_stream(spark, sf_dir):
     f" from ({_changes_sql()}) c"))
 def detect_change_microbatch(spark, sf_dir):
     # The same stream answered by one distributed batch job per micro-batch.
-    events = standins.table(spark, sf_dir, "events")
-    source = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
-    log = source.selectExpr(*[f"{e} as {n}" for n, e in standins._PROBE_COLS.items()])
+    log = standins.event_stream(spark, sf_dir)
     base = scratch_path(spark, "probe-microbatch")
     return microbatch.run_available_now(spark, log, f"{base}/out", f"{base}/state", f"{base}/ckpt")
 
@@ -87,10 +80,7 @@ def detect_change_microbatch(spark, sf_dir):
     f"select 'parquet' as sink, * from {LOG()} a union all select 'json' as sink, * from {LOG()} b"))
 def probe_append_stream(spark, sf_dir):
     # Probes arriving as a stream, appended to two stores in each micro-batch.
-    events = standins.table(spark, sf_dir, "events")
-    source = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
-    log = source.selectExpr(*[f"{e} as {n}" for n, e in standins._PROBE_COLS.items()])
+    log = standins.event_stream(spark, sf_dir)
     base = scratch_path(spark, "probe-fanout")
     fanout.append_stream(spark, log, [Sink("parquet", f"{base}/pq"), Sink("json", f"{base}/js")], f"{base}/ckpt")
     cols = list(standins._PROBE_COLS)
@@ -110,7 +100,14 @@ def probe_append_stream(spark, sf_dir):
     f" etag, last_modified, cast(content_length as bigint) as content_length,"
     f" any_changed as changed, checked_at as recorded_at from d"))
 def daily_observation(spark, sf_dir):
-    return M.daily_observations(changes(spark, sf_dir))
+    # Two runs: the first saw the log's first half of days, the second all of it.
+    ch = changes(spark, sf_dir)
+    day = F.to_date("checked_at")
+    first, last = ch.agg(F.min(day), F.max(day)).first()
+    path = scratch_path(spark, "daily-observation")
+    if first is not None:
+        M.append_observations(spark, ch.where(day <= F.lit(first + (last - first) / 2)), path)
+    return M.append_observations(spark, ch, path)
 
 
 def _counts(spark, sf_dir):
@@ -132,10 +129,13 @@ LOADED_AT = "2024-01-01 00:00:00"
     f" || right(cast(cycle as varchar), 2) || '.zip' as source_url,"
     f" 'data/raw/' || file_type || '_' || cast(cycle as varchar) || '.zip' as source_zip_path,"
     f" 'raw/' || file_type || '/cycle=' || cast(cycle as varchar) as target_parquet_path,"
-    f" row_count, timestamp '{LOADED_AT}' as loaded_at, cast(null as varchar) as etag,"
-    f" cast(null as varchar) as last_modified from ({_counts_sql()}) c"))
+    f" row_count, timestamp '{LOADED_AT}' as loaded_at, s.etag, s.last_modified from ({_counts_sql()}) c"
+    f" left join (select * from ({_changes_sql()}) x qualify row_number() over"
+    f" (partition by file_type, cycle order by checked_at desc, probe_id desc) = 1) s using (file_type, cycle)"))
 def load_history(spark, sf_dir):
-    return M.load_history(_counts(spark, sf_dir), loaded_at=F.lit(LOADED_AT).cast("timestamp_ntz"))
+    state = M.latest_state(changes(spark, sf_dir))
+    return M.record_load(spark, _counts(spark, sf_dir), scratch_path(spark, "load-history"),
+                         F.lit(LOADED_AT).cast("timestamp_ntz"), state=state)
 
 
 @register("files_to_refresh", "M7", lambda: (
@@ -172,14 +172,23 @@ def target_grid(spark, sf_dir):
 
 @register("missed_observations", "M9", lambda: (
     f"with days as (select distinct file_type, cycle, cast(checked_at as date) as d from {LOG()} l),"
-    f" span as (select file_type, cycle, min(d) as lo, max(d) as hi from days group by 1, 2),"
-    f" expected as (select file_type, cycle, cast(unnest(generate_series(lo, hi, interval 1 day)) as date) as d"
-    f" from span)"
+    f" b as (select min(cycle) as lo, max(cycle) as hi, min(d) as f, max(d) as t from days),"
+    " ft as (select unnest([" + ", ".join(f"'{t}'" for t in standins.PROBE_FILE_TYPES) + "]) as file_type),"
+    " cy as (select cast(unnest(generate_series(lo, hi, 2)) as int) as cycle from b),"
+    " dd as (select cast(unnest(generate_series(f, t, interval 1 day)) as date) as d from b),"
+    " expected as (select file_type, cycle, d from ft cross join cy cross join dd)"
     f" select e.file_type, e.cycle, e.d as missed_date, 'backfill' as source from expected e"
     f" where not exists (select 1 from days x where x.file_type = e.file_type and x.cycle = e.cycle"
     f" and x.d = e.d)"))
 def missed_observations(spark, sf_dir):
-    return M.missed_observations(standins.probe_log(spark, sf_dir))
+    # The configured grid up to the log's last day, so a collector that stopped
+    # early and keys that were never probed are reported.
+    log = standins.probe_log(spark, sf_dir)
+    day = F.to_date("checked_at")
+    lo, hi, first, last = log.agg(F.min("cycle"), F.max("cycle"), F.min(day), F.max(day)).first()
+    spans = spark.createDataFrame([("all", lo, hi)], "style string, start int, end int")
+    grid = M.target_grid(spans, standins.PROBE_FILE_TYPES)
+    return M.missed_observations(log, grid, F.lit(first).cast("date"), F.lit(last).cast("date"))
 
 
 @register("update_frequency", "M10", lambda: (
@@ -210,12 +219,8 @@ def outage_spans(spark, sf_dir):
     f" when status_code = 404 then 'not found' else 'other' end as status, count(*) as n_probes"
     f" from {LOG()} l group by 1, 2"))
 def status_daily_stream(spark, sf_dir):
-    # Probe counts per day and status from the stream: event-time windows,
-    # a watermark bounding the state, update mode into an upserting sink.
-    events = standins.table(spark, sf_dir, "events")
-    source = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
-    log = source.selectExpr(*[f"{e} as {n}" for n, e in standins._PROBE_COLS.items()])
+    # Probe counts per day and status from the stream, whatever its order.
+    log = standins.event_stream(spark, sf_dir)
     base = scratch_path(spark, "status-daily")
     return windowed.run_available_now(spark, log, f"{base}/out", f"{base}/ckpt")
 

@@ -23,27 +23,39 @@ def log_of(spark, rows):
 
 
 CASES = [
-    ("indiv", 2024, 200, "etag-1", "last-mod-1"), ("indiv", 2024, 200, "etag-1", "last-mod-1"),
-    ("cn", 2022, 200, "etag-1", "last-mod-1"), ("cn", 2022, 200, "etag-2", "last-mod-1"),
-    ("cm", 2020, 200, "e1", "m1"), ("cm", 2020, 404, None, None), ("cm", 2020, 200, "e1", "m1"),
-    ("ccl", 2020, 200, None, None), ("ccl", 2020, 200, None, None),
+    ("oth", 2018, 200, "v7", "Mon"), ("oth", 2018, 200, "v7", "Mon"),             # nothing new
+    ("cn", 2022, 200, "v1", "Tue"), ("cn", 2022, 200, "v2", "Tue"),               # another tag
+    ("cm", 2020, 200, "a", "Wed"), ("cm", 2020, 503, None, None), ("cm", 2020, 200, "a", "Wed"),
+    ("ccl", 2012, 200, None, None), ("ccl", 2012, 200, None, None),               # no tags at all
 ]
 EXPECTED = [False, False, False, True, False, False, True, False, False]
 
 
-@pytest.mark.parametrize("rows_per_bucket", [1, 2, 1_000_000])
-def test_change_detection_cases(spark, rows_per_bucket):
-    got = M.detect_changes(log_of(spark, CASES), rows_per_bucket=rows_per_bucket).orderBy("probe_id").collect()
+@pytest.mark.parametrize("pieces", [1, 2, 7])
+def test_change_detection_cases(spark, pieces):
+    got = M.detect_changes(log_of(spark, CASES), pieces=pieces).orderBy("probe_id").collect()
     assert [r.changed for r in got] == EXPECTED
 
 
-def test_time_buckets_split_hot_key(spark):
-    log = _random_log(spark, n=2000, seed=5)
-    b = K.time_buckets(log, M.KEYS, "checked_at", rows_per_bucket=100)
-    per_key = {r.file_type: r.n for r in b.groupBy("file_type").agg(F.countDistinct("_bucket").alias("n")).collect()}
-    assert per_key["hot"] >= 10 and b.count() == 2000
-    worst = b.groupBy("file_type", "_bucket").count().agg(F.max("count")).first()[0]
-    assert worst < 400
+def test_a_burst_of_one_key_is_split(spark):
+    # 20,000 probes of one key inside minutes, one ten years older; many equal times
+    burst = spark.range(20_000).selectExpr(
+        "id AS probe_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id % 300) AS checked_at", "'hot' AS file_type",
+        "2024 AS cycle", "200 AS status_code", "CAST(id % 5 AS string) AS etag", "'m' AS last_modified", "1L AS content_length")
+    old = spark.createDataFrame([(-1, dt.datetime(2014, 1, 1), "hot", 2024, 200, "x", "m", 1)], burst.schema)
+    rows = K._walked(burst.union(old), M.KEYS, M.ORDER, 16, ["etag"])
+    sizes = [r["count"] for r in rows.groupBy("_piece").count().collect()]
+    assert sum(sizes) == 20_001 and max(sizes) <= 2 * 20_001 / 16
+    log = burst.union(old)
+    assert log.count() == M.detect_changes(log, pieces=16).count()
+
+
+def test_change_detection_shuffles_the_log_once(spark):
+    out = M.detect_changes(_random_log(spark, n=200))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(file_type" not in plan and "_ordered" not in plan
+    # what is left reads the written, ordered log; the only exchanges are of one row per piece
+    assert plan.count("SinglePartition") <= 1
 
 
 def test_null_keys_are_kept(spark):
@@ -62,7 +74,7 @@ def test_state_rows_and_latest(spark):
     rows = M.state_rows(ch)
     assert rows.columns == list(M.STATE_COLUMNS) and rows.count() == len(CASES)
     latest = {(r.file_type, r.cycle): r for r in M.latest_state(ch.withColumn("downloaded", F.lit(False))).collect()}
-    assert latest[("cn", 2022)].etag == "etag-2" and latest[("cn", 2022)].changed is True
+    assert latest[("cn", 2022)].etag == "v2" and latest[("cn", 2022)].changed is True
     assert latest[("cm", 2020)].checked_at == T0 + dt.timedelta(hours=6)
 
 
@@ -89,12 +101,10 @@ def _random_log(spark, n=3000, seed=7):
     return spark.createDataFrame(rows, LOG_SCHEMA)
 
 
-@pytest.mark.parametrize("rows_per_bucket,bucket", [(40, None), (1_000_000, None), (None, "day")])
-def test_previous_in_key_equals_plain_window(spark, rows_per_bucket, bucket):
+@pytest.mark.parametrize("pieces", [1, 5, 90, None])
+def test_previous_in_key_equals_plain_window(spark, pieces):
     log = _random_log(spark)
-    kw = {"rows_per_bucket": rows_per_bucket} if rows_per_bucket else {}
-    b = F.to_date("checked_at") if bucket == "day" else None
-    split = K.previous_in_key(log, M.KEYS, M.ORDER, ["etag", "checked_at"], b, **kw)
+    split = K.previous_in_key(log, M.KEYS, M.ORDER, ["etag", "checked_at"], pieces=pieces)
     w = Window.partitionBy(*M.KEYS).orderBy(*M.ORDER)
     plain = log.select("probe_id", F.lag("etag").over(w).alias("prev_etag"),
                        F.lag("checked_at").over(w).alias("prev_checked_at"),
@@ -104,19 +114,20 @@ def test_previous_in_key_equals_plain_window(spark, rows_per_bucket, bucket):
     assert a == b
 
 
-@pytest.mark.parametrize("rows_per_bucket", [25, 1_000_000])
-def test_running_count_equals_plain_window(spark, rows_per_bucket):
+@pytest.mark.parametrize("pieces", [1, 3, 60])
+def test_running_count_equals_plain_window(spark, pieces):
     log = _random_log(spark, seed=11)
     ok = F.col("status_code") == 200
-    split = K.running_count(log, M.KEYS, M.ORDER, ok, None, "n_ok", rows_per_bucket)
+    split = K.running_count(log, M.KEYS, M.ORDER, ok, "n_ok", pieces)
     w = Window.partitionBy(*M.KEYS).orderBy(*M.ORDER).rowsBetween(Window.unboundedPreceding, 0)
     plain = log.select("probe_id", F.sum(F.when(ok, 1).otherwise(0)).over(w).cast("bigint").alias("n_ok"))
     assert sorted(map(tuple, split.select("probe_id", "n_ok").collect())) == sorted(map(tuple, plain.collect()))
 
 
 def test_dense_ids_are_consecutive(spark):
-    df = spark.createDataFrame([(dt.date(2024, 1, 1 + i % 5), f"k{i % 7}") for i in range(35)], "d date, k string")
-    got = K.dense_ids(df, "d", ["k"], base=10, name="id").orderBy("d", "k").collect()
+    rows = [(dt.date(2024, 1, 1 + i % 5) if i % 9 else None, f"k{i}") for i in range(35)]
+    df = spark.createDataFrame(rows, "d date, k string")
+    got = K.dense_ids(df, ["d", "k"], base=10, name="id").orderBy("d", "k").collect()
     assert [r.id for r in got] == list(range(11, 46))
 
 
@@ -128,6 +139,35 @@ def test_daily_observation_one_row_per_key_day(spark):
     assert ids == list(range(1, len(ids) + 1))
 
 
+def test_observations_are_appended_with_the_next_ids(spark, scratch):
+    ch = M.detect_changes(_random_log(spark, n=400))
+    path = scratch("observations")
+    early = ch.where("checked_at < timestamp_ntz'2024-01-08 00:00:00'")
+    n = M.append_observations(spark, early, path).count()
+    both = M.append_observations(spark, ch, path)
+    again = M.append_observations(spark, ch, path)
+    assert n < both.count() == again.count() == ch.select(*M.KEYS, F.to_date("checked_at")).distinct().count()
+    assert sorted(r.observation_id for r in again.collect()) == list(range(1, again.count() + 1))
+
+
+def test_loads_are_recorded_with_tags(spark, scratch):
+    counts = spark.createDataFrame([("cm", 2024, 7), ("cn", 2022, 3)], "file_type string, cycle int, row_count long")
+    state = M.latest_state(M.detect_changes(log_of(spark, CASES)))
+    path = scratch("loads")
+    M.record_load(spark, counts, path, state=state)
+    rows = M.record_load(spark, counts.limit(1), path, state=state).orderBy("load_id").collect()
+    assert [(r.load_id, r.file_type, r.row_count, r.etag) for r in rows] == [
+        (1, "cm", 7, None), (2, "cn", 3, "v2"), (3, "cm", 7, None)]
+
+
+def test_stored_files_come_from_folders(spark, scratch):
+    from ballotbox.sources import parquet
+
+    root = scratch("stored")
+    parquet.write_raw(spark.createDataFrame([(1, 2020), (2, 2022)], "k int, cycle int"), root, "cm")
+    assert sorted(map(tuple, M.stored_files(spark, root).collect())) == [("cm", 2020), ("cm", 2022)]
+
+
 def test_outage_spans(spark):
     rows = [("a", 1, 200, "e", "m"), ("a", 1, 404, None, None), ("a", 1, 503, None, None),
             ("a", 1, 200, "e", "m"), ("a", 1, 404, None, None), ("b", 1, 404, None, None)]
@@ -137,8 +177,10 @@ def test_outage_spans(spark):
 
 def test_missed_observations(spark):
     rows = [(0, dt.datetime(2024, 1, 1), "a", 1, 200, "e", "m", 1), (1, dt.datetime(2024, 1, 4), "a", 1, 200, "e", "m", 1)]
-    got = M.missed_observations(spark.createDataFrame(rows, LOG_SCHEMA)).orderBy("missed_date").collect()
-    assert [r.missed_date for r in got] == [dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
+    grid = spark.createDataFrame([("a", 1), ("b", 1)], "file_type string, cycle int")
+    got = M.missed_observations(spark.createDataFrame(rows, LOG_SCHEMA), grid, F.lit(dt.date(2024, 1, 1)), F.lit(dt.date(2024, 1, 5)))
+    days = sorted((r.file_type, r.missed_date.day) for r in got.collect())
+    assert days == [("a", 2), ("a", 3), ("a", 5), *(("b", d) for d in range(1, 6))]     # stopped; never probed
 
 
 def test_update_frequency_mean_gap(spark):
@@ -149,76 +191,14 @@ def test_update_frequency_mean_gap(spark):
 
 def test_status_summary(spark):
     got = {r.status: r.n_probes for r in M.status_summary(log_of(spark, CASES)).collect()}
-    assert got == {"OK": 8, "not found": 1}
-
-
-def test_cycle_span_expansion():
-    assert M.expand_cycle_span("2010-2022") == [2010, 2012, 2014, 2016, 2018, 2020, 2022]
-    for bad in ("2011-2023", "2022-2010", "2010/2022"):
-        with pytest.raises(ValueError):
-            M.expand_cycle_span(bad)
-
-
-def test_target_grid_from_config(spark):
-    spans = spark.createDataFrame([("current", 2024, 2024), ("historical", 2010, 2022)],
-                                  "style string, start int, end int")
-    types = ["indiv", "cn", "cm", "oth", "oppexp", "ccl", "weball", "pas2", "indexp"]
-    grid = M.target_grid(spans, types)
-    assert grid.count() == 72
-    assert grid.where("style = 'historical'").select("cycle").distinct().count() == 7
-
-
-CONFIG = {
-    "styles": {"current": {"file_types": ["indiv", "cn", "cm", "oth", "oppexp", "ccl", "weball", "pas2", "indexp"]},
-               "historical": {"file_types": ["indiv", "cn", "cm", "oth", "oppexp", "ccl", "weball", "pas2", "indexp"]}},
-    "cycles": [{"cycle": 2024, "style": "current"}, {"cycles": "2010-2022", "style": "historical"}],
-}
-
-
-def test_grid_from_config(spark):
-    grid = M.grid_from_config(spark, CONFIG)
-    assert grid.count() == 72
-    cycles = sorted({r.cycle for r in grid.collect()})
-    assert cycles == [2010, 2012, 2014, 2016, 2018, 2020, 2022, 2024]
-
-
-@pytest.mark.parametrize("bad", [
-    {"cycles": [{"cycle": 2024, "style": "nope"}]},
-    {"cycles": [{"cycle": 2023, "style": "current"}]},
-    {"cycles": [{"cycles": "2011-2023", "style": "historical"}]},
-    {"cycles": [{"cycle": 2024, "cycles": "2010-2012", "style": "current"}]},
-    {"cycles": []},
-])
-def test_grid_config_errors(bad):
-    with pytest.raises(ValueError):
-        M.spans_from_config({"styles": CONFIG["styles"], **bad})
-    with pytest.raises(ValueError):
-        M.spans_from_config({"styles": {"x": {"file_types": ["bogus"]}}, "cycles": [{"cycle": 2024, "style": "x"}]})
-
-
-def test_hot_key_is_spread_over_tasks(spark):
-    # 70% of the rows belong to one key; after the keyed window no shuffle
-    # partition may hold more than a small share of them.
-    log = _random_log(spark, n=6000, seed=21)
-    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions",
-                                          "spark.sql.autoBroadcastJoinThreshold")}
-    try:
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        spark.conf.set("spark.sql.shuffle.partitions", "16")
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        out = K.previous_in_key(log, M.KEYS, M.ORDER, ["etag"], rows_per_bucket=100)
-        # Aggregate the window outputs too, or the optimizer drops the unused windows.
-        sizes = [r.n for r in out.groupBy(F.spark_partition_id().alias("p"))
-                 .agg(F.count(F.lit(1)).alias("n"), F.count("prev_etag").alias("m")).collect()]
-        plain = log.select(F.lag("etag").over(Window.partitionBy(*M.KEYS).orderBy(*M.ORDER)).alias("x"))
-        plain_sizes = [r.n for r in plain.groupBy(F.spark_partition_id().alias("p"))
-                       .agg(F.count(F.lit(1)).alias("n"), F.count("x").alias("m")).collect()]
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
-    assert sum(sizes) == 6000
-    assert max(plain_sizes) / 6000 > 0.65          # the plain window keeps the hot key in one task
-    assert max(sizes) / 6000 < 0.2                 # the bucketed one spreads it
+    assert got == {"OK": 8, "other": 1}
+
+
+def test_target_grid(spark):
+    spans = spark.createDataFrame([("now", 2026, 2026), ("past", 2002, 2008), ("none", 2008, 2002)], "style string, start int, end int")
+    grid = M.target_grid(spans, ["cm", "oth", "cn"])
+    assert grid.count() == 3 * (1 + 4)
+    assert sorted(r.cycle for r in grid.where("style = 'past' AND file_type = 'cn'").collect()) == [2002, 2004, 2006, 2008]
 
 
 def test_state_table_columns_types_and_append(spark, scratch):
