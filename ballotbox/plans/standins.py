@@ -24,30 +24,12 @@ from ballotbox.functions.normalize import cycle_of
 
 FILE_TYPES = schemas.FILE_TYPES
 
-# Fixed value: the file types in the order used to spread probe keys.
+# Fixed value: the file types in the order of the probe keys.
 PROBE_FILE_TYPES = ("indiv", "cn", "cm", "oth", "oppexp", "ccl", "weball", "pas2", "indexp")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that planned fewer splits than the cluster has cores.
-
-    A parquet file is split by row group; a table written as one row group is
-    read by one task and every narrow step after it (staging, text functions)
-    would run on one core. Counting the planned splits needs no job. At scale
-    (many files and row groups) this is a no-op and adds no shuffle.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        planned = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (Spark Connect): leave the scan as it is
-        return df
-    if planned < target:
-        return df.repartition(target)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- snippets
@@ -432,12 +414,21 @@ _HTTP_COLS = {
     "fetched_at": "'2024-01-' || lpad(cast(page_id % 28 + 1 as string), 2, '0') || 'T00:00:00'",
     "url": "url",
     "status_code": "cast(case when page_id % 10 = 0 then 404 else 200 end as int)",
-    "content_preview": "substring(html, 1, 5000)",
+    "content": "html",
 }
 
 
+def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 1) -> DataFrame:
+    """The probe log as a stream over the table's own file or folder of files."""
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    # The file source wants a folder or a pattern; this pattern is either.
+    source = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+              .parquet(f"{sf_dir.rstrip('/')}/events.parque[t]"))
+    return source.selectExpr(*[f"{e} as {n}" for n, e in _PROBE_COLS.items()])
+
+
 def http_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fetched web records (fetched_at, url, status_code, content_preview) from ``pages``."""
+    """Fetched web records (fetched_at, url, status_code, content) from ``pages``."""
     return table(spark, sf_dir, "pages").selectExpr(*[f"{e} as {n}" for n, e in _HTTP_COLS.items()])
 
 

@@ -2,8 +2,8 @@
 
 ``probe_stream`` keeps per-key state inside ``applyInPandasWithState``: simple,
 but one key's rows of a micro-batch meet in one task. Here every micro-batch
-runs the batch detection of ``operators.probes`` (time-bucketed, so a hot key
-is spread over many tasks) and the per-key state lives in a small versioned
+runs the batch detection of ``operators.probes`` (dealt out by range, so a hot
+key is spread over many tasks) and the per-key state lives in a small versioned
 table:
 
 * state version ``epoch=<n>`` holds the latest probe per key after batch n;
@@ -22,12 +22,11 @@ join falls back to a shuffle (with AQE skew handling) when it is not.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ballotbox.operators.keyed_windows import ROWS_PER_BUCKET, _join
 from ballotbox.operators.probes import KEYS, detect_changes
+from ballotbox.session import file_system, list_folder
 
 LOG_COLUMNS = ("probe_id", "checked_at", "file_type", "cycle", "status_code", "etag", "last_modified",
                "content_length")
@@ -37,27 +36,33 @@ OUT_COLUMNS = ("probe_id", "checked_at", "file_type", "cycle", "status_code", "e
 
 def state_before(spark: SparkSession, state_path: str, epoch_id: int) -> DataFrame | None:
     """Newest state version written by an earlier batch, or None."""
-    try:
-        versions = spark.read.parquet(state_path)
-    except AnalysisException:
-        return None
-    earlier = versions.where(F.col("epoch") < epoch_id)
-    top = earlier.agg(F.max("epoch")).first()[0]
-    if top is None:
-        return None
-    return earlier.where(F.col("epoch") == top).drop("epoch")
-
-
-def detect_batch(probes: DataFrame, state: DataFrame | None,
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[DataFrame, DataFrame]:
+    earlier = [e for e in _versions(spark, state_path) if e < epoch_id]
+    return spark.read.parquet(f"{state_path}/epoch={max(earlier)}") if earlier else None
+
+
+def _versions(spark: SparkSession, state_path: str) -> list[int]:
+    """Epochs with a complete state version (its writer leaves ``_SUCCESS`` at the end)."""
+    return [int(name[6:]) for name, path, folder in list_folder(spark, state_path)
+            if folder and name.startswith("epoch=") and any(n == "_SUCCESS" for n, _, _ in list_folder(spark, path))]
+
+
+def drop_old_state(spark: SparkSession, state_path: str, epoch_id: int) -> None:
+    """Removes versions that no replay can ask for: batch ``epoch_id`` is done, so
+    only its own version and the one it started from are kept."""
+    for e in sorted(e for e in _versions(spark, state_path) if e < epoch_id)[:-1]:
+        fs, p = file_system(spark, f"{state_path}/epoch={e}")
+        fs.delete(p, True)
+
+
+def detect_batch(probes: DataFrame, state: DataFrame | None, pieces: int | None = None) -> tuple[DataFrame, DataFrame]:
     """One micro-batch: (per-probe result, new state)."""
     log = probes.select(*LOG_COLUMNS)
     if state is None:
         on_time, late = log, None
         combined = log.withColumn("_virtual", F.lit(False))
     else:
-        edge = state.select(*KEYS, "last_at", "last_id")
-        j = _join(log, edge, list(KEYS))
+        edge = state.select(*[F.col(k).alias(f"_s_{k}") for k in KEYS], "last_at", "last_id")
+        j = log.join(edge, [log[k].eqNullSafe(edge[f"_s_{k}"]) for k in KEYS], "left")
         is_late = F.coalesce((F.col("checked_at") < F.col("last_at"))
                              | ((F.col("checked_at") == F.col("last_at")) & (F.col("probe_id") < F.col("last_id"))),
                              F.lit(False))
@@ -69,7 +74,7 @@ def detect_batch(probes: DataFrame, state: DataFrame | None,
             F.lit(None).cast("int").alias("status_code"), "etag", "last_modified",
             F.lit(None).cast("bigint").alias("content_length"), F.lit(True).alias("_virtual"))
         combined = on_time.withColumn("_virtual", F.lit(False)).unionByName(virtual)
-    changes = detect_changes(combined, rows_per_bucket=rows_per_bucket)
+    changes = detect_changes(combined, pieces=pieces)
     result = (changes.where(~F.col("_virtual")).withColumn("late", F.lit(False)).select(*OUT_COLUMNS))
     if late is not None:
         result = result.unionByName(late.withColumn("changed", F.lit(False))
@@ -81,27 +86,26 @@ def detect_batch(probes: DataFrame, state: DataFrame | None,
     return result, new_state
 
 
-def _writer(spark: SparkSession, out_path: str, state_path: str, rows_per_bucket: int):
+def _writer(spark: SparkSession, out_path: str, state_path: str, pieces: int | None):
     def each(batch: DataFrame, epoch_id: int) -> None:
         cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             state = state_before(spark, state_path, epoch_id)
-            result, new_state = detect_batch(cached, state, rows_per_bucket)
+            result, new_state = detect_batch(cached, state, pieces)
             (result.withColumn("batch", F.lit(epoch_id).cast("long"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch").parquet(out_path))
-            (new_state.withColumn("epoch", F.lit(epoch_id).cast("long"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("epoch").parquet(state_path))
+            new_state.write.mode("overwrite").parquet(f"{state_path}/epoch={epoch_id}")
+            drop_old_state(spark, state_path, epoch_id)
         finally:
             cached.unpersist()
     return each
 
 
 def run_available_now(spark: SparkSession, probes: DataFrame, out_path: str, state_path: str,
-                      checkpoint: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                      checkpoint: str, pieces: int | None = None) -> DataFrame:
     """Process every available probe in micro-batches; returns all results written."""
-    q = (probes.writeStream.foreachBatch(_writer(spark, out_path, state_path, rows_per_bucket))
+    q = (probes.writeStream.foreachBatch(_writer(spark, out_path, state_path, pieces))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:

@@ -1,19 +1,10 @@
-"""Windowed aggregate over the probe stream with a watermark (M12 per day).
-
-Probes are counted per day and status label in event-time windows. The
-watermark bounds the state: a day's window is dropped from the state once
-the stream has moved ``watermark`` past its end. Probes late by less than the
-watermark are always counted; Spark may drop probes later than that (its
-guarantee is one-directional), so choose the watermark from how late probe
-records can arrive. Output mode
-is ``update``: each micro-batch emits only the windows it changed, and the
-``foreachBatch`` sink overwrites exactly those (day, status) partitions, so
-the table always holds the latest count per window and a replayed batch
-rewrites the same partitions.
-
-Event time must be a ``timestamp`` for ``withWatermark``; the probe log has a
-UTC wall-clock ``timestamp_ntz``, turned into the same instant independently
-of the session time zone.
+"""Probe counts per event-time day and status over a stream (M12 per day).
+
+No watermark: a probe may arrive any time after its day, and every one counts.
+Each micro-batch is aggregated by itself and its counts are written into the
+batch's own ``batch=<epoch>`` folder with dynamic partition overwrite, so a
+replayed batch replaces what it wrote. The table is the sum over the batches.
+``compact`` folds all finished batches into one folder when there are many.
 """
 
 from __future__ import annotations
@@ -21,34 +12,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ballotbox.functions.normalize import epoch_micros, from_epoch_micros
 from ballotbox.operators.probes import status_label
 
 
-def daily_status_counts(probes: DataFrame, watermark: str = "2 days") -> DataFrame:
-    """Streaming (or batch) probes -> (day, status, n_probes) per event-time day."""
-    ts = F.timestamp_micros(epoch_micros("checked_at"))
-    counted = (probes.select(ts.alias("event_time"), status_label().alias("status"))
-               .withWatermark("event_time", watermark)
-               .groupBy(F.window("event_time", "1 day").alias("w"), "status")
-               .agg(F.count(F.lit(1)).alias("n_probes")))
-    day = F.to_date(from_epoch_micros(F.unix_micros(F.col("w.start"))))
-    return counted.select(day.alias("day"), "status", "n_probes")
+def daily_status_counts(probes: DataFrame) -> DataFrame:
+    """(day, status, n_probes) of a batch of probes."""
+    return (probes.groupBy(F.to_date("checked_at").alias("day"), status_label().alias("status"))
+            .agg(F.count(F.lit(1)).alias("n_probes")))
 
 
-def _upsert(path: str):
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("day", "status").parquet(path))
-    return write
+def totals(spark: SparkSession, path: str) -> DataFrame:
+    """The counts of all batches written so far."""
+    parts = spark.read.schema("day date, status string, n_probes long, batch long").parquet(path)
+    return parts.groupBy("day", "status").agg(F.sum("n_probes").alias("n_probes"))
+
 
+def compact(spark: SparkSession, path: str, to: str) -> DataFrame:
+    """All finished batches as one folder below ``to`` (for use between two runs of the stream)."""
+    totals(spark, path).withColumn("batch", F.lit(-1).cast("long")).write.mode("overwrite").partitionBy("batch").parquet(to)
+    return totals(spark, to)
+
+
+def run_available_now(spark: SparkSession, probes: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        (daily_status_counts(batch).withColumn("batch", F.lit(epoch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
 
-def run_available_now(spark: SparkSession, probes: DataFrame, path: str, checkpoint: str,
-                      watermark: str = "2 days") -> DataFrame:
-    q = (daily_status_counts(probes, watermark).writeStream.outputMode("update")
-         .foreachBatch(_upsert(path)).option("checkpointLocation", checkpoint)
+    q = (probes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(path).select("day", "status", "n_probes")
+    return totals(spark, path)
