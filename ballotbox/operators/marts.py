@@ -16,9 +16,13 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ballotbox import schemas
+from ballotbox.operators.staging import stage
+from ballotbox.sources.parquet import read_raw
+
 TOTAL_TYPE = "decimal(38,2)"
 
 
@@ -30,15 +34,16 @@ def union_cycles(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def all_cycles(df: DataFrame, cycles: Iterable[int] | None = None) -> DataFrame:
-    """Every cycle present (or the listed ones) of a cycle-partitioned table.
+def all_cycles(spark: SparkSession, root: str, file_type: str, cycles: Iterable[int | None] | None = None,
+               strict: bool = False) -> DataFrame:
+    """The staged model of a file type over every cycle stored below ``root`` (or the listed ones).
 
-    On partitioned parquet the ``cycle`` filter is a partition filter, so
-    unlisted cycles are never read.
+    The cycles are the partitions found when it is called, so one loaded later
+    belongs to it; the ``cycle`` filter is a partition filter, so unlisted cycles
+    are never read.
     """
-    if cycles is None:
-        return df
-    return df.where(F.col("cycle").isin(list(cycles)))
+    raw = read_raw(spark, root, file_type, cycles)
+    return stage(raw.select(*schemas.column_names(file_type), "cycle"), file_type, strict)
 
 
 def committee_totals(stg_indiv: DataFrame) -> DataFrame:
@@ -58,7 +63,7 @@ def candidate_receipts(stg_indiv: DataFrame, stg_ccl: DataFrame, stg_cn: DataFra
     """
     totals = (stg_indiv.groupBy("cmte_id", "cycle")
               .agg(F.sum("transaction_amt").alias("total_amt")))
-    links = stg_ccl.select("cand_id", "cmte_id", "cycle")
+    links = stg_ccl.select("cand_id", "cmte_id", "cycle").distinct()     # several linkage rows are one link
     per_cand = (links.join(totals, ["cmte_id", "cycle"])
                 .groupBy("cand_id", "cycle")
                 .agg(F.count(F.lit(1)).alias("n_committees"),

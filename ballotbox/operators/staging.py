@@ -108,7 +108,7 @@ def materialize(raw: DataFrame, file_type: str, path: str, strict: bool = False)
 def stage_http_source(records: DataFrame) -> DataFrame:
     """Fetched records without their text, keeping only its length."""
     return records.select("fetched_at", "url", "status_code",
-                          N.text_length("content_preview").alias("preview_length"))
+                          N.text_length(N.preview("content")).alias("preview_length"))
 
 
 def rename_to_aliases(df: DataFrame, file_type: str) -> DataFrame:

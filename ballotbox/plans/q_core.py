@@ -179,7 +179,7 @@ def stg_indiv_typed(spark, sf_dir):
 
 
 @register("stg_http_source", "T9", lambda: (
-    "select fetched_at, url, status_code, cast(length(content_preview) as bigint) as preview_length"
+    "select fetched_at, url, status_code, cast(length(substring(content, 1, 5000)) as bigint) as preview_length"
     f" from ({standins.http_records_sql()}) h"))
 def stg_http_source(spark, sf_dir):
     return staging.stage_http_source(standins.http_records(spark, sf_dir))
@@ -203,13 +203,26 @@ def union_cycles(spark, sf_dir):
     parquet.write_raw(standins.raw(spark, sf_dir, "indiv"), root, "indiv")
     cols = schemas.column_names("indiv") + ["cycle"]
     frames = [staging.stage(parquet.read_raw(spark, root, "indiv", [c]).select(*cols), "indiv")
-              for c in parquet.list_cycles(root, "indiv")]
+              for c in parquet.list_cycles(spark, root, "indiv")]
     return marts.union_cycles(frames)
 
 
-@register("marts_indiv_all", "U2", lambda: f"select * from ({stg_sql('indiv')}) s")
-def marts_indiv_all(spark, sf_dir):
-    return marts.all_cycles(staged(spark, sf_dir, "indiv"))
+def _all_query(ft: str):
+    @register(f"marts_{ft}_all", "U2", lambda: f"select * from ({stg_sql(ft)}) s")
+    def q(spark, sf_dir):
+        # The raw table is written in two loads; the view is over what is there.
+        from ballotbox.session import scratch_path
+        from ballotbox.sources import parquet
+
+        root, raw = scratch_path(spark, "raw"), standins.raw(spark, sf_dir, ft)
+        parquet.write_raw(raw.where("cycle <= 1996"), root, ft)
+        parquet.write_raw(raw.where("NOT coalesce(cycle <= 1996, false)"), root, ft)
+        return marts.all_cycles(spark, root, ft)
+    return q
+
+
+for _ft in schemas.FILE_TYPES:
+    _all_query(_ft)
 
 
 @register("marts_committee_totals", "U3", lambda: (
@@ -225,7 +238,7 @@ def marts_committee_totals(spark, sf_dir):
     f" group by cmte_id, cycle),"
     f" per_cand as (select l.cand_id, l.cycle, count(*) as n_committees,"
     f" cast(sum(t.total_amt) as decimal(38,2)) as total_receipts"
-    f" from ({stg_sql('ccl')}) l join totals t on l.cmte_id = t.cmte_id and l.cycle = t.cycle"
+    f" from (select distinct cand_id, cmte_id, cycle from ({stg_sql('ccl')}) x) l join totals t on l.cmte_id = t.cmte_id and l.cycle = t.cycle"
     f" group by l.cand_id, l.cycle),"
     f" names as (select cand_id, max(cand_name) as cand_name from ({stg_sql('cn')}) c group by cand_id)"
     f" select p.cand_id, p.cycle, p.n_committees, p.total_receipts, n.cand_name"

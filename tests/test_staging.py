@@ -69,7 +69,7 @@ def test_rename_aliases(spark):
 
 def test_http_source_drops_text(spark):
     df = spark.createDataFrame([("2024-01-01T00:00:00", "u", 200, "héllo")],
-                               "fetched_at string, url string, status_code int, content_preview string")
+                               "fetched_at string, url string, status_code int, content string")
     r = staging.stage_http_source(df).first()
     assert r.preview_length == 5 and "content_preview" not in r.asDict()
 
