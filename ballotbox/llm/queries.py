@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ballotbox.llm import (
-    htmltext, jaccard, mixing, packing, quality, rabitq, records, sentences, suffixes, surrogates,
+    htmltext, jaccard, mixing, oracles, packing, quality, rabitq, records, sentences, suffixes, surrogates,
 )
 from ballotbox.llm.common import read
 from ballotbox.llm.tokens import vocabulary
@@ -62,4 +62,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_sentence_spans, op7_pack_sequences, op8_binary_records, op9_jaccard_groups, op10_rabitq_neardup)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_mix_sources": oracles.MIX, "op9_jaccard_groups": oracles.JACCARD}
