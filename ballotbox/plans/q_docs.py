@@ -9,6 +9,7 @@ from ballotbox.plans import standins
 from ballotbox.plans.registry import register
 
 SEARCH_QUERY = "  The DE  "
+TERMS = ["the", "de"]         # of that query, for the oracle
 _WS = "[ \\t\\n\\r\\f\\x0B]"
 # Text after '# ' on the first stripped heading line (NULL when there is none).
 HEADING_TEXT_SQL = "substr(list_filter(s, lambda x: starts_with(x, '# '))[1], 3)"
@@ -20,7 +21,7 @@ def _strip(x: str) -> str:
     return f"regexp_replace({x}, '^{_WS}+|{_WS}+$', '', 'g')"
 
 
-def _cut(s: str, width: int = X.WIDTH) -> str:
+def _cut(s: str, width: int = 220) -> str:
     head = f"substr({s}, 1, {width - 3})"
     return (f"case when length({s}) > {width} then (case when instr({head}, ' ') > 0"
             f" then regexp_extract({head}, '(?s)^(.*) ', 1) else {head} end) || '...' else {s} end")
@@ -32,7 +33,7 @@ def _stem(p: str) -> str:
 
 
 def _section(p: str) -> str:
-    return f"coalesce(nullif(regexp_extract({p}, '^(.*)/[^/]*$', 1), ''), '{X.ROOT_SECTION}')"
+    return f"coalesce(nullif(regexp_extract({p}, '^(.*)/[^/]*$', 1), ''), 'Repository')"
 
 
 def _index_sql() -> str:
@@ -100,8 +101,8 @@ def _snippet_sql(terms: list[str]) -> str:
 
 
 @register("doc_search", "D4", lambda: (
-    f"select doc_id, section, title, score, snippet from (select *, {_score_sql(X.search_terms(SEARCH_QUERY))}"
-    f" as score, {_snippet_sql(X.search_terms(SEARCH_QUERY))} as snippet from ({_index_sql()}) i) s"
+    f"select doc_id, section, title, score, snippet from (select *, {_score_sql(TERMS)}"
+    f" as score, {_snippet_sql(TERMS)} as snippet from ({_index_sql()}) i) s"
     f" where score > 0"))
 def doc_search(spark, sf_dir):
     return docsearch.search(standins.doc_table(spark, sf_dir), SEARCH_QUERY).select(
@@ -109,8 +110,8 @@ def doc_search(spark, sf_dir):
 
 
 @register("doc_search_top10", "D4", lambda: (
-    f"select doc_id, section, title, score, snippet from (select *, {_score_sql(X.search_terms(SEARCH_QUERY))}"
-    f" as score, {_snippet_sql(X.search_terms(SEARCH_QUERY))} as snippet from ({_index_sql()}) i) s"
+    f"select doc_id, section, title, score, snippet from (select *, {_score_sql(TERMS)}"
+    f" as score, {_snippet_sql(TERMS)} as snippet from ({_index_sql()}) i) s"
     f" where score > 0 order by score desc, section, lower(title), rel_path limit 10"))
 def doc_search_top10(spark, sf_dir):
     # Top-k is the feature here: a distributed TakeOrderedAndProject, no global sort.
@@ -119,7 +120,7 @@ def doc_search_top10(spark, sf_dir):
 
 
 @register("doc_snippet", "D5", lambda: (
-    f"select doc_id, {_snippet_sql(X.search_terms(SEARCH_QUERY))} as snippet"
+    f"select doc_id, {_snippet_sql(TERMS)} as snippet"
     f" from ({standins.doc_table_sql()}) d"))
 def doc_snippet(spark, sf_dir):
     docs = standins.doc_table(spark, sf_dir)
