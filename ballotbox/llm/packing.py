@@ -55,7 +55,7 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2,
         for batch in batch_pieces(batches, 2 << 20):
             out = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text").to_pylist())):
-                ids += end
+                ids = enc.ids(ids) + end
                 n = len(ids) // 4
                 start, stop, i = 0, n % capacity or capacity, 0
                 while start < n:

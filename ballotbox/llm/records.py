@@ -8,8 +8,9 @@ A shard ``shard-00012.rec`` holds records one after the other::
     masked CRC-32 of the data        uint32
 
 (the mask rotates right by 15 bits and adds 0xa282ead8). The data are one flag
-byte (1: the doc_id is NULL), the doc_id as int64 and the ids as uint32, all
-little endian. ``shard-00012.idx`` holds the offset of each record as uint64, so
+byte (1: the doc_id is NULL), one byte that says how wide an id is (2 where the
+vocabulary has at most 65,536 tokens, else 4), the doc_id as int64 and the ids,
+all little endian. ``shard-00012.idx`` holds the offset of each record as uint64, so
 that a shuffled reader can seek to any record of any shard.
 
 Documents are range partitioned by doc_id (then by text, so one id that holds
@@ -38,10 +39,12 @@ from pyspark.sql import functions as F
 from ballotbox.llm.common import materialize, pieces, text_key
 from ballotbox.llm.tokens import encoder
 
-SHARD_CHARS = 12 << 20      # characters of text a shard aims at; ids take about as many bytes
 MASK = 0xA282EAD8
 
 
+HEAD = "<BBq"
+
+
 def masked(crc: int) -> int:
     return ((crc >> 15 | crc << 17) + MASK) & 0xFFFFFFFF
 
@@ -51,8 +54,8 @@ def frame(data: bytes) -> bytes:
     return b"".join((head, struct.pack("<I", masked(zlib.crc32(head))), data, struct.pack("<I", masked(zlib.crc32(data)))))
 
 
-def unframe(blob: bytes):
-    """(offset, data) of each record; raises on a damaged one."""
+def unframe(blob):
+    """(offset, data) of each record of a bytes-like object; raises on a damaged one."""
     at = 0
     while at < len(blob):
         head = blob[at:at + 8]
@@ -75,9 +78,10 @@ def _file_system(folder: str):
 
 def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2) -> DataFrame:
     """Writes ``docs`` (doc_id, text) and returns one row per shard: shard,
-    n_records, n_tokens. ``folder`` must be one that all executors share."""
-    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, -(-size // SHARD_CHARS), docs.sparkSession.sparkContext.defaultParallelism)
+    n_records, n_tokens. ``folder`` must be one that all executors share. There
+    are as many shards as ``spark.sql.shuffle.partitions``, which the cluster sets
+    to the size of its data (ids take about two bytes for five of text)."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key(F.col("text")).alias("k"))
     ordered = (keyed.repartitionByRange(n, "doc_id", "k").sortWithinPartitions("doc_id", "k", "text")
                .select("doc_id", "text"))
@@ -87,16 +91,16 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2) -> Dat
         store, root = _file_system(folder)
         store.create_dir(root, recursive=True)
         name, enc, records, tokens = f"{root}/shard-{shard:05d}", encoder(vocabulary), 0, 0
-        end, out, offsets, at = np.array([end_id], "<u4").tobytes(), None, [], 0
+        end, out, offsets, at = np.array([end_id], f"<u{enc.width}").tobytes(), None, [], 0
         for batch in pieces(batches, 2 << 20):
             ids = batch.column("doc_id").to_pylist()
             for doc_id, codes in zip(ids, enc.encode(batch.column("text").to_pylist())):
                 if out is None:
                     out = store.open_output_stream(f"{name}.rec.{attempt}")
-                rec = frame(struct.pack("<Bq", doc_id is None, doc_id or 0) + codes + end)
+                rec = frame(struct.pack(HEAD, doc_id is None, enc.width, doc_id or 0) + codes + end)
                 out.write(rec)
                 offsets.append(at)
-                at, records, tokens = at + len(rec), records + 1, tokens + len(codes) // 4 + 1
+                at, records, tokens = at + len(rec), records + 1, tokens + len(codes) // enc.width + 1
         if out is not None:
             out.close()
             with store.open_output_stream(f"{name}.idx.{attempt}") as idx:
@@ -110,59 +114,64 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2) -> Dat
     return materialize(ordered.mapInArrow(put, "shard int, n_records long, n_tokens long"), "records-shards")
 
 
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.rec").load(folder).select("path", "content")
+
+
+def _records(batches):
+    """(shard, record, offset, doc_id or None, ids as unsigned 32-bit integers) of whole files."""
+    for batch in batches:
+        for path, blob in zip(batch.column("path"), batch.column("content")):
+            shard = int(path.as_py().rpartition("-")[2].split(".")[0])
+            for i, (at, data) in enumerate(unframe(memoryview(blob.as_buffer()))):
+                null, width, doc_id = struct.unpack(HEAD, data[:10])
+                ids = np.frombuffer(data[10:], f"<u{width}").astype("<u4").tobytes()
+                yield shard, i, at, None if null else doc_id, ids
+
+
+def _batches(rows, names: list[str], types: list, most: int = 8 << 20):
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 64 + (len(row[-1]) if isinstance(row[-1], bytes) else 0)
+        if size > most:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names=names)
+
+
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """Every record of the folder: shard, record, offset, doc_id, n_tokens, ids
-    (binary). Bytes are checked against both checksums."""
+    (binary, unsigned 32-bit). Bytes are checked against both checksums."""
+    names = ["shard", "record", "offset", "doc_id", "n_tokens", "ids"]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+
     def get(batches):
-        for batch in batches:
-            for path, blob in zip(batch.column("path"), batch.column("content")):
-                shard = int(path.as_py().rpartition("-")[2].split(".")[0])
-                rows, held = [], 0
-                for i, (at, data) in enumerate(unframe(memoryview(blob.as_buffer()).tobytes())):
-                    null, doc_id = struct.unpack("<Bq", data[:9])
-                    rows.append((shard, i, at, None if null else doc_id, (len(data) - 9) // 4, data[9:]))
-                    held += len(data)
-                    if held > 8 << 20:
-                        yield _rows(rows)
-                        rows, held = [], 0
-                if rows:
-                    yield _rows(rows)
-
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.rec").load(folder)
-             .select("path", "content"))
-    return files.mapInArrow(get, "shard int, record long, offset long, doc_id long, n_tokens long, ids binary")
-
-
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    names = ("shard", "record", "offset", "doc_id", "n_tokens", "ids")
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=list(names))
+        yield from _batches(((s, i, at, d, len(ids) // 4, ids) for s, i, at, d, ids in _records(batches)), names, types)
+
+    return _files(spark, folder).mapInArrow(get, "shard int, record long, offset long, doc_id long, n_tokens long, ids binary")
 
 
 def digest(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2) -> DataFrame:
     """Writes, reads back and returns per document doc_id, start, n_tokens, ids_crc32."""
     spark = docs.sparkSession
     shards = write(docs, folder, vocabulary, end_id)
-    # one row per shard of about 12 million characters
+    # one row per shard
     starts = shards.select("shard", (F.sum("n_tokens").over(Window.orderBy("shard")) - F.col("n_tokens")).alias("first"))
+    names = ["shard", "doc_id", "inside", "n_tokens", "ids_crc32"]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
-    def summed(batches):
+    def rows(batches):
         shard, start = None, 0
-        for batch in batches:
-            out = []
-            for s, doc_id, n, ids in zip(*[batch.column(c).to_pylist() for c in ("shard", "doc_id", "n_tokens", "ids")]):
-                if s != shard:
-                    shard, start = s, 0
-                out.append((s, doc_id, start, n, zlib.crc32(ids)))
-                start += n
-            if out:
-                types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
-                                                 names=["shard", "doc_id", "inside", "n_tokens", "ids_crc32"])
+        for s, _, _, doc_id, ids in _records(batches):      # a file is one row of the source: its records come in order
+            if s != shard:
+                shard, start = s, 0
+            yield s, doc_id, start, len(ids) // 4, zlib.crc32(ids)
+            start += len(ids) // 4
 
     if not shards.take(1):
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    # a file is one record of the source and is never split: its rows come in order, from one task
-    rows = read(spark, folder).mapInArrow(summed, "shard int, doc_id long, inside long, n_tokens long, ids_crc32 long")
-    return rows.join(starts, "shard").select("doc_id", (F.col("first") + F.col("inside")).alias("start"), "n_tokens",
-                                             "ids_crc32")
+    found = _files(spark, folder).mapInArrow(lambda b: _batches(rows(b), names, types),
+                                             "shard int, doc_id long, inside long, n_tokens long, ids_crc32 long")
+    return found.join(starts, "shard").select("doc_id", (F.col("first") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")

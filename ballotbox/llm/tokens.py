@@ -16,6 +16,8 @@ import re
 from array import array
 from functools import lru_cache
 
+import numpy as np
+
 # Unicode white space, and how each vocabulary attaches it to words.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 SPLITS = {
@@ -24,8 +26,9 @@ SPLITS = {
     # one space goes with the word after it; longer white space leaves its last character
     "byte_bpe_50k.json": rf"[{_SPACE}]+(?![^{_SPACE}])| ?[^{_SPACE}]+|[{_SPACE}]",
 }
-MOST_WORDS = 400_000        # words kept per worker process; then the cache starts anew
+MOST_WORDS = 800_000        # words kept per worker process; then the cache starts anew
 LONGEST = 48                # longer words are encoded each time
+_separators = re.compile("[\x1c-\x1f]").search        # white space for str.split, not for the vocabularies
 _plain = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)").fullmatch
 
 
@@ -40,7 +43,23 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
+class _Codes(dict):
+    """Word -> its ids as bytes; a word that is not there is encoded."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        code = self.encode(word)
+        if len(word) <= LONGEST:
+            self[word] = code
+        return code
+
+
 class Encoder:
+    """``width`` is the bytes of an id: 2 where the vocabulary allows it, else 4."""
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -49,42 +68,43 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
         self.find = re.compile(SPLITS[os.path.basename(path)]).findall
         self.merge = self.tokenizer.model.tokenize
+        self.dropped = os.path.basename(path) == "word_bpe_49k.json"    # white space is
         self.lower = self.tokenizer.normalizer is not None      # the word vocabulary is in lower case
-        self.cache: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-
-    def mark(self, text: str) -> bytes:
-        """Ids of a run of sentence marks after a word."""
-        if text not in self.marks:
-            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-            if len(text) > LONGEST:
-                return ids
-            self.marks[text] = ids
-        return self.marks[text]
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = "H" if self.width == 2 else "I"
+        self.codes = _Codes(self._word)
+        self.marks = _Codes(self._whole)
+
+    def _whole(self, text: str) -> bytes:
+        return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        parts = _plain(word)
+        if parts is None:
+            return self._whole(word)
+        head, tail = parts.groups()
+        pieces = self.merge((head.lower() if self.lower else head).encode().decode("latin-1").translate(_LETTERS))
+        code = array(self.kind, [p.id for p in pieces]).tobytes()
+        return code + self.marks[tail] if tail else code
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as unsigned 32-bit integers (little endian, as the machine)."""
-        if len(self.cache) > MOST_WORDS:
-            self.cache = {}
-        words = [self.find(t) if t else [] for t in texts]
-        new = list(set().union(*words).difference(self.cache)) if words else []
-        cache, hard = self.cache, []
-        for w in new:
-            parts = _plain(w)
-            if parts is None:
-                hard.append(w)
-                continue
-            head, tail = parts.groups()
-            ids = [t.id for t in self.merge((head.lower() if self.lower else head).encode().decode("latin-1").translate(_LETTERS))]
-            cache[w] = array("I", ids).tobytes() + (self.mark(tail) if tail else b"")
-        for w, e in zip(hard, self.tokenizer.encode_batch_fast(hard, add_special_tokens=False) if hard else ()):
-            cache[w] = array("I", e.ids).tobytes()
-        out = [b"".join(map(self.cache.__getitem__, w)) for w in words]
-        for w in new:
-            if len(w) > LONGEST:
-                del self.cache[w]
+        """Ids of each text, ``width`` bytes each, little endian (as the machine)."""
+        if len(self.codes) > MOST_WORDS:
+            self.codes.clear()
+        code, out = self.codes.__getitem__, []
+        for text in texts:
+            if not text:
+                out.append(b"")
+            elif self.dropped and not _separators(text):
+                out.append(b"".join(map(code, text.split())))       # splits at white space just as well
+            else:
+                out.append(b"".join(map(code, self.find(text))))
         return out
 
+    def ids(self, code: bytes) -> bytes:
+        """Ids as unsigned 32-bit integers."""
+        return code if self.width == 4 else np.frombuffer(code, "<u2").astype("<u4").tobytes()
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
