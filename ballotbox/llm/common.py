@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Computed once and held on the executors' disks. For results that follow from
+    written tables in a few steps: parts lost with an executor are computed again."""
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
 def n_words(text: Column) -> Column:
     """Words of a text (NULL: 0) as a long."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

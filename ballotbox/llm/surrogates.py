@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ballotbox.llm.common import materialize, text_key
+from ballotbox.llm.common import keep, materialize, text_key
 
 KEY = "surrogate-key"       # a default for tests; pass the deployment's own secret
 ROUNDS = 64
@@ -148,12 +148,14 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     within the corpus and never an entity of it."""
     taken = entities.select(F.col("core").alias("s")).distinct()
     open_, done = entities.withColumn("attempt", F.lit(0)), None
-    for _ in range(ROUNDS):
+    for i in range(ROUNDS):
         wishes = open_.withColumn("s", surrogate(F.col("kind"), F.col("core"), F.col("attempt"), key))
         marked = (wishes.withColumn("wish", F.lit(1))
                   .unionByName(taken.select("s", F.lit(0).alias("wish")), allowMissingColumns=True))
         order = Window.partitionBy("s").orderBy("wish", "kind", "core")
-        ranked = materialize(marked.withColumn("at", F.row_number().over(order)).filter("wish = 1"), "pii-round")
+        ranked = marked.withColumn("at", F.row_number().over(order)).filter("wish = 1")
+        # nearly all is settled at once; what goes on is cut off from the rounds before
+        ranked = materialize(ranked, "pii-round") if i else keep(ranked)
         won = ranked.filter("at = 1").select("kind", "core", F.col("s").alias("core_surrogate"))
         done = won if done is None else done.unionByName(won)
         taken = taken.unionByName(won.select(F.col("core_surrogate").alias("s")))
@@ -169,13 +171,12 @@ def _replaced(docs: DataFrame, key: str) -> DataFrame:
     hits = materialize(
         docs.select("doc_id", "text").filter(F.col("text").rlike("[@0-9]") | F.col("text").rlike(PATTERNS["name"]))
         .select("doc_id", text_key(F.col("text")).alias("txt_key"), F.posexplode(found).alias("at", "value"))
-        .dropDuplicates(["doc_id", "txt_key", "at"])
         .withColumn("kind", kind_of(F.col("value")))
         .withColumn("core", canonical(F.col("kind"), F.col("value"))), "pii-hits")
     known = assign(hits.select("kind", "core").distinct(), key)
     lists = (hits.join(known, ["kind", "core"])
              .withColumn("s", formatted(F.col("kind"), F.col("value"), F.col("core_surrogate")))
-             .groupBy("doc_id", "txt_key").agg(F.array_sort(F.collect_list(F.struct("at", "s"))).alias("_hits"))
+             .groupBy("doc_id", "txt_key").agg(F.array_sort(F.collect_set(F.struct("at", "s"))).alias("_hits"))
              .select(F.col("doc_id").alias("_hit_id"), F.col("txt_key").alias("_hit_key"), F.col("_hits.s").alias("_hits")))
     joined = docs.join(lists, docs["doc_id"].eqNullSafe(lists["_hit_id"]) & (text_key(docs["text"]) == lists["_hit_key"]), "left")
     between = F.split(docs["text"], ANY, -1)
