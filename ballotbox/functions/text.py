@@ -1,9 +1,10 @@
 """Document text functions (D1-D5) as Spark Column expressions.
 
 All work is JVM-side with higher-order array functions over the lines of each
-whole text (``split`` on newline, ``transform``, ``filter``,
-``array_position``, ``slice``); no Python runs per row. Lines are split on
-``\\n``; "strip" removes ASCII whitespace at both ends of a line.
+whole text (``split`` at line ends, ``transform``, ``filter``,
+``array_position``, ``slice``); no Python runs per row. Lines end at any line
+end (``\\r\\n``, ``\\r`` and the Unicode ones too); "strip" removes Unicode
+white space at both ends of a line.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ WIDTH = 220
 HEADING = "# "
 ELLIPSIS = "..."
 ROOT_SECTION = "Repository"
-WS = "[ \\t\\n\\r\\f\\x0B]"
+WS = "[\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+LINE_END = "\\r\\n|[\\n-\\r\\x1c-\\x1e\\x85\\u2028\\u2029]"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -33,7 +35,7 @@ def strip(c: ColumnOrName) -> Column:
 
 
 def lines_of(c: ColumnOrName) -> Column:
-    return F.split(_col(c), "\n", -1)
+    return F.split(_col(c), LINE_END, -1)
 
 
 def let(value: Column, fn) -> Column:

@@ -48,5 +48,5 @@ def search(docs: DataFrame, query: str, content: str = "content", path: str = "r
     scored = docs.select("*", X.section(path).alias("section"), r.alias("_r")).where(F.col("_r.score") > 0)
     out = scored.select(*docs.columns, "section", "_r.title", "_r.summary", "_r.score",
                         X.snippet(content, terms).alias("snippet"))
-    out = out.orderBy(F.desc("score"), "section", F.lower("title"), path)
+    out = out.orderBy(F.desc("score"), "section", F.lower("title"), F.lower(path))
     return out.limit(limit) if limit else out

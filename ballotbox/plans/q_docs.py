@@ -10,7 +10,8 @@ from ballotbox.plans.registry import register
 
 SEARCH_QUERY = "  The DE  "
 TERMS = ["the", "de"]         # of that query, for the oracle
-_WS = "[ \\t\\n\\r\\f\\x0B]"
+_WS = "[\\t-\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+_LINES = "string_split_regex(content, '\\r\\n|[\\n-\\r\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]')"
 # Text after '# ' on the first stripped heading line (NULL when there is none).
 HEADING_TEXT_SQL = "substr(list_filter(s, lambda x: starts_with(x, '# '))[1], 3)"
 
@@ -37,7 +38,7 @@ def _section(p: str) -> str:
 
 
 def _index_sql() -> str:
-    lines = f"list_transform(string_split(content, chr(10)), lambda x: {_strip('x')})"
+    lines = f"list_transform({_LINES}, lambda x: {_strip('x')})"
     return (
         f"with d as (select doc_id, rel_path, content, {lines} as s from ({standins.doc_table_sql()}) t),"
         f" h as (select *, coalesce(list_position(list_transform(s, lambda x: starts_with(x, '# ')), true), 0) as h"
@@ -92,7 +93,7 @@ def _score_sql(terms: list[str]) -> str:
 
 def _snippet_sql(terms: list[str]) -> str:
     hit = " or ".join(f"contains(lower(x), '{t}')" for t in terms)
-    lines = "string_split(content, chr(10))"
+    lines = _LINES
     idx = f"coalesce(list_position(list_transform({lines}, lambda x: {hit}), true), 0)"
     window = (f"case when {idx} > 0 then list_slice({lines}, greatest({idx} - 1, 1), least({idx} + 1, len({lines})))"
               f" else {lines} end")
@@ -112,7 +113,7 @@ def doc_search(spark, sf_dir):
 @register("doc_search_top10", "D4", lambda: (
     f"select doc_id, section, title, score, snippet from (select *, {_score_sql(TERMS)}"
     f" as score, {_snippet_sql(TERMS)} as snippet from ({_index_sql()}) i) s"
-    f" where score > 0 order by score desc, section, lower(title), rel_path limit 10"))
+    f" where score > 0 order by score desc, section, lower(title), lower(rel_path) limit 10"))
 def doc_search_top10(spark, sf_dir):
     # Top-k is the feature here: a distributed TakeOrderedAndProject, no global sort.
     return docsearch.search(standins.doc_table(spark, sf_dir), SEARCH_QUERY, limit=10).select(

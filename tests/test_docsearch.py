@@ -5,8 +5,6 @@ import pytest
 from ballotbox.functions import text as X
 from ballotbox.operators import docsearch
 
-WS = " \t\n\r\f\x0b"
-
 
 def py_cut(s, width=220):
     if len(s) <= width:
@@ -18,15 +16,15 @@ def py_cut(s, width=220):
 
 
 def py_title(text, fallback):
-    for line in text.split("\n"):
-        s = line.strip(WS)
+    for line in text.splitlines():
+        s = line.strip()
         if s.startswith("# "):
-            return s[2:].strip(WS)
+            return s[2:].strip()
     return fallback
 
 
 def py_summary(text):
-    lines = [x.strip(WS) for x in text.split("\n")]
+    lines = [x.strip() for x in text.splitlines()]
     heads = [i for i, s in enumerate(lines) if s.startswith("# ")]
     if not heads:
         return ""
@@ -43,10 +41,10 @@ def py_summary(text):
 
 
 def py_snippet(text, terms):
-    lines = text.split("\n")
+    lines = text.splitlines()
     hit = [i for i, x in enumerate(lines) if any(t in x.lower() for t in terms)]
     window = lines[max(0, hit[0] - 1): hit[0] + 2] if hit else lines
-    return py_cut(" ".join(x.strip(WS) for x in window if x.strip(WS)))
+    return py_cut(" ".join(x.strip() for x in window if x.strip()))
 
 
 def py_score(title, summary, content, terms):
@@ -66,6 +64,8 @@ DOCS = [
     "# \nfoo",
     "",
     "# T\n   \n\t\nbody line\n",
+    "# A\u00a0\r\r\u2003body de\u2028next\x85\r\n\r\nlast",
+    "one\r# Two\x0bthe end\x0c# Three",
     "intro\n# Later heading\n\nThe para mentions THE word and de\nnext\n\nlast",
 ]
 
