@@ -19,11 +19,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, share: int = 1) -> DataFrame:
     """Write below the shared scratch folder and read again: what follows starts
-    from files that survive a lost executor, and nothing above runs twice."""
+    from files that survive a lost executor, and nothing above runs twice.
+    ``share``: results so many times smaller than the shuffled input go into so
+    many times fewer files than there are shuffle partitions."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if share > 1:
+        df = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // share))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ballotbox.llm.common import materialize
 
 ROUNDS = 100
+SHARE = 32          # links are far fewer than what they were found in
 
 
 def _largest_first(links: DataFrame) -> DataFrame:
@@ -22,7 +23,7 @@ def _largest_first(links: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """``links`` (a, b: long) -> node, component for every node with a link to another."""
-    links = materialize(_largest_first(links).distinct(), "links")
+    links = materialize(_largest_first(links).distinct(), "links", SHARE)
     seen = None
     for _ in range(ROUNDS):
         # large star: larger neighbours of u go to the least of u and its neighbours
@@ -30,11 +31,11 @@ def components(links: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = _largest_first(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         # small star: u and its smaller neighbours go to the least of them
-        large = materialize(large.distinct(), "links")
+        large = materialize(large.distinct(), "links", SHARE)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(least.select("a", F.col("m").alias("b"))))
-        links = materialize(_largest_first(small).distinct(), "links")
+        links = materialize(_largest_first(small).distinct(), "links", SHARE)
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == seen:
             return (links.select(F.col("a").alias("node"), F.col("b").alias("component"))

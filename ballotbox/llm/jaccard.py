@@ -1,26 +1,29 @@
 """N-gram Jaccard join with a token-group matrix.
 
 Documents are sets of distinct word n-grams (64-bit hashes). Equal sets are one
-class, known by a digest and named by its least doc_id. In a fixed order of the
-tokens, frequent ones last and otherwise by hash, two sets within the threshold
-share at least ``SHARED`` tokens of their prefixes (prefix: all but the tokens
-that every partner must share, and ``SHARED`` more), so the prefixes are all
-that is joined.
-
-1. Classes are partitioned into groups by each of their first ``STARS`` tokens;
-   every member is compared with the group's least member. What links is one
-   component: its pairs are not looked at again, so a large group of near copies
-   costs one comparison for each member.
+class, known by a digest and named by its least doc_id. Candidates come from
+prefixes of the sets in the order of the hashes: a set's prefix leaves out what
+every partner must share, but for ``shared(size)`` tokens, so two sets within
+the threshold have that many of the smaller one's tokens in both prefixes. A
+token in one prefix only finds nobody and is dropped. Of the others each set
+drops its most frequent ones, one less than the least number it shares with any
+partner: the least frequent shared token stays on both sides. So a passage that
+many documents carry makes no candidates, and none is lost.
+
+1. Classes are partitioned into groups by each of their first ``STARS`` tokens
+   left; every member is compared with the group's least member. What links is
+   one component: its pairs are not looked at again, so a large group of near
+   copies costs one comparison for each member.
 2. The token-group matrix holds, for every component, the union of its members'
-   prefix tokens with the range of their sizes. A query class meets the other
-   components' rows token by token; the shared tokens bound its overlap with any
-   member. Only components that reach ``SHARED`` tokens (and sizes that can
-   reach the threshold) are opened, and their members compared.
+   tokens with the range of their sizes. A query class meets the other
+   components' rows token by token; no token shared, or sizes that cannot reach
+   the threshold, bound the similarity with any member below it. Only the other
+   components are opened, and their members compared.
 
-Comparisons intersect whole sets, exactly. Sets are made again from the texts of
-the classes that have a candidate. The order of tokens only decides how much
-work there is: the frequent ones come from counts per task, ``FREQUENT`` tokens
-at most.
+Comparisons intersect whole sets, exactly, made again from the texts of the
+classes that have a candidate. Tokens in one of a hundred classes or more
+(found per slice, so a bounded list) take no part in the shuffle that counts
+tokens; they count as the most frequent.
 
 Defined cases. NULL text or no words: empty set, no links. Fewer words than n:
 the whole sequence is one token. NULL doc_id: n_shingles only, no links and a
@@ -35,49 +38,66 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ballotbox.llm.common import materialize, pieces, text_key
 from ballotbox.llm.components import components
+from ballotbox.llm.suffixes import hashes, sums
 
 N, PERCENT = 4, 85
-SHARED = 3
+SHARED = 3                  # tokens that prefixes share at least (a twentieth of the set if that is more)
 STARS = 2
-FREQUENT = 200_000
-FREQUENT_FROM = 32          # documents
+HOT_SHARE = 100             # a token in one of so many classes is hot
+MOST = 1 << 30              # what a hot token counts as
+RUN = 1 << 16               # rows up to which a token's are counted
 CHUNK = 2_000               # members compared with one leader in a task
-
-
-class _Words(dict):
-    """Word -> hash; starts anew when it has grown large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_words = _Words()
-
-
-def shingles(text: str | None, n: int = N) -> np.ndarray:
-    """Sorted distinct token hashes (int64). Bytes lower-case A-Z only and split at
-    the six white-space bytes of the word pattern."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.int64)
-    w = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    size = min(n, len(w))
-    h = np.full(len(w) - size + 1, size, np.uint64)
-    with np.errstate(over="ignore"):
+PART = 4 << 20              # bytes hashed at a time
+
+_space = np.zeros(256, dtype=bool)
+_space[[32, 9, 10, 11, 12, 13]] = True
+
+
+def word_hashes(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of all parts in one pass over their bytes, and where each
+    part's words start and end. Words lie between the six white-space bytes of the
+    word pattern."""
+    b = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
+    offsets = np.cumsum([0, *(len(p) + 1 for p in parts)])[:-1]
+    blank = _space[b]
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if not blank[0]:
+        edge = np.concatenate([[0], edge])
+    start, stop = edge[0::2], edge[1::2]
+    first = np.searchsorted(start, offsets)
+    out, i = np.empty(len(start), np.uint64), 0
+    while i < len(start):           # a very long text goes in parts, cut between words
+        j = max(i + 1, int(np.searchsorted(stop, start[i] + PART, "right")))
+        at = start[i]
+        out[i:j] = hashes(sums(b[at:stop[j - 1]]), start[i:j] - at, stop[i:j] - at)
+        i = j
+    return out, first, np.append(first[1:], len(start))
+
+
+def shingle_sets(texts: list[str | None], n: int = N) -> list[np.ndarray]:
+    """Sorted distinct token hashes (int64) of each text, lower-cased A-Z only."""
+    w, first, last = word_hashes([(t or "").encode("utf-8", "surrogatepass").lower() for t in texts])
+
+    def folded(words: np.ndarray, size: int) -> np.ndarray:
+        h = np.full(max(0, len(words) - size + 1), size, np.uint64)
         for k in range(size):
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + w[k:len(w) - size + 1 + k]
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + words[k:len(words) - size + 1 + k]
         h = (h ^ (h >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
-        h ^= h >> np.uint64(31)
-    return np.unique(h.view(np.int64))
+        return (h ^ (h >> np.uint64(31))).view(np.int64)
+
+    every, out = folded(w, n), []
+    for a, z in zip(first.tolist(), last.tolist()):
+        if z - a >= n:
+            out.append(np.unique(every[a:z - n + 1]))
+        else:
+            out.append(folded(w[a:z], z - a) if z > a else np.empty(0, np.int64))
+    return out
 
 
 def digest(tokens: np.ndarray) -> bytes:
@@ -89,14 +109,13 @@ def least_shared(size: int, percent: int = PERCENT) -> int:
     return -(-percent * size // 100)
 
 
-def prefix(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    must = least_shared(len(tokens), percent)
-    length = len(tokens) - must + min(SHARED, must)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        often = frequent[at] == tokens
-        tokens = np.concatenate([tokens[~often], tokens[often]])
-    return tokens[:length]
+def shared(size: int, percent: int = PERCENT) -> int:
+    """Of those, the ones to be found in both prefixes (of the smaller set)."""
+    return min(least_shared(size, percent), max(SHARED, -(-size // 20)))
+
+
+def prefix(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    return tokens[:len(tokens) - least_shared(len(tokens), percent) + shared(len(tokens), percent)]
 
 
 def alike(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -106,75 +125,148 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def _frequent(docs: DataFrame, n: int) -> np.ndarray:
-    """The most frequent tokens, sorted: those met in several texts of one slice,
-    summed over all slices."""
-    def count(batches):
-        for batch in pieces(batches):
-            sets = [shingles(t, n) for t in batch.column("text").to_pylist()]
-            tokens, times = np.unique(np.concatenate(sets), return_counts=True) if sets else ((), ())
-            often = np.flatnonzero(np.asarray(times) > 2)
-            if len(often):
-                yield pa.RecordBatch.from_arrays([pa.array(tokens[often]), pa.array(times[often])], names=["token", "n"])
-
-    sums = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = sums.filter(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "token").limit(FREQUENT)
-    return np.sort(np.array([r[0] for r in top.select("token").collect()], dtype=np.int64))
+def _members(docs: DataFrame, n: int) -> DataFrame:
+    """doc_id, txt_key, size, digest of every row."""
+    def rows(batches):
+        for batch in pieces(batches, 2 << 20):
+            sets = shingle_sets(batch.column("text").to_pylist(), n)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("txt_key"), pa.array(map(len, sets), pa.int64()),
+                 pa.array([digest(s) for s in sets], pa.binary())], names=["doc_id", "txt_key", "size", "digest"])
 
+    return docs.mapInArrow(rows, "doc_id long, txt_key long, size long, digest binary")
 
-def _sets(docs: DataFrame, frequent: np.ndarray, n: int, percent: int) -> DataFrame:
-    """doc_id, txt_key, size, digest, prefix."""
-    holder = docs.sparkSession.sparkContext.broadcast(frequent)     # FREQUENT longs at most
-    names = ["doc_id", "txt_key", "size", "digest", "prefix"]
 
+def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """digest, node (least doc_id), size, prefix of every distinct set."""
     def rows(batches):
-        often = holder.value
-        for batch in pieces(batches):
-            sets = [shingles(t, n) for t in batch.column("text").to_pylist()]
+        for batch in pieces(batches, 2 << 20):
+            sets = shingle_sets(batch.column("text").to_pylist(), n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("txt_key"), pa.array(map(len, sets), pa.int64()),
-                 pa.array([digest(s) for s in sets], pa.binary()),
-                 pa.array([prefix(s, often, percent) for s in sets], pa.list_(pa.int64()))], names=names)
+                [batch.column("doc_id"), pa.array(map(len, sets), pa.int64()), pa.array([digest(s) for s in sets], pa.binary()),
+                 pa.array([prefix(s, percent) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "size", "digest", "prefix"])
 
-    return docs.mapInArrow(rows, "doc_id long, txt_key long, size long, digest binary, prefix array<bigint>")
+    found = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(
+        rows, "doc_id long, size long, digest binary, prefix array<bigint>").filter("size > 0")
+    return found.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """node, tokens of the classes in ``wanted`` (node, digest)."""
-    joined = docs.join(wanted, docs["doc_id"] == wanted["node"]).select("node", "digest", "text")
+def _hot(classes: DataFrame) -> np.ndarray:
+    """Tokens in at least one of ``HOT_SHARE`` classes of some slice and of one of
+    twice as many overall, sorted: at most 2 x ``HOT_SHARE`` prefixes' worth."""
+    def count(batches):
+        for batch in batches:
+            tokens, n = np.unique(batch.column("prefix").flatten().to_numpy(), return_counts=True)
+            often = n * HOT_SHARE >= max(batch.num_rows, 10 * HOT_SHARE)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[often]), pa.array(n[often])], names=["token", "n"])
+
+    least = classes.count() / (2 * HOT_SHARE)
+    found = (classes.select("prefix").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+             .filter(F.col("n") >= least).select("token").collect())
+    return np.sort(np.array([r[0] for r in found], dtype=np.int64))
+
+
+def _tokens(classes: DataFrame, percent: int) -> DataFrame:
+    """token, node, size of the prefix tokens by which candidates are found."""
+    holder = classes.sparkSession.sparkContext.broadcast(_hot(classes))
+
+    def split(batches):
+        hot = holder.value
+        for batch in batches:
+            lists = batch.column("prefix")
+            tokens, of = lists.flatten().to_numpy(), np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            is_hot = np.zeros(len(tokens), bool)
+            if len(hot):
+                is_hot = hot[np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)] == tokens
+            for start in range(0, len(tokens), 1 << 18):
+                part = slice(start, start + (1 << 18))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tokens[part]), pa.array(batch.column("node").to_numpy()[of[part]]),
+                     pa.array(batch.column("size").to_numpy()[of[part]]), pa.array(is_hot[part])], names=["token", "node", "size", "hot"])
+
+    def counted(batches):
+        """Rows in order of the token: those whose token comes again, with its number
+        of rows (up to ``RUN``, so that a long run needs no more memory)."""
+        most, held, size, going = RUN, [], 0, None       # going: a token whose first rows are out already
+
+        def done(rows, last):
+            nonlocal going
+            token = rows.column("token").to_numpy()
+            cut = np.flatnonzero(token[1:] != token[:-1]) + 1
+            start, stop = np.concatenate([[0], cut]), np.concatenate([cut, [len(token)]])
+            ready = len(token) if last or len(start) == 1 else start[-1]     # the last run may go on
+            n = np.repeat(stop - start, stop - start)
+            n[token == going] = most
+            going = token[0] if len(start) == 1 else None
+            again = np.flatnonzero((n > 1)[:ready])
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(token[again]), pa.array(rows.column("node").to_numpy()[again]), pa.array(rows.column("size").to_numpy()[again]),
+                 pa.array(np.minimum(n[again], most))], names=["token", "node", "size", "often"])
+            return out, rows.slice(ready) if ready < len(token) else None
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= 4 * most:
+                out, rest = done(pa.Table.from_batches(held), False)
+                yield out
+                held = rest.to_batches() if rest is not None else []
+                size = sum(b.num_rows for b in held)
+        if size:
+            yield done(pa.Table.from_batches(held), True)[0]
+
+    rows = classes.select("node", "size", "prefix").mapInArrow(split, "token long, node long, size long, hot boolean")
+    cold = (rows.filter("NOT hot").select("token", "node", "size").repartition("token").sortWithinPartitions("token")
+            .mapInArrow(counted, "token long, node long, size long, often long"))
+    every = cold.union(rows.filter("hot").select("token", "node", "size", F.lit(MOST).cast("long")))
+    size = F.ceil(F.col("size") * percent / 100)        # of the smallest partner
+    least = F.least(F.ceil(size * percent / 100), F.greatest(F.lit(SHARED), F.ceil(size / 20)))
+    order = Window.partitionBy("node", "size").orderBy(F.desc("often"), F.desc("token"))
+    return (every.withColumn("at", F.row_number().over(order)).filter(F.col("at") >= least).select("token", "node", "size"))
+
+
+def _texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """node, packed (text) of the classes in ``wanted`` (node, digest). A packed text
+    is a third of its set of hashes, so texts travel and sets are made where they
+    are compared."""
+    def packed(batches):
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in pieces(batches, 4 << 20):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([press.compress((t or "").encode("utf-8", "surrogatepass"))
+                                                   for t in batch.column("text").to_pylist()], pa.binary())], names=["doc_id", "packed"])
+
+    small = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(packed, "doc_id long, packed binary")
+    joined = small.join(wanted, small["doc_id"] == wanted["node"]).select("node", "digest", "packed")
 
     def rows(batches):
-        for batch in pieces(batches):
-            out = []
-            for node, want, text in zip(*(batch.column(c).to_pylist() for c in ("node", "digest", "text"))):
-                tokens = shingles(text, n)
-                if digest(tokens) == want:
-                    out.append((node, tokens))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()),
-                                                  pa.array([t for _, t in out], pa.list_(pa.int64()))], names=["node", "tokens"])
+        for batch in pieces(batches, 1 << 20, column="packed"):
+            right = [digest(s) == want for s, want in zip(_unpacked(batch, n), batch.column("digest").to_pylist())]
+            yield batch.select(["node", "packed"]).filter(pa.array(right, pa.bool_()))
+
+    return joined.mapInArrow(rows, "node long, packed binary")
 
-    return joined.mapInArrow(rows, "node long, tokens array<bigint>")
 
+def _unpacked(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
+    press = zstandard.ZstdDecompressor()
+    return shingle_sets([press.decompress(p).decode("utf-8", "surrogatepass") for p in batch.column("packed").to_pylist()], n)
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link. The set of ``a`` goes once to each chunk of its
+
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link. The text of ``a`` goes once to each chunk of its
     partners, so an ``a`` with very many partners is many tasks' work."""
     chunks = pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    leaders = (chunks.join(sets, chunks["a"] == sets["node"])
+    leaders = (chunks.join(texts, chunks["a"] == texts["node"])
                .select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
-                       F.lit(None).cast("long").alias("b"), "tokens"))
+                       F.lit(None).cast("long").alias("b"), "packed"))
     members = (pairs.join(chunks, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")))
-               .join(sets, F.col("b") == sets["node"]).select("a", "chunk", "b", "tokens"))
+               .join(texts, F.col("b") == texts["node"]).select("a", "chunk", "b", "packed"))
 
     def rows(batches):
         name, held = None, []
-        for batch in batches:
+        for batch in pieces(batches, 1 << 20, column="packed"):
             out = []
-            tokens = batch.column("tokens")
-            values, ends = tokens.flatten().to_numpy(), np.concatenate([[0], np.cumsum(tokens.value_lengths().to_numpy())])
-            for k, (a, chunk, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "chunk", "b")))):
-                own = values[ends[k]:ends[k + 1]]
+            for a, chunk, b, own in zip(*(batch.column(c).to_pylist() for c in ("a", "chunk", "b")), _unpacked(batch, n)):
                 if name != (a, chunk):
                     name, held = (a, chunk), []
                 if b is None:
@@ -195,60 +287,43 @@ def _fits(a: str, b: str, percent: int):
 def groups(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """doc_id, txt_key, n_shingles, component_id of every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("txt_key", text_key(F.col("text")))
-    sets = materialize(_sets(docs, _frequent(docs, n), n, percent), "jaccard-sets")
-    usable = sets.filter("doc_id IS NOT NULL AND size > 0")
-    classes = materialize(usable.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("size").alias("size"),
-                                                       F.first("prefix").alias("prefix")), "jaccard-classes")
+    members = materialize(_members(docs, n), "jaccard-members")
+    classes = materialize(_classes(docs, n, percent), "jaccard-classes", 3)
+    tokens = materialize(_tokens(classes, percent), "jaccard-tokens", 4)
 
     # 1. stars
-    first = [classes.filter(F.size("prefix") > i).select(F.col("prefix")[i].alias("token"), "node", "size") for i in range(STARS)]
-    stars = []
-    for members in first:
-        least = members.groupBy("token").agg(F.min(F.struct("node", "size")).alias("l"), F.count("*").alias("n")).filter("n > 1")
-        stars.append(members.join(least, "token").select(F.col("l.node").alias("a"), F.col("l.size").alias("a_size"),
-                                                         F.col("node").alias("b"), F.col("size").alias("b_size")))
-    pairs = stars[0]
-    for more in stars[1:]:
-        pairs = pairs.union(more)
-    pairs = materialize(pairs.filter((F.col("a") != F.col("b")) & _fits("a_size", "b_size", percent)).select("a", "b").distinct(),
-                        "jaccard-stars")
-
-    # classes with a prefix token that another class has too
-    tokens = classes.select("node", "size", F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("token")
-    met = materialize(tokens.join(shared, "token"), "jaccard-tokens")
-    met_nodes = met.groupBy("node").agg(F.countDistinct("token").alias("n")).select("node")
-    wanted = classes.select("node", "digest").join(
-        met_nodes.union(pairs.select("a")).union(pairs.select("b")).distinct(), "node")
-    whole = materialize(_whole_sets(docs, wanted, n), "jaccard-whole")
-    links = materialize(_verified(pairs, whole, percent), "jaccard-links")
+    order = Window.partitionBy("node").orderBy("token")
+    first = tokens.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= STARS)
+    least = first.groupBy("at", "token").agg(F.min(F.struct("node", "size")).alias("l"), F.count("*").alias("n")).filter("n > 1")
+    pairs = materialize(first.join(least, ["at", "token"])
+                 .select(F.col("l.node").alias("a"), F.col("l.size").alias("a_size"), F.col("node").alias("b"), F.col("size").alias("b_size"))
+                 .filter((F.col("a") != F.col("b")) & _fits("a_size", "b_size", percent)).select("a", "b").distinct(), "jaccard-stars", 16)
+    wanted = classes.select("node", "digest").join(tokens.select("node").distinct(), "node")
+    texts = materialize(_texts(docs, wanted, n), "jaccard-texts", 3)
+    links = materialize(_verified(pairs, texts, n, percent), "jaccard-links", 4)
 
     # 2. the token-group matrix over the components so far
     tree = components(links)
-    in_group = (met.join(tree, "node", "left").select("token", "node", "size", F.coalesce("component", "node").alias("grp")))
-    in_group = materialize(in_group, "jaccard-grouped")
-    matrix = in_group.groupBy("token", "grp").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    grouped = materialize(tokens.join(tree, "node", "left").select("token", "node", "size", F.coalesce("component", "node").alias("grp")),
+                          "jaccard-grouped", 8)
+    matrix = grouped.groupBy("token", "grp").agg(F.min("size").alias("least"), F.max("size").alias("most"))
     several = matrix.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
-    queries = in_group.join(several, "token")
+    queries = materialize(grouped.join(several, "token"), "jaccard-queries", 8)
     # the larger group number asks: every pair of groups is looked at from one side
-    bound = (queries.withColumnRenamed("grp", "own")
-             .join(matrix, "token").filter((F.col("own") > F.col("grp")) & (F.col("size") * 100 >= F.col("least") * percent)
-                                           & (F.col("most") * 100 >= F.col("size") * percent))
-             .groupBy("node", "size", "grp").agg(F.count("*").alias("n"))
-             .filter(F.col("n") >= F.least(F.lit(SHARED), F.ceil(F.col("size") * percent / 100))))
-    opened = materialize(bound.select(F.col("node").alias("q"), F.col("size").alias("q_size"), "grp"), "jaccard-opened")
+    opened = materialize(queries.withColumnRenamed("grp", "own").join(matrix, "token")
+                  .filter((F.col("own") > F.col("grp")) & (F.col("size") * 100 >= F.col("least") * percent)
+                          & (F.col("most") * 100 >= F.col("size") * percent))
+                  .select(F.col("node").alias("q"), F.col("size").alias("q_size"), "grp").distinct(), "jaccard-opened", 16)
     asks = queries.select("token", F.col("node").alias("q")).join(opened, "q")
-    members = queries.select("token", "grp", F.col("node").alias("x"), F.col("size").alias("x_size"))
-    second = (asks.join(members, ["token", "grp"]).filter(_fits("q_size", "x_size", percent))
-              .groupBy("q", "x", "q_size").agg(F.count("*").alias("n"))
-              .filter(F.col("n") >= F.least(F.lit(SHARED), F.ceil(F.col("q_size") * percent / 100)))
-              .select(F.col("q").alias("a"), F.col("x").alias("b")))
-    more = _verified(materialize(second, "jaccard-pairs"), whole, percent)
+    inside = queries.select("token", "grp", F.col("node").alias("x"), F.col("size").alias("x_size"))
+    second = materialize(asks.join(inside, ["token", "grp"]).filter(_fits("q_size", "x_size", percent))
+                  .select(F.col("q").alias("a"), F.col("x").alias("b")).distinct(), "jaccard-pairs", 16)
+    more = materialize(_verified(second, texts, n, percent), "jaccard-more", 4)
     # rows that share a doc_id, and equal sets, are linked through their classes
-    same = usable.join(classes.select("digest", "node"), "digest").filter("doc_id <> node").select(
+    same = members.filter("size > 0").join(classes.select("digest", "node"), "digest").filter("doc_id <> node").select(
         F.col("node").alias("a"), F.col("doc_id").alias("b"))
     tree = components(links.union(more).union(same))
-    return (sets.join(tree, sets["doc_id"] == tree["node"], "left")
+    return (members.join(tree, members["doc_id"] == tree["node"], "left")
             .select("doc_id", "txt_key", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
 
 

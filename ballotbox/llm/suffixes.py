@@ -38,11 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ballotbox.llm.common import materialize, pieces
+from ballotbox.llm.common import keep, materialize, pieces
 
 LENGTH, GRAM = 200, 40
 BATCHES = 4
 CONTEXTS = 4_000
+SHARE = 3                   # what is written is a small part of the bytes it stands for
 PART = 1 << 20              # bytes of a long text worked on at a time
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -71,22 +72,22 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _sums(b: np.ndarray) -> np.ndarray:
+def sums(b: np.ndarray) -> np.ndarray:
     """Prefix sums from which the hash of any substring follows."""
     _powers.to(len(b) + 1)
     return np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[b] * _powers.up[:len(b)], dtype=np.uint64)])
 
 
-def _hashes(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    return _mix((sums[stop] - sums[start]) * _powers.down[start])
+def hashes(prefix: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    return _mix((prefix[stop] - prefix[start]) * _powers.down[start])
 
 
 def windows(b: np.ndarray) -> np.ndarray:
     """Hash of every window."""
     if len(b) < LENGTH:
         return np.empty(0, np.uint64)
-    sums = _sums(b)
-    return _mix((sums[LENGTH:] - sums[:-LENGTH]) * _powers.down[:len(b) - LENGTH + 1])
+    upto = sums(b)
+    return _mix((upto[LENGTH:] - upto[:-LENGTH]) * _powers.down[:len(b) - LENGTH + 1])
 
 
 def _leftmost_least(h: np.ndarray, width: int) -> np.ndarray:
@@ -112,12 +113,12 @@ def runs(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
         part = b[at:at + PART + LENGTH - 1]
         if len(part) < LENGTH:
             break
-        sums = _sums(part)
-        grams = _mix((sums[GRAM:] - sums[:-GRAM]) * _powers.down[:len(part) - GRAM + 1])
+        upto = sums(part)
+        grams = _mix((upto[GRAM:] - upto[:-GRAM]) * _powers.down[:len(part) - GRAM + 1])
         place = _leftmost_least(grams, LENGTH - GRAM + 1)
         cut = np.flatnonzero(place[1:] != place[:-1]) + 1
         first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(place)]]) - 1
-        out.append((grams[place[first]], _hashes(sums, first, last + LENGTH), first + at, last + at))
+        out.append((grams[place[first]], hashes(upto, first, last + LENGTH), first + at, last + at))
     if not out:
         return (np.empty(0, np.uint64),) * 2 + (np.empty(0, np.int64),) * 2
     return tuple(np.concatenate(c) for c in zip(*out))
@@ -150,7 +151,7 @@ class Levels:
                    .select("anchor", (F.col("fresh") + F.col("kept")).alias("n"),
                            ((F.col("fresh") > 0) & (F.col("fresh") + F.col("old") > 1)).alias("match"))
                    .sortWithinPartitions("anchor"))
-        level = materialize(scanned, f"suffix-level-{rank}")
+        level = materialize(scanned, f"suffix-level-{rank}", SHARE)
         self.levels[rank] = level.select("anchor", "n")
         return level.filter("match").select("anchor")
 
@@ -159,7 +160,7 @@ def _anchors(docs: DataFrame) -> DataFrame:
     names = ["anchor", "context", "row", "n"]
 
     def rows(batches):
-        for batch in pieces(batches):
+        for batch in pieces(batches, 2 << 20):
             out = []
             for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist()):
                 anchor, context, _, _ = runs(np.frombuffer(_bytes(text), np.uint8))
@@ -210,7 +211,7 @@ def _settle(docs: DataFrame) -> DataFrame:
     names = [c.split()[0] for c in DONE.split(", ")] + ["row", "text", "settled", "contexts"]
 
     def rows(batches):
-        for batch in pieces(batches, 4 << 20):
+        for batch in pieces(batches, 1 << 20):
             out = []
             for doc_id, row, text, found in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text", "found"))):
                 b = _bytes(text)
@@ -285,7 +286,7 @@ def _compared(contexts: DataFrame) -> DataFrame:
     near = (sized.filter(F.col("held") <= CONTEXTS).select(*columns).repartition("anchor").sortWithinPartitions("anchor")
             .mapInArrow(compare, "row long, a long, b long"))
     hot = sized.filter(F.col("held") > CONTEXTS).select(*columns[1:]).mapInArrow(exploded, "h long, row long, open boolean, at long")
-    hot = materialize(hot, "suffix-hot")
+    hot = keep(hot)
     again = hot.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     far = hot.filter("open").join(again, "h").select("row", F.col("at").alias("a"), (F.col("at") + LENGTH).alias("b"))
     return near.union(far)
@@ -301,17 +302,17 @@ def dedup(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     for i in range(batches):
         found = family.add(anchors.filter(F.pmod("row", F.lit(batches)) == i).select("anchor", "n"))
         repeated = found if repeated is None else repeated.union(found)
-    matched = materialize(anchors.join(repeated.distinct(), "anchor"), "suffix-matches")
+    matched = materialize(anchors.join(repeated.distinct(), "anchor"), "suffix-matches", SHARE)
 
     by_context = matched.groupBy("anchor", "context").agg(F.sum("n").alias("places"), F.min("row").alias("example"))
     mixed = (by_context.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("places").alias("least"))
              .select("anchor", ((F.col("kinds") > 1) & (F.col("least") == 1)).alias("mixed")))
-    state = materialize(by_context.join(mixed, "anchor").select("anchor", "context", (F.col("places") > 1).alias("settled"), "example", "mixed")
-                        .filter("settled OR mixed"), "suffix-state")
+    state = (by_context.join(mixed, "anchor").select("anchor", "context", (F.col("places") > 1).alias("settled"), "example", "mixed")
+             .filter("settled OR mixed"))
     lists = (matched.join(state, ["anchor", "context"])
              .groupBy("row").agg(F.collect_set(F.struct("anchor", "context", "settled", (F.col("mixed") & (F.col("row") == F.col("example")))
                                                         .alias("example"))).alias("found")))
-    stage = materialize(_settle(docs.join(lists, "row", "left")), "suffix-stage")
+    stage = materialize(_settle(docs.join(lists, "row", "left")), "suffix-stage", SHARE)
 
     contexts = stage.select("row", F.explode("contexts").alias("c")).select("row", "c.*").dropDuplicates(["anchor", "context"])
     later = _compared(contexts).groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("more"))

@@ -9,7 +9,7 @@ import pytest
 
 from ballotbox.llm import jaccard, rabitq, sentences, suffixes
 from ballotbox.llm.components import components
-from llm.conftest import EDGES, SF
+from llm.conftest import EDGES, LONG, SF
 
 
 def test_components(spark):
@@ -182,8 +182,17 @@ def family(rnd, n, size, edits):
         yield " ".join(copy)
 
 
+def test_long_texts_are_hashed_in_parts(monkeypatch):
+    texts = [LONG, None, "a b", "", "one two three four five", " x" * 500, "y" * 300]
+    want = jaccard.shingle_sets(texts)
+    monkeypatch.setattr(jaccard, "PART", 64)
+    assert all((a == b).all() for a, b in zip(jaccard.shingle_sets(texts), want, strict=True))
+    assert [len(s) for s in want] == [len(token_set(t)) for t in texts]
+
+
 def test_jaccard_groups_with_families_and_a_common_passage(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "CHUNK", 7)
+    monkeypatch.setattr(jaccard, "HOT_SHARE", 20)
     rnd = random.Random(9)
     passage = " ".join(f"p{i}" for i in range(30))
     texts = [t for size, edits in ((100, 4), (200, 7), (60, 3), (300, 12)) for t in family(rnd, 40, size, edits)]
@@ -195,9 +204,10 @@ def test_jaccard_groups_with_families_and_a_common_passage(spark, monkeypatch):
     assert got == brute_groups(rows)
 
 
-@pytest.mark.parametrize("frequent", [32, 2])
-def test_jaccard_groups_of_documents(documents, monkeypatch, frequent):
-    monkeypatch.setattr(jaccard, "FREQUENT_FROM", frequent)
+@pytest.mark.parametrize("hot,run", [(100, 1 << 16), (1, 3)])
+def test_jaccard_groups_of_documents(documents, monkeypatch, hot, run):
+    monkeypatch.setattr(jaccard, "HOT_SHARE", hot)
+    monkeypatch.setattr(jaccard, "RUN", run)
     got = {r[0]: tuple(r[1:]) for r in jaccard.report(documents).collect()}
     assert got == brute_groups([(r.doc_id, r.text) for r in documents.collect()])
 
