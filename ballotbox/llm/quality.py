@@ -23,7 +23,6 @@ long texts are read whole. Other columns are not read (``apply`` keeps them).
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections import Counter
 from functools import lru_cache
@@ -33,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ballotbox.llm.common import WORD, pieces
+from ballotbox.llm.common import pieces
+from ballotbox.llm.jaccard import word_hashes
 
 COMMON = 64
 CLASS_LIMIT = 0.30
@@ -48,7 +48,7 @@ CLASSES = ("lower", "upper", "letter", "digit", "space", "line", "sentence", "ma
 
 UPPER, LETTERS = 1, slice(0, 3)
 
-_words = re.compile(WORD).findall
+_MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _edges = ".,;:!?\"'()[]{}<>|*#$%&-–—…«»¿¡"
 
 
@@ -73,41 +73,40 @@ def class_counts(text: str) -> np.ndarray:
     return np.bincount(_class_table()[codes], minlength=len(CLASSES))
 
 
-def base(text: str | None) -> tuple[int, int, int, int, int, Counter]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, and the words' counts."""
-    if not text:
-        return 0, 0, 0, 0, 0, Counter()
-    words = _words(text)
-    n = len(words)
-    lines = [line for line in text.split("\n") if line.strip(SPACES)]
-    counts = Counter(words)
-    repeated = 0
-    if n >= 4 and len(counts) < n:
-        number = dict(zip(counts, range(len(counts))))
-        ids = np.fromiter(map(number.__getitem__, words), np.int64, n)
-        v = len(counts)
-        windows = (ids[:-2] * v + ids[1:-1]) * v + ids[2:]
-        _, which, times = np.unique(windows, return_inverse=True, return_counts=True)
-        twice = np.flatnonzero(times[which] > 1)
-        if len(twice):
-            covered = np.zeros(n, dtype=bool)
-            for k in range(3):
-                covered[twice + k] = True
-            repeated = int(covered.sum())
-    return (n, len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)),
-            repeated, counts)
+def base(texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
+    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each text."""
+    hashes, first, last = word_hashes([(t or "").encode("utf-8", "surrogatepass") for t in texts])
+    # three words as one number; a window that reaches into the next text is cut off below
+    triple = (hashes[:-2] * np.uint64(_MIX[0]) + hashes[1:-1]) * np.uint64(_MIX[1]) + hashes[2:] if len(hashes) > 2 else hashes[:0]
+    out = []
+    for text, a, z in zip(texts, first.tolist(), last.tolist()):
+        if not text:
+            out.append((0, 0, 0, 0, 0))
+            continue
+        lines = [line for line in text.split("\n") if line.strip(SPACES)]
+        again = 0
+        if z - a > 3:
+            windows = triple[a:z - 2]
+            order = np.argsort(windows, kind="stable")
+            ranked = windows[order]
+            equal = ranked[1:] == ranked[:-1]
+            if equal.any():
+                twice = order[np.concatenate([equal, [False]]) | np.concatenate([[False], equal])]
+                covered = np.zeros(z - a, dtype=bool)
+                for k in range(3):
+                    covered[twice + k] = True
+                again = int(covered.sum())
+        out.append((z - a, len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), again))
+    return out
 
 
 def base_failed(n_words: int, n_repeat_words: int) -> bool:
     return n_words < 50 or 100 * n_repeat_words > 50 * n_words
 
 
-def plain(counts: Counter) -> Counter:
-    """Counts of words in lower case without punctuation around them."""
-    out: Counter = Counter()
-    for w, n in counts.items():
-        out[w.lower().strip(_edges)] += n
-    return out
+def plain(word: bytes) -> str:
+    """A word in lower case without punctuation around it."""
+    return word.decode("utf-8", "surrogatepass").lower().strip(_edges)
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> float:
@@ -132,13 +131,16 @@ def references(docs: DataFrame, common: int = COMMON) -> list[tuple]:
             out = []
             for lang, (classes, words) in held.items():
                 out += [(lang, "class", name, int(n)) for name, n in zip(CLASSES, classes)]
-                out += [(lang, "word", w, n) for w, n in words.items()]
+                even: Counter = Counter()
+                for w, n in words.items():
+                    even[plain(w)] += n
+                out += [(lang, "word", w, n) for w, n in even.items()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
                 pa.string(), pa.string(), pa.string(), pa.int64()))], names=["lang", "kind", "key", "n"])
 
-        for batch in pieces(batches):
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                n, _, symbols, _, again, counts = base(text)
+        for batch in pieces(batches, 2 << 20):
+            texts = batch.column("text").to_pylist()
+            for lang, text, (n, _, symbols, _, again) in zip(batch.column("lang").to_pylist(), texts, base(texts)):
                 if base_failed(n, again) or symbols * 20 > n:
                     continue
                 have = class_counts(text)
@@ -147,7 +149,7 @@ def references(docs: DataFrame, common: int = COMMON) -> list[tuple]:
                 classes, words = held.setdefault(lang, (np.zeros(len(CLASSES), np.int64), Counter()))
                 classes += have
                 before = len(words)
-                words.update(plain(counts))
+                words.update(text.encode("utf-8", "surrogatepass").split())     # at the same six bytes
                 size += len(words) - before
             if size > 400_000:
                 yield rows()
@@ -180,25 +182,42 @@ def references(docs: DataFrame, common: int = COMMON) -> list[tuple]:
     return out
 
 
+class _Places(dict):
+    """Word as written -> its place among the common words of all languages, or 0."""
+
+    def __init__(self, places: dict[str, int]):
+        super().__init__()
+        self.places = places
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        at = self[word] = self.places.get(plain(word), 0)
+        return at
+
+
 class Judge:
     """Distances of a document to the nearest reference."""
 
     def __init__(self, refs: list[tuple]):
         self.refs = refs
-        self.places = [{w: i for i, w in enumerate(words)} for _, _, words, _ in refs]
+        every = sorted({w for _, _, words, _ in refs for w in words})
+        number = {w: i + 1 for i, w in enumerate(every)}
+        self.places = _Places(number)
+        self.most = len(every) + 1
+        self.columns = [np.array([number[w] for w in words], dtype=np.int64) for _, _, words, _ in refs]
 
-    def distances(self, text: str, n_words: int, counts: Counter) -> tuple[float, float]:
+    def distances(self, text: str, n_words: int) -> tuple[float, float]:
         by_class = by_word = 0.0
         if self.refs and len(text) >= LEAST_CHARS:
             have = class_counts(text).astype(float)
             by_class = min(distance(have, ref[1]) for ref in self.refs)
         if self.refs and n_words >= LEAST_WORDS:
-            words = plain(counts)
+            at = np.fromiter(map(self.places.__getitem__, text.encode("utf-8", "surrogatepass").split()), np.int64, n_words)
+            counts = np.bincount(at, minlength=self.most)
             by_word = 1.0
-            for place, ref in zip(self.places, self.refs):
-                have = np.zeros(len(ref[3]))
-                for w in place.keys() & words.keys():
-                    have[place[w]] = words[w]
+            for columns, ref in zip(self.columns, self.refs):
+                have = np.append(counts[columns], 0.0)
                 have[-1] = n_words - have.sum()
                 by_word = min(by_word, distance(have, ref[3]))
         return by_class, by_word
@@ -222,12 +241,11 @@ def judge(docs: DataFrame, refs: list[tuple] | None = None) -> DataFrame:
 
     def rows(batches):
         by = Judge(refs)
-        for batch in pieces(batches):
-            out = []
-            for text in batch.column("text").to_pylist():
-                *numbers, counts = base(text)
+        for batch in pieces(batches, 2 << 20):
+            out, texts = [], batch.column("text").to_pylist()
+            for text, numbers in zip(texts, base(texts)):
                 failed = base_failed(numbers[0], numbers[4])
-                d = by.distances(text, numbers[0], counts) if text else (0.0, 0.0)
+                d = by.distances(text, numbers[0]) if text and not failed else (0.0, 0.0)
                 out.append((*numbers, *d, failed, not failed and accepted(numbers[0], *d)))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept), *(pa.array(c, t) for c, t in zip(zip(*out), types))],
