@@ -71,8 +71,8 @@ def unframe(blob):
 def _file_system(folder: str):
     from pyarrow import fs
 
-    if "://" not in folder and not folder.startswith("file:"):
-        return fs.LocalFileSystem(), folder
+    if "://" not in folder or folder.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(folder)
 
 
