@@ -10,18 +10,17 @@ drops its most frequent ones, one less than the least number it shares with any
 partner: the least frequent shared token stays on both sides. So a passage that
 many documents carry makes no candidates, and none is lost.
 
-1. Classes are partitioned into groups by each of their first ``STARS`` tokens
-   left; every member is compared with the group's least member. What links is
-   one component: its pairs are not looked at again, so a large group of near
-   copies costs one comparison for each member.
-2. The token-group matrix holds, for every component, the union of its members'
-   tokens with the range of their sizes. A query class meets the other
-   components' rows token by token; no token shared, or sizes that cannot reach
-   the threshold, bound the similarity with any member below it. Only the other
-   components are opened, and their members compared.
+1. Classes that share such tokens, directly or over others, are a family; no set
+   has a partner outside its own. A family goes to one task, a large one in
+   blocks that meet pairwise, two blocks to a task.
+2. There the sets are partitioned into groups and each group's token union is
+   stored. A query set's tokens in the union bound its overlap with any member;
+   only groups that reach what the query must share (and whose sizes can reach
+   the threshold) are opened, and the overlaps with all members counted at once.
+   A task gives a spanning forest of the links it finds, never the pairs.
 
 Comparisons intersect whole sets, exactly, made again from the texts of the
-classes that have a candidate. Tokens in one of a hundred classes or more
+classes in families. Tokens in one of a hundred classes or more
 (found per slice, so a bounded list) take no part in the shuffle that counts
 tokens; they count as the most frequent.
 
@@ -48,11 +47,11 @@ from ballotbox.llm.suffixes import hashes, sums
 
 N, PERCENT = 4, 85
 SHARED = 3                  # tokens that prefixes share at least (a twentieth of the set if that is more)
-STARS = 2
 HOT_SHARE = 100             # a token in one of so many classes is hot
 MOST = 1 << 30              # what a hot token counts as
 RUN = 1 << 16               # rows up to which a token's are counted
-CHUNK = 2_000               # members compared with one leader in a task
+BLOCK = 1_000               # sets of a family compared with each other or another block in a task
+GROUP = 64                  # sets whose tokens are united
 PART = 4 << 20              # bytes hashed at a time
 
 _space = np.zeros(256, dtype=bool)
@@ -118,13 +117,6 @@ def prefix(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return tokens[:len(tokens) - least_shared(len(tokens), percent) + shared(len(tokens), percent)]
 
 
-def alike(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    shared = len(a) + len(b) - len(np.union1d(a, b))
-    return 100 * shared >= percent * (len(a) + len(b) - shared)
-
-
 def _members(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, txt_key, size, digest of every row."""
     def rows(batches):
@@ -226,7 +218,7 @@ def _tokens(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """node, packed (text) of the classes in ``wanted`` (node, digest). A packed text
+    """node, packed (text) of the classes in ``wanted`` (node, digest and more). A packed text
     is a third of its set of hashes, so texts travel and sets are made where they
     are compared."""
     def packed(batches):
@@ -237,14 +229,14 @@ def _texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                                                    for t in batch.column("text").to_pylist()], pa.binary())], names=["doc_id", "packed"])
 
     small = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(packed, "doc_id long, packed binary")
-    joined = small.join(wanted, small["doc_id"] == wanted["node"]).select("node", "digest", "packed")
+    joined = small.join(wanted, small["doc_id"] == wanted["node"]).select("node", "digest", "component", "blocks", "packed")
 
     def rows(batches):
         for batch in pieces(batches, 1 << 20, column="packed"):
             right = [digest(s) == want for s, want in zip(_unpacked(batch, n), batch.column("digest").to_pylist())]
-            yield batch.select(["node", "packed"]).filter(pa.array(right, pa.bool_()))
+            yield batch.select(["node", "component", "blocks", "packed"]).filter(pa.array(right, pa.bool_()))
 
-    return joined.mapInArrow(rows, "node long, packed binary")
+    return joined.mapInArrow(rows, "node long, component long, blocks long, packed binary")
 
 
 def _unpacked(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
@@ -252,36 +244,77 @@ def _unpacked(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
     return shingle_sets([press.decompress(p).decode("utf-8", "surrogatepass") for p in batch.column("packed").to_pylist()], n)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link. The text of ``a`` goes once to each chunk of its
-    partners, so an ``a`` with very many partners is many tasks' work."""
-    chunks = pairs.groupBy("a").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    leaders = (chunks.join(texts, chunks["a"] == texts["node"])
-               .select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
-                       F.lit(None).cast("long").alias("b"), "packed"))
-    members = (pairs.join(chunks, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")))
-               .join(texts, F.col("b") == texts["node"]).select("a", "chunk", "b", "packed"))
-
-    def rows(batches):
-        name, held = None, []
+def _forest(sets: list[np.ndarray], nodes: np.ndarray, half: int, percent: int) -> np.ndarray:
+    """Least node that each set of a block reaches by links in it; with ``half``, only
+    links of the first ``half`` sets with the others. The tokens of every group of
+    ``GROUP`` sets are one list, its union with the places they stand in: a set's
+    tokens in the union bound its overlap with any member, and only a group that
+    reaches what the set must share is opened, all its members at once."""
+    label = nodes.copy()
+    sizes = np.array([len(s) for s in sets])
+    start = half or 0
+    for g in range(start, len(sets), GROUP):
+        members = np.arange(g, min(len(sets), g + GROUP))
+        tokens = np.concatenate([sets[m] for m in members])
+        owner = np.repeat(members - g, sizes[members])
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        union, first = np.unique(tokens, return_index=True)
+        last = np.append(first[1:], len(tokens))
+        low, high = sizes[members].min(), sizes[members].max()
+        for x in range(half or int(members[-1])):
+            size = sizes[x]
+            if 100 * size < percent * low or 100 * high < percent * size:
+                continue
+            at = np.minimum(np.searchsorted(union, sets[x]), len(union) - 1)
+            at = at[union[at] == sets[x]]
+            if len(at) < least_shared(size, percent):
+                continue
+            counts = last[at] - first[at]
+            places = np.repeat(first[at] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+            both = np.bincount(owner[places], minlength=len(members))
+            hit = members[100 * both >= percent * (size + sizes[members] - both)]
+            hit = hit[hit != x]
+            if len(hit):
+                found = np.unique(np.append(label[hit], label[x]))
+                if len(found) > 1:
+                    label[np.isin(label, found[1:])] = found[0]
+    return label
+
+
+def _linked(placed: DataFrame, n: int, percent: int) -> DataFrame:
+    """a, b: a spanning forest of the links inside each block or pair of blocks."""
+    key = ["family", "p", "q"]
+
+    def done(rows):
+        own = np.array([r[1] for r in rows])
+        name = rows[0][0]
+        order = np.argsort(own, kind="stable")
+        half = int((own == name[1]).sum()) if name[1] != name[2] else 0
+        if len(rows) < 2 or name[1] != name[2] and half in (0, len(rows)):
+            return None
+        nodes = np.array([rows[i][2] for i in order], dtype=np.int64)
+        press = zstandard.ZstdDecompressor()
+        sets = []
+        for k in range(0, len(order), 256):
+            sets += shingle_sets([press.decompress(rows[i][3]).decode("utf-8", "surrogatepass") for i in order[k:k + 256]], n)
+        root = _forest(sets, nodes, half, percent)
+        some = np.flatnonzero(root != nodes)
+        return pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(root[some])], names=["a", "b"]) if len(some) else None
+
+    def compare(batches):
+        held: list[tuple] = []
         for batch in pieces(batches, 1 << 20, column="packed"):
-            out = []
-            for a, chunk, b, own in zip(*(batch.column(c).to_pylist() for c in ("a", "chunk", "b")), _unpacked(batch, n)):
-                if name != (a, chunk):
-                    name, held = (a, chunk), []
-                if b is None:
-                    held.append(own)
-                elif any(alike(x, own, percent) for x in held):
-                    out.append((a, b))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
-
-    return (leaders.unionByName(members).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.asc_nulls_first("b"))
-            .mapInArrow(rows, "a long, b long"))
-
+            for *name, own, node, packed in zip(*(batch.column(c).to_pylist() for c in (*key, "own", "node", "packed"))):
+                if held and held[0][0] != tuple(name):
+                    if (out := done(held)) is not None:
+                        yield out
+                    held = []
+                held.append((tuple(name), own, node, packed))
+        if held and (out := done(held)) is not None:
+            yield out
 
-def _fits(a: str, b: str, percent: int):
-    return (F.lit(100) * F.col(a) >= F.col(b) * percent) & (F.lit(100) * F.col(b) >= F.col(a) * percent)
+    return placed.repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, "a long, b long")
 
 
 def groups(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -291,38 +324,21 @@ def groups(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     classes = materialize(_classes(docs, n, percent), "jaccard-classes", 3)
     tokens = materialize(_tokens(classes, percent), "jaccard-tokens", 4)
 
-    # 1. stars
-    order = Window.partitionBy("node").orderBy("token")
-    first = tokens.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= STARS)
-    least = first.groupBy("at", "token").agg(F.min(F.struct("node", "size")).alias("l"), F.count("*").alias("n")).filter("n > 1")
-    pairs = materialize(first.join(least, ["at", "token"])
-                 .select(F.col("l.node").alias("a"), F.col("l.size").alias("a_size"), F.col("node").alias("b"), F.col("size").alias("b_size"))
-                 .filter((F.col("a") != F.col("b")) & _fits("a_size", "b_size", percent)).select("a", "b").distinct(), "jaccard-stars", 16)
-    wanted = classes.select("node", "digest").join(tokens.select("node").distinct(), "node")
+    # families: what shares tokens, directly or over others, however long the chain
+    least = tokens.groupBy("token").agg(F.min("node").alias("a"))
+    family = components(tokens.join(least, "token").select("a", F.col("node").alias("b")).distinct())
+    sizes = family.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    wanted = classes.select("node", "digest").join(family, "node").join(sizes, "component").select("node", "digest", "component", "blocks")
     texts = materialize(_texts(docs, wanted, n), "jaccard-texts", 3)
-    links = materialize(_verified(pairs, texts, n, percent), "jaccard-links", 4)
-
-    # 2. the token-group matrix over the components so far
-    tree = components(links)
-    grouped = materialize(tokens.join(tree, "node", "left").select("token", "node", "size", F.coalesce("component", "node").alias("grp")),
-                          "jaccard-grouped", 8)
-    matrix = grouped.groupBy("token", "grp").agg(F.min("size").alias("least"), F.max("size").alias("most"))
-    several = matrix.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
-    queries = materialize(grouped.join(several, "token"), "jaccard-queries", 8)
-    # the larger group number asks: every pair of groups is looked at from one side
-    opened = materialize(queries.withColumnRenamed("grp", "own").join(matrix, "token")
-                  .filter((F.col("own") > F.col("grp")) & (F.col("size") * 100 >= F.col("least") * percent)
-                          & (F.col("most") * 100 >= F.col("size") * percent))
-                  .select(F.col("node").alias("q"), F.col("size").alias("q_size"), "grp").distinct(), "jaccard-opened", 16)
-    asks = queries.select("token", F.col("node").alias("q")).join(opened, "q")
-    inside = queries.select("token", "grp", F.col("node").alias("x"), F.col("size").alias("x_size"))
-    second = materialize(asks.join(inside, ["token", "grp"]).filter(_fits("q_size", "x_size", percent))
-                  .select(F.col("q").alias("a"), F.col("x").alias("b")).distinct(), "jaccard-pairs", 16)
-    more = materialize(_verified(second, texts, n, percent), "jaccard-more", 4)
+    placed = (texts.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .select(F.col("component").alias("family"), F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+                      "own", "node", "packed"))
+    links = materialize(_linked(placed, n, percent), "jaccard-links", 4)
     # rows that share a doc_id, and equal sets, are linked through their classes
     same = members.filter("size > 0").join(classes.select("digest", "node"), "digest").filter("doc_id <> node").select(
         F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    tree = components(links.union(more).union(same))
+    tree = components(links.union(same))
     return (members.join(tree, members["doc_id"] == tree["node"], "left")
             .select("doc_id", "txt_key", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
 

@@ -191,7 +191,8 @@ def test_long_texts_are_hashed_in_parts(monkeypatch):
 
 
 def test_jaccard_groups_with_families_and_a_common_passage(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "CHUNK", 7)
+    monkeypatch.setattr(jaccard, "BLOCK", 17)
+    monkeypatch.setattr(jaccard, "GROUP", 5)
     monkeypatch.setattr(jaccard, "HOT_SHARE", 20)
     rnd = random.Random(9)
     passage = " ".join(f"p{i}" for i in range(30))
