@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
