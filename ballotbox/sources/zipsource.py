@@ -21,7 +21,6 @@ from typing import NamedTuple
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ballotbox import schemas
 from ballotbox.session import list_folder
