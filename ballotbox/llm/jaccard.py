@@ -347,10 +347,10 @@ def report(docs: DataFrame) -> DataFrame:
     return groups(docs).select("doc_id", "n_shingles", "component_id")
 
 
-def apply(docs: DataFrame) -> DataFrame:
+def apply(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """One document of each group stays, the one with the least doc_id (and text
     key); rows without a doc_id stay."""
-    keep = (groups(docs).filter(F.col("doc_id") == F.col("component_id"))
+    keep = (groups(docs, n, percent).filter(F.col("doc_id") == F.col("component_id"))
             .groupBy("doc_id").agg(F.min("txt_key").alias("_keep_key")).withColumnRenamed("doc_id", "_keep_id"))
     stay = docs.join(keep, docs["doc_id"] == keep["_keep_id"]).filter(text_key(docs["text"]) == F.col("_keep_key"))
     one = stay.dropDuplicates(["_keep_id"]).select(*[docs[c] for c in docs.columns])

@@ -13,6 +13,8 @@ from ballotbox.llm import jaccard, mixing, packing, quality, surrogates
 from ballotbox.llm.common import materialize, read
 from ballotbox.llm.tokens import vocabulary
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or diverge from every language reference go."""
@@ -20,8 +22,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return jaccard.apply(docs)
+    """One document of each group of near copies stays. Near copies share 80 per cent
+    or more of their five-word shingles; op9's own numbers bind the op9 query only."""
+    return jaccard.apply(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
