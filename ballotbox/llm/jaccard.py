@@ -26,9 +26,9 @@ tokens; they count as the most frequent.
 
 Defined cases. NULL text or no words: empty set, no links. Fewer words than n:
 the whole sequence is one token. NULL doc_id: n_shingles only, no links and a
-NULL component. Rows that share a doc_id are one node of the links. Empty table:
-empty result. Very long texts are read whole. Other columns are not read
-(``apply`` keeps them).
+NULL component. Rows that share a doc_id are one node of the links (not in
+``apply`` by text). Empty table: empty result. Very long texts are read whole.
+Other columns are not read (``apply`` keeps them).
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ballotbox.llm.common import materialize, pieces, text_key
+from ballotbox.llm.common import WORD, materialize, pieces, text_key
 from ballotbox.llm.components import components
 from ballotbox.llm.suffixes import hashes, sums
 
@@ -130,17 +130,19 @@ def _members(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """digest, node (least doc_id), size, prefix of every distinct set."""
+    """digest, ref (the least one), size, prefix of every distinct set."""
+    kind = docs.schema["ref"].dataType.simpleString()
+
     def rows(batches):
         for batch in pieces(batches, 2 << 20):
             sets = shingle_sets(batch.column("text").to_pylist(), n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(map(len, sets), pa.int64()), pa.array([digest(s) for s in sets], pa.binary()),
-                 pa.array([prefix(s, percent) for s in sets], pa.list_(pa.int64()))], names=["doc_id", "size", "digest", "prefix"])
+                [batch.column("ref"), pa.array(map(len, sets), pa.int64()), pa.array([digest(s) for s in sets], pa.binary()),
+                 pa.array([prefix(s, percent) for s in sets], pa.list_(pa.int64()))], names=["ref", "size", "digest", "prefix"])
 
-    found = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(
-        rows, "doc_id long, size long, digest binary, prefix array<bigint>").filter("size > 0")
-    return found.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    found = docs.filter("doc_id IS NOT NULL").select("ref", "text").mapInArrow(
+        rows, f"ref {kind}, size long, digest binary, prefix array<bigint>").filter("size > 0")
+    return found.groupBy("digest").agg(F.min("ref").alias("ref"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
 
 
 def _hot(classes: DataFrame) -> np.ndarray:
@@ -218,18 +220,20 @@ def _tokens(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """node, packed (text) of the classes in ``wanted`` (node, digest and more). A packed text
+    """node, packed (text) of the classes in ``wanted`` (node, ref, digest and more). A packed text
     is a third of its set of hashes, so texts travel and sets are made where they
     are compared."""
+    kind = docs.schema["ref"].dataType.simpleString()
+
     def packed(batches):
         press = zstandard.ZstdCompressor(level=1)
         for batch in pieces(batches, 4 << 20):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([press.compress((t or "").encode("utf-8", "surrogatepass"))
-                                                   for t in batch.column("text").to_pylist()], pa.binary())], names=["doc_id", "packed"])
+                [batch.column("ref"), pa.array([press.compress((t or "").encode("utf-8", "surrogatepass"))
+                                                for t in batch.column("text").to_pylist()], pa.binary())], names=["ref", "packed"])
 
-    small = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(packed, "doc_id long, packed binary")
-    joined = small.join(wanted, small["doc_id"] == wanted["node"]).select("node", "digest", "component", "blocks", "packed")
+    small = docs.filter("doc_id IS NOT NULL").select("ref", "text").mapInArrow(packed, f"ref {kind}, packed binary")
+    joined = small.join(wanted, "ref").select("node", "digest", "component", "blocks", "packed")
 
     def rows(batches):
         for batch in pieces(batches, 1 << 20, column="packed"):
@@ -317,24 +321,31 @@ def _linked(placed: DataFrame, n: int, percent: int) -> DataFrame:
     return placed.repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, "a long, b long")
 
 
-def groups(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """doc_id, txt_key, n_shingles, component_id of every row."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("txt_key", text_key(F.col("text")))
-    members = materialize(_members(docs, n), "jaccard-members")
-    classes = materialize(_classes(docs, n, percent), "jaccard-classes", 3)
+def _links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """a, b: links by which the nodes of ``classes`` (node, ref, digest, size, prefix) reach all their partners."""
     tokens = materialize(_tokens(classes, percent), "jaccard-tokens", 4)
 
     # families: what shares tokens, directly or over others, however long the chain
     least = tokens.groupBy("token").agg(F.min("node").alias("a"))
     family = components(tokens.join(least, "token").select("a", F.col("node").alias("b")).distinct())
     sizes = family.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    wanted = classes.select("node", "digest").join(family, "node").join(sizes, "component").select("node", "digest", "component", "blocks")
+    wanted = (classes.select("node", "ref", "digest").join(family, "node").join(sizes, "component")
+              .select("node", "ref", "digest", "component", "blocks"))
     texts = materialize(_texts(docs, wanted, n), "jaccard-texts", 3)
     placed = (texts.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
               .select(F.col("component").alias("family"), F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
                       "own", "node", "packed"))
-    links = materialize(_linked(placed, n, percent), "jaccard-links", 4)
+    return materialize(_linked(placed, n, percent), "jaccard-links", 4)
+
+
+def groups(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """doc_id, txt_key, n_shingles, component_id of every row."""
+    docs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+            .withColumn("txt_key", text_key(F.col("text"))).withColumn("ref", F.col("doc_id")))
+    members = materialize(_members(docs, n), "jaccard-members")
+    classes = materialize(_classes(docs, n, percent).withColumn("node", F.col("ref")), "jaccard-classes", 3)
+    links = _links(docs, classes, n, percent)
     # rows that share a doc_id, and equal sets, are linked through their classes
     same = members.filter("size > 0").join(classes.select("digest", "node"), "digest").filter("doc_id <> node").select(
         F.col("node").alias("a"), F.col("doc_id").alias("b"))
@@ -347,11 +358,28 @@ def report(docs: DataFrame) -> DataFrame:
     return groups(docs).select("doc_id", "n_shingles", "component_id")
 
 
-def apply(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+def apply(docs: DataFrame, n: int = N, percent: int = PERCENT, by_text: bool = False) -> DataFrame:
     """One document of each group stays, the one with the least doc_id (and text
-    key); rows without a doc_id stay."""
+    key); rows without a doc_id stay. With ``by_text`` rows that share a doc_id but
+    not a text are documents of their own, linked by their sets only, and rows
+    without words stay too; without it a doc_id keeps one row."""
+    if by_text:
+        return _apart(docs, n, percent)
     keep = (groups(docs, n, percent).filter(F.col("doc_id") == F.col("component_id"))
             .groupBy("doc_id").agg(F.min("txt_key").alias("_keep_key")).withColumnRenamed("doc_id", "_keep_id"))
     stay = docs.join(keep, docs["doc_id"] == keep["_keep_id"]).filter(text_key(docs["text"]) == F.col("_keep_key"))
     one = stay.dropDuplicates(["_keep_id"]).select(*[docs[c] for c in docs.columns])
     return one.unionByName(docs.filter(docs["doc_id"].isNull()))
+
+
+def _apart(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """``apply`` by text: classes are numbered and known by their least (doc_id, text key)."""
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+            .withColumn("ref", F.struct("doc_id", text_key(F.col("text")).alias("txt_key"))))
+    classes = materialize(_classes(rows, n, percent).withColumn("node", F.monotonically_increasing_id()), "jaccard-classes", 3)
+    tree = components(_links(rows, classes, n, percent))
+    keep = (classes.select("node", "ref").join(tree, "node", "left").groupBy(F.coalesce("component", "node")).agg(F.min("ref").alias("ref"))
+            .select(F.col("ref.doc_id").alias("_keep_id"), F.col("ref.txt_key").alias("_keep_key")))
+    stay = docs.join(keep, (docs["doc_id"] == keep["_keep_id"]) & (text_key(docs["text"]) == keep["_keep_key"]))
+    one = stay.dropDuplicates(["_keep_id", "_keep_key"]).select(*[docs[c] for c in docs.columns])
+    return one.unionByName(docs.filter(docs["doc_id"].isNull() | ~F.coalesce(docs["text"], F.lit("")).rlike(WORD)))

@@ -24,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays. Near copies share 80 per cent
     or more of their five-word shingles; op9's own numbers bind the op9 query only."""
-    return jaccard.apply(docs, NEAR_WORDS, NEAR_PERCENT)
+    return jaccard.apply(docs, NEAR_WORDS, NEAR_PERCENT, by_text=True)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,3 +41,16 @@ def test_copies_just_above_the_threshold_go(spark):
     assert 10 < len(want) < 20
     got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
     assert {r.doc_id for r in got} == want and len(got) == len(want)
+
+
+def test_unrelated_texts_under_one_id_stay(spark):
+    rnd = random.Random(3)
+    base, *alone = (" ".join(words(rnd, 120)) for _ in range(6))
+    rows = [(1, text) for text in alone] + [(1, alone[0]), (2, base), (1, base + " end"), (3, alone[1]), (4, ""), (4, None), (5, ""),
+                                            (None, base), (None, base)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, at int")
+    got = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    want = [(1, text) for text in alone] + [(1, base + " end"), (4, ""), (4, None), (5, ""), (None, base), (None, base)]
+    key = lambda r: (str(r[0]), str(r[1]))      # noqa: E731
+    assert sorted([(r.doc_id, r.text) for r in got.collect()], key=key) == sorted(want, key=key)
