@@ -43,6 +43,14 @@ OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа|Κυρία"
 MALE = "Mr|Herr|Monsieur|Señor|Sr|Господин|Κύριος"
 NEUTRAL = "Dr|Prof"
+PHONES = [
+    r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}",
+    r"(?:(?:\+|00)[1-9][0-9]{0,2}[ .-]?(?:\(0\)[ .-]?)?|0)[1-9][0-9]{0,2}(?:[ .-][0-9]{2}){3,4}",      # 01 23 45 67 89
+    r"(?:(?:\+|00)[1-9][0-9]{0,2}[ .-]?(?:\(0\)[ .-]?)?|0|(?=[89]))[1-9][0-9][ .-][0-9]{3}(?:[ .-][0-9]{2}){2}",      # 91 123 45 67
+    r"[6-9][0-9]{2}(?:[ .-][0-9]{2}){3}",                                                               # 612 34 56 78
+    r"\+[1-9][0-9]{0,2}[ .-]?[0-9]{6,12}",                                                              # no separators
+    r"\+(?=[0-9](?:[ .-]?[0-9]){6})[1-9][0-9]{0,2}[ .-]?[0-9]{1,4}(?:[ .-][0-9]{2,4}){1,4}",            # +33 1 2345 6789
+]
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
@@ -51,7 +59,7 @@ PATTERNS = {
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "ip": rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])",
+    "phone": rf"(?<![0-9A-Za-z])(?:{'|'.join(PHONES)})(?![0-9])",
     "name": rf"(?<!\p{{L}})(?:{FEMALE}|{MALE}|{NEUTRAL})\.? \p{{Lu}}[\p{{L}}'-]{{1,30}}(?: \p{{Lu}}[\p{{L}}'-]{{1,30}})?",
 }
 ANY = "|".join(PATTERNS.values())
@@ -169,7 +177,8 @@ def _replaced(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with ``_new_text`` and ``_found`` (number of entities)."""
     found = F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(1))
     hits = materialize(
-        docs.select("doc_id", "text").filter(F.col("text").rlike("[@0-9]") | F.col("text").rlike(PATTERNS["name"]))
+        docs.select("doc_id", "text").filter(reduce(Column.__or__, [F.col("text").rlike(p) for p in (
+            "[@0-9]", *(PATTERNS[k] for k in ("name", "key", "hex")))]))        # these may be without a digit
         .select("doc_id", text_key(F.col("text")).alias("txt_key"), F.posexplode(found).alias("at", "value"))
         .withColumn("kind", kind_of(F.col("value")))
         .withColumn("core", canonical(F.col("kind"), F.col("value"))), "pii-hits")
