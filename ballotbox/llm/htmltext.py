@@ -6,7 +6,9 @@ before and after it, whether it is a heading, and the landmark it stands in (a
 page part that is not the article; none; the article). A decision tree over
 these features, grown on the small labelled table ``labelled_blocks`` makes from
 page templates, says which blocks are main text. Only scripts, styles and other
-elements without text are left out by rule.
+elements without text are left out by rule. What a name says of an element
+("sidebar") does not hold for a wrapper that only mentions it ("has-sidebar") or
+that holds most of the page's words and its title.
 
 Defined cases. NULL or empty html: empty text. No main text: empty text. Broken
 markup (unclosed or stray tags, cut pages): read as far as it goes. Very long
@@ -40,6 +42,10 @@ OUTSIDE_NAMES = set("ad ads advert adverts advertisement advertising banner spon
                     "social cookie cookies consent notice gdpr popup modal overlay newsletter subscribe signup login "
                     "comment comments disqus reply replies respond pagination pager toolbar copyright".split())
 INSIDE_NAMES = set("article post entry story".split())
+MENTIONS = set("has have with without no not hide show".split())        # has-sidebar, sidebar-layout: one is somewhere in it
+LAYOUTS = set("layout page template".split())
+HEAD_TAGS = set("html head base link meta title noscript script style template".split())
+TEXT_ONLY = set("title select option textarea datalist".split())        # silent elements that hold no block
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CLOSES = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "dt": {"dt", "dd"},
           "dd": {"dt", "dd"}}
@@ -53,10 +59,14 @@ _names = re.compile(r"[a-z0-9]+")
 class _Blocks(HTMLParser):
     """Text blocks of a page: [text, words, linked words, heading, landmark]."""
 
-    def __init__(self):
+    def __init__(self, wrappers: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
         self.blocks: list[list] = []
-        self.open: list[tuple[str, int]] = []       # (tag, landmark)
+        self.open: list[tuple[str, int, int]] = []  # (tag, landmark, number if its name marks it as outside)
+        self.wrappers = wrappers                    # numbers of elements whose names do not count
+        self.numbers = 0
+        self.named: dict[int, list] = {}            # number: [by a whole name, words in it, holds an h1]
+        self.inside = False                         # the page has an article, known by its landmark
         self.silent = 0
         self.links = 0
         self.text: list[str] = []
@@ -71,29 +81,64 @@ class _Blocks(HTMLParser):
             if text:
                 words = len(text.split(" "))
                 linked = len("".join(self.linked).split())
-                heading = any(t in HEADINGS for t, _ in self.open)
+                heading = any(t in HEADINGS for t, *_ in self.open)
+                for _, _, number in self.open:
+                    if number:
+                        self.named[number][1] += words
+                        self.named[number][2] |= any(t == "h1" for t, *_ in self.open)
                 self.blocks.append([text, words, min(words, linked), heading, self.landmark()])
             self.text, self.linked = [], []
 
-    def place(self, tag: str, attrs: list) -> int:
-        """Landmark of an element: its own, or that of the one it stands in."""
+    def place(self, tag: str, attrs: list) -> tuple[int, int]:
+        """Landmark of an element: its own, or that of the one it stands in; and its
+        number (or 0) if its name marks it as outside."""
         now = self.landmark()
         values = {k: v or "" for k, v in attrs if k in ("class", "id", "role")}
         role = values.get("role", "").strip().lower()
         if tag in INSIDE_TAGS or role in ("main", "article"):
-            inside_other = any(t in ("nav", "footer", "aside") for t, _ in self.open)
-            return OUTSIDE if inside_other else INSIDE
+            inside_other = any(t in ("nav", "footer", "aside") for t, *_ in self.open)
+            self.inside |= not inside_other
+            return (OUTSIDE if inside_other else INSIDE), 0
         if tag in OUTSIDE_TAGS or role in OUTSIDE_ROLES or tag == "header" and now != INSIDE:
-            return OUTSIDE
+            return OUTSIDE, 0
         if tag not in ("html", "body", *HEADINGS) and values:
-            names = {n for v in (values.get("class", ""), values.get("id", "")) for n in _names.findall(v.lower())}
-            if names & OUTSIDE_NAMES and not (now == INSIDE and names & {"header"} and not names & (OUTSIDE_NAMES - {"header"})):
-                return OUTSIDE
-            if names & INSIDE_NAMES and now == NOWHERE:
-                return INSIDE
-        return now
+            whole = f"{values.get('class', '')} {values.get('id', '')}".lower().split()
+            parts = [_names.findall(w) for w in whole]
+            names = {n for p in parts if p and p[0] not in MENTIONS and p[-1] not in LAYOUTS for n in p}
+            outside = names & OUTSIDE_NAMES
+            if outside and not (now == INSIDE and outside == {"header"}):
+                self.numbers += 1
+                if self.numbers not in self.wrappers:
+                    self.named[self.numbers] = [not OUTSIDE_NAMES.isdisjoint(whole), 0, False]
+                    return OUTSIDE, self.numbers
+            elif names & INSIDE_NAMES and now == NOWHERE:
+                self.inside = True
+                return INSIDE, 0
+        return now, 0
+
+    def cut(self, at: int) -> None:
+        """Closes the open elements from ``at`` on."""
+        for t, *_ in self.open[at:]:
+            if t in SILENT:
+                self.silent -= 1
+            if t == "a":
+                self.links -= 1
+        del self.open[at:]
+
+    def end_silent(self, tag: str) -> None:
+        """Closes silent elements that end without an end tag where ``tag`` starts."""
+        silent = [i for i, (t, *_) in enumerate(self.open) if t in SILENT]
+        if tag == "body":
+            self.cut(silent[0])
+            return
+        block = tag not in INLINE and tag not in SILENT and tag not in VOID
+        while silent and (tag not in HEAD_TAGS and self.open[silent[-1]][0] == "head"
+                          or block and self.open[silent[-1]][0] in TEXT_ONLY):
+            self.cut(silent.pop())
 
     def handle_starttag(self, tag, attrs):
+        if self.silent > 0:
+            self.end_silent(tag)
         if tag in VOID:
             if tag == "br":
                 self.handle_data(" ")
@@ -113,7 +158,7 @@ class _Blocks(HTMLParser):
                     break
         if tag == "a":
             self.links += 1
-        self.open.append((tag, self.place(tag, attrs)))
+        self.open.append((tag, *self.place(tag, attrs)))
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID:
@@ -129,16 +174,13 @@ class _Blocks(HTMLParser):
             self.end_block()
         if at is None:
             return
-        if tag in INLINE and any(t not in INLINE for t, _ in self.open[at:]):
+        if tag in INLINE and any(t not in INLINE for t, *_ in self.open[at:]):
             return                                  # does not reach over a block
-        for t, _ in self.open[at:]:
-            if t in SILENT:
-                self.silent -= 1
-            if t == "a":
-                self.links -= 1
-        del self.open[at:]
+        self.cut(at)
 
     def handle_data(self, data):
+        if self.silent > 0 and self.open[-1][0] == "head" and not data.isspace():
+            self.cut(len(self.open) - 1)            # text ends the head, too
         if self.silent <= 0:
             self.text.append(data)
             if self.links > 0:
@@ -146,11 +188,25 @@ class _Blocks(HTMLParser):
 
 
 def blocks(html: str) -> list[list]:
-    parser = _Blocks()
-    parser.feed(html)
-    parser.close()
-    parser.end_block()
-    return parser.blocks
+    """Blocks of a page. A page without an article's landmark is read again where an
+    element named like another page part has more words than all that is not outside,
+    and the h1, or is part of a page that is outside as a whole: that name is a wrapper's."""
+    wrappers: frozenset[int] = frozenset()
+    while True:
+        parser = _Blocks(wrappers)
+        parser.feed(html)
+        parser.close()
+        parser.end_block()
+        if parser.inside or not parser.named:
+            return parser.blocks
+        rest = sum(b[1] for b in parser.blocks if b[4] != OUTSIDE)
+        most = max((words for whole, words, title in parser.named.values() if title or not whole), default=0)
+        found = {k for k, (_, words, title) in parser.named.items() if title and words > rest and 10 * words > most}
+        if not found and not rest:
+            found = {k for k, (whole, words, _) in parser.named.items() if not whole and words == most > 0}
+        if not found:
+            return parser.blocks
+        wrappers |= found
 
 
 def features(found: list[list]) -> np.ndarray:
@@ -187,15 +243,21 @@ def _template(kind: int, size: int) -> list[tuple[str, int]]:
                 (f"<div>{words(2 + 2 * size)}</div>", 0), (f"<div><ul>{links(2 + size)}</ul></div>", 0)]
     if kind == 2:       # a link list page
         return [(f"<div>{links(8 + 2 * size)}</div>", 0), (f"<div><a href='#'>{words(6 + size)}</a></div>", 0), *tail]
+    if kind == 4:       # a wrapper whose names mention other page parts
+        return [(f"<div class='{('content has-sidebar', 'page with-header', 'sidebar-layout')[size % 3]}'>", 0),
+                (f"<h1>{words(4 + size)}</h1>", 1), *paragraphs, linked, (f"<div class='sidebar'><p>{words(9 + 9 * size)}</p></div>", 0),
+                *talk[:size % 2], ("</div>", 0), *tail]
+    if kind == 5:       # a head without its end tag
+        return [(f"<head><title>{words(3)}</title>", 0), ("<body>" if size % 2 else "<div>", 0), title, *paragraphs, linked, *side, *tail]
     # main element with short text only
     return [*head, ("<main>", 0), title, (f"<p>{words(1 + size)}</p>", 1), (f"<p><a href='#'>{words(3 + size)}</a></p>", 1), ("</main>", 0),
             *side, *tail]
 
 
 def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
-    """The labelled table: features and labels of the blocks of 24 template pages."""
+    """The labelled table: features and labels of the blocks of 36 template pages."""
     x, y = [], []
-    for kind in range(4):
+    for kind in range(6):
         for size in range(6):
             parts = _template(kind, size)
             found = blocks("".join(h for h, _ in parts))

@@ -66,3 +66,31 @@ def test_edges(spark):
     out = htmltext.extract(pages).collect()
     assert sorted((r.page_id or 0, r.n_chars) for r in out) == [(0, 1), (1, 0), (1, 0), (2, 1_499_999), (3, 0)]
     assert htmltext.extract(pages.limit(0)).count() == 0
+
+
+TITLED = f"<h1>Title of it</h1><p>{PARAGRAPH * 4}</p><p>{PARAGRAPH * 3}</p>"
+MAIN = "\n\n".join(["Title of it", (PARAGRAPH * 4).strip(), (PARAGRAPH * 3).strip()])
+
+
+@pytest.mark.parametrize("start", [
+    "<html><head><title>T</title><meta name=x><script>var a</script><body>", "<head><title>T</title>", "<head><link rel=x><body><div>",
+    "<head><noscript><p>Turn scripts on</p></noscript><title>T</title><body>", "<select><option>a<option>b<div>"])
+def test_silent_elements_without_an_end_tag(start):
+    assert htmltext.main_text(start + TITLED) == MAIN
+
+
+def test_text_ends_an_open_head():
+    assert htmltext.main_text("<head><title>T</title>" + PARAGRAPH * 5) == (PARAGRAPH * 5).strip()
+
+
+@pytest.mark.parametrize("wrapper", ["class='content has-sidebar'", "class='page with-header'", "class='sidebar-layout'",
+                                     "class='sidebar-right' id=page", "class='sidebar'"])
+def test_names_of_wrappers(wrapper):
+    side = f"<div class='sidebar'><p>{PARAGRAPH}</p></div><div class='comment-list'><p>{PARAGRAPH * 20}</p></div>"
+    assert htmltext.main_text(f"<div {wrapper}>{TITLED}{side}</div>") == MAIN
+    assert htmltext.main_text(f"<div {wrapper}>{TITLED}</div>{side}") == MAIN
+
+
+def test_parts_that_hold_most_words_stay_outside():
+    for name in ("comments", "comment-list", "cookie-notice"):
+        assert htmltext.main_text(f"{TITLED}<div class='{name}'><p>{PARAGRAPH * 30}</p></div>") == MAIN
