@@ -65,3 +65,77 @@ select n.doc_id, cast(n.n_shingles as bigint) as n_shingles,
        least(n.doc_id, coalesce(min(r.b), n.doc_id)) as component_id
 from n left join reach r on r.a = n.doc_id group by n.doc_id, n.n_shingles
 """
+
+LETTERS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+           r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+SEARCH = f"""
+with d as (
+    select row_number() over () as r, doc_id, {LETTERS} as words from documents),
+s as (select r, doc_id, len(words) as n from d where len(words) > 0),
+total as (select count(*) as n_docs, cast(sum(n) as bigint) as n_terms from s),
+t as (select r, term, count(*) as tf from (select r, unnest(words) as term from d) u group by r, term),
+q as (
+    select item, item_id, term, count(*) as times
+    from (select item, item_id, unnest(words) as term
+          from (select row_number() over () as item, item_id, {LETTERS} as words from benchmark) b) u
+    group by item, item_id, term),
+f as (select term, count(*) as df from t group by term),
+w as (
+    select term, cast(floor(1000 * ln(cast(2 * n_docs + 2 as double) / (2 * df + 1))) as bigint) as w from f, total),
+m as (select r, doc_id, 75 + (25 * n * n_docs) // n_terms as m from s, total),
+x as (
+    select q.item, q.item_id, m.r, m.doc_id,
+           cast(sum(q.times * w.w * ((1000000000 * t.tf) // (1000 * t.tf + 12 * m.m))) as bigint) as score
+    from q join w on w.term = q.term join t on t.term = q.term join m on m.r = t.r
+    group by q.item, q.item_id, m.r, m.doc_id)
+select item_id, cast(rank as integer) as rank, doc_id, score
+from (select *, row_number() over (partition by item order by score desc, doc_id nulls last) as rank from x where score > 0) y
+where rank <= 20
+"""
+
+
+def codes(rounds: int = 6, entries: int = 16) -> str:
+    """The rounds one after the other; every part against every entry."""
+    def nearest(k: int) -> str:
+        return f"""
+a{k} as materialized (
+    select r, part, min({{'d': d, 'entry': entry}}) as best
+    from (select p.r, p.part, c.entry,
+                 cast(list_sum(list_transform(list_zip(p.x, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as bigint) as d
+          from p join c{k} c on c.part = p.part) y
+    group by r, part)"""
+
+    def mean(k: int) -> str:
+        return f"""
+m{k} as materialized (
+    select part, entry, list(v order by pos) as e
+    from (select part, entry, pos, cast(floor(sum(v) / count(*)) as bigint) as v
+          from (select a.part, a.best.entry as entry, unnest(p.x) as v, generate_subscripts(p.x, 1) as pos
+                from a{k} a join p on p.r = a.r and p.part = a.part) u
+          group by part, entry, pos) g
+    group by part, entry),
+c{k + 1} as materialized (
+    select c.part, c.entry, coalesce(m.e, c.e) as e
+    from c{k} c left join m{k} m on m.part = c.part and m.entry = c.entry)"""
+
+    steps = ",".join(f"{nearest(k)},{mean(k)}" for k in range(rounds))
+    return f"""
+with v as materialized (
+    select row_number() over (order by vec_id) as r, vec_id, label,
+           list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as x
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as materialized (
+    select r, part, x[part * (len(x) // 8) + 1:(part + 1) * (len(x) // 8)] as x
+    from v cross join (select unnest(range(8)) as part) n),
+c0 as (select part, r - 1 as entry, x as e from p where r <= {entries}),{steps},{nearest(rounds)},
+h as (
+    select sha256(string_agg(array_to_string(e, ','), ',' order by part, entry)) as codebooks_sha256 from c{rounds}),
+f as (
+    select r, string_agg(lpad(to_hex(best.entry), 2, '0'), '' order by part) as code, cast(sum(best.d) as bigint) as error
+    from a{rounds} group by r)
+select v.vec_id, lower(f.code) as code, f.error,
+       cast(sum(f.error) over (partition by v.label) as bigint) as label_error, h.codebooks_sha256
+from v join f on f.r = v.r cross join h
+"""

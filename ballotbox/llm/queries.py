@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ballotbox.llm import (
-    htmltext, jaccard, mixing, oracles, packing, quality, rabitq, records, sentences, suffixes, surrogates,
+    codes, htmltext, jaccard, lexical, licenses, mixing, oracles, packing, quality, rabitq, records, sentences, suffixes,
+    surrogates,
 )
 from ballotbox.llm.common import read
 from ballotbox.llm.tokens import vocabulary
@@ -56,10 +57,26 @@ def op10_rabitq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.dedup(read(spark, sf_dir, "embeddings"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+def op12_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "documents"))
+
+
+def op13_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_html_main_text, op2_mix_sources, op3_quality_divergence, op4_pii_surrogates, op5_suffix_levels,
-        op6_sentence_spans, op7_pack_sequences, op8_binary_records, op9_jaccard_groups, op10_rabitq_neardup)
+        op6_sentence_spans, op7_pack_sequences, op8_binary_records, op9_jaccard_groups, op10_rabitq_neardup,
+        op11_license_scan, op12_reversed_search, op13_orchard_codes)
 }
 
-ORACLES: dict[str, str] = {"op2_mix_sources": oracles.MIX, "op9_jaccard_groups": oracles.JACCARD}
+ORACLES: dict[str, str] = {
+    "op2_mix_sources": oracles.MIX, "op9_jaccard_groups": oracles.JACCARD, "op12_reversed_search": oracles.SEARCH,
+    "op13_orchard_codes": oracles.codes(),
+}
