@@ -5,8 +5,10 @@ border of a word and the white space around it, so a text's ids are the ids of
 its words one after the other. Words repeat, so each is encoded once per worker
 process. A word of Latin letters and sentence marks is two pieces for either
 vocabulary and goes to the library's merging model directly; every other word
-goes through the whole tokenizer. The tests hold the ids against encoding each
-text as a whole.
+goes through the whole tokenizer. A text that holds one of the vocabulary's
+special tokens as written (``<|endoftext|>``) is encoded as a whole, since those are
+found before the split. The tests hold the ids against encoding each text with an
+unaltered library.
 """
 
 from __future__ import annotations
@@ -65,7 +67,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
+        marks = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(marks) or "(?!)").search
         self.find = re.compile(SPLITS[os.path.basename(path)]).findall
         self.merge = self.tokenizer.model.tokenize
         self.dropped = os.path.basename(path) == "word_bpe_49k.json"    # white space is
@@ -95,6 +98,8 @@ class Encoder:
         for text in texts:
             if not text:
                 out.append(b"")
+            elif self.special(text):
+                out.append(self._whole(text))
             elif self.dropped and not _separators(text):
                 out.append(b"".join(map(code, text.split())))       # splits at white space just as well
             else:
