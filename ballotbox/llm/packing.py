@@ -11,12 +11,11 @@ kind is a multiset of lengths with the number of bins of that kind.
 2. ``improve``: local search between underfull kinds. A document moves, one is
    exchanged for one, or two for one, whenever that raises the sum of squared
    fills; the emptiest kind is worked on first, until it is empty. The search
-   ends at the lower bound, when nothing improves, or after ``MOVES`` looks
-   at pairs of kinds (a bound on the driver's work; every piece is placed all
-   the same).
+   ends at the lower bound or when nothing improves.
 
 Pieces then take the places: they are numbered within their length by a running
-count over hash buckets (a length that a third of all rows share is split), and
+count over hash buckets (a length that a third of all rows share is split, and so
+are rows that are equal in all), and
 the number says which bin of which kind.
 
 Defined cases. NULL or empty text: the end id alone, one piece of length 1.
@@ -38,7 +37,6 @@ from pyspark.sql import functions as F
 from ballotbox.llm.common import materialize, pieces as batch_pieces
 from ballotbox.llm.tokens import encoder
 
-MOVES = 100_000
 ROWS_PER_BUCKET = 200_000
 
 Kinds = dict[tuple[int, ...], int]      # lengths of a bin, long to short -> number of such bins
@@ -107,15 +105,12 @@ def best_fit(counts: dict[int, int], capacity: int) -> Kinds:
     return out
 
 
-def _parts(kind: tuple[int, ...], most: int) -> list[tuple[int, ...]]:
-    """The distinct choices of up to ``most`` documents of a bin."""
-    out: set[tuple[int, ...]] = {()}
+def _parts(kind: tuple[int, ...]) -> list[tuple[int, tuple[int, ...]]]:
+    """The distinct choices of up to two documents of a bin, with their sums."""
     seen = Counter(kind)
-    if most >= 1:
-        out.update((x,) for x in seen)
-    if most >= 2:
-        out.update((x, y) for x in seen for y in seen if x > y or (x == y and seen[x] > 1))
-    return list(out)
+    out: list[tuple[int, ...]] = [(), *((x,) for x in seen)]
+    out += [(x, y) for x in seen for y in seen if x > y or (x == y and seen[x] > 1)]
+    return sorted((sum(p), p) for p in out)
 
 
 def _swapped(kind: tuple[int, ...], out: tuple[int, ...], into: tuple[int, ...]) -> tuple[int, ...]:
@@ -125,48 +120,91 @@ def _swapped(kind: tuple[int, ...], out: tuple[int, ...], into: tuple[int, ...])
     return tuple(sorted(rest.elements(), reverse=True))
 
 
-def improve(kinds: Kinds, capacity: int, moves: int = MOVES) -> Kinds:
-    """Swap-based local search; never more bins than before."""
-    kinds = Counter({tuple(sorted(k, reverse=True)): n for k, n in kinds.items() if n})
+class _Search:
+    """Underfull kinds by room, and for each kind that found no exchange the time up to
+    which it looked: only kinds that came (or became two) since can change that."""
+
+    def __init__(self, kinds: Kinds, capacity: int):
+        self.capacity, self.clock = capacity, 0
+        self.kinds: Counter = Counter()
+        self.open: list[tuple[int, tuple[int, ...]]] = []       # (fill, kind), sorted
+        self.since: dict[tuple[int, ...], int] = {}
+        self.looked: dict[tuple[int, ...], int] = {}
+        self.parts: dict[tuple[int, ...], list] = {}
+        for kind, n in kinds.items():
+            self.add(kind, n)
+
+    def add(self, kind: tuple[int, ...], n: int) -> None:
+        if not kind or not n:
+            return
+        before = self.kinds[kind]
+        self.kinds[kind] += n
+        if sum(kind) == self.capacity:
+            return
+        if before + n < 1:
+            del self.kinds[kind]
+            self.open.pop(bisect.bisect_left(self.open, (sum(kind), kind)))
+            for table in (self.since, self.looked, self.parts):
+                table.pop(kind, None)
+        elif n > 0 and before < 2:
+            if not before:
+                bisect.insort(self.open, (sum(kind), kind))
+                self.parts[kind] = _parts(kind)
+            self.clock += 1
+            self.since[kind] = self.clock
+            if before:
+                self.looked.pop(kind, None)         # a second one of its own kind
+
+    def exchange(self, low: tuple[int, ...]) -> tuple | None:
+        """(gain, fuller kind, what goes to it, what comes back) of the exchange that
+        moves most from ``low``; of equal ones that with the fullest kind."""
+        done, best = self.looked.get(low, 0), None
+        gives = [[(s, p) for s, p in self.parts[low] if len(p) <= most] for most in (1, 2)]
+        sums = [[s for s, _ in g] for g in gives]
+        for fill, high in self.open[bisect.bisect_left(self.open, (sum(low), ())):]:
+            room = self.capacity - fill
+            if best is not None and room < best[0]:
+                break                               # no fuller kind can take as much
+            if self.since[high] <= done or high == low and self.kinds[low] < 2:
+                continue
+            for back, part in self.parts[high]:
+                which = 0 if len(part) == 2 else 1              # three documents at most change places
+                at = bisect.bisect_right(sums[which], back + room) - 1
+                gain = sums[which][at] - back if at >= 0 else 0
+                if gain > 0 and (best is None or gain >= best[0]):
+                    best = (gain, high, gives[which][at][1], part)
+        if best is None:
+            self.looked[low] = self.clock
+        return best
+
+
+def improve(kinds: Kinds, capacity: int) -> Kinds:
+    """Swap-based local search; never more bins than before. Ends at the least number
+    of bins that could hold all, or where no exchange raises the sum of squares (every
+    exchange does, so there is an end)."""
     total = sum(sum(k) * n for k, n in kinds.items())
     least = -(-total // capacity)
-    stuck: set[tuple[int, ...]] = set()
-    while moves > 0 and sum(kinds.values()) > least:
-        open_kinds = sorted((k for k in kinds if sum(k) < capacity), key=lambda k: (sum(k), k))
-        low = next((k for k in open_kinds if k not in stuck), None)
-        if low is None:
-            break
-        best = None
-        gives = [(sum(p), p) for p in _parts(low, 2)]
-        for high in reversed(open_kinds):
-            moves -= 1
-            if high == low and kinds[low] < 2 or sum(high) < sum(low):
-                continue
-            room = capacity - sum(high)
-            if best is not None and best[0] >= room:
+    search = _Search(Counter({tuple(sorted(k, reverse=True)): n for k, n in kinds.items()}), capacity)
+    bins = sum(search.kinds.values())
+    while bins > least:
+        found = None
+        for _, low in search.open:
+            if search.looked.get(low) == search.clock:
                 continue
-            for back in _parts(high, 2):
-                for amount, give in gives:
-                    gain = amount - sum(back)
-                    # the fuller bin grows, so the sum of squares does
-                    if 0 < gain <= room and len(give) + len(back) <= 3 and (best is None or gain > best[0]):
-                        best = (gain, high, give, back)
-            if best is not None and best[0] == room:
+            found = search.exchange(low)
+            if found is not None:
                 break
-        if best is None:
-            stuck.add(low)
-            continue
-        _, high, give, back = best
-        n = kinds[low] // 2 if high == low else min(kinds[low], kinds[high])
-        for kind in (low, high):
-            kinds[kind] -= n
-            if not kinds[kind]:
-                del kinds[kind]
-        for kind in (_swapped(low, give, back), _swapped(high, back, give)):
-            if kind:
-                kinds[kind] += n
-        stuck.clear()
-    return kinds
+        if found is None:
+            break
+        _, high, give, back = found
+        n = search.kinds[low] // 2 if high == low else min(search.kinds[low], search.kinds[high])
+        search.add(low, -n)
+        search.add(high, -n)
+        left = _swapped(low, give, back)
+        search.add(left, n)
+        search.add(_swapped(high, back, give), n)
+        bins -= 0 if left else n
+    return search.kinds
 
 
 def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
@@ -185,7 +223,8 @@ def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
 def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2, keep_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
     offset (and ids with ``keep_ids``)."""
-    cuts = materialize(cut(docs, vocabulary, capacity, end_id, keep_ids), "packing-pieces")
+    dealt = cut(docs, vocabulary, capacity, end_id, keep_ids).withColumn("deal", F.monotonically_increasing_id() % ROWS_PER_BUCKET)
+    cuts = materialize(dealt, "packing-pieces")
     counts = {r["length"]: r["count"] for r in cuts.groupBy("length").count().collect()}    # capacity rows at most
     kinds = improve(best_fit(counts, capacity), capacity)
 
@@ -201,7 +240,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2
     places.sort()
     table = np.array(places, dtype=np.int64).reshape(-1, 5)
 
-    columns = cuts.columns
+    columns = [c for c in cuts.columns if c != "deal"]
 
     def placed(batches):
         for batch in batches:
@@ -216,5 +255,5 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2
                 [*(batch.column(c) for c in columns), pa.array(t[:, 3] + rank - t[:, 1]), pa.array(t[:, 4])],
                 names=[*columns, "sequence_id", "offset"])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cuts.schema) + ", sequence_id long, offset long"
-    return numbered(cuts, "length", ["doc_id", "piece", "ids_crc32"]).select(*columns, "rank").mapInArrow(placed, schema)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cuts.select(*columns).schema) + ", sequence_id long, offset long"
+    return numbered(cuts, "length", ["doc_id", "piece", "ids_crc32", "deal"]).select(*columns, "rank").mapInArrow(placed, schema)

@@ -10,7 +10,8 @@ from ballotbox.llm.tokens import Encoder
 from llm.conftest import EDGES, VOCABULARIES
 
 ODD = ["don't stop", "a\x1cb", "  lead  two", "trail \n\n x", "é Á", "it's 'tis we'll", "ÉCOLE. À!! ß", "x y z",
-       "Iİi Σας", "<|endoftext|> a", "tab\t\tx\r\ny", "", "   ", "\n", "日本語 text, ok", "a.b,c", "foo!?bar",
+       "Iİi Σας", "<|endoftext|> a", "a <|endoftext|> b", "x<|startoftext|>y <|endoftext|><|endoftext|>", "<|ENDOFTEXT|> <|end oftext|>",
+       "long " * 50 + "<|endoftext|>\n tail  ", "tab\t\tx\r\ny", "", "   ", "\n", "日本語 text, ok", "a.b,c", "foo!?bar",
        "naïve, café.; ÿ", "ﬁ ligature", "…", "'s", "a 's b", "1234 12a34", "a" * 300 + " " + "." * 100,
        "word .", "word,.", "áb á.", "x's. y'all! 'll", "­ soft­hy", "a\u00a0b\u2003c\u0085d\u3000e\u2028f\x1cg\x1f h", "\u200bzero\ufeff w"]
 
@@ -19,7 +20,6 @@ ODD = ["don't stop", "a\x1cb", "  lead  two", "trail \n\n x", "é Á", "it's 't
 def test_ids_equal_those_of_whole_texts(documents, name):
     texts = ODD + [r.text for r in documents.collect()]
     whole = Tokenizer.from_file(f"{VOCABULARIES}/{name}")
-    whole.encode_special_tokens = True
     want = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
     enc = Encoder(f"{VOCABULARIES}/{name}")
     for _ in range(2):      # the second time from the cache
@@ -40,7 +40,6 @@ def test_frames_round_trip_and_damage_is_found():
 
 def expected(rows, end=2):
     whole = Tokenizer.from_file(f"{VOCABULARIES}/word_bpe_49k.json")
-    whole.encode_special_tokens = True
     out, at = [], 0
     for doc_id, text in rows:
         ids = whole.encode(text or "", add_special_tokens=False).ids + [end]
@@ -95,7 +94,6 @@ def test_packing(documents):
     total = sum(r.length for r in rows)
     assert n <= -(-total // 1024) + 2
     whole = Tokenizer.from_file(f"{VOCABULARIES}/byte_bpe_50k.json")
-    whole.encode_special_tokens = True
     by_doc = {}
     for r in sorted(rows, key=lambda r: r.piece):
         assert r.ids_crc32 == zlib.crc32(r.ids) and r.start == len(by_doc.get(r.doc_id, b"")) // 4
@@ -132,3 +130,74 @@ def test_best_fit_places_every_length():
                 for x in k:
                     back[x] = back.get(x, 0) + n
             assert back == counts
+
+
+def optimum(lengths, capacity):
+    """Least number of bins, by placing the longest first into every bin it fits."""
+    lengths, best = sorted(lengths, reverse=True), len(lengths)
+
+    def place(i, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(lengths):
+            best = len(bins)
+            return
+        for k in range(len(bins)):
+            if bins[k] + lengths[i] <= capacity and bins[k] not in bins[:k]:
+                place(i + 1, bins[:k] + [bins[k] + lengths[i]] + bins[k + 1:])
+        place(i + 1, bins + [lengths[i]])
+
+    place(0, [])
+    return best
+
+
+def raising_exchange(kinds, capacity):
+    """Any exchange of up to three documents between two bins that raises the sum of squares."""
+    from itertools import combinations
+
+    bins = [k for k, n in kinds.items() for _ in range(n)]
+    for low, high in combinations(sorted(bins, key=sum), 2):
+        for g in range(3):
+            for b in range(min(3, 4 - g)):
+                for give in combinations(low, g):
+                    for back in combinations(high, b):
+                        gain = sum(give) - sum(back)
+                        if g + b <= 3 and 0 < gain <= capacity - sum(high):
+                            return low, high, give, back
+    return None
+
+
+def test_search_ends_where_nothing_improves_and_near_the_optimum():
+    rng = np.random.default_rng(11)
+    over = 0
+    for _ in range(120):
+        lengths = rng.integers(3, 28, rng.integers(4, 12)).tolist()
+        kinds = packing.improve(packing.best_fit({x: lengths.count(x) for x in set(lengths)}, 40), 40)
+        n, best = sum(kinds.values()), optimum(lengths, 40)
+        assert sorted(x for k, m in kinds.items() for _ in range(m) for x in k) == sorted(lengths)
+        assert best <= n <= best + 1
+        assert n == -(-sum(lengths) // 40) or raising_exchange(kinds, 40) is None
+        over += n - best
+    assert over <= 6
+
+
+def test_search_over_many_lengths_reaches_the_bound_in_time():
+    import time
+
+    rng = np.random.default_rng(5)
+    lengths = np.minimum(1024, np.maximum(1, rng.lognormal(5.5, 1.0, 5000))).astype(int)
+    counts = {int(x): int(n) for x, n in zip(*np.unique(lengths, return_counts=True))}
+    began = time.time()
+    kinds = packing.improve(packing.best_fit(counts, 1024), 1024)
+    assert sum(kinds.values()) <= -(-int(lengths.sum()) // 1024) + 1 and time.time() - began < 60
+
+
+def test_equal_rows_are_dealt_out(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(4000).selectExpr("7L AS doc_id", "0 AS piece", "5L AS ids_crc32", "CAST(id % 3 AS long) AS length", "id % 1000 AS deal")
+    out = packing.numbered(rows, "length", ["doc_id", "piece", "ids_crc32", "deal"])
+    assert {r.length: (r.a, r.z, r.n) for r in out.groupBy("length").agg(
+        F.min("rank").alias("a"), F.max("rank").alias("z"), F.count_distinct("rank").alias("n")).collect()} == {
+            0: (0, 1333, 1334), 1: (0, 1332, 1333), 2: (0, 1332, 1333)}
