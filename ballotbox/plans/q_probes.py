@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ballotbox.functions.normalize import BULK_BASE_URL
 from ballotbox.operators import probes as M
 from ballotbox.plans import standins
-from ballotbox.plans.registry import register
+from ballotbox.plans.registry import QUERIES, register
 from ballotbox.session import scratch_path
 from ballotbox.sources import jsonsource
 from ballotbox.sources.sinks import Sink
-from ballotbox.streaming import fanout, microbatch, probe_stream, windowed
+from ballotbox.streaming import fanout, probe_stream, stateful, windowed
 
 LOG = lambda: f"({standins.probe_log_sql()})"
 _KEY = "partition by file_type, cycle order by checked_at, probe_id"
@@ -70,10 +72,22 @@ def detect_change_stream(spark, sf_dir):
     f"select probe_id, checked_at, file_type, cycle, status_code, etag, last_modified, changed, false as late"
     f" from ({_changes_sql()}) c"))
 def detect_change_microbatch(spark, sf_dir):
-    # The same stream answered by one distributed batch job per micro-batch.
-    log = standins.event_stream(spark, sf_dir)
-    base = scratch_path(spark, "probe-microbatch")
-    return microbatch.run_available_now(spark, log, f"{base}/out", f"{base}/state", f"{base}/ckpt")
+    # The same stream answered hour by hour as the watermark closes them, each key's
+    # last probe in value state; the run's end closes what is left.
+    log = standins.probe_log(spark, sf_dir)
+    answered = _closed(spark, log, "probe-hours", dt.timedelta(hours=2),
+                       lambda clock: stateful.detect_stream(standins.event_stream(spark, sf_dir), clock))
+    late = stateful.late_probes(log, answered).select(*answered.columns[:-1], F.lit(False).alias("changed"))
+    return answered.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+
+
+def _closed(spark, log, name, after, make):
+    """``make(clock)`` run over the stream and closed ``after`` the log's last hour."""
+    base = scratch_path(spark, name)
+    clock = stateful.Clock(spark, f"{base}/clock")
+    last = log.agg(F.max("checked_at")).first()[0]
+    until = None if last is None else last.replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=1, seconds=1) + after
+    return stateful.run_closed(spark, lambda: make(clock), clock, until, f"{base}/out", f"{base}/ckpt")
 
 
 @register("probe_append_stream", "M1", lambda: (
@@ -191,6 +205,21 @@ def missed_observations(spark, sf_dir):
     return M.missed_observations(log, grid, F.lit(first).cast("date"), F.lit(last).cast("date"))
 
 
+@register("missed_observations_stream", "M9", lambda: QUERIES["missed_observations"].oracle())
+def missed_observations_stream(spark, sf_dir):
+    # The same days, reported by timers as the watermark passes them: no row of the key is needed.
+    log = standins.probe_log(spark, sf_dir)
+    day = F.to_date("checked_at")
+    lo, hi, first, last = log.agg(F.min("cycle"), F.max("cycle"), F.min(day), F.max(day)).first()
+    grid = M.target_grid(spark.createDataFrame([("all", lo, hi)], "style string, start int, end int"), standins.PROBE_FILE_TYPES)
+    base = scratch_path(spark, "missed-days")
+    clock = stateful.Clock(spark, f"{base}/clock")
+    until = None if last is None else dt.datetime.combine(last, dt.time()) + dt.timedelta(days=1, hours=1, seconds=1)
+    return stateful.run_closed(
+        spark, lambda: stateful.missed_stream(standins.event_stream(spark, sf_dir), clock, grid, first or dt.date(1970, 1, 1)),
+        clock, until, f"{base}/out", f"{base}/ckpt")
+
+
 @register("update_frequency", "M10", lambda: (
     f"select file_type, cycle, count(*) as n_probes, count(*) filter (where status_code = 200) as n_ok,"
     f" count(*) filter (where changed) as n_changes,"
@@ -214,6 +243,23 @@ def outage_spans(spark, sf_dir):
     return M.outage_spans(standins.probe_log(spark, sf_dir))
 
 
+OUTAGE_GAP_HOURS = 12
+
+
+@register("outage_sessions_stream", "M11", lambda: (
+    f"with f as (select file_type, cycle, checked_at, coalesce(epoch_us(checked_at)"
+    f" - epoch_us(lag(checked_at) over (partition by file_type, cycle order by checked_at)) > {OUTAGE_GAP_HOURS} * 3600000000, true)"
+    f" as opens from {LOG()} l where status_code <> 200 or status_code is null),"
+    f" i as (select *, sum(case when opens then 1 else 0 end) over (partition by file_type, cycle order by checked_at"
+    f" range between unbounded preceding and current row) as island from f)"
+    f" select file_type, cycle, min(checked_at) as outage_start, max(checked_at) as outage_end, count(*) as n_failed_probes"
+    f" from i group by file_type, cycle, island"))
+def outage_sessions_stream(spark, sf_dir):
+    # Failed probes at most twelve hours apart are one outage (session windows).
+    return _closed(spark, standins.probe_log(spark, sf_dir), "outages", dt.timedelta(hours=OUTAGE_GAP_HOURS + 2),
+                   lambda clock: stateful.outage_stream(standins.event_stream(spark, sf_dir), clock, f"{OUTAGE_GAP_HOURS} hours"))
+
+
 @register("status_daily_stream", "M12", lambda: (
     f"select cast(checked_at as date) as day, case when status_code = 200 then 'OK'"
     f" when status_code = 404 then 'not found' else 'other' end as status, count(*) as n_probes"

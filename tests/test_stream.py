@@ -83,37 +83,111 @@ def _write_days(log, folder):
     _append_in_order([log.where(F.to_date("checked_at") == F.lit(d)) for d in days], folder)
 
 
-def test_microbatch_detector_equals_batch(spark, scratch):
-    from ballotbox.streaming import microbatch
+def _closing(spark, scratch, name, folder, make, until):
+    """Runs ``make(probes, clock)`` over the folder's files so far; again for what came since."""
+    from ballotbox.streaming import stateful
 
-    log = _random_log(spark, n=1200, seed=9)
-    folder = scratch("mb-in")
-    _write_days(log, folder)
-    src = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 2).parquet(folder)
-    base = scratch("mb")
-    got = microbatch.run_available_now(spark, src, f"{base}/out", f"{base}/state", f"{base}/ckpt",
-                                       pieces=9)
-    batch = M.detect_changes(log).select("probe_id", "changed")
-    assert got.where("late").count() == 0
-    assert sorted(map(tuple, got.select("probe_id", "changed").collect())) == sorted(map(tuple, batch.collect()))
+    base = scratch(name)
+    clock = stateful.Clock(spark, f"{base}/clock")
+
+    def stream():
+        return make(spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 2).parquet(folder), clock)
+
+    def go(close):
+        return stateful.run_closed(spark, stream, clock, until if close else None, f"{base}/out", f"{base}/ckpt")
+    return go
 
 
-def test_microbatch_late_probe(spark, scratch):
-    from ballotbox.streaming import microbatch
+def test_stateful_detector_equals_batch_and_restarts(spark, scratch):
+    from ballotbox.streaming import stateful
+
+    log = _random_log(spark, n=1200, seed=9)
+    last = log.agg(F.max("checked_at")).first()[0]
+    days = sorted(r.d for r in log.select(F.to_date("checked_at").alias("d")).distinct().collect())
+    folder = scratch("st-in")
+    half = len(days) // 2
+    frames = [log.where(F.to_date("checked_at") == F.lit(d)) for d in days]
+    _append_in_order(frames[:half], folder)
+    go = _closing(spark, scratch, "st", folder, stateful.detect_stream, last + dt.timedelta(hours=5))
+    want = {r.probe_id: r.changed for r in M.detect_changes(log).collect()}
+    first = {r.probe_id: r.changed for r in go(False).collect()}
+    assert first and first.items() <= want.items() and len(first) < len(want)
+    _append_in_order(frames[half:], folder)         # later files, a new query on the old checkpoint
+    got = [(r.probe_id, r.changed) for r in go(True).collect()]
+    assert sorted(got) == sorted(want.items())
+    assert stateful.late_probes(log, go(False)).count() == 0
+
+
+def test_probes_out_of_order_within_the_delay_are_answered_and_later_ones_are_late(spark, scratch):
+    from ballotbox.streaming import stateful
 
     t = dt.datetime(2024, 1, 1)
-    first = spark.createDataFrame([(1, t + dt.timedelta(hours=5), "a", 1, 200, "e1", "m", 1),
-                                   (2, t + dt.timedelta(hours=6), "a", 1, 200, "e1", "m", 1)], LOG_SCHEMA)
-    second = spark.createDataFrame([(3, t + dt.timedelta(hours=1), "a", 1, 200, "zz", "m", 1),
-                                    (4, t + dt.timedelta(hours=7), "a", 1, 200, "e2", "m", 1),
-                                    (5, t + dt.timedelta(hours=8), "b", 1, 200, "e1", "m", 1)], LOG_SCHEMA)
-    r0, s0 = microbatch.detect_batch(first, None)
-    state = s0.collect()
-    r1, s1 = microbatch.detect_batch(second, spark.createDataFrame(state, s0.schema))
-    got = {r.probe_id: (r.changed, r.late) for r in r0.unionByName(r1).collect()}
-    assert got == {1: (False, False), 2: (False, False), 3: (False, True), 4: (True, False), 5: (False, False)}
-    latest = {r.file_type: r.last_id for r in s1.collect()}
-    assert latest == {"a": 4, "b": 5}
+    rows = [[(2, t + dt.timedelta(minutes=150), "a", 1, 200, "e2", "m", 1), (1, t + dt.timedelta(minutes=10), "a", 1, 200, "e1", "m", 1),
+             (10, t + dt.timedelta(minutes=20), None, None, 200, "x", None, 1)],
+            [(3, t + dt.timedelta(minutes=100), "a", 1, 200, "e2", "m", 1), (11, t + dt.timedelta(minutes=170), None, None, 200, "y", None, 1),
+             (12, t + dt.timedelta(minutes=171), None, None, 500, None, None, 1)],
+            [(4, t + dt.timedelta(hours=9), "a", 1, 200, "e2", "m", 1)],
+            [(5, t + dt.timedelta(hours=1), "a", 1, 200, "zz", "m", 1), (6, t + dt.timedelta(hours=9), "a", 1, 200, "e3", "n", 1)]]
+    folder = scratch("late-hours")
+    frames = [spark.createDataFrame(r, LOG_SCHEMA) for r in rows]
+    base_delay = "2 hours"
+    go = _closing(spark, scratch, "lh", folder, lambda p, c: stateful.detect_stream(p, c, base_delay), t + dt.timedelta(days=1))
+    for f in frames:
+        _append_in_order([f], folder)
+        go(False)
+    out = go(True)
+    got = {r.probe_id: r.changed for r in out.collect()}
+    # 3 came after 2 but lies before it: the answers are those of the log in time order
+    assert got == {1: False, 3: True, 2: False, 4: False, 6: True, 10: False, 11: True, 12: False}
+    log = spark.createDataFrame(sum(rows, []), LOG_SCHEMA)
+    assert [r.probe_id for r in stateful.late_probes(log, out).collect()] == [5]
+
+
+def test_a_stopped_collector_is_reported_by_a_timer(spark, scratch):
+    from ballotbox.streaming import stateful
+
+    t = dt.datetime(2024, 1, 1, 3)
+    day = dt.timedelta(days=1)
+    # "a" is probed daily and goes on; "b" stops after the first day; "c" never was; "z" is not in the grid
+    rows = [[(i * 10, t + i * day, "a", 2024, 200, "e", "m", 1)] + ([(5, t, "b", 2024, 200, "e", "m", 1)] if i == 0 else [])
+            + ([(7, t + i * day, "z", 2024, 200, "e", "m", 1)] if i == 1 else []) for i in range(5)]
+    folder = scratch("stopped-in")
+    grid = spark.createDataFrame([("a", 2024), ("b", 2024), ("c", 2024)], "file_type string, cycle int")
+    go = _closing(spark, scratch, "stopped", folder,
+                  lambda p, c: stateful.missed_stream(p, c, grid, dt.date(2024, 1, 1)), dt.datetime(2024, 1, 8, 2))
+    for r in rows[:3]:
+        _append_in_order([spark.createDataFrame(r, LOG_SCHEMA)], folder)
+    found = {(r.file_type, r.missed_date.day) for r in go(False).collect()}
+    assert found == {("b", 2), ("c", 1), ("c", 2)}          # only "a" had rows since
+    _append_in_order([spark.createDataFrame(r, LOG_SCHEMA) for r in rows[3:]], folder)
+    found = sorted((r.file_type, r.missed_date.day) for r in go(True).collect())
+    log = spark.createDataFrame(sum(rows, []), LOG_SCHEMA)
+    want = M.missed_observations(log, grid, F.lit(dt.date(2024, 1, 1)), F.lit(dt.date(2024, 1, 7)))
+    assert found == sorted((r.file_type, r.missed_date.day) for r in want.collect()) and len(found) == 2 + 6 + 7
+
+
+def test_outage_sessions_equal_islands_and_late_failures_are_counted(spark, scratch):
+    from ballotbox.streaming import stateful
+
+    t, hour = dt.datetime(2024, 1, 1), dt.timedelta(hours=1)
+    # probes every hour: a gap of an hour and a half ends an outage at the first success
+    states = {"a": "xx..xxx.x", "b": ".........", None: "x.xxxxx.."}
+    rows = [(100 * k + i, t + i * hour, key, 1 if key else None, 503 if c == "x" else 200, None, None, 1)
+            for k, (key, line) in enumerate(states.items()) for i, c in enumerate(line)]
+    late = (999, t + hour / 2, "b", 1, 500, None, None, 1)
+    folder = scratch("out-in")
+    go = _closing(spark, scratch, "out", folder, lambda p, c: stateful.outage_stream(p, c, "90 minutes", "1 minute"), t + 48 * hour)
+    for i in range(0, 9, 3):
+        _append_in_order([spark.createDataFrame([r for r in rows if i <= (r[1] - t) / hour < i + 3], LOG_SCHEMA)], folder)
+        go(False)
+    _append_in_order([spark.createDataFrame([late], LOG_SCHEMA)], folder)
+    out = go(True)
+    log = spark.createDataFrame([*rows, late], LOG_SCHEMA)
+    want = M.outage_spans(spark.createDataFrame(rows, LOG_SCHEMA))
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.select(*out.columns).collect()))
+    assert [r.probe_id for r in stateful.late_failures(log, out).collect()] == [999]
+    failed = sum(r[4] != 200 for r in [*rows, late])
+    assert failed - out.agg(F.sum("n_failed_probes")).first()[0] == 1
 
 
 def test_windowed_counts_equal_batch(spark, scratch):
@@ -150,20 +224,6 @@ def test_windowed_counts_include_every_late_probe(spark, scratch):
     assert windowed.compact(spark, f"{base}/out", f"{base}/all").count() == 4
 
 
-def test_old_state_versions_are_removed(spark, scratch):
-    from ballotbox.session import list_folder
-    from ballotbox.streaming import microbatch
-
-    folder = scratch("versions-in")
-    _write_days(_random_log(spark, n=300, seed=4), folder)
-    src = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 4).parquet(folder)
-    base = scratch("versions")
-    microbatch.run_available_now(spark, src, f"{base}/out", f"{base}/state", f"{base}/ckpt")
-    kept = [int(n[6:]) for n, _, _ in list_folder(spark, f"{base}/state") if n.startswith("epoch=")]
-    assert len(kept) == 2 and max(kept) >= 3
-    assert microbatch.state_before(spark, f"{base}/none", 5) is None
-
-
 def test_stream_queries_read_a_folder_of_files(spark, scratch):
     import os
     import shutil
