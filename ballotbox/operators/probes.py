@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ballotbox.functions.normalize import epoch_micros, source_url
 from ballotbox.operators.keyed_windows import dense_ids, previous_in_key, running_count
-from ballotbox.session import list_folder
+from ballotbox.session import list_folder, scratch_path
 
 KEYS = ("file_type", "cycle")
 ORDER = ("checked_at", "probe_id")
@@ -69,6 +69,21 @@ def latest_state(state: DataFrame, tie_break: str | None = "probe_id") -> DataFr
     return agg.select(*KEYS, "r.checked_at", *[f"r.{c}" for c in payload])
 
 
+def _daily(changes: DataFrame) -> DataFrame:
+    """One row per key and day: the day's last probe, and whether any found a change."""
+    day = F.to_date("checked_at").alias("observation_date")
+    return (changes.groupBy(*KEYS, day)
+            .agg(F.max(F.struct("checked_at", "probe_id", "status_code", "etag", "last_modified", "content_length")).alias("r"),
+                 F.max("changed").alias("changed"))
+            .select(*KEYS, "observation_date", F.col("r.checked_at").alias("probe_time"),
+                    F.col("r.status_code").alias("http_status"), "r.etag", "r.last_modified",
+                    F.col("r.content_length").cast("bigint").alias("content_length"), "changed"))
+
+
+OBSERVATION = ("observation_id", "file_type", "cycle", "observation_date", "probe_time", "http_status", "etag",
+               "last_modified", "content_length", "changed", "recorded_at")
+
+
 def daily_observations(changes: DataFrame, base_id: int | Column = 0,
                        recorded_at: Column | None = None) -> DataFrame:
     """M5: one row per key per day (the day's last probe), numbered from ``base_id + 1``.
@@ -76,35 +91,57 @@ def daily_observations(changes: DataFrame, base_id: int | Column = 0,
     ``changed`` is true when any probe of that day found a change. Ids follow
     (day, file_type, cycle); ``base_id`` is the current maximum of the table.
     """
-    day = F.to_date("checked_at").alias("observation_date")
-    daily = (changes.groupBy(*KEYS, day)
-             .agg(F.max(F.struct("checked_at", "probe_id", "status_code", "etag", "last_modified",
-                                 "content_length")).alias("r"),
-                  F.max(F.col("changed").cast("int")).alias("any_changed")))
-    numbered = dense_ids(daily, ["observation_date", *KEYS], base_id, "observation_id")
-    rec = F.col("r.checked_at") if recorded_at is None else recorded_at
-    return numbered.select(
-        "observation_id", "file_type", "cycle", "observation_date",
-        F.col("r.checked_at").alias("probe_time"), F.col("r.status_code").alias("http_status"),
-        F.col("r.etag").alias("etag"), F.col("r.last_modified").alias("last_modified"),
-        F.col("r.content_length").cast("bigint").alias("content_length"),
-        (F.col("any_changed") == 1).alias("changed"), rec.alias("recorded_at"))
-
-
-def append_observations(spark: SparkSession, changes: DataFrame, path: str) -> DataFrame:
-    """M5: appends the key-days that the table at ``path`` does not have yet, with
-    ids that go on from its greatest; returns the table."""
-    daily = daily_observations(changes)
-    if list_folder(spark, path):
-        have = spark.read.schema(daily.schema).parquet(path)
-        base = have.agg(F.max("observation_id")).first()[0] or 0
-        known = have.select(*KEYS, "observation_date")
-        on = [daily[c].eqNullSafe(known[c]) for c in (*KEYS, "observation_date")]
-        new = daily.join(known, on, "left_anti")
-        daily = (dense_ids(new.drop("observation_id"), ["observation_date", *KEYS], base, "observation_id")
-                 .select(*daily.columns))
-    daily.write.mode("append").parquet(path)
-    return spark.read.schema(daily.schema).parquet(path)
+    numbered = dense_ids(_daily(changes), ["observation_date", *KEYS], base_id, "observation_id")
+    rec = F.col("probe_time") if recorded_at is None else recorded_at
+    return numbered.withColumn("recorded_at", rec).select(*OBSERVATION)
+
+
+def upsert_observations(spark: SparkSession, probes: DataFrame, path: str) -> DataFrame:
+    """M5: new probes (with ``changed``) into the table of daily observations, which is
+    stored by day; returns the table.
+
+    Only the days that got probes are read and rewritten. A stored key-day keeps
+    its id; its row becomes the later of the stored and the new last probe (the new
+    one at equal times), and is changed if either was. New key-days, and only those,
+    are numbered, from the greatest id on. Running it again with the same probes
+    changes nothing.
+    """
+    new = _daily(probes)
+    start, folders = 0, list_folder(spark, path)
+    if any(folder for _, _, folder in folders):
+        have = read_observations(spark, path)
+        start = have.agg(F.max("observation_id")).first()[0] or 0
+        days = new.select(F.col("observation_date").alias("_day")).distinct()
+        # the days with new probes, by partition pruning at run time
+        old = have.join(F.broadcast(days), have["observation_date"] == days["_day"], "left_semi")
+        o, n = old.alias("o"), new.alias("n")
+        on = [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in (*KEYS, "observation_date")]
+        newer = F.coalesce(F.col("n.probe_time") >= F.col("o.probe_time"), F.col("o.observation_id").isNull())
+        pick = {c: F.when(newer, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}"))
+                for c in ("probe_time", "http_status", "etag", "last_modified", "content_length")}
+        merged = o.join(n, on, "full_outer").select(
+            F.col("o.observation_id").alias("observation_id"),
+            *[F.coalesce(f"n.{c}", f"o.{c}").alias(c) for c in (*KEYS, "observation_date")],
+            *[v.alias(c) for c, v in pick.items()],
+            (F.coalesce("n.changed", F.lit(False)) | F.coalesce("o.changed", F.lit(False))).alias("changed"))
+    else:
+        merged = new.withColumn("observation_id", F.lit(None).cast("bigint"))
+    fresh = dense_ids(merged.where("observation_id IS NULL").drop("observation_id"), ["observation_date", *KEYS], start,
+                      "observation_id")
+    out = merged.where("observation_id IS NOT NULL").unionByName(fresh).withColumn("recorded_at", F.col("probe_time"))
+    held = scratch_path(spark, "observations")          # the days are rewritten from here, not from themselves
+    out.select(*OBSERVATION).write.parquet(held)
+    (spark.read.schema(out.select(*OBSERVATION).schema).parquet(held).repartition("observation_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("observation_date").parquet(path))
+    return read_observations(spark, path)
+
+
+def read_observations(spark: SparkSession, path: str) -> DataFrame:
+    """The stored table of daily observations."""
+    schema = ("observation_id long, file_type string, cycle int, observation_date date, probe_time timestamp_ntz, "
+              "http_status int, etag string, last_modified string, content_length long, changed boolean, "
+              "recorded_at timestamp_ntz")
+    return spark.read.schema(schema).parquet(path).select(*OBSERVATION)
 
 
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:

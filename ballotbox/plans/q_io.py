@@ -79,6 +79,32 @@ def partition_overwrite(spark, sf_dir):
     return parquet.read_raw(spark, root, "indiv").select(*raw.columns)
 
 
+def _reload_sql() -> str:
+    cols = ", ".join(f'"{c}"' for c in schemas.column_names("indiv"))
+    base = f"select {cols}, cycle from ({standins.raw_sql('indiv')}) r where cycle = {RELOAD_CYCLE}"
+    new = ", ".join("'RELOADED' as memo_text" if c == "memo_text" else f'"{c}"' for c in schemas.column_names("indiv"))
+    return (f"with old as ({base}), kept as (select * from old where right(trim(sub_id), 1) not in ('5', '6')),"
+            f" again as (select * from kept union all select * from old where right(trim(sub_id), 1) = '7'"
+            f" union all select {new}, cycle from old where right(trim(sub_id), 1) = '6'),"
+            f" c as (select *, 'added' as change from (select * from again except all select * from old) a"
+            f" union all select *, 'vanished' as change from (select * from old except all select * from again) b"
+            f" union all select *, 'unchanged' as change from (select * from old intersect all select * from again) d)"
+            f" select {cols}, cycle, change, count(*) as n from c group by all")
+
+
+@register("reload_difference", "S3", _reload_sql)
+def reload_difference(spark, sf_dir):
+    # A cycle comes again: some rows gone, some changed, some twice.
+    root = scratch_path(spark, "raw")
+    raw = standins.raw(spark, sf_dir, "indiv")
+    parquet.write_raw(raw, root, "indiv")
+    stored = parquet.read_raw(spark, root, "indiv", [RELOAD_CYCLE]).select(*raw.columns)
+    last = F.right(F.trim("sub_id"), F.lit(1))
+    again = stored.where(~last.isin("5", "6")).unionAll(stored.where(last == "7")).unionAll(
+        stored.where(last == "6").withColumn("memo_text", F.lit("RELOADED")))
+    return parquet.changes_between(stored, again)
+
+
 @register("scan_parquet_cycle", "S4", lambda: f"select * from ({standins.raw_sql('indiv')}) r")
 def scan_parquet_cycle(spark, sf_dir):
     root = scratch_path(spark, "raw")

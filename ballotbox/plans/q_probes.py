@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from ballotbox.functions.normalize import BULK_BASE_URL
 from ballotbox.operators import probes as M
-from ballotbox.plans import standins
+from ballotbox.plans import standins, zipwriter
 from ballotbox.plans.registry import QUERIES, register
 from ballotbox.session import scratch_path
-from ballotbox.sources import jsonsource
+from ballotbox.sources import jsonsource, load, parquet
 from ballotbox.sources.sinks import Sink
 from ballotbox.streaming import fanout, probe_stream, stateful, windowed
 
@@ -103,65 +103,83 @@ def probe_append_stream(spark, sf_dir):
     return from_pq.unionByName(js.select(F.lit("json").alias("sink"), *cols))
 
 
+# Probes that come with the second run, days late some of them.
+SECOND_RUN = "probe_id % 3 = 0"
+_DAY = "partition by file_type, cycle, cast(checked_at as date)"
+
+
 @register("daily_observation", "M5", lambda: (
-    f"with d as (select *, cast(checked_at as date) as observation_date,"
-    f" bool_or(changed) over (partition by file_type, cycle, cast(checked_at as date)) as any_changed"
-    f" from ({_changes_sql()}) c"
-    f" qualify row_number() over (partition by file_type, cycle, cast(checked_at as date)"
-    f" order by checked_at desc, probe_id desc) = 1)"
-    f" select cast(row_number() over (order by observation_date, file_type, cycle) as bigint) as observation_id,"
+    f"with c as (select *, bool_or(not ({SECOND_RUN})) over ({_DAY}) as early,"
+    f" bool_or(changed) over ({_DAY}) as any_changed, cast(checked_at as date) as observation_date"
+    f" from ({_changes_sql()}) x qualify row_number() over ({_DAY} order by checked_at desc, probe_id desc) = 1)"
+    f" select cast(row_number() over (order by early desc, observation_date, file_type, cycle) as bigint) as observation_id,"
     f" file_type, cycle, observation_date, checked_at as probe_time, status_code as http_status,"
     f" etag, last_modified, cast(content_length as bigint) as content_length,"
-    f" any_changed as changed, checked_at as recorded_at from d"))
+    f" any_changed as changed, checked_at as recorded_at from c"))
 def daily_observation(spark, sf_dir):
-    # Two runs: the first saw the log's first half of days, the second all of it.
+    # Two runs: what comes late updates its day, and only new key-days get new ids.
     ch = changes(spark, sf_dir)
-    day = F.to_date("checked_at")
-    first, last = ch.agg(F.min(day), F.max(day)).first()
     path = scratch_path(spark, "daily-observation")
-    if first is not None:
-        M.append_observations(spark, ch.where(day <= F.lit(first + (last - first) / 2)), path)
-    return M.append_observations(spark, ch, path)
-
+    M.upsert_observations(spark, ch.where(~F.expr(SECOND_RUN)), path)
+    return M.upsert_observations(spark, ch.where(SECOND_RUN), path)
 
-def _counts(spark, sf_dir):
-    return M.row_counts({ft: standins.raw(spark, sf_dir, ft).select("cycle") for ft in standins.FILE_TYPES})
 
-
-def _counts_sql() -> str:
+def _counts_sql(file_types) -> str:
     return " union all ".join(
         f"select '{ft}' as file_type, cycle, count(*) as row_count from ({standins.raw_sql(ft)}) r{i} group by cycle"
-        for i, ft in enumerate(standins.FILE_TYPES))
+        for i, ft in enumerate(file_types))
+
+
+LOADED_AT = ("2024-01-01 00:00:00", "2024-01-02 00:00:00")
+LOADS = (("cm", "cn"), ("ccl", "cm", "weball"))      # the second brings one type again
 
 
-LOADED_AT = "2024-01-01 00:00:00"
+def _load_sql(k: int) -> str:
+    return f"select {k} as load, file_type, cycle, row_count, timestamp '{LOADED_AT[k]}' as loaded_at from ({_counts_sql(LOADS[k])}) l{k}"
 
 
 @register("load_history", "M6", lambda: (
-    f"select cast(row_number() over (order by file_type, cycle) as bigint) as load_id, file_type, cycle,"
+    f"select cast(row_number() over (order by load, file_type, cycle) as bigint) as load_id, file_type, cycle,"
     f" '{BULK_BASE_URL}/' || cast(cycle as varchar) || '/' || file_type"
     f" || right(cast(cycle as varchar), 2) || '.zip' as source_url,"
     f" 'data/raw/' || file_type || '_' || cast(cycle as varchar) || '.zip' as source_zip_path,"
     f" 'raw/' || file_type || '/cycle=' || cast(cycle as varchar) as target_parquet_path,"
-    f" row_count, timestamp '{LOADED_AT}' as loaded_at, s.etag, s.last_modified from ({_counts_sql()}) c"
+    f" row_count, loaded_at, s.etag, s.last_modified from ({_load_sql(0)} union all {_load_sql(1)}) c"
     f" left join (select * from ({_changes_sql()}) x qualify row_number() over"
     f" (partition by file_type, cycle order by checked_at desc, probe_id desc) = 1) s using (file_type, cycle)"))
 def load_history(spark, sf_dir):
+    # Two loads of archives into one history; each row has the count its load observed.
     state = M.latest_state(changes(spark, sf_dir))
-    return M.record_load(spark, _counts(spark, sf_dir), scratch_path(spark, "load-history"),
-                         F.lit(LOADED_AT).cast("timestamp_ntz"), state=state)
+    base = scratch_path(spark, "load-history")
+    out = None
+    for k, file_types in enumerate(LOADS):
+        found = None
+        for ft in file_types:
+            zips = f"{base}/zips{k}/{ft}"
+            zipwriter.write_zip_archives(standins.raw(spark, sf_dir, ft), zips, ft).write.format("noop").mode("overwrite").save()
+            loaded = load.load_zip_to_raw(spark, zips, ft, f"{base}/raw").select("file_type", "cycle", "row_count")
+            found = loaded if found is None else found.unionByName(loaded)
+        out = M.record_load(spark, found, f"{base}/history", F.lit(LOADED_AT[k]).cast("timestamp_ntz"), state=state)
+    return out
+
+
+STORED = ("cm", "cn", "ccl", "weball")
 
 
 @register("files_to_refresh", "M7", lambda: (
     f"with latest as (select file_type, cycle, checked_at, status_code, changed from ({_changes_sql()}) c"
     f" qualify row_number() over (partition by file_type, cycle order by checked_at desc, probe_id desc) = 1),"
-    f" have as (select distinct file_type, cycle from ({_counts_sql()}) s)"
+    f" have as (select distinct file_type, cycle from ({_counts_sql(STORED)}) s)"
     f" select l.file_type, l.cycle, l.checked_at, l.status_code, l.changed,"
     f" h.file_type is null as missing_locally, case when l.changed then 'changed' else 'missing' end as reason"
     f" from latest l left join have h on l.file_type = h.file_type and l.cycle = h.cycle"
     f" where l.status_code = 200 and (l.changed or h.file_type is null)"))
 def files_to_refresh(spark, sf_dir):
-    return M.files_to_refresh(changes(spark, sf_dir), _counts(spark, sf_dir))
+    # What is stored is read from the folders of the raw root, not from its tables.
+    root = scratch_path(spark, "raw-root")
+    for ft in STORED:
+        parquet.write_raw(standins.raw(spark, sf_dir, ft), root, ft)
+    return M.files_to_refresh(changes(spark, sf_dir), M.stored_files(spark, root))
 
 
 @register("target_grid", "M8", lambda: (

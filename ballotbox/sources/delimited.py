@@ -16,10 +16,19 @@ from pyspark.sql import functions as F
 
 from ballotbox import schemas
 
+# Encodings in which a line ends at the byte of "\n".
+ENCODINGS = ("UTF-8", "ISO-8859-1", "US-ASCII")
+
 
 def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Lines of a file, folder or ``<ft>/cycle=YYYY/`` tree: value (and cycle)."""
-    lines = spark.read.option("lineSep", "\n").option("encoding", encoding).text(path)
+    """Lines of a file, folder or ``<ft>/cycle=YYYY/`` tree: value (and cycle). Lines are
+    cut at the byte ``\\n`` and decoded after that, so only encodings of ``ENCODINGS`` can
+    be read; another is an error."""
+    if encoding.upper() not in ENCODINGS:
+        raise ValueError(f"no text files in {encoding}; known: {', '.join(ENCODINGS)}")
+    lines = spark.read.option("lineSep", "\n").text(path)
+    if encoding.upper() != "UTF-8":     # the reader hands the bytes on as they are
+        lines = lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding.upper()))
     return lines.withColumn("value", F.regexp_replace("value", "\r$", ""))
 
 

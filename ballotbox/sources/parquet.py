@@ -13,7 +13,7 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ballotbox.session import list_folder
+from ballotbox.session import file_system, list_folder
 
 # Fixed value: the folder that Spark gives to NULL.
 NO_CYCLE = "__HIVE_DEFAULT_PARTITION__"
@@ -65,6 +65,27 @@ def list_cycles(spark: SparkSession, root: str, file_type: str) -> list[int | No
     return sorted(cycles, key=lambda c: (c is None, c))
 
 
+def drop_cycle(spark: SparkSession, root: str, file_type: str, cycle: int) -> None:
+    """Takes away what is stored of one cycle, if anything is."""
+    fs, path = file_system(spark, f"{root.rstrip('/')}/{file_type}/cycle={cycle}")
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
+def changes_between(stored: DataFrame, reloaded: DataFrame) -> DataFrame:
+    """What a rerun does to a table: its rows with ``change`` added, vanished or
+    unchanged and, since tables keep duplicates, how many times (``n``). Multiset
+    difference and intersection, so each side is counted once and compared by value."""
+    same = [c for c in stored.columns]
+    parts = (("added", reloaded.exceptAll(stored)), ("vanished", stored.exceptAll(reloaded)),
+             ("unchanged", stored.intersectAll(reloaded)))
+    out = None
+    for name, rows in parts:
+        counted = rows.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).withColumn("change", F.lit(name))
+        out = counted if out is None else out.unionByName(counted)
+    return out
+
+
 def register_cycle_views(spark: SparkSession, root: str, file_type: str, cycles: Iterable[int | None]) -> list[str]:
     """Expose each cycle as temp view ``raw_<ft>_<cycle>`` (a pruned scan)."""
     names = []

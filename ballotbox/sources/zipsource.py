@@ -1,26 +1,32 @@
 """ZIP member scan (S2): the lines of bulk archives, read in place.
 
-The driver lists the archives through Hadoop's file system (as Spark's own
-readers resolve a path) and hands each to a task by its full address; the task
-reads the central directory, chooses the member and streams it in blocks that
-are cut at line ends. A compressed member cannot be split, so one archive is one
-task's reading; ``load`` deals the lines out before they are parsed.
+``spark.read.format("bulkzip")`` is a Python data source with one partition for each
+member that is to be read: a compressed member cannot be split, and a task inflates
+it once, block by block, cut at line ends. The options ``cycles`` and ``members`` say which are wanted: others are
+not opened. (They are options and not pushed-down filters, since Spark 4.1 keeps what
+one query pushed for every later scan of the same frame.) ``read_zip_lines`` lists the archives through Hadoop's file system (as Spark's own readers resolve a
+path) and hands their full addresses to the source; ``load(path)`` alone lists by
+pyarrow's file systems.
 
 Member choice: for ``indiv`` only the root ``itcont.txt`` is read; the
 ``by_date/`` partials repeat its rows and would duplicate them. For other file
 types every root-level ``.txt`` member is read. An archive without such a member
-is an error that names it, and so is a name that tells no cycle.
+is an error that names it, and so are a name that tells no cycle and bytes that
+are not text in the given ``encoding``.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import zipfile
-from typing import NamedTuple
+from typing import Iterator, NamedTuple
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import StructType
 
 from ballotbox import schemas
 from ballotbox.session import list_folder
@@ -61,8 +67,8 @@ def archives(spark: SparkSession, path: str) -> list[Archive]:
 
 def open_file(address: str):
     """A task's handle on a file known by its full address."""
-    if address.startswith("file:"):
-        return pafs.LocalFileSystem().open_input_file("/" + address[len("file:"):].lstrip("/"))
+    if address.startswith("file:") or "://" not in address:
+        return pafs.LocalFileSystem().open_input_file("/" + address.removeprefix("file:").lstrip("/"))
     store, inner = pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", address))
     return store.open_input_file(inner)
 
@@ -90,30 +96,87 @@ def _blocks(raw):
         yield rest
 
 
+class Member(InputPartition):
+    def __init__(self, archive: str, cycle: int, member: str):
+        self.archive, self.cycle, self.member = archive, cycle, member
+
+
+class BulkZip(DataSource):
+    """Options: ``file_type`` or ``inner`` choose the members, ``cycles`` and ``members``
+    (JSON lists) those of them that are wanted, ``encoding`` (UTF-8), and ``archives``
+    (addresses and cycles as JSON) or a path."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "bulkzip"
+
+    def schema(self) -> str:
+        return "archive string, cycle int, member string, value string"
+
+    def reader(self, schema: StructType) -> "BulkZipReader":
+        return BulkZipReader(self.options)
+
+
+class BulkZipReader(DataSourceReader):
+    def __init__(self, options):
+        self.file_type, self.inner = options.get("file_type"), options.get("inner")
+        self.encoding = options.get("encoding", "UTF-8")
+        if "\n|a".encode(self.encoding) != b"\n|a":
+            raise ValueError(f"lines cannot be cut in {self.encoding}")
+        self.found = [tuple(a) for a in json.loads(options["archives"])] if "archives" in options else _listed(options["path"])
+        self.cycles, self.members = (json.loads(options[k]) if k in options else None for k in ("cycles", "members"))
+
+    def partitions(self) -> list[Member]:
+        out = []
+        for archive, cycle in self.found:
+            if self.cycles is not None and cycle not in self.cycles:
+                continue
+            with open_file(archive) as fh, zipfile.ZipFile(fh) as z:        # the central directory only
+                members = choose_members(z.namelist(), self.file_type, self.inner)
+            if not members:
+                raise ValueError(f"{archive} has no member to read for {self.inner or self.file_type}")
+            out += [Member(archive, cycle, m) for m in members if self.members is None or m in self.members]
+        return out
+
+    def read(self, partition: Member | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:                   # no member is wanted
+            return
+        with open_file(partition.archive) as fh, zipfile.ZipFile(fh) as z, z.open(partition.member) as raw:
+            for block in _blocks(raw):
+                try:
+                    text = block.decode(self.encoding)
+                except UnicodeDecodeError as e:
+                    raise ValueError(f"{partition.member} of {partition.archive} is not {self.encoding}: {e}") from e
+                values = [v[:-1] if v.endswith("\r") else v for v in text.split("\n")]
+                n = len(values)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([partition.archive] * n), pa.array([partition.cycle] * n, pa.int32()),
+                     pa.array([partition.member] * n), pa.array(values, pa.string())],
+                    names=["archive", "cycle", "member", "value"])
+
+
+def _listed(path: str) -> list[tuple[str, int]]:
+    """Archives at or below ``path`` where only Python looks."""
+    local = "://" not in path and not path.startswith("file:")
+    store, inner = (pafs.LocalFileSystem(), path) if local else pafs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
+    info = store.get_file_info(inner)
+    files = [info] if info.type == pafs.FileType.File else store.get_file_info(pafs.FileSelector(inner, recursive=True))
+    prefix = "" if local else path[:path.index(inner)] if inner in path else path.split("://")[0] + "://"
+    found = sorted((prefix + f.path, cycle_of_name(f.path)) for f in files if f.path.lower().endswith(".zip"))
+    if not found:
+        raise FileNotFoundError(f"no ZIP archive at or below {path}")
+    return found
+
+
 def read_zip_lines(spark: SparkSession, path: str, file_type: str | None = None, inner: str | None = None,
-                   encoding: str = "UTF-8") -> DataFrame:
-    """archive, cycle, member, value of every line of the chosen members."""
-    found = archives(spark, path)
-    listed = spark.createDataFrame([(a.path, a.cycle) for a in found], "archive string, cycle int")
-
-    def lines(batches):
-        for batch in batches:
-            for archive, cycle in zip(batch.column("archive").to_pylist(), batch.column("cycle").to_pylist()):
-                with open_file(archive) as fh, zipfile.ZipFile(fh) as z:
-                    members = choose_members(z.namelist(), file_type, inner)
-                    if not members:
-                        raise ValueError(f"{archive} has no member to read for {inner or file_type}")
-                    for member in members:
-                        with z.open(member) as raw:
-                            for block in _blocks(raw):
-                                values = [v[:-1] if v.endswith("\r") else v for v in block.decode(encoding).split("\n")]
-                                n = len(values)
-                                yield pa.RecordBatch.from_arrays(
-                                    [pa.array([archive] * n), pa.array([cycle] * n, pa.int32()), pa.array([member] * n),
-                                     pa.array(values, pa.string())], names=["archive", "cycle", "member", "value"])
-
-    return (listed.repartition(len(found))
-            .mapInArrow(lines, "archive string, cycle int, member string, value string"))
+                   encoding: str = "UTF-8", cycles: list[int] | None = None, members: list[str] | None = None) -> DataFrame:
+    """archive, cycle, member, value of every line of the chosen members (of the listed
+    ``cycles`` and ``members`` only)."""
+    found = json.dumps([(a.path, a.cycle) for a in archives(spark, path)])
+    spark.dataSource.register(BulkZip)
+    chosen = {k: v for k, v in (("file_type", file_type), ("inner", inner)) if v}
+    chosen |= {k: json.dumps(v) for k, v in (("cycles", cycles), ("members", members)) if v is not None}
+    return spark.read.format("bulkzip").options(archives=found, encoding=encoding, **chosen).load()
 
 
 def read_zip(spark: SparkSession, path: str, file_type: str, inner: str | None = None,

@@ -139,15 +139,41 @@ def test_daily_observation_one_row_per_key_day(spark):
     assert ids == list(range(1, len(ids) + 1))
 
 
-def test_observations_are_appended_with_the_next_ids(spark, scratch):
+def test_observations_get_the_next_ids(spark, scratch):
     ch = M.detect_changes(_random_log(spark, n=400))
     path = scratch("observations")
     early = ch.where("checked_at < timestamp_ntz'2024-01-08 00:00:00'")
-    n = M.append_observations(spark, early, path).count()
-    both = M.append_observations(spark, ch, path)
-    again = M.append_observations(spark, ch, path)
-    assert n < both.count() == again.count() == ch.select(*M.KEYS, F.to_date("checked_at")).distinct().count()
-    assert sorted(r.observation_id for r in again.collect()) == list(range(1, again.count() + 1))
+    n = M.upsert_observations(spark, early, path).count()
+    both = M.upsert_observations(spark, ch, path)
+    rows = sorted(map(tuple, both.collect()))
+    again = sorted(map(tuple, M.upsert_observations(spark, ch, path).collect()))
+    assert n < len(rows) and rows == again                  # the same probes once more change nothing
+    assert len(rows) == ch.select(*M.KEYS, F.to_date("checked_at")).distinct().count()
+    assert [r[0] for r in rows] == list(range(1, len(rows) + 1))
+
+
+def test_a_late_probe_updates_its_day_and_no_other(spark, scratch):
+    import glob
+
+    from helpers import local_path
+
+    def probe(i, day, hour, status, changed, cycle=2024):
+        return (i, dt.datetime(2024, 1, day, hour), "cm", cycle, status, f"e{i}", None, 10 * i, changed)
+
+    schema = LOG_SCHEMA + ", changed boolean"
+    path = scratch("upsert")
+    first = [probe(1, 1, 5, 200, False), probe(2, 2, 5, 200, True), probe(3, 3, 5, 200, False)]
+    M.upsert_observations(spark, spark.createDataFrame(first, schema), path)
+    before = {f for d in (1, 3) for f in glob.glob(f"{local_path(path)}/observation_date=2024-01-0{d}/*.parquet")}
+    late = [probe(4, 2, 9, 503, False), probe(5, 2, 3, 404, False), probe(6, 2, 4, 200, False, None)]
+    out = {(r.observation_date.day, r.cycle): r for r in M.upsert_observations(spark, spark.createDataFrame(late, schema), path).collect()}
+    assert len(out) == 4 and out[2, None].observation_id == 4
+    r = out[2, 2024]            # the later probe's row under the old id; the change of the day stays
+    assert (r.observation_id, r.probe_time.hour, r.http_status, r.etag, r.content_length, r.changed) == (2, 9, 503, "e4", 40, True)
+    after = {f for d in (1, 3) for f in glob.glob(f"{local_path(path)}/observation_date=2024-01-0{d}/*.parquet")}
+    assert before == after      # other days were not rewritten
+    M.upsert_observations(spark, spark.createDataFrame([probe(7, 2, 1, 200, False)], schema), path)
+    assert {r.observation_id: r.etag for r in M.read_observations(spark, path).collect()}[2] == "e4"
 
 
 def test_loads_are_recorded_with_tags(spark, scratch):

@@ -176,3 +176,74 @@ def test_zip_writer_rerun_replaces_archives(spark, scratch):
     again = zipwriter.write_zip_archives(raw, path, "indiv").collect()   # a rerun of the same job
     assert sorted(r.archive for r in first) == sorted(r.archive for r in again)
     assert zipsource.read_zip(spark, path, "indiv").count() == 30
+
+
+def test_latin1_lines_are_decoded(spark, scratch):
+    path = local_path(scratch("latin1"))
+    os.makedirs(path)
+    with open(os.path.join(path, "ccl.txt"), "wb") as fh:
+        fh.write("café|\xa0x|c|d|e|f|Ærø\r\n|b|c|d|e|f|g\n".encode("latin-1"))
+    rows = delimited.read_raw(spark, path, "ccl", encoding="ISO-8859-1").collect()
+    assert [(r[0], r[1], r[6]) for r in rows] == [("café", "\xa0x", "Ærø"), (None, "b", "g")]
+    with pytest.raises(ValueError, match="UTF-16"):
+        delimited.read_lines(spark, path, "UTF-16")
+
+
+def test_latin1_archives(spark, scratch):
+    root, raw = local_path(scratch("latin1-zip")), scratch("latin1-raw")
+    os.makedirs(root)
+    with zipfile.ZipFile(os.path.join(root, "ccl_2024.zip"), "w") as z:
+        z.writestr("ccl.txt", "café|b|c|d|e|f|g\n".encode("latin-1"))
+    assert load.load_zip_to_raw(spark, root, "ccl", raw, encoding="ISO-8859-1").first().row_count == 1
+    assert parquet.read_raw(spark, raw, "ccl").first()[0] == "café"
+    with pytest.raises(Exception, match="ccl_2024.zip is not UTF-8"):
+        zipsource.read_zip(spark, root, "ccl").collect()
+    with pytest.raises(Exception, match="UTF-16"):
+        zipsource.read_zip(spark, root, "ccl", encoding="UTF-16").collect()
+
+
+def test_the_source_reads_only_the_members_asked_for(spark, scratch):
+    root = local_path(scratch("members"))
+    os.makedirs(os.path.join(root, "deep"))
+    row = "a|b|c|d|e|f|g\n"
+    _zip(os.path.join(root, "ccl_2024.zip"), {"one.txt": row * 3, "two.txt": row})
+    _zip(os.path.join(root, "deep", "ccl_2022.zip"), {"one.txt": row * 2})
+    lines = zipsource.read_zip_lines(spark, root, "ccl")
+    assert lines.rdd.getNumPartitions() == 3 and lines.count() == 6
+    assert zipsource.read_zip_lines(spark, root, "ccl", cycles=[2024], members=["one.txt", "none.txt"]).count() == 3
+    # frames and their filtered forms do not disturb each other
+    assert lines.where("cycle = 2024").union(lines.where("cycle = 2022")).union(lines).count() == 12
+    # damage in a member that is not asked for stays unseen
+    with open(os.path.join(root, "deep", "ccl_2022.zip"), "r+b") as fh:
+        fh.seek(40)
+        fh.write(b"\xff\xff\xff")
+    assert zipsource.read_zip_lines(spark, root, "ccl", cycles=[2024]).count() == 4
+    with pytest.raises(Exception):
+        lines.count()
+    assert spark.read.format("bulkzip").option("file_type", "ccl").load(os.path.join(root, "ccl_2024.zip")).count() == 4
+    assert zipsource.read_zip_lines(spark, root, "ccl", members=["none.txt"]).count() == 0
+
+
+def test_a_reload_replaces_rows_and_rejects_and_inflates_once(spark, scratch, monkeypatch):
+    root, raw = local_path(scratch("again")), scratch("again-raw")
+    os.makedirs(root)
+    path = os.path.join(root, "ccl_2024.zip")
+    _zip(path, {"ccl.txt": "a|b|c|d|e|f|g\nshort\n"})
+    assert [tuple(r) for r in load.load_zip_to_raw(spark, root, "ccl", raw).collect()] == [("ccl", 2024, 1, 1)]
+    _zip(path, {"ccl.txt": "x|b|c|d|e|f|g\ny|b|c|d|e|f|g\n"})
+    calls = []
+    real = zipsource.read_zip_lines
+    monkeypatch.setattr(zipsource, "read_zip_lines", lambda *a, **k: calls.append(a) or real(*a, **k))
+    out = load.load_zip_to_raw(spark, root, "ccl", raw)
+    os.remove(path)                                     # nothing is read from the archive after the load
+    assert [tuple(r) for r in out.collect()] == [("ccl", 2024, 2, 0)] and len(calls) == 1
+    assert sorted(r[0] for r in parquet.read_raw(spark, raw, "ccl").collect()) == ["x", "y"]
+    assert parquet.list_cycles(spark, f"{raw}/_rejects", "ccl") == []       # the old reject is gone
+
+
+def test_reload_difference_keeps_multiplicities(spark):
+    a = spark.createDataFrame([(1, None), (1, None), (1, None), (2, "x"), (3, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, None), (2, "x"), (2, "x"), (4, "z")], "k int, v string")
+    got = {(r.k, r.v, r.change): r.n for r in parquet.changes_between(a, b).collect()}
+    assert got == {(1, None, "unchanged"): 1, (1, None, "vanished"): 2, (2, "x", "unchanged"): 1, (2, "x", "added"): 1,
+                   (3, "y", "vanished"): 1, (4, "z", "added"): 1}
