@@ -1,10 +1,10 @@
 """Document text functions (D1-D5) as Spark Column expressions.
 
-All work is JVM-side with higher-order array functions over the lines of each
-whole text (``split`` at line ends, ``transform``, ``filter``,
-``array_position``, ``slice``); no Python runs per row. Lines end at any line
-end (``\\r\\n``, ``\\r`` and the Unicode ones too); "strip" removes Unicode
-white space at both ends of a line.
+All work is JVM-side; no Python runs per row. Title and first paragraph are found by
+one regular expression each over the whole text, so that no text is cut into lines
+for them; possessive loops keep the matcher from backtracking into a long
+paragraph. Lines end at any line end (``\\r\\n``, ``\\r`` and the Unicode ones too);
+"strip" removes Unicode white space at both ends of a line.
 """
 
 from __future__ import annotations
@@ -23,7 +23,19 @@ HEADING = "# "
 ELLIPSIS = "..."
 ROOT_SECTION = "Repository"
 WS = "[\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
-LINE_END = "\\r\\n|[\\n-\\r\\x1c-\\x1e\\x85\\u2028\\u2029]"
+# White space as characters, and the part of it that ends a line, for patterns.
+WS_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                             0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+_END = "\\n-\\r\\x1c-\\x1e\\x85\\u2028\\u2029"
+_BLANK = "\\t\\x1f\\x20\\xa0\\u1680\\u2000-\\u200a\\u202f\\u205f\\u3000"     # white space inside a line
+LINE_END = f"\\r\\n|[{_END}]"
+# A heading line, and its text (which is not blank).
+_HEADING_LINE = f"[{_BLANK}]*+# ([{_BLANK}]*+[^{_END}{_BLANK}][^{_END}]*+)"
+_FIRST_HEADING = f"(?:^|[{_END}]){_HEADING_LINE}"
+# The heading and, as the second group, the lines after it: white space skipped, up to a
+# blank line or another heading.
+_PARAGRAPH = (f"{_FIRST_HEADING}(?:[{_END}][{_END}{_BLANK}]*+([^{_END}]++(?:(?>{LINE_END})(?![{_BLANK}]*+(?:[{_END}]|\\z))"
+              f"(?!{_HEADING_LINE})[^{_END}]++)*+))?")
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -31,7 +43,7 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def strip(c: ColumnOrName) -> Column:
-    return F.regexp_replace(_col(c), f"^{WS}+|{WS}+$", "")
+    return F.btrim(_col(c), F.lit(WS_CHARS))
 
 
 def lines_of(c: ColumnOrName) -> Column:
@@ -59,73 +71,43 @@ def cut(c: ColumnOrName, width: int = WIDTH) -> Column:
     return let(_col(c), shorten)
 
 
-def _is_heading(x: Column) -> Column:
-    return x.startswith(HEADING)
-
-
-def _no_lines() -> Column:
-    return F.array().cast("array<string>")
+def title(content: ColumnOrName, fallback: ColumnOrName) -> Column:
+    """The text of the first line that starts with '# ' (after stripping), else ``fallback``."""
+    return F.coalesce(strip(F.nullif(F.regexp_extract(_col(content), _FIRST_HEADING, 1), F.lit(""))), _col(fallback))
 
 
-def _first_paragraph(rest: Column) -> Column:
-    """Lines after the heading -> first paragraph joined by spaces ('' if none)."""
-    def from_p(p: Column) -> Column:
-        def until_stop(tail: Column) -> Column:
-            stop = F.array_position(F.transform(tail, lambda x, i: (i > 0) & ((x == "") | _is_heading(x))), True)
-            return let(stop, lambda st: F.array_join(
-                F.when(st > 0, F.slice(tail, 1, (st - 1).cast("int"))).otherwise(tail), " "))
-        return F.when(p > 0, let(F.slice(rest, p.cast("int"), (F.size(rest) - p + 1).cast("int")), until_stop)) \
-            .otherwise(F.lit(""))
-    return let(F.array_position(F.transform(rest, lambda x: x != ""), True), from_p)
+def summary(content: ColumnOrName, width: int = WIDTH) -> Column:
+    """The first paragraph after that heading, cut to ``width``; blank lines after
+    the heading are skipped and the paragraph ends at a blank line or the next heading
+    (a heading can open it). '' without a heading or a paragraph."""
+    lines = F.split(F.regexp_extract(F.coalesce(_col(content), F.lit("")), _PARAGRAPH, 2), LINE_END, -1)
+    return cut(F.array_join(F.transform(lines, strip), " "), width)
 
 
 def title_summary(content: ColumnOrName, fallback: ColumnOrName, width: int = WIDTH) -> Column:
-    """D1 + D2 as ``struct(title, summary)``, one pass over the lines of the text.
-
-    D1: text after the first line that starts with '# ' (after stripping),
-    else ``fallback``. D2: the first paragraph after that heading, cut to
-    ``width``; blank lines after the heading are skipped and the paragraph
-    ends at a blank line or the next heading (a heading can open it).
-    """
-    def with_lines(s: Column) -> Column:
-        def with_heading(h: Column) -> Column:
-            title = F.when(h > 0, strip(F.substring(F.element_at(s, h.cast("int")), 3, 1 << 30))) \
-                .otherwise(_col(fallback))
-            rest = F.when(h > 0, F.slice(s, (h + 1).cast("int"), F.greatest(F.size(s) - h, F.lit(0)).cast("int"))) \
-                .otherwise(_no_lines())
-            return F.struct(title.alias("title"), cut(let(rest, _first_paragraph), width).alias("summary"))
-        return let(F.array_position(F.transform(s, _is_heading), True), with_heading)
-    return let(F.transform(lines_of(content), strip), with_lines)
-
-
-def title(content: ColumnOrName, fallback: ColumnOrName) -> Column:
-    """D1 alone."""
-    return title_summary(content, fallback).getField("title")
-
-
-def summary(content: ColumnOrName, width: int = WIDTH) -> Column:
-    """D2 alone."""
-    return title_summary(content, F.lit(None).cast("string"), width).getField("summary")
+    """D1 + D2 as ``struct(title, summary)``."""
+    return F.struct(title(content, fallback).alias("title"), summary(content, width).alias("summary"))
 
 
 def snippet(content: ColumnOrName, terms: Sequence[str], width: int = WIDTH) -> Column:
     """The first line holding any term with one line either side, else the text start."""
-    arr = F.array(*[F.lit(t) for t in terms]) if terms else None
+    text = _col(content)
+
+    def joined(lines: Column) -> Column:
+        return F.array_join(F.filter(F.transform(lines, strip), lambda x: x != ""), " ")
 
-    def with_lines(lines: Column) -> Column:
-        if arr is None:
-            idx = F.lit(0)
-        else:
-            idx = F.array_position(F.transform(lines, lambda x: let(
-                F.lower(x), lambda lx: F.exists(arr, lambda t: lx.contains(t)))), True)
+    def around(at: Column) -> Column:
+        # a term never goes over a line end, so its line is that of its first character
+        def by_line(i: Column) -> Column:
+            first = F.greatest(i - 1, F.lit(1))
+            return joined(F.slice(F.split(text, LINE_END, i + 2), first, i + 2 - first))
+        before = F.substring(F.lower(text), F.lit(1), at)
+        return F.when(at > 0, let(F.size(F.split(before, LINE_END, -1)), by_line)).otherwise(joined(lines_of(text)))
 
-        def around(i: Column) -> Column:
-            start = F.greatest(i - 1, F.lit(1))
-            length = F.least(i + 1, F.size(lines)) - start + 1
-            window = F.when(i > 0, F.slice(lines, start.cast("int"), length.cast("int"))).otherwise(lines)
-            return F.array_join(F.filter(F.transform(window, strip), lambda x: x != ""), " ")
-        return cut(let(idx, around), width)
-    return let(lines_of(content), with_lines)
+    if not terms:
+        return cut(joined(lines_of(text)), width)
+    places = let(F.lower(text), lambda low: F.array_min(F.filter(F.array(*[F.instr(low, t) for t in terms]), lambda x: x > 0)))
+    return cut(let(F.coalesce(places, F.lit(0)), around), width)
 
 
 def path_stem(path: ColumnOrName) -> Column:
@@ -159,6 +141,17 @@ def term_count(haystack: ColumnOrName, term: str) -> Column:
     return ((F.length(h) - F.length(F.replace(h, F.lit(term), F.lit("")))) / len(term)).cast("bigint")
 
 
+def may_score(content: ColumnOrName, fallback: ColumnOrName, terms: Sequence[str]) -> Column:
+    """Whether any term can count in title, summary or text, from the text and the title's
+    fallback alone. (A cut summary adds an ellipsis, so terms with a dot may.)"""
+    if any("." in t for t in terms):
+        return F.lit(True)
+
+    def holds(value: ColumnOrName) -> Column:
+        return let(F.lower(_col(value)), lambda low: F.exists(F.array(*[F.lit(t) for t in terms]), lambda t: low.contains(t)))
+    return F.coalesce(holds(content), F.lit(False)) | F.coalesce(holds(fallback), F.lit(False))
+
+
 def score(haystack: ColumnOrName, terms: Sequence[str]) -> Column:
     """Summed counts of every term in the lower-cased haystack."""
     if not terms:

@@ -7,6 +7,7 @@ from ballotbox.functions import text as X
 from ballotbox.operators import docsearch
 from ballotbox.plans import standins
 from ballotbox.plans.registry import register
+from ballotbox.session import scratch_path
 
 SEARCH_QUERY = "  The DE  "
 TERMS = ["the", "de"]         # of that query, for the oracle
@@ -55,10 +56,6 @@ def _index_sql() -> str:
         f" {_stem('rel_path')}) as title, {_cut('para')} as summary from para")
 
 
-def _index(spark, sf_dir):
-    return docsearch.index(standins.doc_table(spark, sf_dir))
-
-
 @register("doc_title", "D1", lambda: f"select doc_id, title from ({_index_sql()}) i")
 def doc_title(spark, sf_dir):
     docs = standins.doc_table(spark, sf_dir)
@@ -106,7 +103,7 @@ def _snippet_sql(terms: list[str]) -> str:
     f" as score, {_snippet_sql(TERMS)} as snippet from ({_index_sql()}) i) s"
     f" where score > 0"))
 def doc_search(spark, sf_dir):
-    return docsearch.search(standins.doc_table(spark, sf_dir), SEARCH_QUERY).select(
+    return docsearch.search(standins.doc_table(spark, sf_dir), SEARCH_QUERY, keep=["doc_id"]).select(
         "doc_id", "section", "title", "score", "snippet")
 
 
@@ -120,6 +117,33 @@ def doc_search_top10(spark, sf_dir):
         "doc_id", "section", "title", "score", "snippet")
 
 
+def _search_sql(terms: list[str]) -> str:
+    return (f"select doc_id, section, title, score, snippet from (select *, {_score_sql(terms)}"
+            f" as score, {_snippet_sql(terms)} as snippet from ({_index_sql()}) i) s where score > 0")
+
+
+INDEX_BLOCK = 256 << 10     # small, so that the given tables make several blocks
+RARE_QUERY = "CC BY-NC gpl apache"
+RARE_TERMS = ["cc", "by-nc", "gpl", "apache"]
+
+
+def _indexed(spark, sf_dir, query):
+    root = docsearch.build_index(standins.doc_table(spark, sf_dir), scratch_path(spark, "doc-index"), block_bytes=INDEX_BLOCK)
+    return docsearch.search_index(spark, root, query).select("doc_id", "section", "title", "score", "snippet")
+
+
+@register("doc_search_indexed", "D4", lambda: _search_sql(TERMS))
+def doc_search_indexed(spark, sf_dir):
+    # The search over stored blocks and their postings.
+    return _indexed(spark, sf_dir, SEARCH_QUERY)
+
+
+@register("doc_search_rare", "D4", lambda: _search_sql(RARE_TERMS))
+def doc_search_rare(spark, sf_dir):
+    # Rare terms open few blocks.
+    return _indexed(spark, sf_dir, RARE_QUERY)
+
+
 @register("doc_snippet", "D5", lambda: (
     f"select doc_id, {_snippet_sql(TERMS)} as snippet"
     f" from ({standins.doc_table_sql()}) d"))
@@ -130,4 +154,4 @@ def doc_snippet(spark, sf_dir):
 
 @register("doc_index", "U4", lambda: f"select doc_id, rel_path, section, title, summary from ({_index_sql()}) i")
 def doc_index(spark, sf_dir):
-    return docsearch.ordered(_index(spark, sf_dir)).select("doc_id", "rel_path", "section", "title", "summary")
+    return docsearch.listing(standins.doc_table(spark, sf_dir), ["doc_id", "rel_path"]).select("doc_id", "rel_path", "section", "title", "summary")

@@ -81,7 +81,7 @@ def partition_overwrite(spark, sf_dir):
 
 def _reload_sql() -> str:
     cols = ", ".join(f'"{c}"' for c in schemas.column_names("indiv"))
-    base = f"select {cols}, cycle from ({standins.raw_sql('indiv')}) r where cycle = {RELOAD_CYCLE}"
+    base = f"select {cols}, cycle from ({standins.raw_sql('indiv')}) r"
     new = ", ".join("'RELOADED' as memo_text" if c == "memo_text" else f'"{c}"' for c in schemas.column_names("indiv"))
     return (f"with old as ({base}), kept as (select * from old where right(trim(sub_id), 1) not in ('5', '6')),"
             f" again as (select * from kept union all select * from old where right(trim(sub_id), 1) = '7'"
@@ -94,11 +94,11 @@ def _reload_sql() -> str:
 
 @register("reload_difference", "S3", _reload_sql)
 def reload_difference(spark, sf_dir):
-    # A cycle comes again: some rows gone, some changed, some twice.
+    # Every cycle comes again: some rows gone, some changed, some twice.
     root = scratch_path(spark, "raw")
     raw = standins.raw(spark, sf_dir, "indiv")
     parquet.write_raw(raw, root, "indiv")
-    stored = parquet.read_raw(spark, root, "indiv", [RELOAD_CYCLE]).select(*raw.columns)
+    stored = parquet.read_raw(spark, root, "indiv").select(*raw.columns)
     last = F.right(F.trim("sub_id"), F.lit(1))
     again = stored.where(~last.isin("5", "6")).unionAll(stored.where(last == "7")).unionAll(
         stored.where(last == "6").withColumn("memo_text", F.lit("RELOADED")))

@@ -1,6 +1,7 @@
 """Document functions against a brute-force Python version of their rules."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ballotbox.functions import text as X
 from ballotbox.operators import docsearch
@@ -132,3 +133,56 @@ def test_on_driver_documents(spark):
         assert r.ts.title == py_title(r.content, r.stem)
         assert r.ts.summary == py_summary(r.content)
         assert r.sn == py_snippet(r.content, ["the", "de"])
+
+
+def _many(spark):
+    rows = [(i, f"docs/s{i % 7}/f{i:04d}.md", (f"# Head {i}\n\n" if i % 3 else "") + f"common text number {i}\nline two "
+             + ("a needle here Needle " if i == 77 else "") + ("ne edle" if i % 10 == 0 else "") + "x" * (i % 50)) for i in range(300)]
+    rows.append((900, "docs/needle.md", "no heading, but a file name"))
+    rows.append((901, "docs/none.md", None))
+    return spark.createDataFrame(rows + [rows[77]] * 3, "doc_id long, rel_path string, content string")
+
+
+@pytest.mark.parametrize("query", ["needle", "Needle common", "zzz", "", "x", "ne", "a.b ...", "77 needle"])
+def test_index_gives_the_same_answers(spark, scratch, query):
+    docs = _many(spark)
+    root = docsearch.build_index(docs, scratch("index"), block_bytes=900)
+    want = docsearch.search(docs, query)
+    got = docsearch.search_index(spark, root, query)
+    assert list(map(tuple, got.select(*want.columns).collect())) == list(map(tuple, want.collect()))
+
+
+def test_rare_terms_open_few_blocks(spark, scratch, monkeypatch):
+    root = docsearch.build_index(_many(spark), scratch("index"), block_bytes=900)
+    every = spark.read.parquet(f"{root}/documents").select("block").distinct().count()
+    rare = docsearch.blocks_with(spark, root, ["needle"]).count()
+    assert every >= 10 and 1 <= rare <= 3 and docsearch.blocks_with(spark, root, ["common"]).count() >= every - 1
+    assert docsearch.blocks_with(spark, root, ["qqq"]).count() == 0
+    plan = docsearch.search_index(spark, root, "needle")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [block" in plan           # the others are not listed, let alone read
+    want = sorted(map(str, docsearch.search_index(spark, root, "common").collect()))
+    monkeypatch.setattr(docsearch, "MOST_LISTED", 2)    # more blocks than are named: a join
+    assert sorted(map(str, docsearch.search_index(spark, root, "common").collect())) == want
+
+
+def test_long_paragraphs_and_texts_without_headings(spark):
+    long = "# T\n\n" + "one two\n" * 60_000 + "\nnext"
+    none = "word # not a heading\n" * 60_000
+    df = spark.createDataFrame([(long,), (none,), (None,), ("\n" * 100_000,)], "c string")
+    rows = df.select(X.title("c", F.lit("f")).alias("t"), X.summary("c").alias("s")).collect()
+    assert [r.t for r in rows] == ["T", "f", "f", "f"]
+    assert rows[0].s == py_summary(long) and [r.s for r in rows[1:]] == ["", "", ""]
+
+
+def test_random_texts_equal_brute_force(spark):
+    import random
+
+    rnd = random.Random(8)
+    bits = ["# ", "#", " ", "\t", "\n", "\r\n", "\r", "\x0b", "\x1f", "\x85", "\u2028", "\u3000", "a", "The", "de", "É", "# x", "\n\n"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(0, 40))) for _ in range(1500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, c string")
+    terms = ["the", "de"]
+    got = df.select("i", X.title("c", F.lit("fall")).alias("t"), X.summary("c").alias("s"), X.snippet("c", terms).alias("n")).collect()
+    for r in got:
+        text = texts[r.i]
+        assert (r.t, r.s, r.n) == (py_title(text, "fall"), py_summary(text), py_snippet(text, terms)), repr(text)
