@@ -13,6 +13,7 @@ Scale notes
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from typing import Iterable
 
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ballotbox import schemas
 from ballotbox.operators.staging import stage
+from ballotbox.session import scratch_path
 from ballotbox.sources.parquet import read_raw
 
 TOTAL_TYPE = "decimal(38,2)"
@@ -87,3 +89,65 @@ def committee_profile(stg_indiv: DataFrame, stg_cm: DataFrame) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("n_contributions"),
                    F.sum("transaction_amt").cast(TOTAL_TYPE).alias("total_amt")))
     return totals.join(master, "cmte_id", "left")
+
+
+# ---- the star of candidates, links, committees and contributions on co-located storage
+
+STAR_KEYS = ("cmte_id", "cycle")
+
+
+def store_bucketed(df: DataFrame, name: str, buckets: int) -> DataFrame:
+    """``df`` as a table bucketed and sorted by ``STAR_KEYS``: one exchange now, none in
+    the joins and aggregates on these keys later."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, *STAR_KEYS).write.bucketBy(buckets, *STAR_KEYS).sortBy(*STAR_KEYS)
+     .option("path", scratch_path(spark, name)).format("parquet").saveAsTable(table))
+    return spark.table(table)
+
+
+def daily_totals(stg_indiv: DataFrame) -> DataFrame:
+    """Contributions per committee, cycle and day: the star's fact. Summed before it is
+    dealt to buckets, so a committee that holds a third of all contributions has a row
+    per day in its bucket like any other."""
+    return (stg_indiv.groupBy(*STAR_KEYS, "transaction_dt")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("transaction_amt").alias("amt")))
+
+
+def store_star(stg_indiv: DataFrame, stg_cm: DataFrame, stg_ccl: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored facts, committees (one row per committee and cycle) and links."""
+    committees = stg_cm.groupBy(*STAR_KEYS).agg(F.max(F.struct("cmte_nm", "cmte_tp")).alias("m")).select(
+        *STAR_KEYS, "m.cmte_nm", "m.cmte_tp")
+    links = stg_ccl.select("cand_id", *STAR_KEYS).distinct()
+    return (store_bucketed(daily_totals(stg_indiv), "star_days", buckets), store_bucketed(committees, "star_committees", buckets),
+            store_bucketed(links, "star_links", buckets))
+
+
+def linked_totals(days: DataFrame, committees: DataFrame, links: DataFrame) -> DataFrame:
+    """What each committee of a candidate received in a cycle, without an exchange."""
+    totals = days.groupBy(*STAR_KEYS).agg(
+        F.sum("n").alias("n_contributions"), F.sum("amt").cast(TOTAL_TYPE).alias("total_amt"),
+        F.min("transaction_dt").alias("first_dt"), F.max("transaction_dt").alias("last_dt"))
+    return links.join(totals, list(STAR_KEYS)).join(committees, list(STAR_KEYS), "left")
+
+
+def candidate_star(days: DataFrame, committees: DataFrame, links: DataFrame, stg_cn: DataFrame) -> DataFrame:
+    """``linked_totals`` with the candidate's name."""
+    names = stg_cn.groupBy("cand_id").agg(F.max("cand_name").alias("cand_name"))
+    return linked_totals(days, committees, links).join(names, "cand_id", "left")
+
+
+ROLLUP = ("party", "office", "cycle")
+ROLLUP_SETS = (("party", "office", "cycle"), ("party", "cycle"), ("party", "office"), ("party",), ("cycle",), ())
+
+
+def receipts_rollup(receipts: DataFrame, stg_cn: DataFrame) -> DataFrame:
+    """Receipts of candidates by party, office and cycle, with subtotals. A candidate
+    without a record has no party, which is not the subtotal over parties: ``all_<key>``
+    is 1 where a row is over all values of the key."""
+    who = (stg_cn.groupBy("cand_id").agg(F.max(F.struct("cycle", "cand_pty_affiliation", "cand_office")).alias("m"))
+           .select("cand_id", F.col("m.cand_pty_affiliation").alias("party"), F.col("m.cand_office").alias("office")))
+    rows = receipts.join(who, "cand_id", "left")
+    return (rows.groupingSets([[F.col(c) for c in s] for s in ROLLUP_SETS], *ROLLUP)
+            .agg(*[F.grouping(c).cast("int").alias(f"all_{c}") for c in ROLLUP],
+                 F.count(F.lit(1)).alias("n_candidates"), F.sum("total_receipts").cast(TOTAL_TYPE).alias("total_receipts")))

@@ -258,3 +258,39 @@ def marts_candidate_receipts(spark, sf_dir):
     f" from t left join m on t.cmte_id = m.cmte_id"))
 def marts_committee_profile(spark, sf_dir):
     return marts.committee_profile(staged(spark, sf_dir, "indiv"), staged(spark, sf_dir, "cm"))
+
+
+STAR_BUCKETS = 8
+
+
+@register("marts_candidate_star", "U3", lambda: (
+    f"with t as (select cmte_id, cycle, count(*) as n_contributions, cast(sum(transaction_amt) as decimal(38,2)) as total_amt,"
+    f" min(transaction_dt) as first_dt, max(transaction_dt) as last_dt from ({stg_sql('indiv')}) s group by cmte_id, cycle),"
+    f" m as (select cmte_id, cycle, cmte_nm, cmte_tp from ({stg_sql('cm')}) c qualify row_number() over"
+    f" (partition by cmte_id, cycle order by cmte_nm desc, cmte_tp desc) = 1),"
+    f" n as (select cand_id, max(cand_name) as cand_name from ({stg_sql('cn')}) k group by cand_id)"
+    f" select l.cand_id, l.cmte_id, l.cycle, t.n_contributions, t.total_amt, t.first_dt, t.last_dt, m.cmte_nm, m.cmte_tp, n.cand_name"
+    f" from (select distinct cand_id, cmte_id, cycle from ({stg_sql('ccl')}) x) l join t using (cmte_id, cycle)"
+    f" left join m using (cmte_id, cycle) left join n on n.cand_id = l.cand_id"))
+def marts_candidate_star(spark, sf_dir):
+    # Facts, committees and links stored by committee; joined where they lie.
+    stored = marts.store_star(staged(spark, sf_dir, "indiv"), staged(spark, sf_dir, "cm"), staged(spark, sf_dir, "ccl"), STAR_BUCKETS)
+    return marts.candidate_star(*stored, staged(spark, sf_dir, "cn")).withColumn("n_contributions", F.col("n_contributions").cast("bigint"))
+
+
+def _rollup_sql() -> str:
+    from ballotbox.plans.registry import QUERIES
+
+    sets = ", ".join("(" + ", ".join(s) + ")" for s in marts.ROLLUP_SETS)
+    return (f"with w as (select cand_id, cand_pty_affiliation as party, cand_office as office from ({stg_sql('cn')}) c qualify"
+            f" row_number() over (partition by cand_id order by cycle desc, cand_pty_affiliation desc, cand_office desc) = 1)"
+            f" select party, office, cycle, cast(grouping(party) as int) as all_party, cast(grouping(office) as int) as all_office,"
+            f" cast(grouping(cycle) as int) as all_cycle, count(*) as n_candidates,"
+            f" cast(sum(total_receipts) as decimal(38,2)) as total_receipts"
+            f" from ({QUERIES['marts_candidate_receipts'].oracle()}) r left join w using (cand_id) group by grouping sets ({sets})")
+
+
+@register("marts_receipts_rollup", "U3", _rollup_sql)
+def marts_receipts_rollup(spark, sf_dir):
+    # Subtotals by party, office and cycle in one pass over the receipts.
+    return marts.receipts_rollup(marts_candidate_receipts(spark, sf_dir), staged(spark, sf_dir, "cn"))

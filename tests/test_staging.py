@@ -82,3 +82,56 @@ def test_materialized_staging_pushes_filters(spark, scratch):
     assert "PushedFilters: [IsNotNull(transaction_amt), GreaterThan(transaction_amt,600" in plan
     assert "PartitionFilters: [isnotnull(cycle" in plan
     assert sorted(r.tran_id for r in df.collect()) == ["SA11AI.1001", "SA11AI.1002"]
+
+
+def _star(spark, buckets=4):
+    from ballotbox.operators import marts
+
+    day = dt.date(2024, 1, 1)
+    indiv = spark.createDataFrame(
+        [(f"C{i % 7}" if i % 3 else "C0", 2020 + 2 * (i % 2), Decimal("1.10") * (i % 5), day + dt.timedelta(days=i % 4) if i % 6 else None)
+         for i in range(400)] + [(None, None, Decimal("3.00"), None)],
+        "cmte_id string, cycle int, transaction_amt decimal(14,2), transaction_dt date")
+    cm = spark.createDataFrame([(f"C{i}", 2020, f"N{i}", "H") for i in range(5)] + [("C1", 2020, "M", "S"), ("C1", 2022, "X", None)],
+                               "cmte_id string, cycle int, cmte_nm string, cmte_tp string")
+    ccl = spark.createDataFrame([("H1", "C0", 2020), ("H1", "C0", 2020), ("H1", "C1", 2022), ("H2", "C1", 2022), ("H3", "C9", 2020)],
+                                "cand_id string, cmte_id string, cycle int")
+    return indiv, ccl, marts.store_star(indiv, cm, ccl, buckets)
+
+
+def test_star_joins_without_an_exchange(spark):
+    from ballotbox.operators import marts
+
+    indiv, ccl, stored = _star(spark)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = marts.linked_totals(*stored)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("SortMergeJoin") == 2
+        got = {(r.cand_id, r.cmte_id, r.cycle): (r.n_contributions, r.total_amt, r.first_dt, r.cmte_nm) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    rows = indiv.collect()
+    for (cand, cmte, cycle), (n, amt, first, name) in got.items():
+        mine = [r for r in rows if (r.cmte_id, r.cycle) == (cmte, cycle)]
+        assert (n, amt) == (len(mine), sum(r.transaction_amt for r in mine))
+        assert first == min(r.transaction_dt for r in mine if r.transaction_dt)
+        assert name == {("C0", 2020): "N0", ("C1", 2022): "X"}[cmte, cycle]
+    assert set(got) == {("H1", "C0", 2020), ("H1", "C1", 2022), ("H2", "C1", 2022)}
+    # a hot committee has a row per day in its bucket
+    assert stored[0].where("cmte_id = 'C0'").count() <= 2 * 5
+
+
+def test_rollup_tells_missing_keys_from_subtotals(spark):
+    from ballotbox.operators import marts
+
+    receipts = spark.createDataFrame([("H1", 2020, Decimal("5.00")), ("H2", 2020, Decimal("7.00")), ("H9", 2022, Decimal("1.00"))],
+                                     "cand_id string, cycle int, total_receipts decimal(38,2)")
+    cn = spark.createDataFrame([("H1", 2020, "DEM", "H"), ("H2", 2020, "DEM", None)], "cand_id string, cycle int, cand_pty_affiliation string, cand_office string")
+    got = {(r.all_party, r.party, r.all_office, r.office, r.all_cycle, r.cycle): (r.n_candidates, int(r.total_receipts))
+           for r in marts.receipts_rollup(receipts, cn).collect()}
+    assert got[1, None, 1, None, 1, None] == (3, 13)
+    assert got[0, None, 1, None, 1, None] == (1, 1)             # no record: a party of its own
+    assert got[0, "DEM", 0, None, 1, None] == (1, 7) and got[0, "DEM", 1, None, 1, None] == (2, 12)
+    assert got[1, None, 1, None, 0, 2020] == (2, 12) and len(got) == 3 + 2 + 3 + 2 + 2 + 1
