@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ballotbox.sources.delimited import n_fields
+
 # --- Fixed values: the checks declared for the staging models.
 NOT_NULL = {
     "stg_indiv": ("cmte_id", "tran_id", "transaction_dt", "transaction_amt", "cycle"),
@@ -143,8 +145,16 @@ def row_width(lines: DataFrame, expected: int, value: str = "value") -> DataFram
 
     Fields = separators + 1, counted without splitting the line into an array.
     """
-    v = F.col(value)
-    width = (F.length(v) - F.length(F.replace(v, F.lit("|"), F.lit(""))) + 1).cast("int")
+    width = n_fields(value).cast("int")
     return lines.agg(F.count(F.lit(1)).alias("n_lines"),
                      F.count_if(width != expected).alias("n_bad_width"),
                      F.min(width).alias("min_width"), F.max(width).alias("max_width"))
+
+
+def row_widths(lines: DataFrame, expected: dict[str, int], kind: str = "file_type", value: str = "value") -> DataFrame:
+    """Q7 for lines of several layouts at once, told apart by ``kind``: one pass."""
+    widths = F.create_map(*[x for k, n in expected.items() for x in (F.lit(k), F.lit(n))])
+    found = n_fields(value).cast("int")
+    return (lines.groupBy(kind, F.element_at(widths, F.col(kind)).alias("expected_width"))
+            .agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(found != F.element_at(widths, F.col(kind))).alias("n_bad_width"),
+                 F.min(found).alias("min_width"), F.max(found).alias("max_width")))

@@ -13,7 +13,8 @@ from ballotbox.plans import standins
 from ballotbox.plans.q_core import staged
 from ballotbox.plans.registry import register
 from ballotbox.plans.sqlrules import MODELS, columns, stg_sql
-from ballotbox.sources.delimited import to_lines
+from ballotbox.session import scratch_path
+from ballotbox.sources.delimited import read_lines, write_lines
 
 
 def _model_ft(model: str) -> str:
@@ -145,15 +146,13 @@ def _lines_sql(ft: str) -> str:
     f" cast(max(len(string_split(value, '|'))) as int) as max_width from ({_lines_sql(ft)}) x"
     for ft in MODELS))
 def qa_row_width(spark, sf_dir):
-    # Lines as written by an exporter that drops NULL fields (concat_ws skips
-    # them), so rows with a NULL come out short and must be caught.
-    parts = []
+    # Files as written by an exporter that drops NULL fields (concat_ws skips
+    # them): rows with a NULL come out short. The lines are checked as read.
+    path = scratch_path(spark, "row-width")
     for ft in schemas.FILE_TYPES:
-        lines = to_lines(standins.raw(spark, sf_dir, ft), schemas.column_names(ft), keep_nulls=False)
-        parts.append(Q.row_width(lines, schemas.width(ft))
-                     .select(F.lit(ft).alias("file_type"), F.lit(schemas.width(ft)).alias("expected_width"),
-                             "n_lines", "n_bad_width", "min_width", "max_width"))
-    return reduce(DataFrame.unionByName, parts)
+        lines = standins.raw(spark, sf_dir, ft).select(F.concat_ws("|", *schemas.column_names(ft)).alias("value"))
+        write_lines(lines, f"{path}/file_type={ft}", partition_by=None)
+    return Q.row_widths(read_lines(spark, path), {ft: schemas.width(ft) for ft in schemas.FILE_TYPES})
 
 
 @register("qa_suite", "Q8", lambda: _suite_sql())

@@ -54,14 +54,13 @@ def read_raw(spark: SparkSession, path: str, file_type: str, encoding: str = "UT
     return parse(read_lines(spark, path, encoding), file_type)
 
 
-def line_of(cols: list[str], keep_nulls: bool = True) -> Column:
-    """One delimited line; ``keep_nulls=False`` drops NULL fields like a faulty exporter."""
-    parts = [F.coalesce(F.col(c), F.lit("")) if keep_nulls else F.col(c) for c in cols]
-    return F.concat_ws("|", *parts)
+def line_of(cols: list[str]) -> Column:
+    """One delimited line."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in cols])
 
 
-def to_lines(df: DataFrame, cols: list[str], keep_nulls: bool = True, extra: tuple[str, ...] = ()) -> DataFrame:
-    return df.select(line_of(cols, keep_nulls).alias("value"), *extra)
+def to_lines(df: DataFrame, cols: list[str], extra: tuple[str, ...] = ()) -> DataFrame:
+    return df.select(line_of(cols).alias("value"), *extra)
 
 
 def write_lines(lines: DataFrame, path: str, partition_by: str | None = "cycle") -> str:
