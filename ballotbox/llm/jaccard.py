@@ -1,28 +1,30 @@
 """N-gram Jaccard join with a token-group matrix.
 
 Documents are sets of distinct word n-grams (64-bit hashes). Equal sets are one
-class, known by a digest and named by its least doc_id. Candidates come from
-prefixes of the sets in the order of the hashes: a set's prefix leaves out what
-every partner must share, but for ``shared(size)`` tokens, so two sets within
-the threshold have that many of the smaller one's tokens in both prefixes. A
-token in one prefix only finds nobody and is dropped. Of the others each set
-drops its most frequent ones, one less than the least number it shares with any
-partner: the least frequent shared token stays on both sides. So a passage that
-many documents carry makes no candidates, and none is lost.
-
-1. Classes that share such tokens, directly or over others, are a family; no set
-   has a partner outside its own. A family goes to one task, a large one in
-   blocks that meet pairwise, two blocks to a task.
-2. There the sets are partitioned into groups and each group's token union is
-   stored. A query set's tokens in the union bound its overlap with any member;
-   only groups that reach what the query must share (and whose sizes can reach
-   the threshold) are opened, and the overlaps with all members counted at once.
-   A task gives a spanning forest of the links it finds, never the pairs.
-
-Comparisons intersect whole sets, exactly, made again from the texts of the
-classes in families. Tokens in one of a hundred classes or more
-(found per slice, so a bounded list) take no part in the shuffle that counts
-tokens; they count as the most frequent.
+class, known by a digest and named by its least doc_id.
+
+1. Kept tokens. A set's prefix, in the order of the hashes, leaves out what every
+   partner must share but for ``shared(size)`` tokens, so two sets within the
+   threshold have that many of the smaller one's tokens in both prefixes. Of these
+   each set drops its ``dropped`` most frequent ones, so ``bound(size)`` shared tokens,
+   the least frequent of them, stay on both sides. A passage that many documents
+   carry makes no candidates, and none is lost. A token that one prefix only has
+   finds nobody and goes too; so do sets that keep fewer tokens than the bound.
+2. Groups. The sets that are left are dealt out by range of their least kept tokens,
+   which near copies share. A set goes to a group with the same one that has half of its
+   kept tokens, up to ``GROUP_TOKENS`` tokens, or to a new one. A group's row of the matrix is the union of its members' kept tokens and the range
+   of their sizes.
+3. Bound. A set's kept tokens are counted against the unions; only a group that holds
+   as many as the set must share with a member of a fitting size is opened for it.
+   Chains of such counts mean nothing: a set meets the groups it may have a partner in.
+4. Opened groups. A task holds one group at a time, its tokens as one list with the
+   places they stand in, and streams through it the sets that open it. The overlaps
+   with all members are counted at once, on whole sets made again from the texts. Where
+   the set links to the first of every part of the group that hangs together already,
+   the rest need no counting. A task gives a spanning forest of the links it finds.
+
+Tokens in one of a hundred classes or more (found per slice, so a bounded list) take
+no part in the shuffle that counts tokens; they count as the most frequent.
 
 Defined cases. NULL text or no words: empty set, no links. Fewer words than n:
 the whole sequence is one token. NULL doc_id: n_shingles only, no links and a
@@ -38,6 +40,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,12 +49,15 @@ from ballotbox.llm.components import components
 from ballotbox.llm.suffixes import hashes, sums
 
 N, PERCENT = 4, 85
-SHARED = 3                  # tokens that prefixes share at least (a twentieth of the set if that is more)
+BOUND = 5                   # kept tokens that partners share (all they must share, if that is fewer)
+SHARED = 4                  # prefixes share one in so many of the set's tokens
 HOT_SHARE = 100             # a token in one of so many classes is hot
 MOST = 1 << 30              # what a hot token counts as
 RUN = 1 << 16               # rows up to which a token's are counted
-BLOCK = 1_000               # sets of a family compared with each other or another block in a task
-GROUP = 64                  # sets whose tokens are united
+GROUP_TOKENS = 1 << 19      # of the members of a group (one member at least)
+GROUP = 4_096               # members of a group
+GOING = 16                  # groups with the same least token that a set is tried with
+FIRSTS = 8                  # parts of a group whose first members are tried before the group is opened
 PART = 4 << 20              # bytes hashed at a time
 
 _space = np.zeros(256, dtype=bool)
@@ -110,7 +116,14 @@ def least_shared(size: int, percent: int = PERCENT) -> int:
 
 def shared(size: int, percent: int = PERCENT) -> int:
     """Of those, the ones to be found in both prefixes (of the smaller set)."""
-    return min(least_shared(size, percent), max(SHARED, -(-size // 20)))
+    return min(least_shared(size, percent), max(BOUND, -(-size // SHARED)))
+
+
+def dropped(size: int, percent: int = PERCENT) -> int:
+    """The most frequent tokens that a set of this size leaves out of its prefix: with any
+    partner it shares ``BOUND`` more in both prefixes (if it must share so many at all)."""
+    smallest = least_shared(size, percent)          # partner
+    return max(0, -(-smallest // SHARED) - BOUND)
 
 
 def prefix(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -213,14 +226,62 @@ def _tokens(classes: DataFrame, percent: int) -> DataFrame:
     cold = (rows.filter("NOT hot").select("token", "node", "size").repartition("token").sortWithinPartitions("token")
             .mapInArrow(counted, "token long, node long, size long, often long"))
     every = cold.union(rows.filter("hot").select("token", "node", "size", F.lit(MOST).cast("long")))
-    size = F.ceil(F.col("size") * percent / 100)        # of the smallest partner
-    least = F.least(F.ceil(size * percent / 100), F.greatest(F.lit(SHARED), F.ceil(size / 20)))
+    smallest = F.ceil(F.col("size") * percent / 100)
+    gone = F.greatest(F.lit(0), F.ceil(smallest / SHARED) - BOUND)
     order = Window.partitionBy("node", "size").orderBy(F.desc("often"), F.desc("token"))
-    return (every.withColumn("at", F.row_number().over(order)).filter(F.col("at") >= least).select("token", "node", "size"))
+    return every.withColumn("at", F.row_number().over(order)).filter(F.col("at") > gone).select("token", "node", "size")
+
+
+def _grouped(tokens: DataFrame, percent: int) -> DataFrame:
+    """node, size, kept, group, low, high: the sets that keep enough tokens, in groups of
+    neighbours by their least kept tokens."""
+    sets = (tokens.groupBy("node", "size").agg(F.sort_array(F.collect_list("token")).alias("kept"))      # one set's tokens
+            .filter(F.size("kept") >= F.least(F.lit(BOUND), F.ceil(F.ceil(F.col("size") * percent / 100) * percent / 100))))
+    ordered = (sets.withColumn("first", F.element_at("kept", 1)).repartitionByRange("first", "node")
+               .sortWithinPartitions("first", "kept", "node").select("node", "size", "kept"))
+
+    def cut(batches):
+        number, first = TaskContext.get().partitionId() << 40, None
+        going: dict[int, list] = {}             # group -> union of kept tokens, members, tokens of the members
+        for batch in batches:
+            out = np.empty(batch.num_rows, np.int64)
+            for i, (size, kept) in enumerate(zip(batch.column("size").to_pylist(), batch.column("kept").to_pylist())):
+                if kept[0] != first:
+                    first, going = kept[0], {}
+                for g, held in going.items():
+                    if 2 * len(held[0].intersection(kept)) >= len(kept):
+                        break
+                else:
+                    g, held = number, [set(), 0, 0]
+                    number += 1
+                    going[g] = held
+                    if len(going) > GOING:
+                        del going[next(iter(going))]
+                held[0].update(kept)
+                held[1:] = held[1] + 1, held[2] + size
+                if held[1] >= GROUP or held[2] >= GROUP_TOKENS:
+                    del going[g]
+                out[i] = g
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("size"), batch.column("kept"), pa.array(out)],
+                                             names=["node", "size", "kept", "group"])
+
+    return ordered.mapInArrow(cut, "node long, size long, kept array<bigint>, group long")
+
+
+def _openings(sets: DataFrame, percent: int) -> DataFrame:
+    """node, group: the groups that a set of an earlier (or the same) group opens."""
+    rows = sets.select("node", "size", "group", F.explode("kept").alias("token"))
+    matrix = (rows.groupBy("token", F.col("group").alias("open")).agg(F.lit(1).alias("one")).drop("one")
+              .join(sets.groupBy(F.col("group").alias("open")).agg(F.min("size").alias("low"), F.max("size").alias("high")), "open"))
+    fits = (F.col("open") > F.col("group")) & (F.col("size") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("size") * 100)
+    met = rows.join(matrix, "token").filter(fits).groupBy("node", "size", "open", "low").agg(F.count("*").alias("n"))
+    smaller = F.least("size", F.greatest("low", F.ceil(F.col("size") * percent / 100)))
+    return (met.filter(F.col("n") >= F.least(F.lit(BOUND), F.ceil(smaller * percent / 100)))
+            .select("node", F.col("open").alias("group")))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """node, packed (text) of the classes in ``wanted`` (node, ref, digest and more). A packed text
+    """node, packed (text) of the classes in ``wanted`` (node, ref, digest). A packed text
     is a third of its set of hashes, so texts travel and sets are made where they
     are compared."""
     kind = docs.schema["ref"].dataType.simpleString()
@@ -233,14 +294,14 @@ def _texts(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                                                 for t in batch.column("text").to_pylist()], pa.binary())], names=["ref", "packed"])
 
     small = docs.filter("doc_id IS NOT NULL").select("ref", "text").mapInArrow(packed, f"ref {kind}, packed binary")
-    joined = small.join(wanted, "ref").select("node", "digest", "component", "blocks", "packed")
+    joined = small.join(wanted, "ref").select("node", "digest", "packed")
 
     def rows(batches):
         for batch in pieces(batches, 1 << 20, column="packed"):
             right = [digest(s) == want for s, want in zip(_unpacked(batch, n), batch.column("digest").to_pylist())]
-            yield batch.select(["node", "component", "blocks", "packed"]).filter(pa.array(right, pa.bool_()))
+            yield batch.select(["node", "packed"]).filter(pa.array(right, pa.bool_()))
 
-    return joined.mapInArrow(rows, "node long, component long, blocks long, packed binary")
+    return joined.mapInArrow(rows, "node long, packed binary")
 
 
 def _unpacked(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
@@ -248,95 +309,122 @@ def _unpacked(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
     return shingle_sets([press.decompress(p).decode("utf-8", "surrogatepass") for p in batch.column("packed").to_pylist()], n)
 
 
-def _forest(sets: list[np.ndarray], nodes: np.ndarray, half: int, percent: int) -> np.ndarray:
-    """Least node that each set of a block reaches by links in it; with ``half``, only
-    links of the first ``half`` sets with the others. The tokens of every group of
-    ``GROUP`` sets are one list, its union with the places they stand in: a set's
-    tokens in the union bound its overlap with any member, and only a group that
-    reaches what the set must share is opened, all its members at once."""
-    label = nodes.copy()
-    sizes = np.array([len(s) for s in sets])
-    start = half or 0
-    for g in range(start, len(sets), GROUP):
-        members = np.arange(g, min(len(sets), g + GROUP))
-        tokens = np.concatenate([sets[m] for m in members])
-        owner = np.repeat(members - g, sizes[members])
+class _Group:
+    """The members of an opened group: their tokens as one list, and which of them hang
+    together by links found so far (``label``: the first member of the part)."""
+
+    def __init__(self, nodes: np.ndarray, sets: list[np.ndarray], percent: int):
+        self.nodes, self.sets, self.percent = nodes, sets, percent
+        self.sizes = np.array([len(s) for s in sets])
+        tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
         order = np.argsort(tokens, kind="stable")
-        tokens, owner = tokens[order], owner[order]
-        union, first = np.unique(tokens, return_index=True)
-        last = np.append(first[1:], len(tokens))
-        low, high = sizes[members].min(), sizes[members].max()
-        for x in range(half or int(members[-1])):
-            size = sizes[x]
-            if 100 * size < percent * low or 100 * high < percent * size:
-                continue
-            at = np.minimum(np.searchsorted(union, sets[x]), len(union) - 1)
-            at = at[union[at] == sets[x]]
-            if len(at) < least_shared(size, percent):
-                continue
-            counts = last[at] - first[at]
-            places = np.repeat(first[at] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-            both = np.bincount(owner[places], minlength=len(members))
-            hit = members[100 * both >= percent * (size + sizes[members] - both)]
-            hit = hit[hit != x]
-            if len(hit):
-                found = np.unique(np.append(label[hit], label[x]))
-                if len(found) > 1:
-                    label[np.isin(label, found[1:])] = found[0]
-    return label
+        tokens, self.owner = tokens[order], owner[order]
+        self.union, self.first = np.unique(tokens, return_index=True)
+        self.last = np.append(self.first[1:], len(tokens))
+        self.label = np.arange(len(sets))
+
+    def _links(self, tokens: np.ndarray, member: int) -> bool:
+        own = self.sets[member]
+        at = np.minimum(np.searchsorted(own, tokens), len(own) - 1)
+        both = int((own[at] == tokens).sum())
+        return 100 * both >= self.percent * (len(own) + len(tokens) - both)
+
+    def _opened(self, tokens: np.ndarray) -> np.ndarray:
+        """All members that the set links to."""
+        at = np.minimum(np.searchsorted(self.union, tokens), len(self.union) - 1)
+        at = at[self.union[at] == tokens]
+        if len(at) < least_shared(len(tokens), self.percent):
+            return at[:0]
+        counts = self.last[at] - self.first[at]
+        places = np.repeat(self.first[at] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+        both = np.bincount(self.owner[places], minlength=len(self.sets))
+        return np.flatnonzero(100 * both >= self.percent * (len(tokens) + self.sizes - both))
+
+    def parts(self, tokens: np.ndarray, firsts: list[int], upto: int | None = None) -> list[int]:
+        """First members of the parts (of the members before ``upto``) that the set links to."""
+        if len(firsts) <= FIRSTS and all(self._links(tokens, m) for m in firsts):
+            return firsts
+        hit = self._opened(tokens)
+        return np.unique(self.label[hit if upto is None else hit[hit < upto]]).tolist()
+
+    def join(self, parts: list[int]) -> None:
+        self.label[np.isin(self.label, parts)] = parts[0]
+
+    def own_links(self):
+        """Links that hold the members together."""
+        firsts: list[int] = []
+        for m, tokens in enumerate(self.sets):
+            parts = self.parts(tokens, firsts, m) if firsts else []
+            yield from ((self.nodes[m], self.nodes[p]) for p in parts)
+            if parts:
+                self.label[m] = parts[0]
+                self.join(parts)
+                firsts = [f for f in firsts if f not in parts[1:]]
+            else:
+                firsts.append(m)
+        self.firsts = firsts
+
+    def links_of(self, node: int, tokens: np.ndarray):
+        parts = self.parts(tokens, self.firsts)
+        yield from ((node, self.nodes[p]) for p in parts)
+        if len(parts) > 1:
+            self.join(parts)
+            self.firsts = [f for f in self.firsts if f not in parts[1:]]
 
 
 def _linked(placed: DataFrame, n: int, percent: int) -> DataFrame:
-    """a, b: a spanning forest of the links inside each block or pair of blocks."""
-    key = ["family", "p", "q"]
-
-    def done(rows):
-        own = np.array([r[1] for r in rows])
-        name = rows[0][0]
-        order = np.argsort(own, kind="stable")
-        half = int((own == name[1]).sum()) if name[1] != name[2] else 0
-        if len(rows) < 2 or name[1] != name[2] and half in (0, len(rows)):
-            return None
-        nodes = np.array([rows[i][2] for i in order], dtype=np.int64)
+    """a, b: a spanning forest of the links in each group and of the sets that open it.
+    ``placed``: group, opens, node, packed; a task holds the members of one group and
+    the sets that open it come after them, some at a time."""
+    def unpacked(held: list[bytes]) -> list[np.ndarray]:
         press = zstandard.ZstdDecompressor()
-        sets = []
-        for k in range(0, len(order), 256):
-            sets += shingle_sets([press.decompress(rows[i][3]).decode("utf-8", "surrogatepass") for i in order[k:k + 256]], n)
-        root = _forest(sets, nodes, half, percent)
-        some = np.flatnonzero(root != nodes)
-        return pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(root[some])], names=["a", "b"]) if len(some) else None
+        return shingle_sets([press.decompress(p).decode("utf-8", "surrogatepass") for p in held], n)
+
+    def out(found):
+        a, b = zip(*found)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     def compare(batches):
-        held: list[tuple] = []
+        number, members, group = None, [], None
         for batch in pieces(batches, 1 << 20, column="packed"):
-            for *name, own, node, packed in zip(*(batch.column(c).to_pylist() for c in (*key, "own", "node", "packed"))):
-                if held and held[0][0] != tuple(name):
-                    if (out := done(held)) is not None:
-                        yield out
-                    held = []
-                held.append((tuple(name), own, node, packed))
-        if held and (out := done(held)) is not None:
-            yield out
-
-    return placed.repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, "a long, b long")
+            names, opens, nodes, packed = (batch.column(c).to_pylist() for c in ("group", "opens", "node", "packed"))
+            sets, found = unpacked(packed), []
+            for g, is_query, node, tokens in zip(names, opens, nodes, sets):
+                if g != number:
+                    if group is None and len(members) > 1:
+                        found += _Group(*_columns(members), percent).own_links()
+                    number, members, group = g, [], None
+                if not is_query:
+                    members.append((node, tokens))
+                    continue
+                if group is None:
+                    group = _Group(*_columns(members), percent)
+                    found += group.own_links()
+                found += group.links_of(node, tokens)
+            if found:
+                yield out(found)
+        if group is None and len(members) > 1 and (found := list(_Group(*_columns(members), percent).own_links())):
+            yield out(found)
+
+    return placed.repartition("group").sortWithinPartitions("group", "opens").mapInArrow(compare, "a long, b long")
+
+
+def _columns(members: list[tuple]) -> tuple[np.ndarray, list[np.ndarray]]:
+    return np.array([m[0] for m in members], np.int64), [m[1] for m in members]
 
 
 def _links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """a, b: links by which the nodes of ``classes`` (node, ref, digest, size, prefix) reach all their partners."""
-    tokens = materialize(_tokens(classes, percent), "jaccard-tokens", 4)
-
-    # families: what shares tokens, directly or over others, however long the chain
-    least = tokens.groupBy("token").agg(F.min("node").alias("a"))
-    family = components(tokens.join(least, "token").select("a", F.col("node").alias("b")).distinct())
-    sizes = family.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    wanted = (classes.select("node", "ref", "digest").join(family, "node").join(sizes, "component")
-              .select("node", "ref", "digest", "component", "blocks"))
+    sets = materialize(_grouped(_tokens(classes, percent), percent), "jaccard-sets", 4)
+    opened = materialize(_openings(sets, percent), "jaccard-openings", 8)
+    # members of groups that are opened or have several; sets that open one
+    busy = (opened.select("group").union(sets.groupBy("group").count().filter("count > 1").select("group"))).distinct()
+    placed = (sets.select("group", "node").join(busy, "group", "left_semi").withColumn("opens", F.lit(False))
+              .unionByName(opened.select("group", "node").withColumn("opens", F.lit(True))))
+    placed = materialize(placed, "jaccard-placed", 8)
+    wanted = classes.select("node", "ref", "digest").join(placed.select("node").distinct(), "node", "left_semi")
     texts = materialize(_texts(docs, wanted, n), "jaccard-texts", 3)
-    placed = (texts.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-              .select(F.col("component").alias("family"), F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                      "own", "node", "packed"))
-    return materialize(_linked(placed, n, percent), "jaccard-links", 4)
+    return materialize(_linked(placed.join(texts, "node").select("group", "opens", "node", "packed"), n, percent), "jaccard-links", 4)
 
 
 def groups(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ballotbox.llm import jaccard, rabitq, sentences, suffixes
 from ballotbox.llm.components import components
@@ -190,9 +191,10 @@ def test_long_texts_are_hashed_in_parts(monkeypatch):
     assert [len(s) for s in want] == [len(token_set(t)) for t in texts]
 
 
-def test_jaccard_groups_with_families_and_a_common_passage(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "BLOCK", 17)
-    monkeypatch.setattr(jaccard, "GROUP", 5)
+@pytest.mark.parametrize("group,firsts", [(5, 0), (3, 8), (4096, 8)])
+def test_jaccard_groups_with_families_and_a_common_passage(spark, monkeypatch, group, firsts):
+    monkeypatch.setattr(jaccard, "GROUP", group)
+    monkeypatch.setattr(jaccard, "FIRSTS", firsts)
     monkeypatch.setattr(jaccard, "HOT_SHARE", 20)
     rnd = random.Random(9)
     passage = " ".join(f"p{i}" for i in range(30))
@@ -213,6 +215,43 @@ def test_jaccard_groups_of_documents(documents, monkeypatch, hot, run):
     assert got == brute_groups([(r.doc_id, r.text) for r in documents.collect()])
 
 
+def test_kept_tokens_of_partners_reach_the_bound():
+    """Whatever the frequencies: what two partners both keep is at least the bound."""
+    rng = np.random.default_rng(4)
+    for percent in (80, 85):
+        for _ in range(400):
+            a = int(rng.integers(1, 160))
+            b = int(rng.integers(a, 100 * a // percent + 1))
+            lo = -(-percent * (a + b) // (100 + percent))       # overlap at the threshold
+            if lo > a:
+                continue
+            every = rng.permutation(100_000)[:a + b - lo].astype(np.int64)
+            often = {int(t): (int(rng.integers(1, 6)), int(t)) for t in every}
+            kept = []
+            for tokens in (every[:a], every[a - lo:]):
+                first = jaccard.prefix(np.sort(tokens), percent)
+                order = sorted(map(int, first), key=often.get, reverse=True)
+                kept.append(set(order[jaccard.dropped(len(tokens), percent):]))
+            assert len(kept[0] & kept[1]) >= min(jaccard.BOUND, jaccard.least_shared(a, percent))
+
+
+def test_recurring_word_sequences_open_few_groups(spark):
+    """Unrelated texts over few words share many tokens; what is compared grows in proportion."""
+    opened = {}
+    for n in (300, 1200, 4800):
+        rnd = random.Random(n)
+        rows = [(i, " ".join(f"v{rnd.randrange(12)}" for _ in range(120))) for i in range(n)]
+        rows += [(n + i, rows[i][1] + " tail") for i in range(n // 100)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("ref", F.col("doc_id"))
+        classes = jaccard._classes(docs, 4, 85).withColumn("node", F.col("ref")).persist()
+        sets = jaccard._grouped(jaccard._tokens(classes, 85), 85).persist()
+        opened[n] = jaccard._openings(sets, 85).count()
+        if n == 1200:
+            links = jaccard.report(docs.select("doc_id", "text")).filter("doc_id <> component_id").collect()
+            assert sorted((r.doc_id, r.component_id) for r in links) == [(n + i, i) for i in range(n // 100)]
+    assert all(opened[n] <= n // 100 for n in opened), opened      # few by chance; copies share a group
+
+
 def test_jaccard_edges(edges, nothing):
     out = jaccard.report(edges).collect()
     assert len(out) == len(EDGES)
