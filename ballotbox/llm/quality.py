@@ -12,11 +12,15 @@ the respective histogram, which then does not count against them.
 
 The references come from all documents that pass the base rules, have at most
 one symbol in 20 words and at most a quarter of their letters in upper case (so
-that the junk to be found does not shape them): counts are summed per task, then per (language, word); the most frequent words are taken
-per hash bucket first, so that no task ranks a whole language.
-
-Defined cases. NULL or empty text: no words, base_failed. NULL lang: a language
-of its own in the references. Repeated rows each get a row. Empty table, or no
+that the junk to be found does not shape them). A ``lang`` value is a reference only
+with ``LEAST_DOCUMENTS`` such documents, ``LEAST_SUPPORT`` words of theirs and one word
+in ``RARE`` of all languages' (so there are at most ``RARE`` references): a few rows with
+a label of their own cannot speak for themselves. They are judged by the others.
+Counts are summed per task, then per (language, word); the most frequent words of a
+language are picked in every task, then among those picked.
+
+Defined cases. NULL or empty text: no words, base_failed. NULL lang: a label
+like any other. Repeated rows each get a row. Empty table, or no
 document passing the base rules: empty references, which reject nothing. Very
 long texts are read whole. Other columns are not read (``apply`` keeps them).
 """
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ballotbox.llm.common import pieces
+from ballotbox.llm.common import materialize, pieces
 from ballotbox.llm.jaccard import word_hashes
 
 COMMON = 64
@@ -41,6 +45,7 @@ SUM_LIMIT = 0.54
 NOISE = 7.0
 LEAST_CHARS = 300
 LEAST_WORDS = 50
+LEAST_DOCUMENTS, LEAST_SUPPORT, RARE = 10, 2_000, 200       # of a reference
 # Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -122,14 +127,15 @@ def distance(p: np.ndarray, q: np.ndarray) -> float:
 
 def references(docs: DataFrame, common: int = COMMON) -> list[tuple]:
     """(lang, class histogram, common words, their histogram with the rest last)
-    per language of the corpus: a short table."""
+    per language with enough support: at most ``RARE`` rows."""
     def count(batches):
-        held: dict[str | None, tuple[np.ndarray, Counter]] = {}
+        held: dict[str | None, tuple[np.ndarray, Counter, list[int]]] = {}
         size = 0
 
         def rows():
             out = []
-            for lang, (classes, words) in held.items():
+            for lang, (classes, words, docs_of) in held.items():
+                out.append((lang, "documents", "", docs_of[0]))
                 out += [(lang, "class", name, int(n)) for name, n in zip(CLASSES, classes)]
                 even: Counter = Counter()
                 for w, n in words.items():
@@ -146,8 +152,9 @@ def references(docs: DataFrame, common: int = COMMON) -> list[tuple]:
                 have = class_counts(text)
                 if have[UPPER] * 4 > have[LETTERS].sum():
                     continue
-                classes, words = held.setdefault(lang, (np.zeros(len(CLASSES), np.int64), Counter()))
+                classes, words, docs_of = held.setdefault(lang, (np.zeros(len(CLASSES), np.int64), Counter(), [0]))
                 classes += have
+                docs_of[0] += 1
                 before = len(words)
                 words.update(text.encode("utf-8", "surrogatepass").split())     # at the same six bytes
                 size += len(words) - before
@@ -157,28 +164,48 @@ def references(docs: DataFrame, common: int = COMMON) -> list[tuple]:
         if held:
             yield rows()
 
-    sums = (docs.select("lang", "text").mapInArrow(count, "lang string, kind string, key string, n long")
-            .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
-            .withColumn("part", F.pmod(F.xxhash64("key"), F.lit(64))))
-    order = [F.desc("n"), F.asc("key")]
-    top = (sums.withColumn("all", F.sum(F.struct("n")["n"]).over(Window.partitionBy("lang", "kind", "part")))
-           .withColumn("at", F.row_number().over(Window.partitionBy("lang", "kind", "part").orderBy(*order)))
-           .filter(F.col("at") <= common))
-    found: dict[str | None, tuple[dict, dict, dict]] = {}
-    for r in top.collect():         # languages x 64 parts x COMMON rows at most
-        classes, words, parts = found.setdefault(r["lang"], ({}, {}, {}))
-        if r["kind"] == "class":
-            classes[r["key"]] = r["n"]
-        else:
-            words[r["key"]] = r["n"]
-            parts[r["part"]] = r["all"]
+    counted = (docs.select("lang", "text").mapInArrow(count, "lang string, kind string, key string, n long")
+               .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")))
+    sums = materialize(counted, "quality-counts", 3)
+    support = sums.groupBy("lang").agg(F.sum(F.when(F.col("kind") == "word", F.col("n"))).alias("n_words"),
+                                       F.sum(F.when(F.col("kind") == "documents", F.col("n"))).alias("n_docs"))
+    total = support.agg(F.sum("n_words")).first()[0] or 0
+    enough = ((F.col("n_docs") >= LEAST_DOCUMENTS) & (F.col("n_words") >= LEAST_SUPPORT) & (F.col("n_words") * RARE >= total))
+    words_of = {r["lang"]: r["n_words"] for r in support.filter(enough).collect()}
+    if not words_of:
+        return []
+
+    def best(batches):
+        """The most frequent words of each language in a task."""
+        held: dict[str | None, list[tuple[int, str]]] = {}
+        for batch in batches:
+            for lang, key, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "key", "n"))):
+                if lang in words_of:
+                    some = held.setdefault(lang, [])
+                    some.append((-n, key))
+                    if len(some) > 64 * common:
+                        some.sort()
+                        del some[common:]
+        rows = [(lang, key, -n) for lang, some in held.items() for n, key in sorted(some)[:common]]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int64()))],
+                                             names=["lang", "key", "n"])
+
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("key"))
+    top = (sums.filter("kind = 'word'").select("lang", "key", "n").mapInArrow(best, "lang string, key string, n long")
+           .withColumn("at", F.row_number().over(order)).filter(F.col("at") <= common))
+    frequent: dict[str | None, list[tuple[str, int]]] = {lang: [] for lang in words_of}
+    for r in top.orderBy("at").collect():               # references x common
+        frequent[r["lang"]].append((r["key"], r["n"]))
+    classes: dict[str | None, dict[str, int]] = {lang: {} for lang in words_of}
+    known = F.col("lang").isin([x for x in words_of if x is not None]) | F.lit(None in words_of) & F.col("lang").isNull()
+    for r in sums.filter("kind = 'class'").filter(known).collect():      # references x classes
+        classes[r["lang"]][r["key"]] = r["n"]
     out = []
-    for lang in sorted(found, key=lambda x: (x is None, x or "")):
-        classes, words, parts = found[lang]
-        best = sorted(words.items(), key=lambda x: (-x[1], x[0]))[:common]
-        shares = [n for _, n in best]
-        out.append((lang, np.array([classes.get(c, 0) for c in CLASSES], float), [w for w, _ in best],
-                    np.array(shares + [sum(parts.values()) - sum(shares)], float)))
+    for lang in sorted(words_of, key=lambda x: (x is None, x or "")):
+        shares = [n for _, n in frequent[lang]]
+        out.append((lang, np.array([classes[lang].get(c, 0) for c in CLASSES], float), [w for w, _ in frequent[lang]],
+                    np.array(shares + [words_of[lang] - sum(shares)], float)))
     return out
 
 

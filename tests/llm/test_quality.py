@@ -1,3 +1,4 @@
+import math
 import re
 
 import numpy as np
@@ -32,23 +33,77 @@ def test_base_counts_of_documents(documents):
         assert not (r.base_failed and r.kept)
 
 
-def test_references_equal_plain_counts(documents):
-    refs = {r[0]: r for r in quality.references(documents)}
+def plain_references(rows):
+    """(lang, text) -> lang: class counts, most frequent words, their counts and the rest."""
     langs = {}
-    for r in documents.collect():
-        n, _, symbols, _, again = quality.base([r.text])[0]
-        have = quality.class_counts(r.text)
-        if quality.base_failed(n, again) or symbols * 20 > n or have[1] * 4 > have[:3].sum():
+    for lang, text in rows:
+        n, _, symbols, _, again = brute(text)
+        have = quality.class_counts(text or "")
+        if n < 50 or 100 * again > 50 * n or symbols * 20 > n or have[1] * 4 > have[:3].sum():
             continue
-        classes, words = langs.setdefault(r.lang, (np.zeros(len(quality.CLASSES)), {}))
-        classes += have
-        for w in map(quality.plain, r.text.encode().split()):
-            words[w] = words.get(w, 0) + 1
-    assert set(refs) == set(langs)
-    for lang, (classes, words) in langs.items():
-        best = sorted(words.items(), key=lambda x: (-x[1], x[0]))[:quality.COMMON]
-        assert (refs[lang][1] == classes).all() and refs[lang][2] == [w for w, _ in best]
-        assert refs[lang][3].tolist() == [n for _, n in best] + [sum(words.values()) - sum(n for _, n in best)]
+        entry = langs.setdefault(lang, [0, np.zeros(len(quality.CLASSES)), {}])
+        entry[0] += 1
+        entry[1] += have
+        for w in map(quality.plain, text.encode().split()):
+            entry[2][w] = entry[2].get(w, 0) + 1
+    total = sum(sum(words.values()) for _, _, words in langs.values())
+    out = {}
+    for lang, (n, classes, words) in langs.items():
+        if n >= 10 and sum(words.values()) >= 2000 and sum(words.values()) * 200 >= total:
+            best = sorted(words.items(), key=lambda x: (-x[1], x[0]))[:64]
+            out[lang] = (classes, [w for w, _ in best], [c for _, c in best] + [sum(words.values()) - sum(c for _, c in best)])
+    return out
+
+
+def divergence(p, q):
+    """Jensen-Shannon distance, term by term."""
+    p, q = ([x / sum(h) for x in h] for h in (p, q))
+    total = 0.0
+    for a, b in zip(p, q):
+        m = (a + b) / 2
+        total += sum(x * math.log2(x / m) / 2 for x in (a, b) if x)
+    return math.sqrt(max(0.0, total))
+
+
+def plain_verdict(text, refs):
+    n, _, _, _, again = brute(text)
+    if n < 50 or 100 * again > 50 * n:
+        return False
+    by_class = min(divergence(quality.class_counts(text).tolist(), r[0].tolist()) for r in refs.values()) if refs and len(text) >= 300 else 0.0
+    by_word = 0.0
+    if refs:
+        words = [quality.plain(w) for w in text.encode().split()]
+        by_word = 1.0
+        for _, common, counts in refs.values():
+            have = [words.count(w) for w in common]
+            by_word = min(by_word, divergence(have + [n - sum(have)], counts))
+    return by_class <= 0.30 and by_class + by_word <= 0.54 + 7.0 / n
+
+
+def test_references_and_verdict_equal_a_plain_computation(documents):
+    rows = [(r.lang, r.text) for r in documents.collect()]
+    refs, want = {r[0]: r for r in quality.references(documents)}, plain_references(rows)
+    assert set(refs) == set(want) and len(refs) >= 2
+    for lang, (classes, words, counts) in want.items():
+        assert (refs[lang][1] == classes).all() and refs[lang][2] == words and refs[lang][3].tolist() == counts
+    kept = {r.doc_id: r.kept for r in quality.report(documents).collect()}
+    assert kept == {r.doc_id: plain_verdict(r.text, want) for r in documents.collect()}
+
+
+def test_a_label_of_few_rows_does_not_speak_for_itself(spark, documents):
+    rng = np.random.default_rng(6)
+
+    def junk():
+        return " ".join("".join(rng.choice(list("QXZJ0123456789")) for _ in range(7)) + " qzx" for _ in range(120))
+
+    rows = [(r.doc_id, r.lang, r.text) for r in documents.collect()]
+    odd = [(9000 + i, lang, junk()) for i, lang in enumerate(["en", "en", "en", "zz", None, "zz"])]
+    frame = spark.createDataFrame(rows + odd, "doc_id long, lang string, text string")
+    assert {r[0] for r in quality.references(frame)} == {r[0] for r in quality.references(documents)}
+    kept = {r.doc_id: r.kept for r in quality.report(frame).collect()}
+    assert not any(kept[r[0]] for r in odd)
+    before = {r.doc_id: r.kept for r in quality.report(documents).collect()}
+    assert all(kept[d] == k for d, k in before.items())
 
 
 def test_distance():
