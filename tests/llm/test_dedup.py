@@ -315,6 +315,28 @@ def test_estimates_are_unbiased_and_bounded():
     assert (np.abs(gap) <= np.broadcast_to(error, estimate.shape)[off]).mean() > 0.999
 
 
+def test_rounded_queries_leave_true_links_open():
+    """The bound on codes and four-bit queries opens every link, and not everything."""
+    rng = np.random.default_rng(2)
+    for dim in (7, 64):
+        base = rng.normal(size=(150, dim))
+        v = np.concatenate([base, base + rng.normal(scale=0.05, size=base.shape), rng.normal(size=(300, dim))])
+        unit = v / np.linalg.norm(v, axis=1)[:, None]
+        turned, codes, factors = rabitq.coded(unit, 5)
+        q, low, step = rabitq.packed(turned)
+        back = rabitq.unpacked(q, low, step, dim)
+        assert np.abs(back - turned).max() <= step.max() / 2 + 1e-6
+        cosine = unit @ unit.T - 2 * np.eye(len(v))
+        linked = (cosine >= 0.98).any(axis=1)
+        got = rabitq.has_open_pair(back, step, codes, factors, 0, 0.98)
+        assert got[linked].all() and linked.sum() >= 250
+        if dim == 64:
+            assert got[300:].mean() < 0.9
+        two = rabitq.has_open_pair(back, step, codes, factors, 150, 0.98)
+        across = (cosine[:150, 150:] >= 0.98)
+        assert two[:150][across.any(axis=1)].all() and two[150:][across.any(axis=0)].all()
+
+
 def test_recall_on_the_given_embeddings(spark):
     df = spark.read.parquet(f"{SF}/embeddings.parquet")
     rows = [(r.vec_id, r.embedding, r.label) for r in df.collect()]
