@@ -66,6 +66,32 @@ def test_digest_and_files(documents, scratch, spark):
     assert n == documents.count()
 
 
+def test_shards_have_a_size_and_are_read_by_their_index(spark, documents, scratch, monkeypatch):
+    monkeypatch.setattr(records, "SHARD_BYTES", 6_000)
+    monkeypatch.setattr(records, "RANGE_BYTES", 1_500)
+    folder = scratch("records")
+    got = sorted(map(tuple, records.digest(documents, folder, f"{VOCABULARIES}/word_bpe_49k.json").collect()))
+    assert got == expected(sorted((r.doc_id, r.text) for r in documents.collect()))
+    cuts = records.ranges(spark, folder).collect()
+    shards = {(r.part, r.number) for r in cuts}
+    assert len(shards) > 20 and len(cuts) > len(shards)
+    back = records.read(spark, folder)
+    largest = back.groupBy("part", "number").agg({"n_tokens": "sum", "record": "count"}).collect()
+    assert all(2 * r["sum(n_tokens)"] + 26 * r["count(record)"] <= 6_000 or r["count(record)"] == 1 for r in largest)
+    rows = sorted((r.part, r.number, r.record, r.doc_id) for r in back.collect())
+    assert [r[3] for r in rows] == sorted(r[3] for r in rows) and len(rows) == documents.count()
+
+
+def test_half_of_all_rows_equal_are_dealt_out(spark, scratch):
+    docs = spark.range(8000).selectExpr("CASE WHEN id % 2 = 0 THEN 5L ELSE id END AS doc_id",
+                                        "CASE WHEN id % 2 = 0 THEN 'the same words' ELSE concat('w', id) END AS text")
+    folder = scratch("records")
+    shards = records.write(docs, folder, f"{VOCABULARIES}/word_bpe_49k.json").collect()
+    assert sum(r.n_records for r in shards) == 8000 and max(r.n_records for r in shards) < 2500
+    rows = sorted((r.part, r.number, r.record, r.doc_id) for r in records.read(spark, folder).collect())
+    assert [r[3] for r in rows] == sorted(r[3] for r in rows) and len(rows) == 8000
+
+
 def test_edges(edges, nothing, scratch):
     got = records.digest(edges, scratch("records"), f"{VOCABULARIES}/word_bpe_49k.json").collect()
     assert len(got) == len(EDGES) and got
