@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it
 kept; its result is written as Parquet and read again as the next one's docs.
 All but the last return the columns of documents.
+
+Defined cases, for every stage. NULL or empty texts and those under 50 words fail the
+quality rules; where they come in all the same, the other stages keep them. NULL ids
+and ids that several texts share are kept: near duplicates are told apart by id and
+text. Repeated rows: one stays after the near duplicates, else each counts. NULL
+sources are a source of their own. Columns beside those named are carried along
+(packing drops them), also ones named like a stage's own. An empty table stays one.
 """
 
 from __future__ import annotations
