@@ -285,8 +285,9 @@ def judge(docs: DataFrame, refs: list[tuple] | None = None) -> DataFrame:
 
 def apply(docs: DataFrame) -> DataFrame:
     """The documents kept, with their columns."""
-    names = docs.columns
-    return judge(docs).filter("kept").select(*names)
+    own = {c: f"_own_{c}" for c in docs.columns if c in {x.split()[0] for x in SCHEMA.split(", ")}}
+    kept = judge(docs.withColumnsRenamed(own)).filter("kept")
+    return kept.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame) -> DataFrame:
