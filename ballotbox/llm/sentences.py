@@ -1,7 +1,8 @@
 """Substring deduplication over sliding spans of sentences.
 
-A text is cut into sentences (after ``.``, ``!`` or ``?`` and white space, and at
-line ends). From every sentence, and back from every sentence, goes the shortest
+A text is cut into sentences (after ``.``, ``!`` or ``?`` and white space, after the
+full stops of other scripts, and at line ends). A word is a run without white space;
+scripts that write none count two characters as a word. From every sentence, and back from every sentence, goes the shortest
 run of at least ``SENTENCES`` sentences and ``WORDS`` words, or of
 ``LONG_WORDS`` words if that comes first; a passage that is repeated as a whole
 is then covered from its first sentence to its last. Runs are hashed (with white
@@ -35,7 +36,13 @@ SENTENCES = 3
 WORDS = 15
 LONG_WORDS = 40
 
-_ends = re.compile(r"[.!?]+\s+|\n\s*")
+# Full stops of Chinese and Japanese, Devanagari, Arabic, Urdu, Armenian,
+# Ethiopic, Burmese and Khmer; letters written without spaces between words.
+STOPS = "。！？｡।॥؟۔։።፧၊။។៕"
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+
+_ends = re.compile(rf"[.!?]+\s+|[{STOPS}]+[」』”’）)]?\s*|\n\s*")
+_unspaced = re.compile(f"[{UNSPACED}]")
 
 
 def split(text: str) -> list[str]:
@@ -74,13 +81,19 @@ def runs(words: list[int]) -> set[tuple[int, int]]:
     return out
 
 
+def n_words(parts: list[str]) -> int:
+    """Words of a sentence cut at white space."""
+    dense = sum(len(_unspaced.findall(p)) for p in parts if not p.isascii())
+    return max(len(parts), dense // 2)
+
+
 def hashed(text: str) -> tuple[dict[tuple[int, int], tuple[int, int]], list[tuple[int, int]], int]:
     """(hash, length) -> first run with it; the later runs in this text; number of sentences."""
     parts = [s.split() for s in split(text)]
     even = [" ".join(p) for p in parts]
     first: dict[tuple[int, int], tuple[int, int]] = {}
     again = []
-    for i, j in sorted(runs([len(p) for p in parts])):
+    for i, j in sorted(runs([n_words(p) for p in parts])):
         span = " ".join(even[i:j]).strip()
         key = (xxhash.xxh3_64_intdigest(span.encode("utf-8", "surrogatepass")) - (1 << 63), len(span))
         if first.setdefault(key, (i, j)) != (i, j):

@@ -41,7 +41,7 @@ def brute_sentences(rows):
     first, out = {}, {}
     for doc_id, text in sorted(rows, key=lambda r: r[0]):
         parts = sentences.split(text or "")
-        words = [len(p.split()) for p in parts]
+        words = [sentences.n_words(p.split()) for p in parts]
         gone = set()
         for i, j in sorted(sentences.runs(words)):
             span = " ".join(" ".join(parts[i:j]).split())
@@ -70,7 +70,27 @@ def test_passages_go_and_the_rest_stays(spark):
         assert out[i].text == (text if i % 3 or i == 0 else text.replace(passage, ""))
 
 
-@pytest.mark.parametrize("text", ["", "a", "A. B? C!\nd\n\n e.f. g", "x\n", "\n\n", "No end", "Dots... more!! "])
+def test_sentences_of_other_scripts(spark):
+    rnd = random.Random(12)
+
+    def prose(letters, stop, n):
+        return "".join("".join(rnd.choice(letters) for _ in range(24)) + stop for _ in range(n))
+
+    han = "".join(map(chr, range(0x4E00, 0x4E80)))
+    hindi = "".join(map(chr, range(0x0915, 0x0939))) + "   "
+    rows = []
+    for letters, stop in ((han, "。"), (han, "！"), (hindi, "। "), (hindi, "? ")):
+        passage = prose(letters, stop, 14)
+        first = len(rows)
+        rows += [(first, prose(letters, stop, 4) + passage), (first + 1, prose(letters, stop, 5) + passage + prose(letters, stop, 4)),
+                 (first + 2, prose(letters, stop, 9))]
+        rows[-2] = (*rows[-2], passage)
+    out = {r.doc_id: r.text for r in sentences.dedup(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    for doc_id, text, *passage in rows:
+        assert out[doc_id] == (text.replace(passage[0], "") if passage else text)
+
+
+@pytest.mark.parametrize("text", ["", "a", "これは。それは！「はい。」 と", "क। ख॥ ग", "A. B? C!\nd\n\n e.f. g", "x\n", "\n\n", "No end", "Dots... more!! "])
 def test_split_joins_back(text):
     assert "".join(sentences.split(text)) == text
 
@@ -215,6 +235,22 @@ def test_jaccard_groups_of_documents(documents, monkeypatch, hot, run):
     assert got == brute_groups([(r.doc_id, r.text) for r in documents.collect()])
 
 
+def test_one_id_with_many_texts_links_them(spark):
+    rnd = random.Random(21)
+
+    def prose(n):
+        return " ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(n))
+
+    base = [prose(60) for _ in range(40)]
+    rows = [(7, t) for t in base[:30]] + [(100 + i, t + " end") for i, t in enumerate(base)] + [(7, ""), (3, None), (3, base[35]), (200, prose(9))]
+    got = {}
+    for r in jaccard.report(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).add(r.component_id)
+    assert all(len(v) == 1 for v in got.values())
+    want = {7: 7, 3: 3, 200: 200, **{100 + i: 7 if i < 30 else 3 if i == 35 else 100 + i for i in range(40)}}
+    assert {d: v.pop() for d, v in got.items()} == want
+
+
 def test_kept_tokens_of_partners_reach_the_bound():
     """Whatever the frequencies: what two partners both keep is at least the bound."""
     rng = np.random.default_rng(4)
