@@ -14,8 +14,8 @@ so a bounded table), then an exact order of the few copies in the last range.
 
 Defined cases. NULL text or no words: size 0, in the mix without words. NULL
 source: a source of its own, last. NULL doc_id: shuffled as an empty id. Rows
-equal in doc_id, source and text are one entry of the queue (both taken or
-neither). Empty table: empty result. Other columns are not read by ``plan`` and
+equal in doc_id, source and text are one entry of the queue with as many places, one
+after the other; the cut may fall between them. Empty table: empty result. Other columns are not read by ``plan`` and
 kept by ``apply``.
 """
 
@@ -25,10 +25,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ballotbox.llm.common import materialize, n_words, text_key
+from ballotbox.llm.packing import numbered
 
 BINS = 4096
 ROWS_PER_BUCKET = 50_000
 LEAST_BUCKETS = 64
+MANY = 10_000       # equal rows made in one go; more are dealt out first
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = (3, 1, 2), numerator: int = 3,
@@ -68,8 +70,8 @@ def _share(digest: Column) -> Column:
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), numerator: int = 3, denominator: int = 2,
          epochs: int = 2, seed: str = "") -> DataFrame:
-    """One row per entry: doc_id, txt_key, src_null, src, n_rows, size,
-    source_size, target, copies (how often each of its rows is in the mix)."""
+    """One row per entry: doc_id, txt_key, src_null, src, n_rows, size, source_size,
+    target, taken (for each epoch, how many of its rows are in the mix)."""
     keys = ["src_null", "src"]
     entries = materialize(
         docs.select("doc_id", text_key(F.col("text")).alias("txt_key"), F.col("source").isNull().alias("src_null"),
@@ -98,27 +100,54 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), numerator: int =
         .select("doc_id", "txt_key", *keys, "src_rank", "digest", "size", "n_rows", "words", "source_size", "target",
                 "upto"), "mix-queue")
     cut = _cut(queue, numerator, denominator, epochs)
-    copies = sum((F.when(_place(e) <= cut, 1).otherwise(0) for e in range(epochs)), F.lit(0)) if cut is not None else F.lit(0)
-    return queue.select("doc_id", "txt_key", *keys, "n_rows", "size", "source_size", "target",
-                        copies.cast("int").alias("copies"))
+    taken = F.array(*[_rows_taken(e, cut) if cut is not None else F.lit(0).cast("long") for e in range(epochs)])
+    return queue.select("doc_id", "txt_key", *keys, "n_rows", "size", "source_size", "target", taken.alias("taken"))
 
 
-def _finish(epoch: Column | int) -> Column:
-    """Virtual finish time; entries without a target come last."""
-    words = F.col("upto") + F.col("source_size") * epoch
+def _finish(epoch: int, row: Column) -> Column:
+    """Virtual finish time of an entry's row (from 1); entries without a target come last."""
+    words = F.col("upto") - F.col("words") + F.col("size") * row + F.col("source_size") * epoch
     return F.when(F.col("target") > 0, words / F.col("target")).otherwise(F.lit(float("inf")))
 
 
-def _place(epoch: int) -> Column:
+def _place(epoch: int, row: Column) -> Column:
     """The order of the mix; the last fields only break ties."""
-    return F.struct(_finish(epoch).alias("finish"), F.col("src_rank").alias("src_rank"), F.lit(epoch).alias("epoch"),
+    return F.struct(_finish(epoch, row).alias("finish"), F.col("src_rank").alias("src_rank"), F.lit(epoch).alias("epoch"),
                     F.col("digest").alias("digest"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"),
-                    F.col("txt_key").alias("txt_key"))
+                    F.col("txt_key").alias("txt_key"), row.cast("long").alias("row"))
+
+
+def _rows_taken(epoch: int, cut: Column) -> Column:
+    """How many of an entry's rows come before the cut: about as many as the finish time
+    says, and exactly by the places around that."""
+    before = F.col("upto") - F.col("words") + F.col("source_size") * epoch
+    about = F.when((F.col("size") > 0) & (F.col("target") > 0), F.floor((cut["finish"] * F.col("target") - before) / F.col("size")))
+    about = F.greatest(F.lit(0), F.least(F.coalesce(about, F.col("n_rows")), F.col("n_rows"))).cast("long")
+    near = F.sequence(F.greatest(about - 3, F.lit(0)), F.least(about + 3, F.col("n_rows")))
+    found = F.array_max(F.filter(near, lambda row: (row == 0) | (_place(epoch, row) <= cut)))
+    # rows without words, or without a target, finish together
+    one = F.when(_place(epoch, F.lit(1).cast("long")) <= cut, F.col("n_rows")).otherwise(F.lit(0))
+    return F.when((F.col("size") > 0) & (F.col("target") > 0), F.coalesce(found, F.lit(0))).otherwise(one).cast("long")
+
+
+def _each_row(entries: DataFrame) -> DataFrame:
+    """``entries`` with a ``row`` for each of their rows; those of an entry with very many
+    are made in several tasks."""
+    def rows(first: Column, last: Column) -> Column:
+        return F.explode(F.sequence(first, last)).alias("row")
+
+    few = entries.filter(F.col("n_rows") <= MANY).select("*", rows(F.lit(1).cast("long"), F.col("n_rows")))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_rows") - 1) / MANY))).alias("_part")
+    many = (entries.filter(F.col("n_rows") > MANY).select("*", part)
+            .repartition(int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), "txt_key", "_part"))
+    last = F.least((F.col("_part") + 1) * MANY, F.col("n_rows"))
+    return few.unionByName(many.select(*entries.columns, rows(F.col("_part") * MANY + 1, last)))
 
 
 def _cut(queue: DataFrame, numerator: int, denominator: int, epochs: int) -> Column | None:
     """The place of the last copy within the budget (None: no copy is)."""
-    copies = queue.select("words", F.explode(F.array(*[_place(e) for e in range(epochs)])).alias("place"))
+    rows = _each_row(queue.filter("size > 0"))          # the others change nothing
+    copies = rows.select(F.col("size").alias("words"), F.explode(F.array(*[_place(e, F.col("row")) for e in range(epochs)])).alias("place"))
     finish = F.col("place.finish")
     # monotone in the finish time, below 1 for all
     share = F.when(finish == float("inf"), F.lit(1.0)).otherwise(finish / (finish + 1.0)) * float(BINS)
@@ -152,22 +181,38 @@ def _cut(queue: DataFrame, numerator: int, denominator: int, epochs: int) -> Col
         return None
     return F.struct(F.lit(place.finish).alias("finish"), F.lit(place.src_rank).alias("src_rank"),
                     F.lit(place.epoch).alias("epoch"), F.lit(place.digest).alias("digest"),
-                    F.lit(place.doc_id).cast("long").alias("doc_id"), F.lit(place.txt_key).cast("long").alias("txt_key"))
+                    F.lit(place.doc_id).cast("long").alias("doc_id"), F.lit(place.txt_key).cast("long").alias("txt_key"),
+                    F.lit(place.row).cast("long").alias("row"))
+
+
+def _copies(row: Column, taken: Column) -> Column:
+    """How often a row (from 1) of its entry is in the mix."""
+    return F.aggregate(taken, F.lit(0), lambda n, most: n + F.when(row <= most, 1).otherwise(0))
 
 
 def apply(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    p = (plan(docs, **options).filter("copies > 0")
+    p = (plan(docs, **options).filter(F.exists("taken", lambda n: n > 0))
          .select(F.col("doc_id").alias("_mix_id"), F.col("txt_key").alias("_mix_key"), F.col("src_null").alias("_mix_null"),
-                 F.col("src").alias("_mix_src"), F.col("copies").alias("_mix_copies")))
+                 F.col("src").alias("_mix_src"), F.col("n_rows").alias("_mix_rows"), F.col("taken").alias("_mix_taken")))
     on = (docs["doc_id"].eqNullSafe(p["_mix_id"]) & (text_key(docs["text"]) == p["_mix_key"])
           & (docs["source"].isNull() == p["_mix_null"]) & (F.coalesce(docs["source"], F.lit("")) == p["_mix_src"]))
-    return (docs.join(p, on).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-            .select(*[docs[c] for c in docs.columns]))
+    part = F.exists("_mix_taken", lambda n: (n > 0) & (n < F.col("_mix_rows")))
+    # all rows of an entry alike; where the cut falls between them they are numbered first
+    alike = docs.join(p.filter(~part), on).withColumn("_mix_copies", _copies(F.col("_mix_rows"), F.col("_mix_taken")))
+    cut = docs.join(p.filter(part), on).select(
+        *[docs[c] for c in docs.columns], F.xxhash64("_mix_id", "_mix_key", "_mix_null", "_mix_src").alias("_mix_entry"), "_mix_taken",
+        F.monotonically_increasing_id().alias("_mix_deal"))
+    names = docs.columns
+    cut = materialize(cut.toDF(*[f"_c{i}" for i in range(len(names))], "_mix_entry", "_mix_taken", "_mix_deal"), "mix-cut", 8)
+    cut = numbered(cut, "_mix_entry", ["_mix_deal"]).withColumn("_mix_copies", _copies(F.col("rank") + 1, F.col("_mix_taken")))
+    out = alike.select(*[docs[c] for c in names], "_mix_copies").toDF(*[f"_c{i}" for i in range(len(names))], "_mix_copies")
+    out = out.unionAll(cut.select(*[f"_c{i}" for i in range(len(names))], "_mix_copies")).filter("_mix_copies > 0")
+    return out.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(
+        *[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)])
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
     """One row per document row: doc_id, size, source_size, target, taken."""
-    return (plan(docs, **options)
-            .withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_rows"))))
-            .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")))
+    return (_each_row(plan(docs, **options))
+            .select("doc_id", "size", "source_size", "target", (F.col("size") * _copies(F.col("row"), F.col("taken"))).alias("taken")))

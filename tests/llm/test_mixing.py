@@ -70,12 +70,37 @@ def test_targets_are_met_and_no_row_passes_two_copies(spark):
     assert out.filter("taken > 2 * size").count() == 0
 
 
+@pytest.mark.parametrize("many", [10_000, 7])
+def test_a_hot_row_does_not_shift_its_source(spark, monkeypatch, many):
+    """40 of 100 rows equal: each is a place of its own in the queue."""
+    monkeypatch.setattr(mixing, "MANY", many)
+    rows = [(5, "w " * 50, "a") for _ in range(40)] + [(100 + i, "v " * (30 + i % 7), "b" if i % 2 else "c") for i in range(60)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, source string, at int")
+    out = mixing.report(docs).collect()
+    assert len(out) == 100
+    taken, want = {}, filled({"a": 2000, **{s: sum(len(r[1].split()) for r in rows if r[2] == s) for s in "bc"}})
+    for r in out:
+        taken[r.source_size, round(r.target, 6)] = taken.get((r.source_size, round(r.target, 6)), 0) + r.taken
+        assert r.taken in (0, r["size"], 2 * r["size"])
+    assert sorted(taken) == sorted((n, round(want[s], 6)) for s, n in (("a", 2000), *((s, sum(len(r[1].split()) for r in rows if r[2] == s)) for s in "bc")))
+    assert all(abs(n - target) <= 50 for (_, target), n in taken.items())
+    total = sum(len(r[1].split()) for r in rows) * 3 // 2
+    assert total - 50 <= sum(r.taken for r in out) <= total
+    mixed = mixing.apply(docs).collect()
+    assert sum(len(r.text.split()) for r in mixed) == sum(r.taken for r in out)
+    times = {}
+    for r in mixed:
+        times[r["at"]] = times.get(r["at"], 0) + 1
+    hot = [r.taken // 50 for r in out if r.doc_id == 5]
+    assert max(times.values()) <= 2 and sorted(times.get(i, 0) for i in range(40)) == sorted(hot)
+
+
 def test_edges(edges, nothing):
     out = mixing.report(edges).collect()
     assert len(out) == len(EDGES)
     assert all(r["size"] == r.taken == 0 for r in out if r.doc_id in (2, 3, 4))
     same = [r for r in out if r.doc_id == 7 and r["size"] == 2]
-    assert len(same) == 2 and same[0] == same[1]
+    assert len(same) == 2 and same[0].target == same[1].target
     mixed = mixing.apply(edges)
     assert mixed.columns == edges.columns
     taken = sum(r.taken for r in out)
