@@ -29,38 +29,35 @@ OUTPUT_SCHEMA = ("probe_id long, file_type string, cycle int, checked_at_us long
 STATE_SCHEMA = "last_us long, last_id long, etag string, last_modified string"
 
 
-def _same(a, b) -> bool:
-    a_null, b_null = a is None or a != a, b is None or b != b   # NaN counts as NULL
-    if a_null or b_null:
-        return a_null and b_null
-    return a == b
+def _differs(now: pd.Series, before: pd.Series) -> pd.Series:
+    """NULL equals NULL."""
+    return ~((now == before) | (now.isna() & before.isna()))
 
 
 def detect(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values(["checked_at_us", "probe_id"], kind="stable")
-    if state.exists:
-        last_us, last_id, etag, lm = state.get
-        seen = True
-    else:
-        last_us = last_id = etag = lm = None
-        seen = False
-    changed, late = [], []
-    for us, pid, status, e, m in zip(pdf["checked_at_us"], pdf["probe_id"], pdf["status_code"],
-                                     pdf["etag"], pdf["last_modified"]):
-        e = None if e is None or e != e else e
-        m = None if m is None or m != m else m
-        if seen and (int(us), int(pid)) < (last_us, last_id):
-            changed.append(False)
-            late.append(True)
-            continue
-        differs = not _same(etag, e) or not _same(lm, m)
-        changed.append(bool(seen and status == OK_STATUS and differs))
-        late.append(False)
-        last_us, last_id, etag, lm, seen = int(us), int(pid), e, m, True
-    state.update((last_us, last_id, etag, lm))
-    out = pdf[["probe_id", "file_type", "cycle", "checked_at_us", "status_code", "etag", "last_modified"]].copy()
-    out["changed"] = changed
-    out["late"] = late
+    rows = pd.concat(list(batches), ignore_index=True).sort_values(["checked_at_us", "probe_id"], ignore_index=True)
+    last_us, last_id, *tags = state.get if state.exists else (None, None, None, None)
+    us, ids = rows["checked_at_us"], rows["probe_id"]
+    late = (us < last_us) | ((us == last_us) & (ids < last_id)) if state.exists else pd.Series(False, index=rows.index)
+    start = int(late.sum())                     # in order of time the late ones come first
+    changed = pd.Series(False, index=rows.index)
+    on_time = rows.iloc[start:]
+    if len(on_time):
+        differs = pd.Series(False, index=on_time.index)
+        for name, tag in zip(("etag", "last_modified"), tags):
+            now = on_time[name].astype(object)
+            before = now.shift()
+            before.iloc[0] = tag
+            differs |= _differs(now, before)
+        if not state.exists:
+            differs.iloc[0] = False             # nothing to compare the first probe with
+        changed.iloc[start:] = differs & (on_time["status_code"] == OK_STATUS)
+        end = on_time.iloc[-1]
+        state.update((int(end["checked_at_us"]), int(end["probe_id"]),
+                      *(None if pd.isna(end[c]) else end[c] for c in ("etag", "last_modified"))))
+    out = rows[["probe_id", "file_type", "cycle", "checked_at_us", "status_code", "etag", "last_modified"]].copy()
+    out["changed"] = changed.astype(bool)
+    out["late"] = late.astype(bool)
     yield out
 
 
