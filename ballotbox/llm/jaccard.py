@@ -12,7 +12,8 @@ class, known by a digest and named by its least doc_id.
    finds nobody and goes too; so do sets that keep fewer tokens than the bound.
 2. Groups. The sets that are left are dealt out by range of their least kept tokens,
    which near copies share. A set goes to a group with the same one that has half of its
-   kept tokens, up to ``GROUP_TOKENS`` tokens, or to a new one. A group's row of the matrix is the union of its members' kept tokens and the range
+   kept tokens, up to ``GROUP_TOKENS`` tokens, or to a new one; what began alike in
+   several tasks is put together afterwards. A group's row of the matrix is the union of its members' kept tokens and the range
    of their sizes.
 3. Bound. A set's kept tokens are counted against the unions; only a group that holds
    as many as the set must share with a member of a fitting size is opened for it.
@@ -40,7 +41,6 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,7 +50,7 @@ from ballotbox.llm.suffixes import hashes, sums
 
 N, PERCENT = 4, 85
 BOUND = 5                   # kept tokens that partners share (all they must share, if that is fewer)
-SHARED = 4                  # prefixes share one in so many of the set's tokens
+SHARED, SMALL = 4, 64       # prefixes share one in so many of the set's tokens, and all they must up to so many
 HOT_SHARE = 100             # a token in one of so many classes is hot
 MOST = 1 << 30              # what a hot token counts as
 RUN = 1 << 16               # rows up to which a token's are counted
@@ -58,7 +58,7 @@ GROUP_TOKENS = 1 << 19      # of the members of a group (one member at least)
 GROUP = 4_096               # members of a group
 GOING = 16                  # groups with the same least token that a set is tried with
 FIRSTS = 8                  # parts of a group whose first members are tried before the group is opened
-PART = 4 << 20              # bytes hashed at a time
+PART = 1 << 20              # bytes hashed at a time
 
 _space = np.zeros(256, dtype=bool)
 _space[[32, 9, 10, 11, 12, 13]] = True
@@ -116,14 +116,13 @@ def least_shared(size: int, percent: int = PERCENT) -> int:
 
 def shared(size: int, percent: int = PERCENT) -> int:
     """Of those, the ones to be found in both prefixes (of the smaller set)."""
-    return min(least_shared(size, percent), max(BOUND, -(-size // SHARED)))
+    return min(least_shared(size, percent), max(SMALL, -(-size // SHARED)))
 
 
 def dropped(size: int, percent: int = PERCENT) -> int:
     """The most frequent tokens that a set of this size leaves out of its prefix: with any
     partner it shares ``BOUND`` more in both prefixes (if it must share so many at all)."""
-    smallest = least_shared(size, percent)          # partner
-    return max(0, -(-smallest // SHARED) - BOUND)
+    return max(0, shared(least_shared(size, percent), percent) - BOUND)      # of the smallest partner
 
 
 def prefix(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -227,7 +226,8 @@ def _tokens(classes: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(counted, "token long, node long, size long, often long"))
     every = cold.union(rows.filter("hot").select("token", "node", "size", F.lit(MOST).cast("long")))
     smallest = F.ceil(F.col("size") * percent / 100)
-    gone = F.greatest(F.lit(0), F.ceil(smallest / SHARED) - BOUND)
+    share = F.least(F.ceil(smallest * percent / 100), F.greatest(F.lit(SMALL), F.ceil(smallest / SHARED)))
+    gone = F.greatest(F.lit(0), share - BOUND)
     order = Window.partitionBy("node", "size").orderBy(F.desc("often"), F.desc("token"))
     return every.withColumn("at", F.row_number().over(order)).filter(F.col("at") > gone).select("token", "node", "size")
 
@@ -241,39 +241,48 @@ def _grouped(tokens: DataFrame, percent: int) -> DataFrame:
                .sortWithinPartitions("first", "kept", "node").select("node", "size", "kept"))
 
     def cut(batches):
-        number, first = TaskContext.get().partitionId() << 40, None
-        going: dict[int, list] = {}             # group -> union of kept tokens, members, tokens of the members
+        first = None
+        going: dict[int, list] = {}     # first member -> union of kept tokens, members, their tokens, what it began with
         for batch in batches:
-            out = np.empty(batch.num_rows, np.int64)
-            for i, (size, kept) in enumerate(zip(batch.column("size").to_pylist(), batch.column("kept").to_pylist())):
+            out, sign = np.empty(batch.num_rows, np.int64), np.empty(batch.num_rows, np.int64)
+            for i, (node, size, kept) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("node", "size", "kept")))):
                 if kept[0] != first:
                     first, going = kept[0], {}
                 for g, held in going.items():
                     if 2 * len(held[0].intersection(kept)) >= len(kept):
                         break
                 else:
-                    g, held = number, [set(), 0, 0]
-                    number += 1
+                    g, held = node, [set(), 0, 0, hash(tuple(kept[:3]))]
                     going[g] = held
                     if len(going) > GOING:
                         del going[next(iter(going))]
                 held[0].update(kept)
-                held[1:] = held[1] + 1, held[2] + size
+                held[1:3] = held[1] + 1, held[2] + size
                 if held[1] >= GROUP or held[2] >= GROUP_TOKENS:
                     del going[g]
-                out[i] = g
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("size"), batch.column("kept"), pa.array(out)],
-                                             names=["node", "size", "kept", "group"])
+                out[i], sign[i] = g, held[3]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("size"), batch.column("kept"), pa.array(out), pa.array(sign)],
+                                             names=["node", "size", "kept", "part", "sign"])
 
-    return ordered.mapInArrow(cut, "node long, size long, kept array<bigint>, group long")
+    cuts = materialize(ordered.mapInArrow(cut, "node long, size long, kept array<bigint>, part long, sign long"), "jaccard-parts", 4)
+    # parts that began alike in different tasks are one group, as far as its size goes
+    upto = Window.partitionBy("sign").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    groups = (cuts.groupBy("part", "sign").agg(F.sum("size").alias("tokens"))
+              .withColumn("before", F.coalesce(F.sum("tokens").over(upto), F.lit(0)))
+              .select("part", F.xxhash64("sign", F.floor(F.col("before") / GROUP_TOKENS)).alias("group")))
+    return cuts.drop("sign").join(groups, "part").drop("part")
 
 
 def _openings(sets: DataFrame, percent: int) -> DataFrame:
-    """node, group: the groups that a set of an earlier (or the same) group opens."""
-    rows = sets.select("node", "size", "group", F.explode("kept").alias("token"))
-    matrix = (rows.groupBy("token", F.col("group").alias("open")).agg(F.lit(1).alias("one")).drop("one")
-              .join(sets.groupBy(F.col("group").alias("open")).agg(F.min("size").alias("low"), F.max("size").alias("high")), "open"))
-    fits = (F.col("open") > F.col("group")) & (F.col("size") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("size") * 100)
+    """node, group: the groups that each set opens. Of two groups the one with fewer members
+    asks (of two as large, the one with the lesser number), so what few sets a large group
+    of near copies has left outside asks it, and not the other way round."""
+    stats = sets.groupBy(F.col("group").alias("open")).agg(F.min("size").alias("low"), F.max("size").alias("high"), F.count("*").alias("held"))
+    own = stats.select(F.col("open").alias("group"), F.col("held").alias("own"))
+    rows = sets.select("node", "size", "group", F.explode("kept").alias("token")).join(own, "group")
+    matrix = rows.select("token", F.col("group").alias("open")).distinct().join(stats, "open")
+    asks = (F.col("own") < F.col("held")) | ((F.col("own") == F.col("held")) & (F.col("group") < F.col("open")))
+    fits = asks & (F.col("size") * percent <= F.col("high") * 100) & (F.col("low") * percent <= F.col("size") * 100)
     met = rows.join(matrix, "token").filter(fits).groupBy("node", "size", "open", "low").agg(F.count("*").alias("n"))
     smaller = F.least("size", F.greatest("low", F.ceil(F.col("size") * percent / 100)))
     return (met.filter(F.col("n") >= F.least(F.lit(BOUND), F.ceil(smaller * percent / 100)))
@@ -428,18 +437,26 @@ def _links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFra
 
 
 def groups(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """doc_id, txt_key, n_shingles, component_id of every row."""
-    docs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .withColumn("txt_key", text_key(F.col("text"))).withColumn("ref", F.col("doc_id")))
-    members = materialize(_members(docs, n), "jaccard-members")
-    classes = materialize(_classes(docs, n, percent).withColumn("node", F.col("ref")), "jaccard-classes", 3)
-    links = _links(docs, classes, n, percent)
-    # rows that share a doc_id, and equal sets, are linked through their classes
-    same = members.filter("size > 0").join(classes.select("digest", "node"), "digest").filter("doc_id <> node").select(
-        F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    tree = components(links.union(same))
-    return (members.join(tree, members["doc_id"] == tree["node"], "left")
-            .select("doc_id", "txt_key", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
+    """doc_id, txt_key, n_shingles, component_id of every row. Classes are numbered and
+    linked by their sets first; a doc_id with several texts then links theirs, so an id
+    that very many rows share is a key of joins only."""
+    docs = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("txt_key", text_key(F.col("text")))
+            .withColumn("ref", F.struct("doc_id", "txt_key")))
+    members = materialize(_members(docs.drop("ref"), n), "jaccard-members")
+    classes = materialize(_classes(docs, n, percent).withColumn("node", F.monotonically_increasing_id()), "jaccard-classes", 3)
+    tree = components(_links(docs, classes, n, percent))
+    named = classes.select("digest", "node").join(tree, "node", "left").select("digest", F.coalesce("component", "node").alias("part"))
+    parts = materialize(members.filter("size > 0 AND doc_id IS NOT NULL").join(named, "digest").select("doc_id", "part").distinct(),
+                        "jaccard-parts-of", 4)
+    least = parts.groupBy("doc_id").agg(F.min("part").alias("least"))
+    also = parts.join(least, "doc_id").filter("part <> least").select(F.col("least").alias("a"), F.col("part").alias("b"))
+    whole = least.select("doc_id", F.col("least").alias("whole"))
+    if not also.isEmpty():
+        whole = whole.join(components(also), F.col("whole") == F.col("node"), "left").select(
+            "doc_id", F.coalesce("component", "whole").alias("whole"))
+    names = whole.join(whole.groupBy("whole").agg(F.min("doc_id").alias("component_id")), "whole").select("doc_id", "component_id")
+    return (members.join(names, "doc_id", "left")
+            .select("doc_id", "txt_key", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def report(docs: DataFrame) -> DataFrame:
