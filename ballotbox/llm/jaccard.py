@@ -12,8 +12,8 @@ class, known by a digest and named by its least doc_id.
    finds nobody and goes too; so do sets that keep fewer tokens than the bound.
 2. Groups. The sets that are left are dealt out by range of their least kept tokens,
    which near copies share. A set goes to a group with the same one that has half of its
-   kept tokens, up to ``GROUP_TOKENS`` tokens, or to a new one; what began alike in
-   several tasks is put together afterwards. A group's row of the matrix is the union of its members' kept tokens and the range
+   kept tokens, up to ``GROUP_TOKENS`` tokens, or to a new one; such parts of
+   several tasks are put together afterwards. A group's row of the matrix is the union of its members' kept tokens and the range
    of their sizes.
 3. Bound. A set's kept tokens are counted against the unions; only a group that holds
    as many as the set must share with a member of a fitting size is opened for it.
@@ -242,9 +242,9 @@ def _grouped(tokens: DataFrame, percent: int) -> DataFrame:
 
     def cut(batches):
         first = None
-        going: dict[int, list] = {}     # first member -> union of kept tokens, members, their tokens, what it began with
+        going: dict[int, list] = {}     # first member -> union of kept tokens, members, tokens of the members
         for batch in batches:
-            out, sign = np.empty(batch.num_rows, np.int64), np.empty(batch.num_rows, np.int64)
+            out = np.empty(batch.num_rows, np.int64)
             for i, (node, size, kept) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("node", "size", "kept")))):
                 if kept[0] != first:
                     first, going = kept[0], {}
@@ -252,25 +252,29 @@ def _grouped(tokens: DataFrame, percent: int) -> DataFrame:
                     if 2 * len(held[0].intersection(kept)) >= len(kept):
                         break
                 else:
-                    g, held = node, [set(), 0, 0, hash(tuple(kept[:3]))]
+                    g, held = node, [set(), 0, 0]
                     going[g] = held
                     if len(going) > GOING:
                         del going[next(iter(going))]
                 held[0].update(kept)
-                held[1:3] = held[1] + 1, held[2] + size
+                held[1:] = held[1] + 1, held[2] + size
                 if held[1] >= GROUP or held[2] >= GROUP_TOKENS:
                     del going[g]
-                out[i], sign[i] = g, held[3]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("size"), batch.column("kept"), pa.array(out), pa.array(sign)],
-                                             names=["node", "size", "kept", "part", "sign"])
-
-    cuts = materialize(ordered.mapInArrow(cut, "node long, size long, kept array<bigint>, part long, sign long"), "jaccard-parts", 4)
-    # parts that began alike in different tasks are one group, as far as its size goes
+                out[i] = g
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("size"), batch.column("kept"), pa.array(out)],
+                                             names=["node", "size", "kept", "part"])
+
+    cuts = materialize(ordered.mapInArrow(cut, "node long, size long, kept array<bigint>, part long"), "jaccard-parts", 4)
+    # parts of different tasks are one group, as far as its size goes, if the least two
+    # tokens that half of their members keep are the same
+    parts = cuts.groupBy("part").agg(F.sum("size").alias("tokens"), F.count("*").alias("held"))
+    core = (cuts.select("part", F.explode("kept").alias("token")).groupBy("part", "token").agg(F.count("*").alias("n"))
+            .join(parts, "part").filter(F.col("n") * 2 >= F.col("held")).groupBy("part", "tokens")
+            .agg(F.xxhash64(F.slice(F.sort_array(F.collect_list("token")), 1, 2)).alias("sign")))
     upto = Window.partitionBy("sign").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    groups = (cuts.groupBy("part", "sign").agg(F.sum("size").alias("tokens"))
-              .withColumn("before", F.coalesce(F.sum("tokens").over(upto), F.lit(0)))
+    groups = (core.withColumn("before", F.coalesce(F.sum("tokens").over(upto), F.lit(0)))
               .select("part", F.xxhash64("sign", F.floor(F.col("before") / GROUP_TOKENS)).alias("group")))
-    return cuts.drop("sign").join(groups, "part").drop("part")
+    return cuts.join(groups, "part").drop("part")
 
 
 def _openings(sets: DataFrame, percent: int) -> DataFrame:
