@@ -163,13 +163,10 @@ def load_history(spark, sf_dir):
     return out
 
 
-STORED = ("cm", "cn", "ccl", "weball")
-
-
 @register("files_to_refresh", "M7", lambda: (
     f"with latest as (select file_type, cycle, checked_at, status_code, changed from ({_changes_sql()}) c"
     f" qualify row_number() over (partition by file_type, cycle order by checked_at desc, probe_id desc) = 1),"
-    f" have as (select distinct file_type, cycle from ({_counts_sql(STORED)}) s)"
+    f" have as (select distinct file_type, cycle from ({_counts_sql(standins.FILE_TYPES)}) s)"
     f" select l.file_type, l.cycle, l.checked_at, l.status_code, l.changed,"
     f" h.file_type is null as missing_locally, case when l.changed then 'changed' else 'missing' end as reason"
     f" from latest l left join have h on l.file_type = h.file_type and l.cycle = h.cycle"
@@ -177,7 +174,7 @@ STORED = ("cm", "cn", "ccl", "weball")
 def files_to_refresh(spark, sf_dir):
     # What is stored is read from the folders of the raw root, not from its tables.
     root = scratch_path(spark, "raw-root")
-    for ft in STORED:
+    for ft in standins.FILE_TYPES:
         parquet.write_raw(standins.raw(spark, sf_dir, ft), root, ft)
     return M.files_to_refresh(changes(spark, sf_dir), M.stored_files(spark, root))
 

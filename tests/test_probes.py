@@ -237,3 +237,16 @@ def test_state_table_columns_types_and_append(spark, scratch):
     M.append_state(rows, path)
     M.append_state(rows, path)          # every probe run appends; nothing is replaced
     assert spark.read.parquet(path).count() == 2 * len(CASES)
+
+
+def test_refresh_compares_with_every_file_type(spark, monkeypatch):
+    from ballotbox import schemas
+    from ballotbox.plans import q_probes
+
+    stored = []
+    write = q_probes.parquet.write_raw
+    monkeypatch.setattr(q_probes.parquet, "write_raw", lambda df, root, ft, *a: stored.append(ft) or write(df, root, ft, *a))
+    q_probes.files_to_refresh(spark, "/root/testdata/sf0.001")
+    assert sorted(stored) == sorted(schemas.FILE_TYPES)
+    oracle = q_probes.QUERIES["files_to_refresh"].oracle()
+    assert all(f"select '{ft}' as file_type" in oracle for ft in schemas.FILE_TYPES)
