@@ -93,3 +93,20 @@ def test_time_functions_ignore_session_zone(spark):
             assert r.back == r.t, zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_date_of_every_text_as_try_to_date(spark):
+    texts = ["01152024", "02292024", "02292023", "02302024", "04312024", "13152024", "00152024", "01150000", "1152024",
+             "0115+20240", "0115-2024", "011520241", "01152024\n", "N/A", "2/29/2024", "2/29/2023", "13/1/2024", "1/5/24", None]
+    plain = one_col(spark, texts, lambda c: F.try_to_date(N.blank_to_null(c), N.DATE_PLAIN).cast("string"))
+    slash = one_col(spark, texts, lambda c: F.try_to_date(N.blank_to_null(c), N.DATE_SLASH).cast("string"))
+    assert one_col(spark, texts, lambda c: N.date_mmddyyyy(c).cast("string")) == plain
+    assert one_col(spark, texts, lambda c: N.date_two_formats(c).cast("string")) == [a or b for a, b in zip(slash, plain)]
+
+
+def test_bad_texts_make_no_failing_cast(spark):
+    # A failing cast or parse makes an error message first, whose cost was most of a staging model's time.
+    df = spark.createDataFrame([("x",)], "v string").select(N.to_bigint("v").alias("n"), N.date_mmddyyyy("v").alias("d"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE(" in plan or "rlike" in plan.lower()
+    assert one_col(spark, ["12abc", "1,2", "+12", "-12", "\t12", "12\n"], N.to_bigint) == [None, None, 12, -12, 12, 12]

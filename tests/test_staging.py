@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from ballotbox import schemas
@@ -135,3 +136,33 @@ def test_rollup_tells_missing_keys_from_subtotals(spark):
     assert got[0, None, 1, None, 1, None] == (1, 1)             # no record: a party of its own
     assert got[0, "DEM", 0, None, 1, None] == (1, 7) and got[0, "DEM", 1, None, 1, None] == (2, 12)
     assert got[1, None, 1, None, 0, 2020] == (2, 12) and len(got) == 3 + 2 + 3 + 2 + 2 + 1
+
+
+def test_wide_raw_rows_are_not_one_method(spark):
+    # One generated method of all columns is too long for the JVM to compile.
+    from ballotbox.plans import standins
+
+    raw = standins.raw(spark, "/root/testdata/sf0.001", "indexp")
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    top = next(line for line in plan.splitlines() if "Project" in line)
+    assert "*(" not in top, top
+
+
+def test_raw_rows_are_sorted_before_they_are_wide(spark):
+    from ballotbox.plans import standins
+
+    raw = standins.raw(spark, "/root/testdata/sf0.001", "pas2", by_cycle=True)
+    plan = raw._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Project"
+    assert [o.toString().split(" ")[0].split("#")[0] for o in _seq(plan.outputOrdering())] == ["cycle"]
+
+
+def _seq(s):
+    return [s.apply(i) for i in range(s.size())]
+
+
+def test_upper_case_by_ascii_letters(spark):
+    from ballotbox.plans import standins
+
+    t = spark.createDataFrame([(x,) for x in ["a", "1-urgent", "ß", "éa", "", None, "x\ty", "zZ~"]], "t string")
+    assert t.select(F.expr("upper(t)").alias("a"), standins._column("upper(t)", "b")).where("NOT (a <=> b)").count() == 0
