@@ -214,7 +214,7 @@ def _all_query(ft: str):
         from ballotbox.session import scratch_path
         from ballotbox.sources import parquet
 
-        root, raw = scratch_path(spark, "raw"), standins.raw(spark, sf_dir, ft)
+        root, raw = scratch_path(spark, "raw"), standins.raw(spark, sf_dir, ft, by_cycle=True)
         parquet.write_raw(raw.where("cycle <= 1996"), root, ft)
         parquet.write_raw(raw.where("NOT coalesce(cycle <= 1996, false)"), root, ft)
         return marts.all_cycles(spark, root, ft)

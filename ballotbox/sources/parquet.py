@@ -24,13 +24,13 @@ MAX_RECORDS_PER_FILE = 1_000_000
 def write_raw(df: DataFrame, root: str, file_type: str, partition_by: str = "cycle") -> str:
     """Write (or rewrite) the cycles present in ``df``; other cycles are kept.
 
-    Rows are sorted by cycle inside each task so a task keeps one file open at
-    a time; no shuffle is added, so a hot cycle is still written by every task
-    that holds its rows.
+    The write sorts rows by cycle inside each task, so a task keeps one file open at
+    a time, unless they come in that order: narrow rows sorted before they are made
+    wide take a fraction of a task's memory. No shuffle is added, so a hot cycle is
+    still written by every task that holds its rows.
     """
     path = f"{root.rstrip('/')}/{file_type}"
-    (df.sortWithinPartitions(partition_by)
-       .write.mode("overwrite")
+    (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy(partition_by)
