@@ -175,7 +175,7 @@ def files_to_refresh(spark, sf_dir):
     # What is stored is read from the folders of the raw root, not from its tables.
     root = scratch_path(spark, "raw-root")
     for ft in standins.FILE_TYPES:
-        parquet.write_raw(standins.raw(spark, sf_dir, ft), root, ft)
+        parquet.write_raw(standins.raw(spark, sf_dir, ft, by_cycle=True), root, ft)
     return M.files_to_refresh(changes(spark, sf_dir), M.stored_files(spark, root))
 
 
