@@ -29,12 +29,13 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataF
     lines = spark.read.option("lineSep", "\n").text(path)
     if encoding.upper() != "UTF-8":     # the reader hands the bytes on as they are
         lines = lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding.upper()))
-    return lines.withColumn("value", F.regexp_replace("value", "\r$", ""))
+    value = F.col("value")          # few files have a \r at all, and the pattern would go over every line
+    return lines.withColumn("value", F.when(value.contains("\r"), F.regexp_replace(value, "\r$", "")).otherwise(value))
 
 
 def n_fields(value: str | Column = "value") -> Column:
     v = F.col(value) if isinstance(value, str) else value
-    return F.length(v) - F.length(F.replace(v, F.lit("|"), F.lit(""))) + 1
+    return F.octet_length(v) - F.octet_length(F.replace(v, F.lit("|"), F.lit(""))) + 1
 
 
 def parse(lines: DataFrame, file_type: str) -> DataFrame:

@@ -35,3 +35,11 @@ def test_orphans_and_amendments(spark):
                                  "tran_id string, amndt_ind string")
     got = [(r.tran_id, r.n_rows, r.amendment_codes) for r in Q.amendment_duplicates(rows).collect()]
     assert got == [("T1", 3, "A,N")]
+
+
+def test_row_widths_looks_layouts_up_after_counting(spark):
+    lines = spark.createDataFrame([("a", "1|2"), ("a", "é|ü"), ("a", "1"), ("b", ""), ("b", None), ("c", "1|2|3")], "file_type string, value string")
+    out = Q.row_widths(lines, {"a": 2, "b": 1})
+    assert {tuple(r) for r in out.collect()} == {("a", 2, 3, 1, 1, 2), ("b", 1, 2, 0, 1, 1), ("c", None, 1, 0, 3, 3)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert sum("Aggregate" in line for line in plan) == 2

@@ -247,3 +247,12 @@ def test_reload_difference_keeps_multiplicities(spark):
     got = {(r.k, r.v, r.change): r.n for r in parquet.changes_between(a, b).collect()}
     assert got == {(1, None, "unchanged"): 1, (1, None, "vanished"): 2, (2, "x", "unchanged"): 1, (2, "x", "added"): 1,
                    (3, "y", "vanished"): 1, (4, "z", "added"): 1}
+
+
+def test_carriage_returns_as_the_pattern_takes_them(spark, scratch):
+    path = scratch("crs")
+    texts = ["a\r", "a\r\r", "a\rb", "\r", "a|b", ""]
+    spark.createDataFrame([(x,) for x in texts], "value string").coalesce(1).write.option("lineSep", "\n").text(path)
+    got = sorted(r.value for r in delimited.read_lines(spark, path).collect())
+    by_pattern = spark.createDataFrame([(x,) for x in texts], "v string").select(F.regexp_replace("v", "\r$", "").alias("v"))
+    assert got == sorted(r.v for r in by_pattern.collect())
