@@ -83,6 +83,7 @@ def search(docs: DataFrame, query: str, content: str = "content", path: str = "r
 # ---- the same search over a stored index
 
 BLOCK_BYTES = 64 << 20      # of text in a block, about
+MOST_SMALLER = 500          # blocks smaller than that; a larger tree has larger blocks
 MOST_LISTED = 10_000        # blocks named in the scan's filter; more are met by a join
 GRAM = 3
 
@@ -91,17 +92,25 @@ def _grams(word: str, n: int) -> set[str]:
     return {word[i:i + n] for i in range(len(word) - n + 1)}
 
 
+def n_blocks(size: int, block_bytes: int) -> int:
+    """Blocks of ``size`` bytes of text."""
+    return max(1, min(-(-size // block_bytes), max(MOST_SMALLER, -(-size // BLOCK_BYTES))))
+
+
 def build_index(docs: DataFrame, root: str, path: str = "rel_path", content: str = "content",
                 block_bytes: int = BLOCK_BYTES) -> str:
     """Stores ``docs`` in blocks with title, summary and section, and for each block the
     runs of up to three characters that its titles, summaries and texts hold.
 
+    Blocks have about ``block_bytes`` of text as long as there are few of them, and more, up
+    to ``BLOCK_BYTES``, in a large tree: every block has its folder, its tasks and nearly
+    the same runs as any other, so blocks of one small size make postings as large as the text.
     Blocks are ranges of paths, so what lies together in the tree lies together here;
     the postings are sorted, so that a lookup reads a few row groups of them.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(content))).first()[0] or 0
-    n = max(1, -(-size // block_bytes))
+    n = n_blocks(size, block_bytes)
     dealt = docs.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(n, path, "_row")
     (index(dealt.drop("_row"), path, content).withColumn("block", F.spark_partition_id())
      .write.partitionBy("block").parquet(f"{root}/documents"))
