@@ -149,8 +149,10 @@ def _load_sql(k: int) -> str:
     f" (partition by file_type, cycle order by checked_at desc, probe_id desc) = 1) s using (file_type, cycle)"))
 def load_history(spark, sf_dir):
     # Two loads of archives into one history; each row has the count its load observed.
-    state = M.latest_state(changes(spark, sf_dir))
     base = scratch_path(spark, "load-history")
+    state = M.latest_state(changes(spark, sf_dir))
+    state.write.parquet(f"{base}/state")        # one row per remote file; the log is gone through once, not in each load
+    state = spark.read.schema(state.schema).parquet(f"{base}/state")
     out = None
     for k, file_types in enumerate(LOADS):
         found = None

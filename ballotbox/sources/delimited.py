@@ -38,16 +38,21 @@ def n_fields(value: str | Column = "value") -> Column:
     return F.octet_length(v) - F.octet_length(F.replace(v, F.lit("|"), F.lit(""))) + 1
 
 
+def counted(lines: DataFrame) -> DataFrame:
+    """Lines with their number of fields, which is not counted again where it is known."""
+    return lines if "n_fields" in lines.columns else lines.withColumn("n_fields", n_fields().cast("int"))
+
+
 def parse(lines: DataFrame, file_type: str) -> DataFrame:
     """Raw columns of the lines that have the layout's number of fields."""
-    others = [c for c in lines.columns if c != "value"]
-    good = lines.where(n_fields() == schemas.width(file_type))
+    others = [c for c in lines.columns if c not in ("value", "n_fields")]
+    good = counted(lines).where(F.col("n_fields") == schemas.width(file_type))
     return good.select(*split_line("value", file_type), *others)
 
 
 def rejects(lines: DataFrame, file_type: str) -> DataFrame:
     """The other lines, whole, with their number of fields."""
-    return lines.withColumn("n_fields", n_fields().cast("int")).where(F.col("n_fields") != schemas.width(file_type))
+    return counted(lines).where(F.col("n_fields") != schemas.width(file_type))
 
 
 def read_raw(spark: SparkSession, path: str, file_type: str, encoding: str = "UTF-8") -> DataFrame:
@@ -81,6 +86,6 @@ def write_raw_text(df: DataFrame, path: str, file_type: str, partition_by: str |
 def split_line(value: str | Column, file_type: str) -> list[Column]:
     """Split a line into the positional columns; empty and missing fields are NULL."""
     v = F.col(value) if isinstance(value, str) else value
-    parts = F.split(v, "[|]", -1)
+    parts = F.split(v, r"\|", -1)           # Java cuts at an escaped character without a pattern
     return [F.nullif(F.try_element_at(parts, F.lit(i + 1)), F.lit("")).alias(name)
             for i, name in enumerate(schemas.column_names(file_type))]

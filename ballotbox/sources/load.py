@@ -1,8 +1,8 @@
 """ZIP archives to raw parquet: the load step between download and staging.
 
-Each member is inflated once: its lines go, as they are, into a written table below
-the shared scratch folder, and the same write observes how many lines of each cycle
-fit the layout. From there, splittable now, they are parsed into
+Each member is inflated once: its lines go, as they are and with their number of fields,
+into a written table below the shared scratch folder, and the same write observes how many
+lines of each cycle fit the layout. From there, splittable now, they are parsed into
 ``<root>/<file type>/cycle=YYYY`` with dynamic partition overwrite: only the cycles
 present in the archives are replaced. Lines of another width go to
 ``<root>/_rejects/<file type>`` the same way. The counts are the load's own; nothing
@@ -17,22 +17,23 @@ from pyspark.sql import functions as F
 from ballotbox import schemas
 from ballotbox.session import scratch_path
 from ballotbox.sources import parquet, zipsource
-from ballotbox.sources.delimited import n_fields, parse, rejects
+from ballotbox.sources.delimited import counted, parse, rejects
 
 
 def load_zip_to_raw(spark: SparkSession, path: str, file_type: str, raw_root: str, encoding: str = "UTF-8") -> DataFrame:
     """Loads the archives; returns file_type, cycle, row_count and n_rejected of this load."""
     cycles = sorted({a.cycle for a in zipsource.archives(spark, path)})
-    fits = n_fields() == schemas.width(file_type)
+    fits = F.col("n_fields") == schemas.width(file_type)
     seen = Observation()
     counts = [F.count_if((F.col("cycle") == c) & which).alias(f"{kind}_{c}")
               for c in cycles for kind, which in (("good", fits), ("bad", ~fits))]
     held = scratch_path(spark, "load-lines")
-    lines = zipsource.read_zip_lines(spark, path, file_type, encoding=encoding).select("value", "cycle")
+    lines = counted(zipsource.read_zip_lines(spark, path, file_type, encoding=encoding, columns=["value", "cycle"]))
     lines.observe(seen, *counts).write.option("compression", "zstd").parquet(held)
     found = {c: (seen.get[f"good_{c}"], seen.get[f"bad_{c}"]) for c in cycles}
 
-    lines = spark.read.schema(lines.schema).parquet(held)
+    # in the order that the writes want, sorted as lines: rows of fields are several times as wide
+    lines = spark.read.schema(lines.schema).parquet(held).sortWithinPartitions("cycle")
     bad_root = f"{raw_root.rstrip('/')}/_rejects"
     parquet.write_raw(parse(lines, file_type), raw_root, file_type)
     if any(bad for _, bad in found.values()):

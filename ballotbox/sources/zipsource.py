@@ -23,6 +23,7 @@ import zipfile
 from typing import Iterator, NamedTuple
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -33,6 +34,7 @@ from ballotbox.session import list_folder
 from ballotbox.sources.delimited import parse
 
 BLOCK = 1 << 20
+COLUMNS = {"archive": pa.string(), "cycle": pa.int32(), "member": pa.string(), "value": pa.string()}
 
 
 class Archive(NamedTuple):
@@ -96,22 +98,32 @@ def _blocks(raw):
         yield rest
 
 
+def _lines(text: str) -> pa.Array:
+    """The lines of a block; a ``\\r`` before a line end is dropped."""
+    values = pc.split_pattern(pa.array([text], pa.string()), "\n").flatten()
+    return pc.replace_substring_regex(values, r"\r\z", "") if "\r" in text else values
+
+
 class Member(InputPartition):
     def __init__(self, archive: str, cycle: int, member: str):
         self.archive, self.cycle, self.member = archive, cycle, member
 
 
+def _wanted(options) -> list[str]:
+    return json.loads(options["columns"]) if "columns" in options else list(COLUMNS)
+
+
 class BulkZip(DataSource):
     """Options: ``file_type`` or ``inner`` choose the members, ``cycles`` and ``members``
-    (JSON lists) those of them that are wanted, ``encoding`` (UTF-8), and ``archives``
-    (addresses and cycles as JSON) or a path."""
+    (JSON lists) those of them that are wanted, ``columns`` (JSON list) what is told of a
+    line, ``encoding`` (UTF-8), and ``archives`` (addresses and cycles as JSON) or a path."""
 
     @classmethod
     def name(cls) -> str:
         return "bulkzip"
 
     def schema(self) -> str:
-        return "archive string, cycle int, member string, value string"
+        return ", ".join(f"{c} {'int' if c == 'cycle' else 'string'}" for c in _wanted(self.options))
 
     def reader(self, schema: StructType) -> "BulkZipReader":
         return BulkZipReader(self.options)
@@ -124,6 +136,7 @@ class BulkZipReader(DataSourceReader):
         if "\n|a".encode(self.encoding) != b"\n|a":
             raise ValueError(f"lines cannot be cut in {self.encoding}")
         self.found = [tuple(a) for a in json.loads(options["archives"])] if "archives" in options else _listed(options["path"])
+        self.columns = _wanted(options)
         self.cycles, self.members = (json.loads(options[k]) if k in options else None for k in ("cycles", "members"))
 
     def partitions(self) -> list[Member]:
@@ -147,12 +160,11 @@ class BulkZipReader(DataSourceReader):
                     text = block.decode(self.encoding)
                 except UnicodeDecodeError as e:
                     raise ValueError(f"{partition.member} of {partition.archive} is not {self.encoding}: {e}") from e
-                values = [v[:-1] if v.endswith("\r") else v for v in text.split("\n")]
-                n = len(values)
+                values = _lines(text)
+                told = {"archive": partition.archive, "cycle": partition.cycle, "member": partition.member}
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([partition.archive] * n), pa.array([partition.cycle] * n, pa.int32()),
-                     pa.array([partition.member] * n), pa.array(values, pa.string())],
-                    names=["archive", "cycle", "member", "value"])
+                    [values if c == "value" else pa.repeat(pa.scalar(told[c], COLUMNS[c]), len(values)) for c in self.columns],
+                    names=self.columns)
 
 
 def _listed(path: str) -> list[tuple[str, int]]:
@@ -169,17 +181,19 @@ def _listed(path: str) -> list[tuple[str, int]]:
 
 
 def read_zip_lines(spark: SparkSession, path: str, file_type: str | None = None, inner: str | None = None,
-                   encoding: str = "UTF-8", cycles: list[int] | None = None, members: list[str] | None = None) -> DataFrame:
-    """archive, cycle, member, value of every line of the chosen members (of the listed
-    ``cycles`` and ``members`` only)."""
+                   encoding: str = "UTF-8", cycles: list[int] | None = None, members: list[str] | None = None,
+                   columns: list[str] | None = None) -> DataFrame:
+    """archive, cycle, member, value (or the listed ``columns``) of every line of the chosen
+    members (of the listed ``cycles`` and ``members`` only). A column that is not listed is
+    not sent from Python to Spark; Spark does not tell the source what a query leaves out."""
     found = json.dumps([(a.path, a.cycle) for a in archives(spark, path)])
     spark.dataSource.register(BulkZip)
     chosen = {k: v for k, v in (("file_type", file_type), ("inner", inner)) if v}
-    chosen |= {k: json.dumps(v) for k, v in (("cycles", cycles), ("members", members)) if v is not None}
+    chosen |= {k: json.dumps(v) for k, v in (("cycles", cycles), ("members", members), ("columns", columns)) if v is not None}
     return spark.read.format("bulkzip").options(archives=found, encoding=encoding, **chosen).load()
 
 
 def read_zip(spark: SparkSession, path: str, file_type: str, inner: str | None = None,
              encoding: str = "UTF-8") -> DataFrame:
     """Raw string columns of the chosen members, with the ``cycle`` of the archive."""
-    return parse(read_zip_lines(spark, path, file_type, inner, encoding).select("value", "cycle"), file_type)
+    return parse(read_zip_lines(spark, path, file_type, inner, encoding, columns=["value", "cycle"]), file_type)

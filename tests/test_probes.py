@@ -250,3 +250,14 @@ def test_refresh_compares_with_every_file_type(spark, monkeypatch):
     assert sorted(stored) == sorted(schemas.FILE_TYPES)
     oracle = q_probes.QUERIES["files_to_refresh"].oracle()
     assert all(f"select '{ft}' as file_type" in oracle for ft in schemas.FILE_TYPES)
+
+
+def test_loads_share_one_pass_over_the_log(spark, monkeypatch):
+    from ballotbox.plans import q_probes
+
+    states = []
+    record = q_probes.M.record_load
+    monkeypatch.setattr(q_probes.M, "record_load", lambda *a, state, **k: states.append(state) or record(*a, state=state, **k))
+    q_probes.load_history(spark, "/root/testdata/sf0.001")
+    plans = [s._jdf.queryExecution().optimizedPlan().toString() for s in states]
+    assert len(plans) == len(q_probes.LOADS) and not any("Aggregate" in p or "Join" in p for p in plans)

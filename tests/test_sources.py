@@ -256,3 +256,52 @@ def test_carriage_returns_as_the_pattern_takes_them(spark, scratch):
     got = sorted(r.value for r in delimited.read_lines(spark, path).collect())
     by_pattern = spark.createDataFrame([(x,) for x in texts], "v string").select(F.regexp_replace("v", "\r$", "").alias("v"))
     assert got == sorted(r.v for r in by_pattern.collect())
+
+
+def test_blocks_are_cut_as_lines_one_by_one(spark, scratch, monkeypatch):
+    root = local_path(scratch("blocks"))
+    os.makedirs(root)
+    text = "\n\r\na\r\r\nŁ\u2028\x0bx\ry|é\r\n\n\n" + "".join(f"{'z' * (i % 90)}|€{i}\r\n" for i in range(400)) + "no end\r"
+    _zip(os.path.join(root, "ccl_2024.zip"), {"ccl.txt": text})
+    want = [v[:-1] if v.endswith("\r") else v for v in text.split("\n")]
+    for size in (7, 200, 1 << 20):
+        monkeypatch.setattr(zipsource, "BLOCK", size)
+        reader = zipsource.BulkZipReader({"file_type": "ccl", "path": root})
+        batches = list(reader.read(reader.partitions()[0]))
+        assert [v for b in batches for v in b.column("value").to_pylist()] == want
+        assert {(b.column("cycle")[0].as_py(), b.column("member")[0].as_py()) for b in batches} == {(2024, "ccl.txt")}
+
+
+def test_a_load_asks_for_the_columns_it_uses(spark, scratch, monkeypatch):
+    root, raw = local_path(scratch("columns")), scratch("columns-raw")
+    os.makedirs(root)
+    _zip(os.path.join(root, "ccl_2024.zip"), {"ccl.txt": "a|b|c|d|e|f|g\nshort\n"})
+    asked, written = [], []
+    real, write = zipsource.read_zip_lines, parquet.write_raw
+    monkeypatch.setattr(zipsource, "read_zip_lines", lambda *a, **k: asked.append(out := real(*a, **k)) or out)
+    monkeypatch.setattr(parquet, "write_raw", lambda df, *a, **k: written.append(df) or write(df, *a, **k))
+    assert [tuple(r) for r in load.load_zip_to_raw(spark, root, "ccl", raw).collect()] == [("ccl", 2024, 1, 1)]
+    assert asked[0].columns == ["value", "cycle"]        # no path and no member with every line from Python
+    # what the write needs sorted is sorted as lines, and only then cut into fields
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Project [if") < plan.index("Sort [cycle") and plan.count("replace(") == 0
+    assert tuple(spark.read.parquet(f"{raw}/_rejects/ccl").first()) == ("short", 1, 2024)
+
+
+def test_archives_repeat_every_tenth_line_across_batches(spark, scratch):
+    path = scratch("zip-batches")
+    raw = spark.range(95).selectExpr(*[f"concat('é{j}-', id) AS {c}" for j, c in enumerate(schemas.column_names("ccl"))],
+                                     "CAST(if(id < 60, 2022, 2024) AS int) AS cycle").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        made = zipwriter.write_zip_archives(raw, path, "ccl").orderBy("cycle").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [(r.cycle, r.n_lines) for r in made] == [(2022, 60), (2024, 35)]
+    for r in made:
+        with zipfile.ZipFile(local_path(r.archive)) as z:
+            lines = z.read("ccl.txt").decode().splitlines()
+            first = 0 if r.cycle == 2022 else 60
+            assert lines == ["|".join(f"é{j}-{i}" for j in range(7)) for i in range(first, first + r.n_lines)]
+            assert z.read(f"by_date/itcont_{r.cycle}_partial.txt").decode().splitlines() == lines[::10]
