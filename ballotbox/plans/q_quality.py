@@ -13,7 +13,7 @@ from ballotbox.plans import standins
 from ballotbox.plans.q_core import staged
 from ballotbox.plans.registry import register
 from ballotbox.plans.sqlrules import MODELS, columns, stg_sql
-from ballotbox.session import scratch_path
+from ballotbox.session import drop_folder, scratch_path
 from ballotbox.sources.delimited import read_lines, write_lines
 
 
@@ -147,12 +147,19 @@ def _lines_sql(ft: str) -> str:
     for ft in MODELS))
 def qa_row_width(spark, sf_dir):
     # Files as written by an exporter that drops NULL fields (concat_ws skips
-    # them): rows with a NULL come out short. The lines are checked as read.
-    path = scratch_path(spark, "row-width")
-    for ft in schemas.FILE_TYPES:
+    # them): rows with a NULL come out short. The lines are checked as read. All
+    # of them are some thirty times the tables, so they are written compressed and
+    # those of one file type are taken away before the next are written. File types
+    # whose rows come out of a shuffle are last: its files stay for some time.
+    base = scratch_path(spark, "row-width")
+    for ft in sorted(schemas.FILE_TYPES, key=lambda ft: ft in standins.SHUFFLED):
+        path = f"{base}/lines/{ft}"
         lines = standins.raw(spark, sf_dir, ft).select(F.concat_ws("|", *schemas.column_names(ft)).alias("value"))
-        write_lines(lines, f"{path}/file_type={ft}", partition_by=None)
-    return Q.row_widths(read_lines(spark, path), {ft: schemas.width(ft) for ft in schemas.FILE_TYPES})
+        write_lines(lines, path, partition_by=None, compressed=True)
+        found = Q.row_widths(read_lines(spark, path).withColumn("file_type", F.lit(ft)), {ft: schemas.width(ft)})
+        found.write.mode("append").parquet(f"{base}/widths")
+        drop_folder(spark, path)
+    return spark.read.schema(found.schema).parquet(f"{base}/widths")
 
 
 @register("qa_suite", "Q8", lambda: _suite_sql())

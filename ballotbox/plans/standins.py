@@ -345,6 +345,7 @@ STANDINS: dict[str, StandIn] = {
     "ccl": StandIn(_ccl, _ccl_base_spark, _CCL_BASE_SQL),
     "weball": StandIn(_weball, _weball_base_spark, _WEBALL_BASE_SQL),
 }
+SHUFFLED = ("ccl", "weball")        # joined or grouped rows; the others are one scan
 
 
 def _ordered(ft: str) -> list[tuple[str, str]]:

@@ -71,3 +71,10 @@ def list_folder(spark: SparkSession, path: str, sizes: bool = False) -> list[tup
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the checkpoint root."""
     return f"{checkpoint_root(spark)}/ballotbox/{name}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Takes a folder away, if there is one: scratch output that nothing reads any more."""
+    fs, p = file_system(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)

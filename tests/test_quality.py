@@ -1,6 +1,12 @@
 """Quality checks on small frames."""
 
+import os
+
+from pyspark.sql import functions as F
+
 from ballotbox.operators import quality as Q
+from ballotbox.plans import q_quality
+from helpers import local_path
 
 
 def test_declared_check_counts():
@@ -43,3 +49,23 @@ def test_row_widths_looks_layouts_up_after_counting(spark):
     assert {tuple(r) for r in out.collect()} == {("a", 2, 3, 1, 1, 2), ("b", 1, 2, 0, 1, 1), ("c", None, 1, 0, 3, 3)}
     plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert sum("Aggregate" in line for line in plan) == 2
+
+
+def test_lines_of_file_types_do_not_pile_up(spark, monkeypatch):
+    held, plain, roots = [], [], set()
+
+    def files(root):
+        return [os.path.join(d, n) for d, _, names in os.walk(root) for n in names if ".txt" in n and n.startswith("part-")]
+
+    def write(lines, path, **kw):
+        real(lines, path, **kw)
+        roots.add(os.path.dirname(local_path(path)))
+        held.append(sum(os.path.getsize(f) for root in roots for f in files(root)))
+        plain.append(lines.agg(F.sum(F.octet_length("value") + 1)).first()[0])
+
+    real = q_quality.write_lines
+    monkeypatch.setattr(q_quality, "write_lines", write)
+    out = q_quality.qa_row_width(spark, "/root/testdata/sf0.001")
+    assert len(plain) == 9 and all(h < p for h, p in zip(held, plain)) and max(held) * 2 < max(plain)
+    assert [f for root in roots for f in files(root)] == []
+    assert out.count() == 9 and sorted(r.n_lines for r in out.collect())[-3:] == [spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()] * 3

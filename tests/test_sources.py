@@ -258,6 +258,29 @@ def test_carriage_returns_as_the_pattern_takes_them(spark, scratch):
     assert got == sorted(r.v for r in by_pattern.collect())
 
 
+def test_compressed_lines_come_back_whole(spark, scratch, monkeypatch):
+    path, n = local_path(scratch("compressed")), 3000
+    lines = spark.range(0, n, 1, 2).select(F.expr(
+        "case when id % 7 = 0 then '' when id % 11 = 0 then NULL else concat('é|', id, '|x\ry|', repeat('z', id % 90)) end").alias("value"))
+    monkeypatch.setattr(delimited, "MAX_LINES_PER_FILE", 1000)
+    delimited.write_lines(lines, path, partition_by=None, compressed=True)
+    sizes = [os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.startswith("part-")]
+    assert len(sizes) == 4 and sum(sizes) * 3 < lines.agg(F.sum(F.octet_length("value") + 1)).first()[0]
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")         # a compressed file is not cut
+    try:
+        got = sorted(r.value for r in delimited.read_lines(spark, path).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    assert got == sorted(r.value or "" for r in lines.collect())
+
+
+def test_a_carriage_return_inside_a_line_is_text_before_any_character(spark, scratch):
+    path, texts = scratch("inner-crs"), ["a\r\u2028", "a\r\x85", "a\u2028\r"]
+    spark.createDataFrame([(x,) for x in texts], "value string").coalesce(1).write.option("lineSep", "\n").text(path)
+    assert sorted(r.value for r in delimited.read_lines(spark, path).collect()) == sorted([*texts[:2], "a\u2028"])
+
+
 def test_blocks_are_cut_as_lines_one_by_one(spark, scratch, monkeypatch):
     root = local_path(scratch("blocks"))
     os.makedirs(root)
